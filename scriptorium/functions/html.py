@@ -19,24 +19,30 @@ def _entity_map() -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    """Replace named and numeric character references, each exactly once."""
-
-    def decode_piece(piece: Column) -> Column:
-        ref = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z0-9]+);", 1)
-        code = (
-            F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10))
-            .when(ref.startswith("#"), F.substring(ref, 2, 7))
-            .cast("int")
-        )
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-        char = F.when(ref.startswith("#"), char).otherwise(F.try_element_at(_entity_map(), ref))
-        rest = F.substring(piece, F.length(ref) + 2, F.length(piece))
-        return F.when(char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), piece))
+    """Replace named and numeric character references, each exactly once.
 
+    The text is split at its ampersands, and each piece looks for one reference at its start.
+    """
+
+    def character(ref: Column) -> Column:
+        digits = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10)).when(
+            ref.startswith("#"), F.substring(ref, 2, 7))
+        valid = F.filter(F.array(digits.cast("int")), lambda n: n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF))
+        chars = F.transform(valid, lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+        return F.coalesce(F.try_element_at(_entity_map(), ref), F.get(chars, F.lit(0)))
+
+    def decode_piece(s: Column) -> Column:
+        rest = F.substring(s["piece"], F.length(s["ref"]) + 2, F.length(s["piece"]))
+        return F.coalesce(F.concat(s["char"], rest), F.concat(F.lit("&"), s["piece"]))
+
+    reference = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z0-9]+);"
     pieces = F.split(c, "&", -1)
-    decoded = F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(decode_piece(p)))
-    return F.when(F.contains(c, F.lit("&")), F.array_join(decoded, "")).otherwise(c)
+    parts = F.transform(pieces, lambda p, i: F.struct(
+        p.alias("piece"), i.alias("i"), F.regexp_extract(p, reference, 1).alias("ref")))
+    parts = F.transform(parts, lambda s: F.struct(
+        s["piece"].alias("piece"), s["i"].alias("i"), s["ref"].alias("ref"),
+        F.when((s["i"] > 0) & (s["ref"] != ""), character(s["ref"])).alias("char")))
+    return F.array_join(F.transform(parts, lambda s: F.when(s["i"] == 0, s["piece"]).otherwise(decode_piece(s))), "")
 
 
 def strip_markup(html: Column) -> Column:
@@ -44,22 +50,35 @@ def strip_markup(html: Column) -> Column:
     return decode_entities(F.regexp_replace(html, _MARKUP, ""))
 
 
+def _paragraph_blocks(html: Column) -> Column:
+    """Raw markup behind each paragraph tag outside tables."""
+    body = F.regexp_replace(html, rf"(?is){_HIDDEN}|<table\b.*?</table\s*>", "")
+    return F.slice(F.split(body, r"(?i)<p\b[^>]*>", -1), 2, 1 << 30)
+
+
+def _paragraph_text(block: Column) -> Column:
+    return strip(strip_markup(F.regexp_replace(block, r"(?is)</p\s*>.*$", "")))
+
+
 def paragraphs(html: Column) -> Column:
     """Texts of all paragraphs outside tables. A new paragraph ends an unclosed one."""
-    body = F.regexp_replace(html, rf"(?is){_HIDDEN}|<table\b.*?</table\s*>", "")
-    blocks = F.split(body, r"(?i)<p\b[^>]*>", -1)
-    blocks = F.slice(blocks, F.lit(2), F.size(blocks))
-    return F.transform(blocks, lambda b: strip(strip_markup(F.regexp_replace(b, r"(?is)</p\s*>.*$", ""))))
+    return F.transform(_paragraph_blocks(html), _paragraph_text)
+
+
+def first_paragraph(html: Column) -> Column:
+    return _paragraph_text(F.get(_paragraph_blocks(html), F.lit(0)))
 
 
 def first_long_paragraph(html: Column, longer_than: int = 30) -> Column:
-    """First paragraph of more than ``longer_than`` characters, null when there is none."""
-    long_enough = F.filter(paragraphs(html), lambda p: F.char_length(p) > longer_than)
-    return F.get(long_enough, F.lit(0))
+    """First paragraph of more than ``longer_than`` characters, null when there is none.
 
+    Paragraphs behind the one found are not cleaned.
+    """
 
-def first_paragraph(html: Column) -> Column:
-    return F.get(paragraphs(html), F.lit(0))
+    def if_long(block: Column) -> Column:
+        return F.get(F.filter(F.array(_paragraph_text(block)), lambda t: F.char_length(t) > longer_than), F.lit(0))
+
+    return F.aggregate(_paragraph_blocks(html), F.lit(None).cast("string"), lambda found, b: F.coalesce(found, if_long(b)))
 
 
 def list_links(html: Column, base: str) -> Column:

@@ -10,9 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace as Python's str.split() and str.strip() see it.
-WHITESPACE = r"[\s\x1c-\x1f]"
-_EDGES = rf"(?U)^{WHITESPACE}+|{WHITESPACE}+\z"
+# Whitespace as Python's str.split() and str.strip() see it: as a pattern, and as characters.
+WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
+_BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 # Characters a title loses, and the numerals it gets, in order of replacement.
 TITLE_PUNCTUATION = ",:;'.!?"
@@ -27,7 +27,7 @@ ROMAN_NUMERALS = (
 )
 
 # Screenplay scene headers.
-SCENE_HEADERS = (r"\bINT\.\s", r"\bEXT\.\s", r"\bFADE IN:", r"\bFADE OUT\.", r"\bCUT TO:", r"\bSCÈNE")
+SCENE_HEADERS = (r"\b(?:INT\.\s|EXT\.\s|FADE IN:|FADE OUT\.|CUT TO:|SCÈNE)",)
 
 # Two code points Unicode reserves for a program's own use; they never occur in interchanged text.
 _CUT = "\ufdd0\ufdd1"
@@ -35,11 +35,11 @@ _CUT = "\ufdd0\ufdd1"
 
 def strip(c: Column) -> Column:
     """Remove all Unicode whitespace at both ends (Spark's ``trim`` removes blanks only)."""
-    return F.regexp_replace(c, _EDGES, "")
+    return F.trim(c, F.lit(_BLANKS))
 
 
 def words(c: Column) -> Column:
-    return F.filter(F.split(c, rf"(?U){WHITESPACE}+", -1), lambda w: w != "")
+    return F.array_remove(F.split(c, WHITESPACE, -1), "")
 
 
 def word_count(c: Column) -> Column:
@@ -53,7 +53,7 @@ def normalize_title(c: Column) -> Column:
     The numerals are replaced as plain substrings and case-sensitively, so "MATRIX" becomes
     "Matr9"; catalogues are only comparable when all of them are treated alike.
     """
-    out = F.translate(c, TITLE_PUNCTUATION, "")
+    out = F.regexp_replace(c, f"[{TITLE_PUNCTUATION}]", "")
     for numeral, digit in ROMAN_NUMERALS:
         out = F.replace(out, F.lit(numeral), F.lit(digit))
     return F.initcap(F.regexp_replace(out, r"(?U)[\s\x1c-\x1f_-]+", " "))
@@ -91,8 +91,7 @@ def absolute_url(href: Column, base: str) -> Column:
 
 def after_marker(c: Column, marker: str) -> Column:
     """Text behind the first occurrence of ``marker``; the whole text when there is none."""
-    at = F.locate(marker, c)
-    return F.when(at > 0, F.substring(c, at + F.lit(len(marker)), F.char_length(c))).otherwise(c)
+    return F.element_at(F.split(c, rf"\Q{marker}\E", 2), -1)
 
 
 def preview(c: Column, length: int = 2000) -> Column:
@@ -110,7 +109,7 @@ def parse_items(c: Column, separator: str = ",") -> Column:
 
 def clean_items(items: Column) -> Column:
     """The same for a value that is an array already."""
-    kept = F.filter(F.transform(items, strip), lambda x: x != "")
+    kept = F.array_remove(F.transform(items, strip), "")
     return F.coalesce(kept, F.array().cast("array<string>"))
 
 
@@ -133,6 +132,6 @@ def segments(c: Column, headers: Sequence[str] = SCENE_HEADERS) -> Column:
     with its header. A header runs to the end of its line, so two markers on one line are one
     header. ``headers`` are regular expressions for the beginning of a header.
     """
-    pattern = "(?imudU)(" + "|".join(f"{h}.*?$" for h in headers) + ")"
-    parts = F.split(F.regexp_replace(c, pattern, f"{_CUT}$1"), _CUT, -1)
+    pattern = f"(?imudU)(?:{'|'.join(headers)}).*"
+    parts = F.split(F.regexp_replace(c, pattern, f"{_CUT}$0"), _CUT, -1)
     return F.transform(parts, strip)

@@ -2,7 +2,7 @@
 
 HIDDEN = r"<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 MARKUP = rf"(?is){HIDDEN}|<[^>]*>"
-HEADERS = (r"^The\s", r"^And\s", r"^Of\s", r"^La\s", r"^Der\s")
+HEADERS = (r"^(?:The|And|Of|La|Der)\s",)
 LINK_BASE = "https://pages.example.org"
 
 
