@@ -21,9 +21,10 @@ def outer_merge(left: DataFrame, right: DataFrame, left_key: str, right_key: str
                 indicator: str = "indicator") -> DataFrame:
     """Full outer join on one key with a provenance column; many-to-many, nulls equal nulls.
 
-    Written as a left outer join plus the unmatched right rows. AQE can split a skewed key in
-    both of these, which it cannot do in a full outer join, and both read the same two shuffles.
-    The column names of the two sides must differ.
+    Written as a left outer join plus the unmatched right rows. This shuffles the right side and
+    the left keys once more than a full outer join would, but AQE can split a key that holds a
+    large part of the rows in both of these joins, and cannot in a full outer join. So the right
+    side should be the smaller one. The column names of the two sides must differ.
     """
     on = {left_key: right_key}
     marked = right.withColumn("_in_right", F.lit(True))

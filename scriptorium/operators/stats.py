@@ -57,11 +57,10 @@ def distinct_items(df: DataFrame, column: str, nested: bool = False) -> DataFram
 def set_union(df: DataFrame, key: str, item: str, out: str = "items") -> DataFrame:
     """Sorted set of all items per key.
 
-    Duplicates go in the first aggregate, before the shuffle, so a key with very many rows
-    sends only its distinct items on.
+    Each task sends a key's distinct items on, so a key with very many rows costs the shuffle no
+    more than its set.
     """
-    distinct = df.select(key, item).distinct()
-    return distinct.groupBy(key).agg(F.array_sort(F.collect_set(item)).alias(out))
+    return df.groupBy(key).agg(F.array_sort(F.collect_set(item)).alias(out))
 
 
 def find_by_item(sets: DataFrame, items: str, wanted: str) -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from scriptorium.functions.text import base_name, strip
 
@@ -15,14 +15,22 @@ TROPE_MAP = "map<string,struct<definition:string>>"
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",") -> DataFrame:
-    """CSV with a declared schema. Quoted line breaks and doubled quotes are read back exactly."""
-    return (
+    """CSV with a declared schema. Line breaks, quotes and empty texts are read back exactly.
+
+    An empty field is null, a quoted empty field is an empty text; the reader marks the latter
+    with a code point that no text contains.
+    """
+    mark = "\ufdd0"
+    df = (
         spark.read.schema(schema)
         .option("header", True).option("sep", sep).option("encoding", "UTF-8")
-        .option("multiLine", True).option("quote", '"').option("escape", '"')
+        .option("multiLine", True).option("quote", '"').option("escape", '"').option("emptyValue", mark)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    return df.select(*[F.when(F.col(c) != mark, F.col(c)).when(F.col(c).isNotNull(), F.lit("")).alias(c) if c in texts else F.col(c)
+                       for c in df.columns])
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = False) -> None:
@@ -42,7 +50,7 @@ def read_whole_text(spark: SparkSession, path: str, name: Column | None = None,
     reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    source = F.col("_metadata.file_path")
+    source = F.col("_metadata.file_name")
     return reader.text(path, wholetext=True).select((base_name(source) if name is None else name).alias("name"), F.col("value").alias("text"))
 
 
