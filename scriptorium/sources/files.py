@@ -50,7 +50,8 @@ def read_whole_text(spark: SparkSession, path: str, name: Column | None = None,
     reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    source = F.col("_metadata.file_name")
+    # The metadata column holds names percent-encoded, with plus signs left as they are.
+    source = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     return reader.text(path, wholetext=True).select((base_name(source) if name is None else name).alias("name"), F.col("value").alias("text"))
 
 

@@ -21,16 +21,16 @@ def test_csv_keeps_hard_text(spark, tmp_path):
 
 
 def test_whole_text_and_html(spark, tmp_path):
-    (tmp_path / "mr. x.txt").write_text("line 1\nline 2\n")
+    (tmp_path / "mr. x+1%é.txt").write_text("line 1\nline 2\n")
     (tmp_path / "other.md").write_text("no")
     (tmp_path / "page.htm").write_bytes("<p>café</p>".encode("iso-8859-1"))
-    assert [tuple(r) for r in I.read_whole_text(spark, str(tmp_path), glob="*.txt").collect()] == [("mr. x", "line 1\nline 2\n")]
+    assert [tuple(r) for r in I.read_whole_text(spark, str(tmp_path), glob="*.txt").collect()] == [("mr. x+1%é", "line 1\nline 2\n")]
     assert I.read_html_files(spark, str(tmp_path)).collect()[0]["html"] == "<p>caf�</p>"
     assert I.read_html_files(spark, str(tmp_path), "ISO-8859-1").collect()[0]["html"] == "<p>café</p>"
     assert {tuple(r)[:4] for r in I.file_manifest(spark, str(tmp_path), "*.htm").collect()} == {("page.htm", "page", "htm", 11)}
     I.land_raw(spark, str(tmp_path), str(tmp_path / "raw"), "*.txt")
     raw = spark.read.parquet(str(tmp_path / "raw")).first()
-    assert (raw["name"], raw["kind"], bytes(raw["content"]), raw["length"]) == ("mr. x", "txt", b"line 1\nline 2\n", 14)
+    assert (raw["name"], raw["kind"], bytes(raw["content"]), raw["length"]) == ("mr. x+1%é", "txt", b"line 1\nline 2\n", 14)
 
 
 def test_trope_maps(spark, tmp_path):
