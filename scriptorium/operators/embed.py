@@ -6,12 +6,13 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-Encoder = Callable[[list[str]], np.ndarray]
+# Texts in (``.to_pylist()`` gives plain strings), one row of numbers per text out.
+Encoder = Callable[[pa.Array], np.ndarray]
 
 
 def hashing_encoder(dim: int = 64) -> Callable[[], Encoder]:
@@ -23,14 +24,17 @@ def hashing_encoder(dim: int = 64) -> Callable[[], Encoder]:
     """
 
     def make() -> Encoder:
-        def encode(texts: list[str]) -> np.ndarray:
-            tokens = [t.lower().split() for t in texts]
-            lengths = [len(t) for t in tokens]
-            codes, distinct = pd.factorize(np.array([w for t in tokens for w in t], dtype=object))
-            bucket = np.array([int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dim for w in distinct], dtype=np.int64)
-            counts = np.zeros((len(texts), dim))
-            if len(codes):
-                np.add.at(counts, (np.repeat(np.arange(len(texts)), lengths), bucket[codes]), 1.0)
+        def encode(texts: pa.Array) -> np.ndarray:
+            tokens = pc.utf8_split_whitespace(pc.utf8_lower(texts))
+            lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
+            words = tokens.flatten().dictionary_encode()
+            distinct = words.dictionary.cast(pa.binary()).to_pylist()
+            heads = b"".join([hashlib.md5(w, usedforsecurity=False).digest()[:4] for w in distinct])
+            bucket = np.frombuffer(heads, dtype=">u4").astype(np.int64) % dim
+            bucket[[i for i, w in enumerate(distinct) if not w]] = -1  # edges of the text, not a word
+            codes = bucket[words.indices.to_numpy(zero_copy_only=False)]
+            cell = np.repeat(np.arange(len(texts)), lengths) * dim + codes
+            counts = np.bincount(cell[codes >= 0], minlength=len(texts) * dim).reshape(-1, dim).astype(np.float64)
             norm = np.sqrt((counts * counts).sum(1))
             return np.floor(1000.0 * counts / np.where(norm == 0, 1.0, norm)[:, None] + 0.5)
 
@@ -39,6 +43,15 @@ def hashing_encoder(dim: int = 64) -> Callable[[], Encoder]:
     return make
 
 
+def _as_lists(vectors: list) -> pa.Array:
+    """One float list per row, built from one flat buffer; null where there is no vector."""
+    known = [v for v in vectors if v is not None]
+    offsets = np.cumsum([0, *(0 if v is None else len(v) for v in vectors)])
+    flat = np.concatenate(known) if known else np.zeros(0, np.float32)
+    missing = pa.array([v is None for v in vectors]) if len(known) < len(vectors) else None
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.float32()), mask=missing)
+
+
 def embed(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] | None = None,
           out: str = "vector") -> DataFrame:
     """Replace ``text`` by its vector. ``make_encoder`` runs once per task, e.g. to load a model.
@@ -52,16 +65,16 @@ def embed(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] | None =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = make_encoder()
 
-        def attempt(texts):
+        def attempt(texts: pa.Array) -> list:
             try:
                 return list(np.asarray(encode(texts), dtype=np.float32))
             except Exception:
-                return [None] if len(texts) == 1 else [v for t in texts for v in attempt([t])]
+                return [None] if len(texts) == 1 else [v for i in range(len(texts)) for v in attempt(texts.slice(i, 1))]
 
         for batch in batches:
-            texts = [t or "" for t in batch.column(text).to_pylist()]
-            vectors = pa.array(attempt(texts) if texts else [], type=pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, vectors], names=[*names, out])
+            if batch.num_rows:
+                vectors = _as_lists(attempt(pc.fill_null(batch.column(text), "")))
+                yield pa.RecordBatch.from_arrays([*batch.select(names).columns, vectors], names=[*names, out])
 
     return df.select(*names, text).mapInArrow(run, schema)
 

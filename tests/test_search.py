@@ -1,6 +1,7 @@
 """Neighbour and similarity search against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,7 +147,7 @@ def test_one_against_all(spark):
 
 def test_hashing_encoder():
     encode = hashing_encoder(16)()
-    a, b, empty = encode(["Word word other", "other WORD word", " "])
+    a, b, empty = encode(pa.array(["Word word other", "other\u00a0WORD \n\x1cword ", " "]))
     assert (a == b).all() and (empty == 0).all() and a.shape == (16,)
     assert abs(np.sqrt((a ** 2).sum()) - 1000) < 2
 
@@ -154,6 +155,7 @@ def test_hashing_encoder():
 def test_embed_survives_bad_rows(spark):
     def make():
         def encode(texts):
+            texts = texts.to_pylist()
             if any("bad" in t for t in texts):
                 raise ValueError("no")
             return np.array([[len(t), 1.0] for t in texts])
