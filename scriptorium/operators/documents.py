@@ -14,8 +14,17 @@ from scriptorium.operators.dedupe import by_priority, keep_first
 
 def segment_rows(docs: DataFrame, key: str, text: str, headers: Sequence[str] = SCENE_HEADERS) -> DataFrame:
     """One row per segment: ``(key, ordinal, segment)``; ordinal 0 is the introduction."""
-    parts = segments(F.col(text), headers)
-    return docs.select(key, F.posexplode(parts).alias("ordinal", "segment"))
+    return _numbered(docs.select(key, segments(F.col(text), headers).alias("parts")), "parts", "ordinal", "segment")
+
+
+def _numbered(df: DataFrame, array: str, position: str, value: str) -> DataFrame:
+    """One row per array entry.
+
+    For an inner explode the optimizer adds a filter that works the array out a second time; the
+    outer form followed by a filter on the position does not.
+    """
+    others = [c for c in df.columns if c != array]
+    return df.select(*others, F.posexplode_outer(array).alias(position, value)).where(F.col(position).isNotNull())
 
 
 def segment_counts(docs: DataFrame, key: str, text: str, headers: Sequence[str] = SCENE_HEADERS) -> DataFrame:
@@ -32,8 +41,8 @@ def html_to_text(pages: DataFrame, html: str, marker: str | None = "ALL SCRIPTS"
 
 def link_rows(pages: DataFrame, key: str, html: str, base: str) -> DataFrame:
     """One row per link of a page's first list: ``(key, position, name, url)``."""
-    links = H.list_links(F.col(html), base)
-    return pages.select(key, F.posexplode(links).alias("position", "link")).select(
+    read = pages.select(key, H.list_links(F.col(html), base).alias("links"))
+    return _numbered(read, "links", "position", "link").select(
         key, "position", F.col("link")["name"].alias("name"), F.col("link")["url"].alias("url")
     )
 
@@ -41,13 +50,13 @@ def link_rows(pages: DataFrame, key: str, html: str, base: str) -> DataFrame:
 def link_catalog(pages: DataFrame, key: str, html: str, base: str, longer_than: int = 30) -> DataFrame:
     """Per link name its first address, and the first long paragraph of the page it came from.
 
-    ``first`` is by page key and position. The name loses its copies before anything else is
-    attached, so definitions are worked out for pages that are needed only.
+    ``first`` is by page key and position. One scan and one shuffle: the paragraph is worked out
+    once per page, before its links become rows, and each task sends one row per name on.
     """
-    firsts = keep_first(link_rows(pages, key, html, base), ["name"], [key, "position"])
-    needed = pages.join(firsts.select(key), key, "left_semi")
-    definitions = needed.select(key, H.first_long_paragraph(F.col(html), longer_than).alias("definition"))
-    return firsts.join(definitions, key, "left").select("name", "url", "definition")
+    read = pages.select(key, H.list_links(F.col(html), base).alias("links"),
+                        H.first_long_paragraph(F.col(html), longer_than).alias("definition"))
+    named = _numbered(read, "links", "position", "link").select(F.col("link")["name"].alias("name"), F.col("link")["url"].alias("url"), "definition", key, "position")
+    return keep_first(named, ["name"], [key, "position"]).select("name", "url", "definition")
 
 
 def page_existence(candidates: DataFrame, snapshot: DataFrame, key: str, html: str, missing_phrase: str,

@@ -49,7 +49,7 @@ def top_items(items: DataFrame, item: str, k: int = 10) -> DataFrame:
 
 def distinct_items(df: DataFrame, column: str, nested: bool = False) -> DataFrame:
     """Sorted distinct non-empty values, of an array's entries if ``nested``."""
-    value = F.explode(column) if nested else F.col(column)
+    value = F.explode_outer(column) if nested else F.col(column)
     values = df.select(value.alias("item")).distinct()
     return values.where(F.col("item").isNotNull() & (F.col("item") != "")).orderBy("item")
 
@@ -68,9 +68,13 @@ def find_by_item(sets: DataFrame, items: str, wanted: str) -> DataFrame:
     return sets.where(F.array_contains(F.col(items), F.lit(wanted)))
 
 
-def sort_ci(df: DataFrame, column: str) -> DataFrame:
-    """Sort by lower case, then by the value itself."""
-    return df.orderBy(F.lower(F.col(column)), F.col(column))
+def sort_ci(df: DataFrame, column: str, *then: str) -> DataFrame:
+    """Sort by lower case, then by the value itself, then by ``then``.
+
+    A value that very many rows have can only be spread over several sort partitions if ``then``
+    tells those rows apart.
+    """
+    return df.orderBy(F.lower(F.col(column)), F.col(column), *then)
 
 
 def assemble_text(pages: DataFrame, key: str, position: str, text: str, separator: str = "\n\n") -> DataFrame:

@@ -34,13 +34,20 @@ def scene_concepts(scenes: DataFrame, concepts: DataFrame, text: str, k: int = 5
     return knn_join(embed(scenes, text, make_encoder), concepts, k)
 
 
-def tag_documents(docs: DataFrame, concepts: DataFrame, key: str, text: str, *, k: int = 5,
-                  headers: Sequence[str] = SCENE_HEADERS, make_encoder: Callable | None = None,
-                  field: str = "tropes") -> DataFrame:
-    """Documents with ``field`` set to the sorted set of concepts near any of their scenes."""
+def document_concepts(docs: DataFrame, concepts: DataFrame, key: str, text: str, *, k: int = 5,
+                      headers: Sequence[str] = SCENE_HEADERS, make_encoder: Callable | None = None,
+                      field: str = "tropes") -> DataFrame:
+    """``(key, field)``: the sorted set of concepts near any scene of the document.
+
+    Only concept names are shuffled. Kept as a table of its own, this spares rewriting the texts.
+    """
     scenes = segment_rows(docs, key, text, headers)
-    found = scene_concepts(scenes, concepts, "segment", k, make_encoder)
-    sets = set_union(found, key, "neighbour", field)
+    return set_union(scene_concepts(scenes, concepts, "segment", k, make_encoder), key, "neighbour", field)
+
+
+def tag_documents(docs: DataFrame, concepts: DataFrame, key: str, text: str, *, field: str = "tropes", **options) -> DataFrame:
+    """Documents with ``field`` set to their concepts; ``options`` as for ``document_concepts``."""
+    sets = document_concepts(docs, concepts, key, text, field=field, **options)
     if field not in docs.columns:
         docs = docs.withColumn(field, F.array().cast("array<string>"))
     return keyed_update(docs, sets, key, field)

@@ -14,17 +14,19 @@ from scriptorium.functions.text import base_name, strip
 TROPE_MAP = "map<string,struct<definition:string>>"
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",") -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",",
+             multi_line: bool = True) -> DataFrame:
     """CSV with a declared schema. Line breaks, quotes and empty texts are read back exactly.
 
-    An empty field is null, a quoted empty field is an empty text; the reader marks the latter
+    Files whose texts have no line breaks can be read with ``multi_line=False``, which lets Spark
+    cut large files into several tasks. An empty field is null, a quoted empty field is an empty text; the reader marks the latter
     with a code point that no text contains.
     """
     mark = "\ufdd0"
     df = (
         spark.read.schema(schema)
         .option("header", True).option("sep", sep).option("encoding", "UTF-8")
-        .option("multiLine", True).option("quote", '"').option("escape", '"').option("emptyValue", mark)
+        .option("multiLine", multi_line).option("quote", '"').option("escape", '"').option("emptyValue", mark)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
@@ -88,7 +90,8 @@ def land_raw(spark: SparkSession, source: str, target: str, glob: str = "*") ->
 
 def map_rows(df: DataFrame, column: str, schema: str, *keep: str) -> DataFrame:
     """One row ``(keep..., map_key, map_value)`` per entry of a JSON object held as text."""
-    return df.select(*keep, F.explode(F.from_json(column, schema)).alias("map_key", "map_value"))
+    rows = df.select(*keep, F.explode_outer(F.from_json(column, schema)).alias("map_key", "map_value"))
+    return rows.where(F.col("map_key").isNotNull())
 
 
 def read_trope_map(spark: SparkSession, path: str) -> DataFrame:

@@ -14,7 +14,7 @@ WANTED = '{"k": 7}'
 
 
 def _lines(spark, d):
-    lines = load(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    lines = load(spark, d, "documents").select("doc_id", F.explode_outer(F.split("text", "\n")).alias("line"))
     return lines.select("doc_id", strip(F.col("line")).alias("line")).where(F.col("line") != "")
 
 

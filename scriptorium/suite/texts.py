@@ -23,7 +23,7 @@ def word_count(spark, d):
 
 
 def normalize_names(spark, d):
-    names = (load(spark, d, "documents").select(F.explode(F.split("text", "\n")).alias("name"))
+    names = (load(spark, d, "documents").select(F.explode_outer(F.split("text", "\n")).alias("name"))
              .unionByName(load(spark, d, "part").select(F.col("p_name").alias("name")))
              .unionByName(load(spark, d, "customer").select(F.col("c_mktsegment").alias("name"))))
     return names.distinct().select("name", X.normalize_title(F.col("name")).alias("title"))
@@ -82,7 +82,7 @@ def assemble_pages(spark, d):
 
 
 def sort_ci(spark, d):
-    return S.sort_ci(load(spark, d, "documents").select("doc_id", "source"), "source")
+    return S.sort_ci(load(spark, d, "documents").select("doc_id", "source"), "source", "doc_id")
 
 
 def sort_items_ci(spark, d):
@@ -148,7 +148,7 @@ FROM (SELECT doc_id, {Q.segments('text')} AS s FROM documents)""",
     "segment_count": f"SELECT doc_id, len({Q.segments('text')})::bigint AS n_segments FROM documents",
     "assemble_pages": """
 SELECT conv_id, string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY turn) AS text, count(*) AS n_pages FROM conversations GROUP BY conv_id""",
-    "sort_ci": "SELECT doc_id, source FROM documents ORDER BY lower(source), source",
+    "sort_ci": "SELECT doc_id, source FROM documents ORDER BY lower(source), source, doc_id",
     "sort_items_ci": f"""
 WITH w AS (SELECT doc_id, list_distinct({Q.words('text')}) AS ws FROM documents)
 SELECT doc_id, array_to_string(list_transform(list_sort(list_transform(ws, lambda x: lower(x) || chr(1) || x)), lambda y: string_split(y, chr(1))[2]), ' ') AS sorted_items FROM w""",
