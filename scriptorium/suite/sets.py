@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scriptorium.functions.sets import jaccard
-from scriptorium.functions.text import strip
+from scriptorium.functions.text import strip, words
 from scriptorium.operators import similarity as J
 from scriptorium.operators import stats as S
 from scriptorium.sources.tables import load
@@ -42,8 +42,6 @@ def distinct_items(spark, d):
 
 
 def distinct_words(spark, d):
-    from scriptorium.functions.text import words
-
     docs = load(spark, d, "documents").select(words(F.col("text")).alias("words"))
     return S.distinct_items(docs, "words", nested=True)
 

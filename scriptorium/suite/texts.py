@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scriptorium.functions import text as X
+from scriptorium.functions.html import first_long_paragraph, list_links
 from scriptorium.functions.prompts import build_prompt, parse_response
 from scriptorium.operators import documents as D
 from scriptorium.operators import stats as S
@@ -91,12 +92,10 @@ def sort_items_ci(spark, d):
 
 
 def build_prompts(spark, d):
-    pages = load(spark, d, "pages")
-    from scriptorium.functions.html import first_long_paragraph, list_links
-
     names = F.transform(list_links(F.col("html"), Q.LINK_BASE), lambda x: x["name"])
-    prompt = build_prompt(first_long_paragraph(F.col("html")), names, task="Check the tags.", rules="Answer as JSON.")
-    return pages.select("page_id", prompt.alias("prompt"))
+    read = load(spark, d, "pages").select("page_id", first_long_paragraph(F.col("html")).alias("text"), names.alias("names"))
+    prompt = build_prompt(F.col("text"), F.col("names"), task="Check the tags.", rules="Answer as JSON.")
+    return read.select("page_id", prompt.alias("prompt"))
 
 
 def parse_responses(spark, d):
