@@ -9,8 +9,15 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions.text import absolute_url, strip
 
-_HIDDEN = r"<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-_MARKUP = rf"(?is){_HIDDEN}|<[^>]*>"
+# Elements whose content is no text of the page.
+DROPPED_ELEMENTS = ("script", "style", "applet", "button", "frameset", "noframes", "select", "textarea")
+
+_DROPPED = rf"!--.*?--|({'|'.join(DROPPED_ELEMENTS)})\b.*?</\1\s*"
+_HIDDEN = rf"(?is)<(?:{_DROPPED})>"
+_MARKUP = rf"(?is)<(?:{_DROPPED}|[a-z/!?][^>]*)>"
+_WITH_TABLES = rf"(?is)<(?:{_DROPPED}|table\b.*?</table\s*)>"
+# An anchor, or any other element as a whole, so that anchors inside of it are passed over.
+_CHILD = r"(?is)<a\b[^>]*>.*?</a\s*>|<(?!(?:a|li|br|img|hr|wbr|input)\b)([a-z][a-z0-9]*)\b[^>]*>.*?</\1\s*>"
 
 
 def _entity_map() -> Column:
@@ -50,9 +57,17 @@ def strip_markup(html: Column) -> Column:
     return decode_entities(F.regexp_replace(html, _MARKUP, ""))
 
 
-def _paragraph_blocks(html: Column) -> Column:
+def inside(html: Column, element_id: str | None) -> Column:
+    """What follows the opening tag with this id; null when there is none."""
+    if element_id is None:
+        return html
+    tag = rf"""(?is)<[a-z][^>]*?\bid\s*=\s*["']?\Q{element_id}\E["'\s>][^>]*>?"""
+    return F.get(F.split(html, tag, 2), F.lit(1))
+
+
+def _paragraph_blocks(html: Column, within: str | None = None) -> Column:
     """Raw markup behind each paragraph tag outside tables."""
-    body = F.regexp_replace(html, rf"(?is){_HIDDEN}|<table\b.*?</table\s*>", "")
+    body = F.regexp_replace(inside(html, within), _WITH_TABLES, "")
     return F.slice(F.split(body, r"(?i)<p\b[^>]*>", -1), 2, 1 << 30)
 
 
@@ -60,16 +75,19 @@ def _paragraph_text(block: Column) -> Column:
     return strip(strip_markup(F.regexp_replace(block, r"(?is)</p\s*>.*$", "")))
 
 
-def paragraphs(html: Column) -> Column:
-    """Texts of all paragraphs outside tables. A new paragraph ends an unclosed one."""
-    return F.transform(_paragraph_blocks(html), _paragraph_text)
+def paragraphs(html: Column, within: str | None = None) -> Column:
+    """Texts of all paragraphs outside tables. A new paragraph ends an unclosed one.
+
+    ``within`` is the id of the element that holds the content proper.
+    """
+    return F.transform(_paragraph_blocks(html, within), _paragraph_text)
 
 
-def first_paragraph(html: Column) -> Column:
-    return _paragraph_text(F.get(_paragraph_blocks(html), F.lit(0)))
+def first_paragraph(html: Column, within: str | None = None) -> Column:
+    return _paragraph_text(F.get(_paragraph_blocks(html, within), F.lit(0)))
 
 
-def first_long_paragraph(html: Column, longer_than: int = 30) -> Column:
+def first_long_paragraph(html: Column, longer_than: int = 30, within: str | None = None) -> Column:
     """First paragraph of more than ``longer_than`` characters, null when there is none.
 
     Paragraphs behind the one found are not cleaned.
@@ -78,14 +96,36 @@ def first_long_paragraph(html: Column, longer_than: int = 30) -> Column:
     def if_long(block: Column) -> Column:
         return F.get(F.filter(F.array(_paragraph_text(block)), lambda t: F.char_length(t) > longer_than), F.lit(0))
 
-    return F.aggregate(_paragraph_blocks(html), F.lit(None).cast("string"), lambda found, b: F.coalesce(found, if_long(b)))
+    blocks = _paragraph_blocks(html, within)
+    return F.aggregate(blocks, F.lit(None).cast("string"), lambda found, b: F.coalesce(found, if_long(b)))
+
 
+def _first_list(html: Column) -> Column:
+    """Markup of the first list's own entries, without the lists nested in them."""
+    pieces = F.split(html, r"(?i)(?=</?[uo]l\b)", -1)
 
-def list_links(html: Column, base: str) -> Column:
-    """Anchors of the first list on the page as ``array<struct<name, url>>``, in page order."""
-    visible = F.regexp_replace(html, rf"(?is){_HIDDEN}", "")
-    block = F.regexp_extract(visible, r"(?is)<ul\b[^>]*>(.*?)</ul\s*>", 1)
-    anchors = F.regexp_extract_all(block, F.lit(r"(?is)<a\b[^>]*>.*?</a\s*>"), F.lit(0))
+    def step(acc: Column, piece: Column) -> Column:
+        opens = piece.rlike(r"(?i)^<ul\b") | ((acc["depth"] > 0) & piece.rlike(r"(?i)^<ol\b"))
+        closes = (acc["depth"] > 0) & piece.startswith("</")
+        depth = acc["depth"] + opens.cast("int") - closes.cast("int")
+        own = ~acc["done"] & (depth == 1)
+        return F.struct(
+            depth.alias("depth"), (acc["done"] | ((acc["depth"] > 0) & (depth == 0))).alias("done"),
+            F.concat(acc["text"], F.when(own, F.regexp_replace(piece, r"^<[^>]*>", "")).otherwise("")).alias("text"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("text"))
+    return F.aggregate(pieces, start, step, lambda acc: acc["text"])
+
+
+def list_links(html: Column, base: str, within: str | None = None) -> Column:
+    """Anchors of the first list on the page as ``array<struct<name, url>>``, in page order.
+
+    Only anchors that stand directly in an entry of that list count, not those of nested lists
+    or inside other elements. ``within`` is the id of the element that holds the content.
+    """
+    visible = F.regexp_replace(inside(html, within), _HIDDEN, "")
+    children = F.regexp_extract_all(_first_list(visible), F.lit(_CHILD), F.lit(0))
+    anchors = F.filter(children, lambda a: a.rlike(r"(?i)^<a\b"))
     href = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
     links = F.transform(
         anchors,

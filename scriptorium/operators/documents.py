@@ -39,34 +39,35 @@ def html_to_text(pages: DataFrame, html: str, marker: str | None = "ALL SCRIPTS"
     return pages.select(*[c for c in pages.columns if c != html], strip(text).alias(out))
 
 
-def link_rows(pages: DataFrame, key: str, html: str, base: str) -> DataFrame:
+def link_rows(pages: DataFrame, key: str, html: str, base: str, within: str | None = None) -> DataFrame:
     """One row per link of a page's first list: ``(key, position, name, url)``."""
-    read = pages.select(key, H.list_links(F.col(html), base).alias("links"))
+    read = pages.select(key, H.list_links(F.col(html), base, within).alias("links"))
     return _numbered(read, "links", "position", "link").select(
         key, "position", F.col("link")["name"].alias("name"), F.col("link")["url"].alias("url")
     )
 
 
-def link_catalog(pages: DataFrame, key: str, html: str, base: str, longer_than: int = 30) -> DataFrame:
+def link_catalog(pages: DataFrame, key: str, html: str, base: str, longer_than: int = 30,
+                 within: str | None = None) -> DataFrame:
     """Per link name its first address, and the first long paragraph of the page it came from.
 
     ``first`` is by page key and position. One scan and one shuffle: the paragraph is worked out
     once per page, before its links become rows, and each task sends one row per name on.
     """
-    read = pages.select(key, H.list_links(F.col(html), base).alias("links"),
-                        H.first_long_paragraph(F.col(html), longer_than).alias("definition"))
+    read = pages.select(key, H.list_links(F.col(html), base, within).alias("links"),
+                        H.first_long_paragraph(F.col(html), longer_than, within).alias("definition"))
     named = _numbered(read, "links", "position", "link").select(F.col("link")["name"].alias("name"), F.col("link")["url"].alias("url"), "definition", key, "position")
     return keep_first(named, ["name"], [key, "position"]).select("name", "url", "definition")
 
 
 def page_existence(candidates: DataFrame, snapshot: DataFrame, key: str, html: str, missing_phrase: str,
-                   out: str = "page_exists") -> DataFrame:
+                   out: str = "page_exists", within: str | None = None) -> DataFrame:
     """Three-valued check of ``key`` against stored pages (one row per key).
 
     False when the page's first paragraph has the phrase, true for any other page, null when
     there is no page to judge by.
     """
-    says_missing = F.coalesce(F.contains(H.first_paragraph(F.col(html)), F.lit(missing_phrase)), F.lit(False))
+    says_missing = F.coalesce(F.contains(H.first_paragraph(F.col(html), within), F.lit(missing_phrase)), F.lit(False))
     checked = snapshot.select(F.col(key), (~says_missing).alias(out))
     return candidates.join(checked, key, "left")
 

@@ -1,7 +1,7 @@
 """SQL expressions the checks share (DuckDB)."""
 
 HIDDEN = r"<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-MARKUP = rf"(?is){HIDDEN}|<[^>]*>"
+MARKUP = rf"(?is){HIDDEN}|<[a-z/!?][^>]*>"
 HEADERS = (r"^(?:The|And|Of|La|Der)\s",)
 LINK_BASE = "https://pages.example.org"
 

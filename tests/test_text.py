@@ -103,6 +103,8 @@ def test_entities(spark):
 def test_strip_markup(spark):
     page = "<html><!-- a <b> --><script>if (a<b) {}</script><STYLE>p{}</STYLE><p class='x'>T&amp;x<br>y</p></html>"
     assert values(spark, [page], H.strip_markup) == ["T&xy"]
+    form = "a < b <select><option>x</option></select><TEXTAREA>y</textarea><button>z</button>and c > d<title>t</title>"
+    assert values(spark, [form], H.strip_markup) == ["a < b and c > dt"]
 
 
 def test_paragraphs(spark):
@@ -119,6 +121,17 @@ def test_list_links(spark):
             "<li><a name='none'>no link</a></li></ul><ul><li><a href='/second'>not taken</a></li></ul>")
     assert [[tuple(x) for x in v] for v in values(spark, [page, "<p>none</p>"], lambda c: H.list_links(c, "https://b"))] == [
         [("A b", "https://b/A_b"), ("Y", "http://x/y?a=1&b=2")], []]
+    nested = ("<OL><li><a href='/ol'>ol</a></li></OL><ul><li><a href='/1'>1</a>: <i>see <a href='/i'>i</a></i><ul><li><a href='/n'>n</a></li>"
+              "<ol><li><a href='/m'>m</a></li></ol></ul></li><li>x <a href='/2'>2</a></li></ul><ul><li><a href='/3'>3</a></li></ul>")
+    assert [[x["name"] for x in v] for v in values(spark, [nested, ""], lambda c: H.list_links(c, ""))] == [["1", "2"], []]
+
+
+def test_content_element(spark):
+    long = "long enough to be a definition of something"
+    page = f"<ul><li><a href='/menu'>menu</a></li></ul><p>{long} not</p><div class='x' id=\"body\"><ul><li><a href='/a'>a</a></li></ul><p>{long}</p></div>"
+    assert [[x["url"] for x in v] for v in values(spark, [page], lambda c: H.list_links(c, "", "body"))] == [["/a"]]
+    assert values(spark, [page, "<p>none</p>"], lambda c: H.first_long_paragraph(c, 30, "body")) == [long, None]
+    assert values(spark, [page.replace('"body"', "body")], lambda c: H.first_paragraph(c, "body")) == [long]
 
 
 def test_prompts(spark):
