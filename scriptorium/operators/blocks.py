@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_SALTS = 16
+SALTS = 8
 
 
 def cell_blocks(catalogue: DataFrame, cell: str, sizes: dict[int, int], key: Column, row: Column,
@@ -20,17 +20,18 @@ def cell_blocks(catalogue: DataFrame, cell: str, sizes: dict[int, int], key: Col
     return catalogue.groupBy(cell, slot.alias("_slot")).agg(F.collect_list(row).alias("_catalogue")).drop("_slot")
 
 
-def block_pairs(queries: DataFrame, blocks: DataFrame, cell: str, key: Column, row: Column,
-                n_queries: int, block_rows: int) -> DataFrame:
+def query_blocks(queries: DataFrame, cell: str, key: Column, row: Column, n_queries: int, block_rows: int) -> DataFrame:
+    """``(cell, _salt, _queries)``: the queries of each cell, about ``block_rows`` to a block."""
+    chunk = F.pmod(F.xxhash64(key), F.lit(max(1, n_queries // block_rows)))
+    packed = queries.groupBy(cell, chunk.alias("_chunk")).agg(F.collect_list(row).alias("_queries"))
+    return packed.select(cell, F.pmod(F.col("_chunk"), F.lit(SALTS)).cast("int").alias("_salt"), "_queries")
+
+
+def block_pairs(queries: DataFrame, blocks: DataFrame, cell: str) -> DataFrame:
     """``(_queries, _catalogue)``: every block of queries of a cell with every block of that cell.
 
     Only whole blocks are joined, never rows. The salt spreads the query blocks of one cell over
     several join keys; AQE splits what is still uneven.
     """
-    n_chunks = max(1, n_queries // block_rows)
-    salts = min(n_chunks, MAX_SALTS)
-    chunk = F.pmod(F.xxhash64(key), F.lit(n_chunks))
-    packed = queries.groupBy(cell, chunk.alias("_chunk")).agg(F.collect_list(row).alias("_queries"))
-    packed = packed.withColumn("_salt", F.pmod(F.col("_chunk"), F.lit(salts)).cast("int"))
-    salted = blocks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return packed.join(salted, [cell, "_salt"]).select("_queries", "_catalogue")
+    salted = blocks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return queries.join(salted, [cell, "_salt"]).select("_queries", "_catalogue")

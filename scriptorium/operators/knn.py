@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scriptorium.operators.blocks import block_pairs, cell_blocks
+from scriptorium.operators.blocks import SALTS, block_pairs, cell_blocks
 from scriptorium.operators.kernels import matrix, nearest
+from scriptorium.session import store
 
 MAX_BROADCAST_BYTES = 128 << 20
 BLOCK_ROWS = 2048
 MAX_PIVOTS = 256
+PACK_ROWS = 512
 
 
 def usable(vector: str, dim: int) -> Column:
@@ -40,7 +44,8 @@ def knn_join(queries: DataFrame, catalogue: DataFrame, k: int = 5, *, vector: st
     A catalogue whose size is known to fit the bound goes to all tasks, and the queries are not
     shuffled at all. A larger one is cut into cells, see ``_by_cells``.
     """
-    stats = catalogue.agg(F.count("*").alias("n"), F.max(F.array_size(vector)).alias("dim")).first()
+    stats = catalogue.agg(F.count("*").alias("n"), F.max(F.array_size(vector)).alias("dim"),
+                          F.sum(F.octet_length(F.col(item).cast("string"))).alias("names")).first()
     dim = stats["dim"] or 0
     item_type = catalogue.schema[item].dataType
     keys = [f for f in queries.schema.fields if f.name != vector]
@@ -48,9 +53,9 @@ def knn_join(queries: DataFrame, catalogue: DataFrame, k: int = 5, *, vector: st
                         T.StructField("distance", T.DoubleType()), T.StructField("rank", T.IntegerType())])
     queries = queries.where(usable(vector, dim))
     catalogue = catalogue.where(usable(vector, dim)).select(item, F.col(vector).cast("array<double>").alias(vector))
-    if stats["n"] * (8 * dim + 64) <= max_broadcast_bytes:
+    if stats["n"] * (8 * dim + 16) + (stats["names"] or 0) <= max_broadcast_bytes:
         return _by_broadcast(queries, catalogue, k, vector, item, exclude, out)
-    return _by_cells(queries, catalogue, k, vector, item, exclude, out, block_rows)
+    return _by_cells(queries, catalogue, k, vector, item, exclude, out, block_rows, stats["n"])
 
 
 def _positions(wanted: pa.Array, items: pa.Array) -> np.ndarray:
@@ -85,7 +90,25 @@ def _by_broadcast(queries, catalogue, k, vector, item, exclude, out) -> DataFram
     return queries.mapInArrow(search, out)
 
 
-def _by_cells(queries, catalogue, k, vector, item, exclude, out, block_rows) -> DataFrame:
+def _reachable(q: np.ndarray, pivots: np.ndarray, cells: tuple, kept: int) -> np.ndarray:
+    """Which cells can hold one of the ``kept`` nearest rows of each query: a boolean matrix.
+
+    The bound is the farthest point of the nearest cells that hold ``kept`` rows together.
+    """
+    cell, n, lo, hi = cells
+    p = pivots[cell]
+    q_norm, p_norm = (q * q).sum(1), (p * p).sum(1)
+    d = np.sqrt(np.maximum(q_norm[:, None] + p_norm[None, :] - 2 * q @ p.T, 0))
+    slack = 1e-6 * (np.sqrt(q_norm) + np.sqrt(p_norm.max()))[:, None]  # more than rounding can amount to
+    far = d + hi[None, :]
+    order = np.argsort(far, axis=1)
+    enough = np.cumsum(n[order], axis=1) >= kept
+    at = np.where(enough.any(1), enough.argmax(1), len(cell) - 1)[:, None]
+    bound = np.take_along_axis(far, np.take_along_axis(order, at, 1), 1)
+    return np.maximum(d - hi[None, :], lo[None, :] - d) <= bound + slack
+
+
+def _by_cells(queries, catalogue, k, vector, item, exclude, out, block_rows, size) -> DataFrame:
     """The same for a catalogue of any size.
 
     A bounded number of catalogue vectors serve as pivots; every catalogue vector belongs to the
@@ -94,16 +117,17 @@ def _by_cells(queries, catalogue, k, vector, item, exclude, out, block_rows) ->
     only those are searched, so the answer stays exact.
 
     A cell is cut into as many blocks as its size asks for, by a hash of the item, so no group is
-    larger than a block however uneven the cells are. Of equal vectors only the ``k`` lowest items
-    can be an answer; the others are dropped first, so a crowd of copies does not fill a cell.
+    larger than a block however uneven the cells are. Queries are packed by cell where they are
+    read, and only packs meet blocks. Of equal vectors only the ``k`` lowest items can be an
+    answer; the others are dropped first, so a crowd of copies does not fill a cell.
     """
     spark = queries.sparkSession
     kept = k + 1 if exclude else k
     same = Window.partitionBy(vector).orderBy(item)
-    catalogue = (catalogue.withColumn("_copy", F.row_number().over(same))
-                 .where(F.col("_copy") <= kept).drop("_copy"))
+    catalogue = store(catalogue.withColumn("_copy", F.row_number().over(same))
+                      .where(F.col("_copy") <= kept).drop("_copy"), "catalogue")
 
-    pivots = (catalogue.orderBy(F.xxhash64(item), item).limit(MAX_PIVOTS)
+    pivots = (catalogue.orderBy(F.xxhash64(item), item).limit(min(MAX_PIVOTS, size // block_rows + 1))
               .select(vector).distinct().toArrow().column(0).combine_chunks())
     if len(pivots) == 0:
         return spark.createDataFrame([], out)
@@ -128,37 +152,31 @@ def _by_cells(queries, catalogue, k, vector, item, exclude, out, block_rows) ->
     blocks = cell_blocks(placed, "_cell", {c["_cell"]: c["n"] for c in cells}, F.col(item),
                          F.struct(F.col(item).alias("i"), F.col(vector).alias("v")), block_rows)
 
+    key_names = [f.name for f in out.fields[:-3]]
+
     def to_targets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, n, lo, hi = rows.value
+        turn = count(TaskContext.get().partitionId())
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            q = matrix(batch.column(vector))
-            p = pivots.value[cell]
-            d = np.sqrt(np.maximum(((q * q).sum(1)[:, None] + (p * p).sum(1)[None, :] - 2 * q @ p.T), 0))
-            slack = 1e-5 * (1 + d.max())
-            far = d + hi[None, :]
-            order = np.argsort(far, axis=1)
-            enough = np.cumsum(n[order], axis=1) >= kept
-            at = np.where(enough.any(1), enough.argmax(1), len(cell) - 1)
-            bound = np.take_along_axis(far, np.take_along_axis(order, at[:, None], 1), 1)
-            least = np.maximum(d - hi[None, :], lo[None, :] - d)
-            near = least <= bound + slack
-            for j in np.flatnonzero(near.any(0)):
-                taken = batch.take(pa.array(np.flatnonzero(near[:, j])))
-                yield pa.RecordBatch.from_arrays(
-                    [*taken.columns, pa.array(np.full(taken.num_rows, cell[j]), pa.int32())],
-                    names=[*batch.schema.names, "_cell"])
-
-    key_names = [f.name for f in out.fields[:-3]]
-    asked = queries.select(*key_names, F.col(vector).cast("array<double>").alias(vector))
-    targets = asked.mapInArrow(to_targets, T.StructType([*asked.schema.fields, T.StructField("_cell", T.IntegerType())]))
-    key = F.struct(*key_names)
-    pairs = block_pairs(targets, blocks, "_cell", key, F.struct(key.alias("key"), F.col(vector).alias("v")),
-                        queries.count(), block_rows)
-
-    found_schema = T.StructType([T.StructField("key", asked.select(F.struct(*key_names)).schema[0].dataType),
-                                 *out.fields[-3:-1]])
+            for start in range(0, batch.num_rows, PACK_ROWS):
+                part = batch.slice(start, PACK_ROWS)
+                near = _reachable(matrix(part.column(vector)), pivots.value, rows.value, kept)
+                hits, members = np.nonzero(near.T)
+                hit, starts = np.unique(hits, return_index=True)
+                keys = pa.StructArray.from_arrays(part.select(key_names).columns, names=key_names)
+                packed = pa.StructArray.from_arrays([keys, part.column(vector)], names=["key", "v"]).take(pa.array(members))
+                packs = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(hits)], pa.int32()), packed)
+                salt = np.full(len(hit), next(turn) % SALTS)
+                yield pa.RecordBatch.from_arrays([pa.array(rows.value[0][hit], pa.int32()), pa.array(salt, pa.int32()), packs],
+                                                 names=["_cell", "_salt", "_queries"])
+
+    key_type = T.StructType(out.fields[:-3])
+    pack_type = T.ArrayType(T.StructType([T.StructField("key", key_type), T.StructField("v", T.ArrayType(T.DoubleType()))]))
+    packs = queries.select(*key_names, F.col(vector).cast("array<double>").alias(vector)).mapInArrow(
+        to_targets, T.StructType([T.StructField("_cell", T.IntegerType()), T.StructField("_salt", T.IntegerType()),
+                                  T.StructField("_queries", pack_type)]))
+    pairs = block_pairs(packs, blocks, "_cell")
+
+    found_schema = T.StructType([T.StructField("key", key_type), *out.fields[-3:-1]])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

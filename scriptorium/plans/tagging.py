@@ -20,7 +20,8 @@ def concept_vectors(concepts: DataFrame, name: str, definition: str, order: str
                     make_encoder: Callable | None = None) -> DataFrame:
     """``(item_id, vector)`` by concept name, for concepts that have a definition.
 
-    With ``order`` the last definition of a name is taken.
+    With ``order`` the last definition of a name is taken. Store the result before searching in
+    it, so that the encoder runs once.
     """
     defined = concepts.where(F.col(definition).isNotNull())
     if order:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app_name: str = "scriptorium", **conf) -> SparkSession:
@@ -42,3 +42,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="scriptorium-")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and go on from there.
+
+    What is used several times is worked out once and outlives the executors that did it, and
+    the planner knows the real size of what it reads back.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

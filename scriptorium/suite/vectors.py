@@ -8,6 +8,7 @@ from scriptorium.operators.embed import embed
 from scriptorium.operators.knn import knn_join, majority_label
 from scriptorium.plans.tagging import concept_vectors, scene_concepts, tag_documents as tag
 from scriptorium.operators.documents import segment_rows
+from scriptorium.session import store
 from scriptorium.sources.tables import load
 from scriptorium.suite import fragments as Q
 
@@ -32,7 +33,7 @@ def knn_topk_label(spark, d):
 def _concepts(spark, d):
     named = load(spark, d, "benchmark").select(
         F.concat(F.lit("concept-"), F.lpad(F.col("item_id").cast("string"), 8, "0")).alias("name"), F.col("text").alias("definition"))
-    return concept_vectors(named, "name", "definition")
+    return store(concept_vectors(named, "name", "definition"), "concepts")
 
 
 def hash_embed(spark, d):
