@@ -35,6 +35,9 @@ def rows_of(names, rows):
     return sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
 
 
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def compare(spark, con, folder, name, query, sql):
     """Empty string when both sides agree, else what differs."""
     df = query(spark, folder)
@@ -43,10 +46,13 @@ def compare(spark, con, folder, name, query, sql):
         return ""
     res = con.execute(sql)
     names = [c[0] for c in res.description]
-    want = res.fetchall()
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(names)}"
-    a, b = rows_of(df.columns, got), rows_of(names, want)
+    types = {c: SQL_TYPES.get(t, t) for c, t in df.dtypes}
+    other = {c[0]: str(c[1]) for c in res.description}
+    if types != other:
+        return f"types {types} against {other}"
+    a, b = rows_of(df.columns, got), rows_of(names, res.fetchall())
     if len(a) != len(b):
         return f"{len(a)} rows against {len(b)}"
     wrong = [(x, y) for x, y in zip(a, b) if x != y]

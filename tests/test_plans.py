@@ -6,6 +6,7 @@ import pytest
 
 from scriptorium.plans import catalogue, overview, staging, tagging
 from scriptorium.operators.merge import keyed_update
+from scriptorium.session import store, work_dir
 from scriptorium.sources import files as I
 from scriptorium.sources import tables as T
 
@@ -42,6 +43,11 @@ def test_trope_maps(spark, tmp_path):
     assert sorted(map(tuple, I.read_trope_lines(spark, str(tmp_path / "out")).collect())) == want
 
 
+def test_stored_tables_go_to_the_shared_folder(spark):
+    assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert store(spark.range(3), "ids").count() == 3
+
+
 def test_create_if_absent(spark):
     assert T.create_if_absent(spark, "movies", T.MOVIES)
     assert not T.create_if_absent(spark, "movies", T.MOVIES)

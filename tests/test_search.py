@@ -142,6 +142,8 @@ def test_one_against_all(spark):
     keys = spark.createDataFrame([(k,) for k in sets], "k long")
     scores = {r["k"]: r["score"] for r in J.similarity_to_one(items, "k", "i", 3, keys).collect()}
     assert scores == {k: len(s & sets[3]) / len(s | sets[3]) for k, s in sets.items() if k != 3}
+    joined = {r["k"]: r["score"] for r in J.similarity_to_one(items, "k", "i", 3, keys, max_broadcast_bytes=0).collect()}
+    assert joined == scores
     assert tuple(J.most_similar_to(items, "k", "i", 3, keys).first()) == best_by_hand(sets)[3]
 
 
