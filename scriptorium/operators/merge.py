@@ -80,12 +80,15 @@ def append_new_keys(existing: DataFrame, incoming: DataFrame, key: str) -> DataF
     return picked.select(key, *[F.col("_row")[c].alias(c) for c in others])
 
 
-def keyed_update(target: DataFrame, updates: DataFrame, key: str, field: str) -> DataFrame:
+def keyed_update(target: DataFrame, updates: DataFrame, key: str, field: str, unique: bool = False) -> DataFrame:
     """Set ``field`` on the rows of ``target`` that have an update; leave all others alone.
 
-    ``updates`` holds one row per key. A null update leaves the stored value.
+    A null update leaves the stored value; of several for a key the largest is taken. With
+    ``unique`` the caller vouches for one row per key, which saves an aggregate.
     """
     new = updates.select(F.col(key), F.col(field).alias("_new"))
+    if not unique:
+        new = new.groupBy(key).agg(F.max("_new").alias("_new"))
     joined = target.join(new, key, "left")
     columns = [F.coalesce(F.col("_new"), F.col(field)).alias(field) if c == field else F.col(c)
                for c in target.columns]

@@ -29,7 +29,10 @@ def checked_catalogue(catalogue: DataFrame, snapshot: DataFrame, missing_phrase:
 
 
 def ingest_lists(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Entries with a page, as the script list and as the wiki list."""
+    """Entries with a page, as the script list and as the wiki list.
+
+    Both read ``checked``, so it should be a stored table.
+    """
     kept = checked.where(F.col("page_exists"))
     return (kept.select("title", "url", "url_extension", "filename"),
             kept.select("title", "filename", "url_wiki", "page_exists"))

@@ -51,4 +51,4 @@ def tag_documents(docs: DataFrame, concepts: DataFrame, key: str, text: str, *,
     sets = document_concepts(docs, concepts, key, text, field=field, **options)
     if field not in docs.columns:
         docs = docs.withColumn(field, F.array().cast("array<string>"))
-    return keyed_update(docs, sets, key, field)
+    return keyed_update(docs, sets, key, field, unique=True)

@@ -11,6 +11,7 @@ from scriptorium.operators import documents as D
 from scriptorium.operators import merge as M
 from scriptorium.plans import catalogue as C
 from scriptorium.plans import staging as G
+from scriptorium.session import store
 from scriptorium.sources.tables import load
 from scriptorium.suite import fragments as Q
 
@@ -49,7 +50,8 @@ def merged_catalogue(spark, d):
 def ingest_lists(spark, d):
     key = F.concat(F.lit(f"{WIKI}Entry_"), F.lpad(F.col("page_id").cast("string"), 9, "0"))
     snapshot = load(spark, d, "pages").select(key.alias("url_wiki"), "html")
-    scripts, wiki = C.ingest_lists(C.checked_catalogue(_catalogue(spark, d), snapshot, PHRASE))
+    checked = store(C.checked_catalogue(_catalogue(spark, d), snapshot, PHRASE), "checked")
+    scripts, wiki = C.ingest_lists(checked)
     return scripts.select("title", F.lit("scripts").alias("list"), F.col("url").alias("target")).unionByName(
         wiki.select("title", F.lit("wiki").alias("list"), F.col("url_wiki").alias("target")))
 

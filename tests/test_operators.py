@@ -37,7 +37,7 @@ def test_prioritized_merge(spark):
 
 def test_keyed_update(spark):
     target = spark.createDataFrame([("a", 1), ("b", 2), ("c", None)], "k string, f int")
-    new = spark.createDataFrame([("a", 10), ("b", None), ("z", 5)], "k string, f int")
+    new = spark.createDataFrame([("a", 9), ("a", 10), ("b", None), ("z", 5)], "k string, f int")
     once = M.keyed_update(target, new, "k", "f")
     assert rows(once) == [("a", 10), ("b", 2), ("c", None)]
     assert rows(M.keyed_update(once, new, "k", "f")) == rows(once)
