@@ -125,3 +125,28 @@ def test_routes_stage_and_reasons(spark):
 def test_html_to_text(spark):
     pages = spark.createDataFrame([("a", "<html><body>menu ALL SCRIPTS <pre>\n INT. X &amp; Y\n</pre></body></html>")], "n string, html string")
     assert rows(D.html_to_text(pages, "html")) == [("a", "INT. X & Y")]
+
+
+SMALL_SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+}
+
+
+@pytest.mark.parametrize("how", ["outer_merge", "lookup", "keyed_update"])
+def test_hot_key_is_split(spark, how):
+    """A third of the rows have one key: the plan that ran splits it (thresholds made small)."""
+    before = {c: spark.conf.get(c) for c in SMALL_SKEW}
+    for c, v in SMALL_SKEW.items():
+        spark.conf.set(c, v)
+    try:
+        a = spark.range(0, 400_000, 1, 8).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("u"))
+        b = spark.range(5, 800_000, 2, 8).select(F.col("id").alias("k2"), F.col("id").alias("v"))
+        df = {"outer_merge": lambda: M.outer_merge(a, b, "k", "k2"), "lookup": lambda: M.lookup(a, b, "k", "k2", "v"),
+              "keyed_update": lambda: M.keyed_update(a, b.toDF("k", "u"), "k", "u")}[how]()
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
