@@ -62,13 +62,13 @@ def link_catalog(pages: DataFrame, key: str, html: str, base: str, longer_than:
 
 def page_existence(candidates: DataFrame, snapshot: DataFrame, key: str, html: str, missing_phrase: str,
                    out: str = "page_exists", within: str | None = None) -> DataFrame:
-    """Three-valued check of ``key`` against stored pages (one row per key).
+    """Three-valued check of ``key`` against stored pages.
 
     False when the page's first paragraph has the phrase, true for any other page, null when
-    there is no page to judge by.
+    there is no page to judge by. Of several pages stored for a key one that exists is enough.
     """
     says_missing = F.coalesce(F.contains(H.first_paragraph(F.col(html), within), F.lit(missing_phrase)), F.lit(False))
-    checked = snapshot.select(F.col(key), (~says_missing).alias(out))
+    checked = snapshot.select(F.col(key), (~says_missing).alias(out)).groupBy(key).agg(F.max(out).alias(out))
     return candidates.join(checked, key, "left")
 
 

@@ -95,7 +95,7 @@ def test_assemble_text(spark):
 
 
 def test_page_existence_is_three_valued(spark):
-    pages = spark.createDataFrame([("a", "<p>There is currently no text in this page</p>"), ("b", "<p>fine</p><p>no text</p>"), ("c", "<h1>bare</h1>")],
+    pages = spark.createDataFrame([("a", "<p>There is currently no text in this page</p>"), ("b", "<p>fine</p><p>no text</p>"), ("b", "<p>no text</p>"), ("c", "<h1>bare</h1>")],
                                   "k string, html string")
     asked = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "k string")
     assert dict(rows(D.page_existence(asked, pages, "k", "html", "no text"))) == {"a": False, "b": True, "c": True, "d": None}
