@@ -6,9 +6,10 @@ import pytest
 from check_queries import compare, connect
 
 import __spark_entry__ as entry
+from scriptorium.suite import all_queries, all_sql
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SQL = entry.oracle_sql()
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,13 +17,14 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", all_queries())
 def test_query(spark, con, name):
     assert compare(spark, con, FOLDER, name, entry.queries()[name], SQL.get(name)) == ""
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(all_queries())
+    assert set(all_queries()) <= set(entry.queries())
 
 
 def test_flagship_has_rows(spark):
