@@ -25,7 +25,9 @@ from scriptorium.llm.common import slices, to_batch, two_columns
 # The pattern that byte-level BPE cuts texts with.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Entries of a worker's table of words; it is emptied when full.
-WORDS = 600_000
+WORDS = 1_200_000
+#: Remembered pairs of tokens.
+PAIRS = 1_000_000
 NEVER = 1 << 60
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
@@ -60,7 +62,7 @@ class Encoder:
         self.bytes |= {i: s.encode() for s, i in self.special.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pattern = regex.compile(PIECES)
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         for t, i in vocab.items():
             if i not in self.halves or self.compatible(*self.halves[i], self.born[i]):
@@ -88,23 +90,27 @@ class Encoder:
             else:
                 limit, right_next, right = b, True, self.halves[right][0]
 
-    def may_follow(self, left: int, right: int) -> bool:
-        key = (left, right)
-        found = self.fits.get(key)
-        if found is None:
-            if len(self.fits) > WORDS:
-                self.fits.clear()
-            found = self.fits[key] = self.compatible(left, right)
-        return found
-
     def piece(self, data: bytes) -> list[int]:
         """Ids of one piece: the last token of every prefix, then the way back."""
-        last, length = [-1] * (len(data) + 1), [0] * (len(data) + 1)
+        size, fits = len(data), self.fits
+        last, length = [-1] * (size + 1), [0] * (size + 1)
         for end, (n, token) in self.automaton.iter(data.decode("latin-1")):
             at = end + 1
-            if last[at] < 0 and (n == at or (last[at - n] >= 0 and self.may_follow(last[at - n], token))):
+            if last[at] < 0:
+                if n < at:
+                    left = last[at - n]
+                    if left < 0:
+                        continue
+                    key = left << 32 | token
+                    good = fits.get(key)
+                    if good is None:
+                        good = fits[key] = self.compatible(left, token)
+                    if not good:
+                        continue
                 last[at], length[at] = token, n
-        ids, at = [], len(data)
+        if len(fits) > PAIRS:
+            fits.clear()
+        ids, at = [], size
         while at:
             ids.append(last[at])
             at -= length[at]

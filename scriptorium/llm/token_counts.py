@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame, functions as F
 from scriptorium.llm.common import slices, to_batch, two_columns
 
 #: Arcs a worker keeps; the table is emptied when full.
-ARCS = 1_000_000
+ARCS = 1_500_000
 #: Letters in a chunk.
 CHUNK = 1 << 15
 MARK = "▁"
+NONE = float("-inf")
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
 
@@ -94,15 +95,15 @@ class Transducer:
             return self.single(run)
         if n <= 24:
             parts = list(run)
-            while len(parts) > 1:
-                best, at = None, -1
-                for i in range(len(parts) - 1):
-                    s = score.get(parts[i] + parts[i + 1])
-                    if s is not None and (best is None or s > best):
-                        best, at = s, i
-                if at < 0:
-                    break
-                parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            found = [score.get(a + b, NONE) for a, b in zip(parts, parts[1:])]
+            while found and (best := max(found)) > NONE:
+                i = found.index(best)
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+                del found[i]
+                if i:
+                    found[i - 1] = score.get(parts[i - 1] + parts[i], NONE)
+                if i < len(found):
+                    found[i] = score.get(parts[i] + parts[i + 1], NONE)
             return sum(1 if len(p) > 1 else self.single(p) for p in parts)
         parts: list[str | None] = list(run)
         left, right = list(range(-1, n - 1)), [*range(1, n), -1]
@@ -131,6 +132,8 @@ class Transducer:
 
     def compile(self, unit: str) -> int:
         """Tokens of a unit given with its word marks, cut at letters that never merge."""
+        if self.joins.issuperset(unit):
+            return self.symbols(unit)
         count, run = 0, []
         for c in unit:
             if c in self.joins:
