@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -149,8 +150,6 @@ class IdFilter:
 
 def may_be_in(shared, column: str):
     """Filter condition: the id may be in the broadcast :class:`IdFilter`. Nulls are not."""
-    import pandas as pd
-
     @F.pandas_udf("boolean")
     def test(ids: pd.Series) -> pd.Series:
         there = ids.notna().to_numpy()

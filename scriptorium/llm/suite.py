@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F  # noqa: F401
 
-from scriptorium.llm import bpe_tokens, token_counts
+from scriptorium.llm import bpe_tokens, ngram_join, token_counts
 from scriptorium.llm.common import documents
 
 
+def op1_ngram_join(spark, d):
+    return ngram_join.similar_components(documents(spark, d), k=3, num=90)
+
+
 def op5_bpe_tokens(spark, d):
     return bpe_tokens.token_digests(documents(spark, d), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -17,5 +21,5 @@ def op10_token_counts(spark, d):
     return token_counts.count_tokens(documents(spark, d), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op5_bpe_tokens, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op5_bpe_tokens, op10_token_counts)}
 SQL: dict[str, str] = {}
