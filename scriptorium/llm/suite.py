@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F  # noqa: F401
 
-from scriptorium.llm import bpe_tokens, ngram_join, substring_dedup, token_counts
+from scriptorium.llm import bpe_tokens, ngram_join, substring_dedup, suffix_dedup, token_counts
 from scriptorium.llm.common import documents
 
 
@@ -17,6 +17,10 @@ def op5_bpe_tokens(spark, d):
     return bpe_tokens.token_digests(documents(spark, d), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_suffix_dedup(spark, d):
+    return suffix_dedup.remove_strings(documents(spark, d), texts=False)
+
+
 def op7_substring_dedup(spark, d):
     return substring_dedup.remove_repeats(documents(spark, d), texts=False)
 
@@ -25,5 +29,5 @@ def op10_token_counts(spark, d):
     return token_counts.count_tokens(documents(spark, d), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op5_bpe_tokens, op7_substring_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op5_bpe_tokens, op6_suffix_dedup, op7_substring_dedup, op10_token_counts)}
 SQL: dict[str, str] = {}
