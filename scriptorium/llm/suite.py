@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F  # noqa: F401
 
-from scriptorium.llm import bpe_tokens, ngram_join, substring_dedup, suffix_dedup, token_counts
+from scriptorium.llm import bpe_tokens, ngram_join, quality, substring_dedup, suffix_dedup, token_counts, toxicity
 from scriptorium.llm.common import documents
+from scriptorium.sources.tables import load
 
 
 def op1_ngram_join(spark, d):
@@ -25,9 +26,17 @@ def op7_substring_dedup(spark, d):
     return substring_dedup.remove_repeats(documents(spark, d), texts=False)
 
 
+def op8_quality(spark, d):
+    return quality.score_quality(documents(spark, d), load(spark, d, "labels", "doc_id", "quality"))
+
+
+def op9_toxicity(spark, d):
+    return toxicity.score_toxicity(documents(spark, d), load(spark, d, "labels", "doc_id", "toxic"))
+
+
 def op10_token_counts(spark, d):
     return token_counts.count_tokens(documents(spark, d), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op5_bpe_tokens, op6_suffix_dedup, op7_substring_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op5_bpe_tokens, op6_suffix_dedup, op7_substring_dedup, op8_quality, op9_toxicity, op10_token_counts)}
 SQL: dict[str, str] = {}
