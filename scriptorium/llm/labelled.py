@@ -20,12 +20,14 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int = MOST) -> DataFrame:
     """``doc_id``, ``text``, ``y`` of at most ``most`` labelled documents, taken by hash. The broadcast is the sample's ids.
 
-    Repeated labels of one id count as one (the larger); null labels and ids don't count.
+    Of equal texts with equal labels one row is used, lest copies pass for evidence. Repeated labels of one id count as one (the larger); null labels and ids don't count.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
     known = known.where("doc_id is not null and y is not null").where(~held_out()).groupBy("doc_id").agg(F.max("y").alias("y"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return two_columns(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "y")
+    rows = two_columns(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "y")
+    first = rows.select("y", F.md5("text").alias("same"), "doc_id").groupBy("y", "same").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    return rows.join(F.broadcast(first), "doc_id", "left_semi")
 
 
 def scored(docs: DataFrame, score, threshold: float) -> DataFrame:
