@@ -238,3 +238,21 @@ def _linked(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, num: int
     sets = store(sets.dropDuplicates(["node"]), "members")
     left, right = (sets.select(F.col("node").alias(n), F.col("members").alias(m)) for n, m in (("a", "ma"), ("b", "mb")))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb").mapInArrow(_verify(num, den), "u long, v long")
+
+
+def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose id is the smallest of their component; repeats of such a row go as well.
+
+    Rows without an id stay. Only rows that the filter of dropped ids can't rule out are shuffled.
+    """
+    spark = docs.sparkSession
+    found = store(similar_components(docs, k, num, den).where("doc_id is not null").select("doc_id", "component_id"), "found")
+    drop = found.where("doc_id <> component_id").select("doc_id")
+    twice = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    touched = store(drop.select("doc_id", F.lit(True).alias("gone")).unionByName(twice.select("doc_id", F.lit(False).alias("gone"))).groupBy("doc_id").agg(F.max("gone").alias("gone")), "touched")
+    ids = spark.sparkContext.broadcast(IdFilter.of(touched.select("doc_id")))
+    names = {"doc_id": "__id", "gone": "__gone"}
+    marks = touched.select(*[F.col(c).alias(n) for c, n in names.items()])
+    rest = docs.where(may_be_in(ids, "doc_id")).join(marks, F.col("doc_id") == F.col("__id"), "left").where("__gone is null or not __gone")
+    once = rest.where("__id is null").unionByName(rest.where("__id is not null").dropDuplicates(["doc_id", "text"]))
+    return docs.where(~may_be_in(ids, "doc_id")).unionByName(once.drop("__id", "__gone"))

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import functions as F  # noqa: F401
 
-from scriptorium.llm import bpe_tokens, ngram_join, quality, substring_dedup, suffix_dedup, token_counts, toxicity
+from scriptorium.llm import bpe_tokens, decontaminate, fingerprints, ngram_join, privacy, quality, substring_dedup, suffix_dedup, token_counts, toxicity
 from scriptorium.llm.common import documents
 from scriptorium.sources.tables import load
 
@@ -14,6 +13,18 @@ def op1_ngram_join(spark, d):
     return ngram_join.similar_components(documents(spark, d), k=3, num=90)
 
 
+def op2_fingerprints(spark, d):
+    return fingerprints.fingerprints(documents(spark, d))
+
+
+def op3_decontaminate(spark, d):
+    return decontaminate.leaks(documents(spark, d), load(spark, d, "benchmark", "item_id", "text"))
+
+
+def op4_privacy(spark, d):
+    return privacy.sanitise(documents(spark, d), texts=False)
+
+
 def op5_bpe_tokens(spark, d):
     return bpe_tokens.token_digests(documents(spark, d), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -38,5 +49,5 @@ def op10_token_counts(spark, d):
     return token_counts.count_tokens(documents(spark, d), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op5_bpe_tokens, op6_suffix_dedup, op7_substring_dedup, op8_quality, op9_toxicity, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_fingerprints, op3_decontaminate, op4_privacy, op5_bpe_tokens, op6_suffix_dedup, op7_substring_dedup, op8_quality, op9_toxicity, op10_token_counts)}
 SQL: dict[str, str] = {}

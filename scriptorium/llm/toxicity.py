@@ -282,3 +282,20 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, m
             yield ids, 1 / (1 + np.exp(-np.clip(network.scale * logit + network.shift, -30, 30)))
 
     return scored(docs, run, threshold)
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, most: int = MOST) -> DataFrame:
+    """The rows of ``docs``, with all columns, that score below ``threshold``. Nothing is shuffled."""
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most))
+
+    def run(batches):
+        reader = Reader(model.value[0]) if model.value else None
+        for b in batches:
+            if reader is None:
+                yield b
+                continue
+            network = model.value[1]
+            logit = np.concatenate([v for _, v in _highest([b], lambda _: reader, network)] or [np.empty(0)])
+            yield b.filter(pa.array(1 / (1 + np.exp(-np.clip(network.scale * logit + network.shift, -30, 30))) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
