@@ -16,10 +16,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from scriptorium.llm.common import ODD, Hashes, IdFilter, bounds, grams, may_be_in, mix, slices, store, two_columns
+from scriptorium.llm.common import ODD, Hashes, IdFilter, bounds, grams, may_be_in, mix, skipping, slices, store, two_columns
 
 #: Most elements hashed at once; longer texts are cut with an overlap.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Cells of a row of the sketch that are merged together, as a power of two.
 PART_LOG2 = 22
 BYTE_HASH = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * ODD)
@@ -106,7 +106,7 @@ class RepeatSketch:
         return out
 
     @classmethod
-    def of(cls, docs: DataFrame, kind: Windows, log2: int) -> "RepeatSketch":
+    def of(cls, docs: Without, kind: Windows, log2: int) -> "RepeatSketch":
         """Tasks send the cells they met, sorted and packed; the merged sketch has ``2 * 2**log2`` bits."""
         parts = 1 << (log2 - PART_LOG2)
         schema = "line int, part int, seen binary, twice binary"
@@ -134,14 +134,18 @@ class RepeatSketch:
         def count(batches):
             hashes, kept, size = Hashes(), [], 0
             for batch in batches:
-                for _, texts in slices(batch):
+                for _, texts in slices(batch, 2 << 20):
                     for own, _, at, h, _ in kind.blocks(texts, hashes):
                         part, _, _, _, anchor = kind.records(at, h)
-                        once = np.unique(np.rec.fromarrays([anchor, own[part]])) if len(anchor) else None
-                        if once is not None:
-                            kept.append(once.f0.copy())
-                            size += len(once)
-                    if size > 4_000_000:
+                        if len(anchor):
+                            doc = own[part]
+                            order = np.lexsort((anchor, doc))
+                            anchor, doc = anchor[order], doc[order]
+                            new = np.ones(len(anchor), bool)
+                            new[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
+                            kept.append(anchor[new])
+                            size += int(new.sum())
+                    if size > 2_000_000:
                         yield from send(kept)
                         kept, size = [], 0
             yield from send(kept)
@@ -160,7 +164,7 @@ class RepeatSketch:
             for (line, p), (_, more) in state.items():
                 yield pa.RecordBatch.from_arrays([pa.array([line], pa.int32()), pa.array([p], pa.int32()), pa.array([np.packbits(more, bitorder="little").tobytes()], pa.binary()), pa.array([None], pa.binary())], schema=arrow)
 
-        rows = docs.select("doc_id", "text").mapInArrow(count, schema).repartition(2 * parts, "line", "part").mapInArrow(merge, schema)
+        rows = docs.map(count, schema).repartition(2 * parts, "line", "part").mapInArrow(merge, schema)
         bits = np.zeros((2, 1 << (log2 - 3)), np.uint8)
         size = 1 << (PART_LOG2 - 3)
         for r in rows.toLocalIterator():
@@ -187,12 +191,20 @@ def copies(docs: DataFrame) -> DataFrame:
     return ids.join(low, "same").where("doc_id > low").select("doc_id", "digest").distinct()
 
 
-def without(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not in ``marks`` (``doc_id``, ``digest``); only texts the filter can't rule out are shuffled."""
-    ids = docs.sparkSession.sparkContext.broadcast(IdFilter.of(marks.select("doc_id")))
-    docs = docs.where("doc_id is not null")
-    maybe = docs.where(may_be_in(ids, "doc_id")).join(marks, ["doc_id", "digest"], "left_anti")
-    return docs.where(~may_be_in(ids, "doc_id")).select("doc_id", "digest", "text").unionByName(maybe.select("doc_id", "digest", "text"))
+class Without:
+    """The rows of ``docs`` (with an id) that are not in ``marks`` (``doc_id``, ``digest``), for functions on Arrow batches.
+
+    Rows that the filter of marked ids rules out are not shuffled; the others are joined with the marks.
+    """
+
+    def __init__(self, docs: DataFrame, marks: DataFrame):
+        self.docs = docs.select("doc_id", "digest", "text")
+        self.ids = docs.sparkSession.sparkContext.broadcast(IdFilter.of(marks.select("doc_id")))
+        maybe = self.docs.where("doc_id is not null").where(may_be_in(self.ids, "doc_id"))
+        self.rest = maybe.join(marks, ["doc_id", "digest"], "left_anti")
+
+    def map(self, run, schema: str) -> DataFrame:
+        return self.docs.mapInArrow(skipping(self.ids, run), schema).unionByName(self.rest.select("doc_id", "digest", "text").mapInArrow(run, schema))
 
 
 def first_of_equal(keys: list[np.ndarray], docs: np.ndarray) -> np.ndarray:
@@ -234,9 +246,10 @@ def remove(docs: DataFrame, marks: DataFrame, cut, schema: str) -> DataFrame:
     """Apply ``cut(batches)`` to all rows with their marks; rows without any are not shuffled."""
     ids = docs.sparkSession.sparkContext.broadcast(IdFilter.of(marks.select("doc_id")))
     none = F.lit(None)
-    clean = docs.where(~may_be_in(ids, "doc_id")).select("doc_id", "text", none.cast("boolean").alias("whole"), none.cast("array<int>").alias("starts"), none.cast("array<int>").alias("counts"))
+    plain = docs.select("doc_id", "text", none.cast("boolean").alias("whole"), none.cast("array<int>").alias("starts"), none.cast("array<int>").alias("counts"))
     rest = docs.where(may_be_in(ids, "doc_id")).join(marks, ["doc_id", "digest"], "left").select("doc_id", "text", "whole", "starts", "counts")
-    return clean.mapInArrow(cut, schema).unionByName(rest.mapInArrow(cut, schema))
+    nameless = plain.where("doc_id is null")
+    return plain.mapInArrow(skipping(ids, cut), schema).unionByName(rest.unionByName(nameless).mapInArrow(cut, schema))
 
 
 def covered(size: int, length: int, whole, starts, counts) -> np.ndarray | None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,7 +15,7 @@ from scriptorium.sources.tables import load
 #: Multipliers of the polynomial and finalising hashes.
 ODD, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Entries a worker's dictionary may hold before it is emptied.
-DICT_ENTRIES = 400_000
+DICT_ENTRIES = 150_000
 
 
 def documents(spark, sf_dir: str) -> DataFrame:
@@ -31,7 +32,7 @@ def slices(batch: pa.RecordBatch, max_bytes: int = 8 << 20):
     ids = batch.column("doc_id").to_pylist()
     texts = batch.column("text").cast(pa.binary())
     start, size = 0, 0
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0))
+    lengths = np.asarray(pc.fill_null(pc.binary_length(texts), 0))
     for i, n in enumerate(lengths):
         if size and size + n > max_bytes:
             yield ids[start:i], [t or b"" for t in texts[start:i].to_pylist()]
@@ -148,6 +149,18 @@ class IdFilter:
         return cls(bits, log2)
 
 
+def skipping(shared, run):
+    """``run`` over the batches without rows whose id is null or may be in the broadcast filter."""
+    def go(batches):
+        def rest():
+            for b in batches:
+                ids = b.column("doc_id")
+                keep = pc.and_(pc.is_valid(ids), pa.array(~shared.value.has(pc.fill_null(ids, 0).to_numpy(zero_copy_only=False))))
+                yield b.filter(keep)
+        yield from run(rest())
+    return go
+
+
 def may_be_in(shared, column: str):
     """Filter condition: the id may be in the broadcast :class:`IdFilter`. Nulls are not."""
     @F.pandas_udf("boolean")

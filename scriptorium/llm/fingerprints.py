@@ -43,10 +43,15 @@ def paragraphs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     cut = data == 10
     blank = data == 32
     stop = (data == 46) | (data == 33) | (data == 63)
-    cut[1:] |= blank[1:] & stop[:-1]
+    more = np.zeros(len(data), bool)
+    first = at[:-1][size > 0]
     if len(data) > 8:
-        before = grams(h, 8)
-        cut[8:] |= blank[8:] & (before[:-1] % np.uint64(CUT) == 0)
+        more[8:] = blank[8:] & (grams(h, 8)[:-1] % np.uint64(CUT) == 0)
+        for i in range(8):  # what stands before a text does not count
+            more[np.minimum(first + i, len(data) - 1)] = False
+    more[1:] |= blank[1:] & stop[:-1]
+    more[first] = False
+    cut |= more
     cut[at[1:][size > 0] - 1] = True
     end = np.flatnonzero(cut) + 1
     start = np.concatenate([[0], end[:-1]])

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from scriptorium.llm.anchors import keyed
-from scriptorium.llm.common import IdFilter, may_be_in, store
+from scriptorium.llm.common import IdFilter, may_be_in, skipping, store
 
 KINDS = ("email", "ip", "card", "phone")
 NEAR = 6
@@ -236,9 +236,10 @@ def sanitise(docs: DataFrame, texts: bool = True, remove_bits: float = 12.0, **l
     docs, spark = keyed(docs), docs.sparkSession
     marks = _term_marks(docs, remove_bits, **limits)
     ids = spark.sparkContext.broadcast(IdFilter.of(marks.select("doc_id")))
-    plain = docs.where(~may_be_in(ids, "doc_id")).select("doc_id", "text", F.lit(None).cast(marks.schema["terms"].dataType).alias("terms"))
+    plain = docs.select("doc_id", "text", F.lit(None).cast(marks.schema["terms"].dataType).alias("terms"))
     rest = docs.where(may_be_in(ids, "doc_id")).join(marks, ["doc_id", "digest"], "left").select("doc_id", "text", "terms")
-    out = plain.mapInArrow(_final(texts), _RESULT_SQL).unionByName(rest.mapInArrow(_final(texts), _RESULT_SQL))
+    rest = rest.unionByName(plain.where("doc_id is null"))
+    out = plain.mapInArrow(skipping(ids, _final(texts)), _RESULT_SQL).unionByName(rest.mapInArrow(_final(texts), _RESULT_SQL))
     return out if texts else out.drop("clean")
 
 

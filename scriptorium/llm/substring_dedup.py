@@ -19,20 +19,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from scriptorium.llm.anchors import RepeatSketch, Windows, copies, covered, first_of_equal, keyed, marked, remove, runs, sketch_log2, without
+from scriptorium.llm.anchors import RepeatSketch, Windows, copies, Without, covered, first_of_equal, keyed, marked, remove, runs, sketch_log2
 from scriptorium.llm.common import Hashes, grams, slices, store
 
 KIND = Windows(length=13, k=7, words=True)
+#: Windows compared within a task before they are sent.
+AT_ONCE = 400_000
 
 _OPEN = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("start", pa.int32()), ("count", pa.int32()), ("hashes", pa.binary())])
 _OPEN_SQL = "anchor long, doc_id long, digest long, start int, count int, hashes binary"
 _FLAG_SQL = "doc_id long, digest long, start int, count int"
 
 
-def windows_of(batch, kind, sketch, hashes):
-    """All windows of a batch that may be repeated: anchor, window hash, row, start, record."""
-    found, base, records = [], 0, 0
-    for ids, texts in slices(batch):
+def _windows(batch, kind, sketch, hashes):
+    """The windows of a batch that may be repeated, some hundred thousand at once: anchor, window hash, row, start, record."""
+    found, base, records, size = [], 0, 0, 0
+    for ids, texts in slices(batch, 2 << 20):
         for own, offsets, at, h, _ in kind.blocks(texts, hashes):
             part, first, count, _, anchor = kind.records(at, h)
             keep = sketch.repeated(anchor)
@@ -42,34 +44,33 @@ def windows_of(batch, kind, sketch, hashes):
                 at_window = first[each] + np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
                 found.append((anchor[each], grams(h, kind.length)[at_window], own[part][each] + base, at_window - at[part][each] + offsets[part][each], each + records))
                 records += len(first)
+                size += len(each)
         base += len(ids)
-    if not found:
-        return None
-    return [np.concatenate(x) for x in zip(*found)]
+        if size > AT_ONCE:
+            yield [np.concatenate(x) for x in zip(*found)]
+            found, size = [], 0
+    if found:
+        yield [np.concatenate(x) for x in zip(*found)]
 
 
 def _collect(kind, shared):
     def run(batches):
         hashes = Hashes()
         for batch in batches:
-            got = windows_of(batch, kind, shared.value, hashes)
-            if got is None:
-                continue
-            anchor, window, row, start, record = got
-            doc = batch.column("doc_id").to_numpy()[row]
-            digest = batch.column("digest").to_numpy()[row]
-            settled = doc > first_of_equal([window, anchor], doc)
-            for which in (settled, ~settled):
-                a, w, d, g, s, r = (x[which] for x in (anchor, window, doc, digest, start, record))
-                first, count = runs(r, s)
-                if not len(first):
-                    continue
-                raw = w.tobytes()
-                open_ = which is not settled
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(a[first].view(np.int64) if open_ else [None] * len(first), pa.int64()), pa.array(d[first]), pa.array(g[first]),
-                    pa.array(s[first].astype(np.int32)), pa.array(count.astype(np.int32)),
-                    pa.array([raw[8 * i:8 * (i + n)] for i, n in zip(first.tolist(), count.tolist())] if open_ else [None] * len(first), pa.binary())], schema=_OPEN)
+            ids, digests = batch.column("doc_id").to_numpy(), batch.column("digest").to_numpy()
+            for anchor, window, row, start, record in _windows(batch, kind, shared.value, hashes):
+                doc, digest = ids[row], digests[row]
+                settled = doc > first_of_equal([window, anchor], doc)
+                for open_ in (False, True):
+                    which = settled != open_
+                    a, w, d, g, s, r = (x[which] for x in (anchor, window, doc, digest, start, record))
+                    first, count = runs(r, s)
+                    if len(first):
+                        raw = w.tobytes()
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array(a[first].view(np.int64) if open_ else [None] * len(first), pa.int64()), pa.array(d[first]), pa.array(g[first]),
+                            pa.array(s[first].astype(np.int32)), pa.array(count.astype(np.int32)),
+                            pa.array([raw[8 * i:8 * (i + n)] for i, n in zip(first.tolist(), count.tolist())] if open_ else [None] * len(first), pa.binary())], schema=_OPEN)
     return run
 
 
@@ -119,9 +120,9 @@ def repeated_windows(docs: DataFrame, kind: Windows = KIND) -> DataFrame:
     """The marks of ``anchors.marked`` for documents with ``doc_id``, ``text``, ``digest``."""
     spark = docs.sparkSession
     same = store(copies(docs), "copies")
-    texts = without(docs, same)
+    texts = Without(docs, same)
     sketch = spark.sparkContext.broadcast(RepeatSketch.of(texts, kind, sketch_log2(docs, kind)))
-    found = store(texts.mapInArrow(_collect(kind, sketch), _OPEN_SQL), "windows")
+    found = store(texts.map(_collect(kind, sketch), _OPEN_SQL), "windows")
     sketch.unpersist()
     todo = found.where("anchor is not null").repartition("anchor").sortWithinPartitions("anchor", "doc_id")
     flags = todo.mapInArrow(_resolve, _FLAG_SQL).unionByName(found.where("anchor is null").select("doc_id", "digest", "start", "count"))

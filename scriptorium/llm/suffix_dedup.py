@@ -23,12 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from scriptorium.llm.anchors import RepeatSketch, Windows, copies, covered, first_of_equal, keyed, marked, remove, runs, sketch_log2, without
+from scriptorium.llm.anchors import RepeatSketch, Windows, copies, Without, covered, first_of_equal, keyed, marked, remove, runs, sketch_log2
 from scriptorium.llm.common import Hashes, grams, slices, store
 
 KIND = Windows(length=50, k=20, words=False)
 #: Leading bytes the ranges are made of (at most ``k``), strings a bucket should hold, strings turned at once.
-LEAD, BUCKET, TURN = 16, 400_000, 50_000
+LEAD, BUCKET, TURN = 16, 300_000, 20_000
+#: Strings compared within a task before they are sent.
+AT_ONCE = 600_000
 
 _SUFFIX = pa.schema([("lead", pa.binary()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("start", pa.int32()), ("count", pa.int32()), ("back", pa.int32()), ("data", pa.binary())])
 _SUFFIX_SQL = "lead binary, doc_id long, digest long, start int, count int, back int, data binary"
@@ -39,50 +41,55 @@ _FLAG_SQL = "doc_id long, digest long, start int, count int, h1 long, h2 long"
 def _collect(kind: Windows, shared):
     """Suffixes that may repeat; strings a smaller id in the same batch also has are marked at once (``lead`` is null)."""
     def run(batches):
-        hashes = Hashes()
+        hashes, sketch = Hashes(), shared.value
         for batch in batches:
-            sketch, base = shared.value, 0
-            doc_ids, digests = batch.column("doc_id").to_numpy(), batch.column("digest").to_numpy()
-            parts, each_window = [], []
-            for ids, texts in slices(batch):
+            ids, digests = batch.column("doc_id").to_numpy(), batch.column("digest").to_numpy()
+            parts, base, size = [], 0, 0
+            for own_ids, texts in slices(batch, 1 << 20):
                 for own, offsets, at, h, data in kind.blocks(texts, hashes):
                     part, first, count, place, anchor = kind.records(at, h)
                     keep = sketch.repeated(anchor)
-                    if not keep.any():
-                        continue
-                    part, first, count, place, anchor = (x[keep] for x in (part, first, count, place, anchor))
-                    each = np.repeat(np.arange(len(first)), count)
-                    at_window = first[each] + np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
-                    row = own[part] + base
-                    each_window.append((grams(h, kind.length)[at_window], anchor[each], row[each]))
-                    raw = data.tobytes()
-                    parts.append((row, first - at[part] + offsets[part], count, place - first, [raw[a:a + n + kind.length - 1] for a, n in zip(first.tolist(), count.tolist())]))
-                base += len(ids)
-            if not parts:
-                continue
-            row, start, count, back = (np.concatenate([p[i] for p in parts]) for i in range(4))
-            data = [x for p in parts for x in p[4]]
-            window, anchor, own = (np.concatenate([w[i] for w in each_window]) for i in range(3))
-            doc = doc_ids[own]
-            settled = doc > first_of_equal([window, anchor], doc)
-            record = np.repeat(np.arange(len(row)), count)
-            place = np.arange(len(record)) - np.repeat(np.cumsum(count) - count, count)
-            for which in (settled, ~settled):
-                r, p = record[which], place[which]
-                begin, n = runs(r, p)
-                if not len(begin):
-                    continue
-                r, p = r[begin], p[begin]
-                lead = seg = [None] * len(r)
-                if which is not settled:
-                    seg = [data[i][a:a + m + kind.length - 1] for i, a, m in zip(r.tolist(), p.tolist(), n.tolist())]
-                    lead = [data[i][b:b + LEAD] for i, b in zip(r.tolist(), back[r].tolist())]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(lead, pa.binary()), pa.array(doc_ids[row[r]]), pa.array(digests[row[r]]), pa.array((start[r] + p).astype(np.int32)),
-                    pa.array(n.astype(np.int32)), pa.array((back[r] - p).astype(np.int32)), pa.array(seg, pa.binary())], schema=_SUFFIX)
+                    if keep.any():
+                        part, first, count, place, anchor = (x[keep] for x in (part, first, count, place, anchor))
+                        each = np.repeat(np.arange(len(first)), count)
+                        at_window = first[each] + np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
+                        raw = data.tobytes()
+                        parts.append((own[part] + base, first - at[part] + offsets[part], count, place - first, anchor, grams(h, kind.length)[at_window],
+                                      [raw[a:a + n + kind.length - 1] for a, n in zip(first.tolist(), count.tolist())]))
+                        size += len(each)
+                base += len(own_ids)
+                if size > AT_ONCE:
+                    yield from _send(kind, parts, ids, digests)
+                    parts, size = [], 0
+            if parts:
+                yield from _send(kind, parts, ids, digests)
     return run
 
 
+def _send(kind: Windows, parts: list, ids: np.ndarray, digests: np.ndarray):
+    """Strings that a smaller id among these also has are settled; the suffixes of the others are sent on."""
+    row, start, count, back, anchor, window = (np.concatenate([p[i] for p in parts]) for i in range(6))
+    data = [x for p in parts for x in p[6]]
+    record = np.repeat(np.arange(len(row)), count)
+    place = np.arange(len(record)) - np.repeat(np.cumsum(count) - count, count)
+    doc = ids[row][record]
+    settled = doc > first_of_equal([window, anchor[record]], doc)
+    for open_ in (False, True):
+        which = settled != open_
+        r, p = record[which], place[which]
+        begin, n = runs(r, p)
+        if not len(begin):
+            continue
+        r, p = r[begin], p[begin]
+        lead = seg = [None] * len(r)
+        if open_:
+            seg = [data[i][a:a + m + kind.length - 1] for i, a, m in zip(r.tolist(), p.tolist(), n.tolist())]
+            lead = [data[i][b:b + LEAD] for i, b in zip(r.tolist(), back[r].tolist())]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(lead, pa.binary()), pa.array(ids[row[r]]), pa.array(digests[row[r]]), pa.array((start[r] + p).astype(np.int32)),
+            pa.array(n.astype(np.int32)), pa.array((back[r] - p).astype(np.int32)), pa.array(seg, pa.binary())], schema=_SUFFIX)
+
+
 def multikey_order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Order of rows by ``columns``, and where a row differs from the one before: each further column sorts only what is still equal."""
     order = np.argsort(columns[0], kind="stable")
@@ -178,9 +185,9 @@ def repeated_strings(docs: DataFrame, kind: Windows = KIND) -> DataFrame:
     """The marks of ``anchors.marked`` for documents with ``doc_id``, ``text``, ``digest``."""
     spark = docs.sparkSession
     same = store(copies(docs), "copies")
-    texts = without(docs, same)
+    texts = Without(docs, same)
     sketch = spark.sparkContext.broadcast(RepeatSketch.of(texts, kind, sketch_log2(docs, kind)))
-    found = store(texts.mapInArrow(_collect(kind, sketch), _SUFFIX_SQL), "suffixes")
+    found = store(texts.map(_collect(kind, sketch), _SUFFIX_SQL), "suffixes")
     sketch.unpersist()
     suffixes = found.where("lead is not null")
     strings = suffixes.agg(F.sum("count")).first()[0] or 0
