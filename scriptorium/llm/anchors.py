@@ -194,17 +194,17 @@ def copies(docs: DataFrame) -> DataFrame:
 class Without:
     """The rows of ``docs`` (with an id) that are not in ``marks`` (``doc_id``, ``digest``), for functions on Arrow batches.
 
-    Rows that the filter of marked ids rules out are not shuffled; the others are joined with the marks.
+    Rows that the filter of marked ids rules out are not shuffled; the others are joined with the marks and stored.
     """
 
     def __init__(self, docs: DataFrame, marks: DataFrame):
         self.docs = docs.select("doc_id", "digest", "text")
         self.ids = docs.sparkSession.sparkContext.broadcast(IdFilter.of(marks.select("doc_id")))
         maybe = self.docs.where("doc_id is not null").where(may_be_in(self.ids, "doc_id"))
-        self.rest = maybe.join(marks, ["doc_id", "digest"], "left_anti")
+        self.rest = store(maybe.join(marks, ["doc_id", "digest"], "left_anti").select("doc_id", "digest", "text"), "rest")
 
     def map(self, run, schema: str) -> DataFrame:
-        return self.docs.mapInArrow(skipping(self.ids, run), schema).unionByName(self.rest.select("doc_id", "digest", "text").mapInArrow(run, schema))
+        return self.docs.mapInArrow(skipping(self.ids, run), schema).unionByName(self.rest.mapInArrow(run, schema))
 
 
 def first_of_equal(keys: list[np.ndarray], docs: np.ndarray) -> np.ndarray:

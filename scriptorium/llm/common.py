@@ -151,18 +151,30 @@ class IdFilter:
 
 def skipping(shared, run):
     """``run`` over the batches without rows whose id is null or may be in the broadcast filter."""
+    return _chosen(shared, run, False)
+
+
+def holding(shared, run):
+    """``run`` over the rows whose id is null or may be in the broadcast filter."""
+    return _chosen(shared, run, True)
+
+
+def _chosen(shared, run, inside: bool):
     def go(batches):
         def rest():
             for b in batches:
                 ids = b.column("doc_id")
-                keep = pc.and_(pc.is_valid(ids), pa.array(~shared.value.has(pc.fill_null(ids, 0).to_numpy(zero_copy_only=False))))
-                yield b.filter(keep)
+                there = shared.value.has(pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)) | np.asarray(pc.is_null(ids))
+                yield b.filter(pa.array(there if inside else ~there))
         yield from run(rest())
     return go
 
 
 def may_be_in(shared, column: str):
-    """Filter condition: the id may be in the broadcast :class:`IdFilter`. Nulls are not."""
+    """Filter condition: the id may be in the broadcast :class:`IdFilter`. Nulls are not.
+
+    Meant for rows that are shuffled or stored next: right before a function on batches it would take a second Python worker a task.
+    """
     @F.pandas_udf("boolean")
     def test(ids: pd.Series) -> pd.Series:
         there = ids.notna().to_numpy()

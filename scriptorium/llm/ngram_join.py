@@ -24,7 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from scriptorium.llm.common import ODD, Hashes, IdFilter, bounds, grams, may_be_in, mix, slices, store, to_batch, two_columns
+from scriptorium.llm.anchors import keyed
+from scriptorium.llm.common import ODD, Hashes, IdFilter, bounds, grams, holding, may_be_in, mix, slices, store, to_batch
 from scriptorium.llm.components import roots
 
 #: Slots of the sketch that ranks n-grams (a power of two), and the pieces it travels in.
@@ -57,22 +58,24 @@ def _slot(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SLOTS_LOG2)).astype(np.int64)
 
 
-_FIRST = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("piece", pa.int32()), ("counts", pa.binary())])
+_FIRST = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("piece", pa.int32()), ("counts", pa.binary())])
 
 
 def _first_pass(k: int):
     def run(batches):
         hashes, counts = Hashes(), np.zeros(1 << SLOTS_LOG2, np.uint32)
         for batch in batches:
+            digests, base = batch.column("digest"), 0
             for ids, texts in slices(batch, 2 << 20):
                 sets = shingle_sets(texts, k, hashes)
                 counts += np.bincount(_slot(np.concatenate(sets)), minlength=1 << SLOTS_LOG2).astype(np.uint32)
-                yield to_batch(_FIRST, doc_id=ids, n=[len(s) for s in sets], node=[node_of(s) if len(s) else None for s in sets],
+                yield to_batch(_FIRST, doc_id=ids, digest=digests[base:base + len(ids)], n=[len(s) for s in sets], node=[node_of(s) if len(s) else None for s in sets],
                                piece=[None] * len(ids), counts=[None] * len(ids))
+                base += len(ids)
         small = np.minimum(counts, 65535).astype(np.uint16).reshape(PIECES, -1)
         for p in range(PIECES):
             if small[p].any():
-                yield to_batch(_FIRST, doc_id=[None], n=[None], node=[None], piece=[p], counts=[small[p].tobytes()])
+                yield to_batch(_FIRST, doc_id=[None], digest=[None], n=[None], node=[None], piece=[p], counts=[small[p].tobytes()])
     return run
 
 
@@ -184,10 +187,10 @@ def _candidates(index: DataFrame, step: str, num: int, den: int) -> DataFrame:
 
 
 def similar_components(docs: DataFrame, k: int, num: int, den: int = 100) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` for every row; sets link when ``den * intersection >= num * union``."""
-    docs, spark = two_columns(docs), docs.sparkSession
-    first = store(docs.mapInArrow(_first_pass(k), "doc_id long, n long, node long, piece int, counts binary"), "sets")
-    rows = first.where("piece is null").select("doc_id", "n", "node")
+    """``doc_id``, ``n_shingles``, ``component_id`` and the text's ``digest`` for every row; sets link when ``den * intersection >= num * union``."""
+    docs, spark = keyed(docs), docs.sparkSession
+    first = store(docs.mapInArrow(_first_pass(k), "doc_id long, digest long, n long, node long, piece int, counts binary"), "sets")
+    rows = first.where("piece is null").select("doc_id", "digest", "n", "node")
     ranks = spark.sparkContext.broadcast(_ranks(first))
     reps = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     lists = docs.mapInArrow(_prefixes(k, num, den, ranks), "doc_id long, node long, n long, tokens array<long>")
@@ -221,9 +224,10 @@ def similar_components(docs: DataFrame, k: int, num: int, den: int = 100) -> Dat
     named = reps.withColumn("comp", F.col("node")) if comps is None else reps.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     low = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     members = named.select("node", "comp").join(low, "comp").select("node", "component_id")
-    alone = rows.where("node is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    joined = rows.where("node is not null").join(members, "node").select("doc_id", "n", "component_id")
-    return joined.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    alone = rows.where("node is null").withColumn("component_id", F.col("doc_id"))
+    joined = rows.where("node is not null").join(members, "node")
+    columns = "doc_id", F.col("n").alias("n_shingles"), "component_id", "digest"
+    return joined.select(*columns).unionByName(alone.select(*columns))
 
 
 def _linked(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -232,8 +236,7 @@ def _linked(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, num: int
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = store(reps.join(nodes, "node"), "wanted")
     ids = spark.sparkContext.broadcast(IdFilter.of(wanted.select("doc_id").where("doc_id is not null")))
-    texts = docs.where(F.col("doc_id").isNull() | may_be_in(ids, "doc_id"))
-    sets = texts.mapInArrow(_sets(k), "doc_id long, node long, members binary")
+    sets = docs.mapInArrow(holding(ids, _sets(k)), "doc_id long, node long, members binary")
     sets = sets.join(wanted, (sets.node == wanted.node) & sets.doc_id.eqNullSafe(wanted.doc_id), "left_semi").select("node", "members")
     sets = store(sets.dropDuplicates(["node"]), "members")
     left, right = (sets.select(F.col("node").alias(n), F.col("members").alias(m)) for n, m in (("a", "ma"), ("b", "mb")))
@@ -246,13 +249,11 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> D
     Rows without an id stay. Only rows that the filter of dropped ids can't rule out are shuffled.
     """
     spark = docs.sparkSession
-    found = store(similar_components(docs, k, num, den).where("doc_id is not null").select("doc_id", "component_id"), "found")
-    drop = found.where("doc_id <> component_id").select("doc_id")
-    twice = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    touched = store(drop.select("doc_id", F.lit(True).alias("gone")).unionByName(twice.select("doc_id", F.lit(False).alias("gone"))).groupBy("doc_id").agg(F.max("gone").alias("gone")), "touched")
-    ids = spark.sparkContext.broadcast(IdFilter.of(touched.select("doc_id")))
-    names = {"doc_id": "__id", "gone": "__gone"}
-    marks = touched.select(*[F.col(c).alias(n) for c, n in names.items()])
-    rest = docs.where(may_be_in(ids, "doc_id")).join(marks, F.col("doc_id") == F.col("__id"), "left").where("__gone is null or not __gone")
+    found = store(similar_components(docs, k, num, den).where("doc_id is not null").select("doc_id", "digest", "component_id"), "found")
+    touched = found.groupBy("doc_id", "digest").agg(F.max(F.col("doc_id") != F.col("component_id")).alias("gone"), F.count("*").alias("n"))
+    touched = store(touched.where("gone or n > 1").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "gone"), "touched")
+    ids = spark.sparkContext.broadcast(IdFilter.of(touched.select("__id")))
+    key = (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__digest"))
+    rest = docs.where(may_be_in(ids, "doc_id")).join(touched.withColumnRenamed("gone", "__gone"), key, "left").where("__gone is null or not __gone")
     once = rest.where("__id is null").unionByName(rest.where("__id is not null").dropDuplicates(["doc_id", "text"]))
-    return docs.where(~may_be_in(ids, "doc_id")).unionByName(once.drop("__id", "__gone"))
+    return docs.where(~may_be_in(ids, "doc_id")).unionByName(once.drop("__id", "__digest", "__gone"))

@@ -262,8 +262,9 @@ def sanitised_rows(docs: DataFrame, remove_bits: float = 12.0, **limits) -> Data
                     out[i] = pa.array([None if t is None else len(t) for t in clean], b.schema.field(i).type)
             yield pa.RecordBatch.from_arrays(out, names=b.schema.names[:-1])
 
-    plain = docs.where(~may_be_in(ids, "doc_id")).select("*", F.lit(None).cast(kind).alias("__terms"))
+    plain = docs.select("*", F.lit(None).cast(kind).alias("__terms"))
     marked = marks.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("terms").alias("__terms"))
     key = (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__digest"))
     rest = docs.where(may_be_in(ids, "doc_id")).join(marked, key, "left").drop("__id", "__digest")
-    return plain.unionByName(rest).mapInArrow(run, schema)
+    rest = rest.unionByName(plain.where("doc_id is null"))
+    return plain.mapInArrow(skipping(ids, run), schema).unionByName(rest.mapInArrow(run, schema))

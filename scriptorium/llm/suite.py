@@ -10,7 +10,7 @@ from scriptorium.sources.tables import load
 
 
 def op1_ngram_join(spark, d):
-    return ngram_join.similar_components(documents(spark, d), k=3, num=90)
+    return ngram_join.similar_components(documents(spark, d), k=3, num=90).select("doc_id", "n_shingles", "component_id")
 
 
 def op2_fingerprints(spark, d):
