@@ -12,16 +12,19 @@ from scriptorium.functions.text import absolute_url, strip
 # Elements whose content is no text of the page.
 DROPPED_ELEMENTS = ("script", "style", "applet", "button", "frameset", "noframes", "select", "textarea")
 
+# The rest of a tag up to its end; a quoted value may hold the end sign.
+_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 _DROPPED = rf"!--.*?--|({'|'.join(DROPPED_ELEMENTS)})\b.*?</\1\s*"
 _HIDDEN = rf"(?is)<(?:{_DROPPED})>"
-_MARKUP = rf"(?is)<(?:{_DROPPED}|[a-z/!?][^>]*)>"
-_WITH_TABLES = rf"(?is)<(?:{_DROPPED}|table\b.*?</table\s*)>"
+# Unbalanced quotes are no reason to lose a tag: then it ends at the first end sign.
+_MARKUP = rf"(?is)<(?:{_DROPPED})>|<[a-z/!?](?:{_REST}|[^>]*>)"
 # An anchor, or any other element as a whole, so that anchors inside of it are passed over.
 _CHILD = r"(?is)<a\b[^>]*>.*?</a\s*>|<(?!(?:a|li|br|img|hr|wbr|input)\b)([a-z][a-z0-9]*)\b[^>]*>.*?</\1\s*>"
 
 
 def _entity_map() -> Column:
-    pairs = [F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))]
+    names = {**name2codepoint, "apos": ord("'")}
+    pairs = [F.lit(x) for name, code in names.items() for x in (name, chr(code))]
     return F.create_map(*pairs)
 
 
@@ -58,16 +61,64 @@ def strip_markup(html: Column) -> Column:
 
 
 def inside(html: Column, element_id: str | None) -> Column:
-    """What follows the opening tag with this id; null when there is none."""
+    """The content of the element with this id; null when there is none. An element never closed goes on to the end."""
     if element_id is None:
         return html
-    tag = rf"""(?is)<[a-z][^>]*?\bid\s*=\s*["']?\Q{element_id}\E["'\s>][^>]*>?"""
-    return F.get(F.split(html, tag, 2), F.lit(1))
+    tag = rf"""(?is)(?=<[a-z][^>]*?\bid\s*=\s*["']?\Q{element_id}\E["'\s>])"""
+    found = F.get(F.split(F.concat(F.lit(" "), html), tag, 2), F.lit(1))
+    name = F.lower(F.regexp_extract(found, r"^<([a-zA-Z][a-zA-Z0-9]*)", 1))
+    # Cut before every tag of that name, and take pieces until as many have closed as opened.
+    pieces = F.split(found, F.concat(F.lit("(?i)(?=</?"), name, F.lit(r"\b)")), -1)
+    return _until_closed(pieces, name)
+
+
+def _until_closed(pieces: Column, name: Column) -> Column:
+    """What stands between the first piece's tag and the one that closes it."""
+
+    def step(acc: Column, piece: Column) -> Column:
+        closes = piece.startswith("</")
+        opens = F.lower(F.substring(piece, 2, 1)) == F.substring(name, 1, 1)
+        depth = acc["depth"] + opens.cast("int") - closes.cast("int")
+        own = ~acc["done"] & (depth > 0)
+        return F.struct(depth.alias("depth"), (acc["done"] | (depth <= 0)).alias("done"), F.concat(acc["text"], F.when(own, piece).otherwise("")).alias("text"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("text"))
+    pieces = F.filter(pieces, lambda p: p != "")
+    return F.aggregate(pieces, start, step, lambda acc: F.regexp_replace(acc["text"], rf"(?is)^<[a-z]{_REST}", ""))
+
+
+def _without_tables(html: Column) -> Column:
+    """Drop tables as a whole, those within tables included."""
+    pieces = F.split(html, r"(?i)(?=</?table\b)", -1)
+
+    def step(acc: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(r"(?i)^<table\b"), piece.rlike(r"(?i)^</table\b")
+        depth = F.greatest(F.lit(0), acc["depth"] + opens.cast("int") - closes.cast("int"))
+        own = F.when(closes, F.regexp_replace(piece, r"(?is)^</table[^>]*>", "")).otherwise(piece)
+        return F.struct(depth.alias("depth"), F.concat(acc["text"], F.when(depth == 0, own).otherwise("")).alias("text"))
+
+    return F.aggregate(pieces, F.struct(F.lit(0).alias("depth"), F.lit("").alias("text")), step, lambda acc: acc["text"])
+
+
+def _own_content(html: Column) -> Column:
+    """A content block without the boxes in it, so that its paragraphs and lists are its own."""
+    pieces = F.split(html, r"(?i)(?=</?(?:div|section|aside|nav|table)\b)", -1)
+
+    def step(acc: Column, piece: Column) -> Column:
+        closes = piece.startswith("</")
+        opens = piece.rlike(r"(?i)^<(?:div|section|aside|nav|table)\b")
+        depth = F.greatest(F.lit(0), acc["depth"] + opens.cast("int") - closes.cast("int"))
+        own = F.when(closes, F.regexp_replace(piece, r"(?s)^<[^>]*>", "")).otherwise(piece)
+        return F.struct(depth.alias("depth"), F.concat(acc["text"], F.when(depth == 0, own).otherwise("")).alias("text"))
+
+    return F.aggregate(pieces, F.struct(F.lit(0).alias("depth"), F.lit("").alias("text")), step, lambda acc: acc["text"])
 
 
 def _paragraph_blocks(html: Column, within: str | None = None) -> Column:
     """Raw markup behind each paragraph tag outside tables."""
-    body = F.regexp_replace(inside(html, within), _WITH_TABLES, "")
+    body = _without_tables(F.regexp_replace(inside(html, within), _HIDDEN, ""))
+    if within is not None:
+        body = _own_content(body)
     return F.slice(F.split(body, r"(?i)<p\b[^>]*>", -1), 2, 1 << 30)
 
 
@@ -78,7 +129,7 @@ def _paragraph_text(block: Column) -> Column:
 def paragraphs(html: Column, within: str | None = None) -> Column:
     """Texts of all paragraphs outside tables. A new paragraph ends an unclosed one.
 
-    ``within`` is the id of the element that holds the content proper.
+    ``within`` is the id of the element that holds the content proper; paragraphs of boxes in it don't count.
     """
     return F.transform(_paragraph_blocks(html, within), _paragraph_text)
 
@@ -121,9 +172,12 @@ def list_links(html: Column, base: str, within: str | None = None) -> Column:
     """Anchors of the first list on the page as ``array<struct<name, url>>``, in page order.
 
     Only anchors that stand directly in an entry of that list count, not those of nested lists
-    or inside other elements. ``within`` is the id of the element that holds the content.
+    or inside other elements. With ``within``, the id of the element that holds the content, the list has to stand
+    directly in it, not in a box such as a table of contents.
     """
     visible = F.regexp_replace(inside(html, within), _HIDDEN, "")
+    if within is not None:
+        visible = _own_content(visible)
     children = F.regexp_extract_all(_first_list(visible), F.lit(_CHILD), F.lit(0))
     anchors = F.filter(children, lambda a: a.rlike(r"(?i)^<a\b"))
     href = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""

@@ -27,10 +27,17 @@ ROMAN_NUMERALS = (
 )
 
 # Screenplay scene headers.
-SCENE_HEADERS = (r"\b(?:INT\.\s|EXT\.\s|FADE IN:|FADE OUT\.|CUT TO:|SCÈNE)",)
+SCENE_HEADERS = (
+    r"\bINT\.\s",
+    r"\bEXT\.\s",
+    r"\bFADE IN:",
+    r"\bFADE OUT\.",
+    r"\bCUT TO:",
+    r"\bSCÈNE",
+)
 
-# Two code points Unicode reserves for a program's own use; they never occur in interchanged text.
-_CUT = "\ufdd0\ufdd1"
+# A cut, and what stands for its first letter where a text has that letter itself.
+_LETTER, _CUT, _ESCAPED = "\ufdd0", "\ufdd0\ufdd1", "\ufdd0\ufdd2"
 
 
 def strip(c: Column) -> Column:
@@ -98,10 +105,6 @@ def preview(c: Column, length: int = 2000) -> Column:
     return F.substring(c, 1, length)
 
 
-def first_line(c: Column) -> Column:
-    return F.substring_index(c, "\n", 1)
-
-
 def parse_items(c: Column, separator: str = ",") -> Column:
     """A separated list as a clean array: trimmed, without empty entries, empty for null."""
     return clean_items(F.split(c, rf"\Q{separator}\E", -1))
@@ -133,5 +136,6 @@ def segments(c: Column, headers: Sequence[str] = SCENE_HEADERS) -> Column:
     header. ``headers`` are regular expressions for the beginning of a header.
     """
     pattern = f"(?imudU)(?:{'|'.join(headers)}).*"
-    parts = F.split(F.regexp_replace(c, pattern, f"{_CUT}$0"), _CUT, -1)
-    return F.transform(parts, strip)
+    safe = F.replace(c, F.lit(_LETTER), F.lit(_ESCAPED))
+    parts = F.split(F.regexp_replace(safe, pattern, f"{_CUT}$0"), _CUT, -1)
+    return F.transform(parts, lambda part: strip(F.replace(part, F.lit(_ESCAPED), F.lit(_LETTER))))

@@ -4,32 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _columns_of(row: str, names: Sequence[str]) -> list[Column]:
-    return [F.col(row)[n].alias(n) for n in names]
-
-
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row with the smallest ``order`` per key.
+    """The row with the smallest ``order`` per key, nulls being smallest.
 
-    An aggregate, not a window: each task sends at most one row per key to the shuffle, so a key
+    A row number that only 1 is wanted of: each task keeps one row per key before the shuffle, so a key
     with very many rows costs no more than any other. ``order`` should be unique within a key.
     """
-    return _pick(df, keys, order, F.min_by)
+    return _pick(df, keys, [F.asc_nulls_first(c) for c in order])
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the largest ``order`` per key."""
-    return _pick(df, keys, order, F.max_by)
+    return _pick(df, keys, [F.desc_nulls_last(c) for c in order])
 
 
-def _pick(df, keys, order, choose):
-    others = [c for c in df.columns if c not in keys]
-    row = choose(F.struct(*others), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(row).select(*keys, *_columns_of("_row", others))
+def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_number", number).where(F.col("_number") == 1).drop("_number")
 
 
 def by_priority(df: DataFrame, keys: Sequence[str], kind: str, priority: Sequence[str],

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import html as H
 from scriptorium.functions.text import SCENE_HEADERS, after_marker, segments, strip
-from scriptorium.operators.dedupe import by_priority, keep_first
+from scriptorium.operators.dedupe import keep_first
 
 
 def segment_rows(docs: DataFrame, key: str, text: str, headers: Sequence[str] = SCENE_HEADERS) -> DataFrame:
@@ -47,17 +47,17 @@ def link_rows(pages: DataFrame, key: str, html: str, base: str, within: str | No
     )
 
 
-def link_catalog(pages: DataFrame, key: str, html: str, base: str, longer_than: int = 30,
+def link_catalog(pages: DataFrame, snapshot: DataFrame, key: str, html: str, url: str, base: str, longer_than: int = 30,
                  within: str | None = None) -> DataFrame:
-    """Per link name its first address, and the first long paragraph of the page it came from.
+    """Per link name its first address, and the first long paragraph of the page stored for that address.
 
-    ``first`` is by page key and position. One scan and one shuffle: the paragraph is worked out
-    once per page, before its links become rows, and each task sends one row per name on.
+    ``first`` is by page key and position. ``snapshot`` has ``url`` and ``html``; a name whose address is not
+    stored, or whose page has no long paragraph, gets null. Of several pages stored for an address the smallest paragraph counts.
     """
-    read = pages.select(key, H.list_links(F.col(html), base, within).alias("links"),
-                        H.first_long_paragraph(F.col(html), longer_than, within).alias("definition"))
-    named = _numbered(read, "links", "position", "link").select(F.col("link")["name"].alias("name"), F.col("link")["url"].alias("url"), "definition", key, "position")
-    return keep_first(named, ["name"], [key, "position"]).select("name", "url", "definition")
+    named = keep_first(link_rows(pages, key, html, base, within), ["name"], [key, "position"]).select("name", F.col("url").alias("url"))
+    paragraph = H.first_long_paragraph(F.col(html), longer_than, within)
+    defined = snapshot.select(F.col(url).alias("url"), paragraph.alias("definition")).groupBy("url").agg(F.min("definition").alias("definition"))
+    return named.join(defined, "url", "left").select("name", "url", "definition")
 
 
 def page_existence(candidates: DataFrame, snapshot: DataFrame, key: str, html: str, missing_phrase: str,
@@ -78,12 +78,21 @@ def route(df: DataFrame, kind: str, columns: dict[str, Sequence[str]]) -> dict[s
 
 
 def stage_by_kind(sources: dict[str, DataFrame], key: str, text: str) -> DataFrame:
-    """One text per key out of several extractions; earlier kinds win."""
-    parts = [df.select(key, text, F.lit(kind).alias("kind")) for kind, df in sources.items()]
-    staged = parts[0]
-    for part in parts[1:]:
-        staged = staged.unionByName(part)
-    return by_priority(staged, [key], "kind", list(sources), [text])
+    """One text per key out of several extractions; earlier kinds win.
+
+    Each kind gives the keys that no earlier one has, so texts are not sorted. Within a kind a repeated key keeps the
+    smallest text; null keys count as one key.
+    """
+    staged, seen = None, None
+    for kind, df in sources.items():
+        own = df.groupBy(key).agg(F.min(text).alias(text)).select(key, text, F.lit(kind).alias("kind"))
+        if seen is not None:
+            known = seen.select(F.col(key).alias("_seen"))
+            own = own.join(known, own[key].eqNullSafe(known["_seen"]), "left_anti")
+        staged = own if staged is None else staged.unionByName(own)
+        keys = df.select(key).distinct()
+        seen = keys if seen is None else seen.unionByName(keys)
+    return staged
 
 
 def with_reason(df: DataFrame, rules: dict[str, Column], ok: str = "ok") -> DataFrame:

@@ -9,11 +9,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Texts in (``.to_pylist()`` gives plain strings), one row of numbers per text out.
 Encoder = Callable[[pa.Array], np.ndarray]
 
+#: So many failing rows of a task, and no other ones, mean a broken model.
+BROKEN = 10
+
 
 def hashing_encoder(dim: int = 64) -> Callable[[], Encoder]:
     """Word-hashing vectors: the default where no trained model is at hand.
@@ -52,50 +56,73 @@ def _as_lists(vectors: list) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.float32()), mask=missing)
 
 
-def embed(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] | None = None,
-          out: str = "vector") -> DataFrame:
-    """Replace ``text`` by its vector. ``make_encoder`` runs once per task, e.g. to load a model.
+def _attempt(call: Callable, items: pa.Array) -> tuple[list, list]:
+    """Results and errors, one per item. A batch that fails is halved until only the bad items are left."""
+    try:
+        results = list(call(items))
+        if len(results) != len(items):
+            raise ValueError(f"{len(results)} results for {len(items)} rows")
+        return results, [None] * len(items)
+    except Exception as error:
+        if len(items) == 1:
+            return [None], [f"{type(error).__name__}: {error}"]
+        half = len(items) // 2
+        left, right = _attempt(call, items.slice(0, half)), _attempt(call, items.slice(half))
+        return left[0] + right[0], left[1] + right[1]
+
 
-    If a batch fails, its rows are tried one by one, so that only the bad ones get null.
+def _run(df: DataFrame, column: str, make: Callable, keep: list[str], out: str, kind: T.DataType, convert: Callable,
+         error: str | None) -> DataFrame:
+    """Call a model on Arrow batches of ``column``.
+
+    A row the model fails on gets null, and the message in the column ``error`` if one is asked for. A task of ``BROKEN`` rows or more
+    in which every row fails raises: then it is the model that is broken, not the rows.
     """
-    make_encoder = make_encoder or hashing_encoder()
-    names = [c for c in df.columns if c != text]
-    schema = T.StructType([*[df.schema[c] for c in names], T.StructField(out, T.ArrayType(T.FloatType()))])
+    fields = [df.schema[c] for c in keep] + [T.StructField(out, kind)] + ([T.StructField(error, T.StringType())] if error else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = make_encoder()
+        model, good, bad, last = make(), 0, 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            results, errors = _attempt(model, batch.column(column))
+            good += sum(e is None for e in errors)
+            bad += sum(e is not None for e in errors)
+            last = next((e for e in errors if e), last)
+            columns = [*batch.select(keep).columns, convert(results)] + ([pa.array(errors, pa.string())] if error else [])
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+        if bad >= BROKEN and not good:
+            raise RuntimeError(f"the model failed on all {bad} rows of a task, last with {last}")
 
-        def attempt(texts: pa.Array) -> list:
-            try:
-                return list(np.asarray(encode(texts), dtype=np.float32))
-            except Exception:
-                return [None] if len(texts) == 1 else [v for i in range(len(texts)) for v in attempt(texts.slice(i, 1))]
+    return df.mapInArrow(run, T.StructType(fields))
 
-        for batch in batches:
-            if batch.num_rows:
-                vectors = _as_lists(attempt(pc.fill_null(batch.column(text), "")))
-                yield pa.RecordBatch.from_arrays([*batch.select(names).columns, vectors], names=[*names, out])
 
-    return df.select(*names, text).mapInArrow(run, schema)
+def embed(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] | None = None,
+          out: str = "vector", error: str | None = None) -> DataFrame:
+    """Replace ``text`` by its vector. ``make_encoder`` runs once per task, e.g. to load a model. ``error`` as for ``verify``."""
+    make_encoder = make_encoder or hashing_encoder()
 
+    def make():
+        encode = make_encoder()
+        return lambda texts: np.asarray(encode(pc.fill_null(texts, "")), dtype=np.float32)
 
-def verify(df: DataFrame, prompt: str, make_model: Callable[[], Callable[[str], str]],
-           out: str = "response") -> DataFrame:
-    """Add a model's answer per prompt; null where the model fails on a row."""
-    names = df.columns
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
+    names = [c for c in df.columns if c != text]
+    return _run(df.select(*names, text), text, make, names, out, T.ArrayType(T.FloatType()), _as_lists, error)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def verify(df: DataFrame, prompt: str, make_model: Callable[[], Callable[[list[str]], list[str]]],
+           out: str = "response", error: str | None = None) -> DataFrame:
+    """Add a model's answer per prompt; the model takes a list of prompts.
+
+    Null where it fails on a row, with the message in ``error`` if such a column is wanted; ``failure_report`` counts them.
+    """
+    def make():
         model = make_model()
+        return lambda prompts: model(prompts.to_pylist())
 
-        def answer(text):
-            try:
-                return model(text)
-            except Exception:
-                return None
+    return _run(df, prompt, make, df.columns, out, T.StringType(), lambda answers: pa.array(answers, pa.string()), error)
 
-        for batch in batches:
-            answers = pa.array([answer(t) for t in batch.column(prompt).to_pylist()], type=pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, answers], names=[*names, out])
 
-    return df.mapInArrow(run, schema)
+def failure_report(df: DataFrame, error: str = "error") -> DataFrame:
+    """Failed rows by message: ``(error, n)``."""
+    return df.where(F.col(error).isNotNull()).groupBy(error).agg(F.count("*").alias("n"))

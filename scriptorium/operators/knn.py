@@ -3,59 +3,69 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import count
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scriptorium.operators.blocks import SALTS, block_pairs, cell_blocks
 from scriptorium.operators.kernels import matrix, nearest
 from scriptorium.session import store
 
 MAX_BROADCAST_BYTES = 128 << 20
-BLOCK_ROWS = 2048
-MAX_PIVOTS = 256
-PACK_ROWS = 512
+#: Bytes of a catalogue shard where the whole does not fit the bound.
+SHARD_BYTES = 64 << 20
 
 
 def usable(vector: str, dim: int) -> Column:
-    """True for a vector of the right length without missing or undefined values."""
+    """True for a vector of the right length without missing, undefined or infinite values."""
     c = F.col(vector)
-    bad = F.exists(c, lambda x: x.isNull() | F.isnan(x))
+    bad = F.exists(c, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return F.coalesce((F.array_size(c) == dim) & ~bad, F.lit(False))
 
 
 def knn_join(queries: DataFrame, catalogue: DataFrame, k: int = 5, *, vector: str = "vector",
              item: str = "item_id", exclude: str | None = None,
-             max_broadcast_bytes: int = MAX_BROADCAST_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
+             dim: int | None = None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The ``k`` catalogue rows nearest to each query by squared L2.
 
     ``queries`` has ``vector`` and any key columns, which must identify a row; ``catalogue`` has
     ``item`` (unique) and ``vector``. Returns the key columns, ``neighbour``, ``distance`` and
     ``rank`` (from 1; equal distances in item order). ``exclude`` names a query column with an
-    item the query must not return, such as itself. Queries or catalogue rows without a usable
-    vector are left out, row by row.
+    item the query must not return, such as itself. Vectors have ``dim`` numbers, or else as many as most
+    of the catalogue's; rows without such a vector are left out, row by row, and ``left_out`` gives them.
 
-    A catalogue whose size is known to fit the bound goes to all tasks, and the queries are not
-    shuffled at all. A larger one is cut into cells, see ``_by_cells``.
+    A catalogue whose size is known to fit the bound goes to all tasks. A larger one goes there in
+    shards, one after another. Either way the queries are not shuffled at all.
     """
-    stats = catalogue.agg(F.count("*").alias("n"), F.max(F.array_size(vector)).alias("dim"),
-                          F.sum(F.octet_length(F.col(item).cast("string"))).alias("names")).first()
-    dim = stats["dim"] or 0
+    dim = dim or common_dimension(catalogue, vector)
     item_type = catalogue.schema[item].dataType
     keys = [f for f in queries.schema.fields if f.name != vector]
     out = T.StructType([*keys, T.StructField("neighbour", item_type),
                         T.StructField("distance", T.DoubleType()), T.StructField("rank", T.IntegerType())])
-    queries = queries.where(usable(vector, dim))
+    names = [f.name for f in keys]
+    queries = queries.where(usable(vector, dim)).select(*names, vector)
     catalogue = catalogue.where(usable(vector, dim)).select(item, F.col(vector).cast("array<double>").alias(vector))
-    if stats["n"] * (8 * dim + 16) + (stats["names"] or 0) <= max_broadcast_bytes:
+    n, length = catalogue.agg(F.count("*"), F.sum(F.octet_length(F.col(item).cast("string")))).first()
+    size = n * (8 * dim + 16) + (length or 0)
+    if size <= max_broadcast_bytes:
         return _by_broadcast(queries, catalogue, k, vector, item, exclude, out)
-    return _by_cells(queries, catalogue, k, vector, item, exclude, out, block_rows, stats["n"])
+    return _by_shards(queries, catalogue, k, vector, item, exclude, out, -(-size // shard_bytes))
+
+
+def common_dimension(catalogue: DataFrame, vector: str = "vector") -> int:
+    """The most frequent length of the catalogue's vectors, the smaller of equally frequent ones; 0 if there is none."""
+    sizes = catalogue.where(F.col(vector).isNotNull()).groupBy(F.array_size(vector).alias("dim")).count()
+    first = sizes.orderBy(F.desc("count"), "dim").first()
+    return first["dim"] if first else 0
+
+
+def left_out(vectors: DataFrame, dim: int, vector: str = "vector") -> DataFrame:
+    """The rows that a search skips, with a reason."""
+    c = F.col(vector)
+    reason = F.when(c.isNull(), "missing").when(F.array_size(c) != dim, "length").otherwise("values")
+    return vectors.where(~usable(vector, dim)).withColumn("reason", reason).drop(vector)
 
 
 def _positions(wanted: pa.Array, items: pa.Array) -> np.ndarray:
@@ -90,111 +100,57 @@ def _by_broadcast(queries, catalogue, k, vector, item, exclude, out) -> DataFram
     return queries.mapInArrow(search, out)
 
 
-def _reachable(q: np.ndarray, pivots: np.ndarray, cells: tuple, kept: int) -> np.ndarray:
-    """Which cells can hold one of the ``kept`` nearest rows of each query: a boolean matrix.
+def _by_shards(queries, catalogue, k, vector, item, exclude, out, shards) -> DataFrame:
+    """The same for a catalogue of any size: shard by shard, with a running top ``k``.
 
-    The bound is the farthest point of the nearest cells that hold ``kept`` rows together.
+    A shard is a share of the items by hash, small enough to go to all tasks. Queries are never shuffled or copied: each pass
+    reads them with the best answers so far, adds the shard's and stores the ``k`` best of both. The shard is released
+    before the next one is sent, so memory is bounded however large the catalogue is.
     """
-    cell, n, lo, hi = cells
-    p = pivots[cell]
-    q_norm, p_norm = (q * q).sum(1), (p * p).sum(1)
-    d = np.sqrt(np.maximum(q_norm[:, None] + p_norm[None, :] - 2 * q @ p.T, 0))
-    slack = 1e-6 * (np.sqrt(q_norm) + np.sqrt(p_norm.max()))[:, None]  # more than rounding can amount to
-    far = d + hi[None, :]
-    order = np.argsort(far, axis=1)
-    enough = np.cumsum(n[order], axis=1) >= kept
-    at = np.where(enough.any(1), enough.argmax(1), len(cell) - 1)[:, None]
-    bound = np.take_along_axis(far, np.take_along_axis(order, at, 1), 1)
-    return np.maximum(d - hi[None, :], lo[None, :] - d) <= bound + slack
-
-
-def _by_cells(queries, catalogue, k, vector, item, exclude, out, block_rows, size) -> DataFrame:
-    """The same for a catalogue of any size.
-
-    A bounded number of catalogue vectors serve as pivots; every catalogue vector belongs to the
-    cell of its nearest pivot. From the distances between a query and the pivots follows a bound
-    on its k-th neighbour, and from the triangle inequality which cells can hold one that near;
-    only those are searched, so the answer stays exact.
-
-    A cell is cut into as many blocks as its size asks for, by a hash of the item, so no group is
-    larger than a block however uneven the cells are. Queries are packed by cell where they are
-    read, and only packs meet blocks. Of equal vectors only the ``k`` lowest items can be an
-    answer; the others are dropped first, so a crowd of copies does not fill a cell.
-    """
-    spark = queries.sparkSession
-    kept = k + 1 if exclude else k
-    same = Window.partitionBy(vector).orderBy(item)
-    catalogue = store(catalogue.withColumn("_copy", F.row_number().over(same))
-                      .where(F.col("_copy") <= kept).drop("_copy"), "catalogue")
-
-    pivots = (catalogue.orderBy(F.xxhash64(item), item).limit(min(MAX_PIVOTS, size // block_rows + 1))
-              .select(vector).distinct().toArrow().column(0).combine_chunks())
-    if len(pivots) == 0:
-        return spark.createDataFrame([], out)
-    pivots = spark.sparkContext.broadcast(matrix(pivots))
-
-    def to_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                _, cell, d2, _ = nearest(matrix(batch.column(vector)), pivots.value, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(cell, pa.int32()), pa.array(np.sqrt(d2))],
-                    names=[*batch.schema.names, "_cell", "_reach"])
-
-    schema = T.StructType([*catalogue.schema.fields, T.StructField("_cell", T.IntegerType()),
-                           T.StructField("_reach", T.DoubleType())])
-    placed = catalogue.mapInArrow(to_cells, schema)
-    cells = placed.groupBy("_cell").agg(
-        F.count("*").alias("n"), F.min("_reach").alias("lo"), F.max("_reach").alias("hi")).collect()
-    rows = spark.sparkContext.broadcast((
-        np.array([c["_cell"] for c in cells]), np.array([c["n"] for c in cells]),
-        np.array([c["lo"] for c in cells]), np.array([c["hi"] for c in cells])))
-    blocks = cell_blocks(placed, "_cell", {c["_cell"]: c["n"] for c in cells}, F.col(item),
-                         F.struct(F.col(item).alias("i"), F.col(vector).alias("v")), block_rows)
-
-    key_names = [f.name for f in out.fields[:-3]]
-
-    def to_targets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = count(TaskContext.get().partitionId())
-        for batch in batches:
-            for start in range(0, batch.num_rows, PACK_ROWS):
-                part = batch.slice(start, PACK_ROWS)
-                near = _reachable(matrix(part.column(vector)), pivots.value, rows.value, kept)
-                hits, members = np.nonzero(near.T)
-                hit, starts = np.unique(hits, return_index=True)
-                keys = pa.StructArray.from_arrays(part.select(key_names).columns, names=key_names)
-                packed = pa.StructArray.from_arrays([keys, part.column(vector)], names=["key", "v"]).take(pa.array(members))
-                packs = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(hits)], pa.int32()), packed)
-                salt = np.full(len(hit), next(turn) % SALTS)
-                yield pa.RecordBatch.from_arrays([pa.array(rows.value[0][hit], pa.int32()), pa.array(salt, pa.int32()), packs],
-                                                 names=["_cell", "_salt", "_queries"])
-
-    key_type = T.StructType(out.fields[:-3])
-    pack_type = T.ArrayType(T.StructType([T.StructField("key", key_type), T.StructField("v", T.ArrayType(T.DoubleType()))]))
-    packs = queries.select(*key_names, F.col(vector).cast("array<double>").alias(vector)).mapInArrow(
-        to_targets, T.StructType([T.StructField("_cell", T.IntegerType()), T.StructField("_salt", T.IntegerType()),
-                                  T.StructField("_queries", pack_type)]))
-    pairs = block_pairs(packs, blocks, "_cell")
-
-    found_schema = T.StructType([T.StructField("key", key_type), *out.fields[-3:-1]])
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                q = batch.column(0).slice(i, 1).flatten()
-                c = batch.column(1).slice(i, 1).flatten()
-                c = c.take(pc.sort_indices(c.field("i")))
-                key, items = q.field("key"), c.field("i")
-                own = _positions(key.field(exclude), items) if exclude else None
-                r, s, d2, _ = nearest(matrix(q.field("v")), matrix(c.field("v")), k, own)
-                yield pa.RecordBatch.from_arrays(
-                    [key.take(pa.array(r)), items.take(pa.array(s)), pa.array(d2)],
-                    names=["key", "neighbour", "distance"])
-
-    found = pairs.mapInArrow(search, found_schema)
-    best = Window.partitionBy("key").orderBy("distance", "neighbour")
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select(*[F.col("key")[n].alias(n) for n in key_names], "neighbour", "distance", "rank")
+    spark, context = queries.sparkSession, queries.sparkSession.sparkContext
+    item_type = out["neighbour"].dataType
+    best_type = T.ArrayType(T.StructType([T.StructField("d", T.DoubleType()), T.StructField("i", item_type)]))
+    state = queries.withColumn("_best", F.array().cast(best_type))
+    schema = state.schema
+    catalogue = store(catalogue, "catalogue")
+    for number in range(shards):
+        part = catalogue.where(F.pmod(F.xxhash64(item), F.lit(shards)) == number)
+        table = part.orderBy(item).toArrow().combine_chunks()  # a shard's size is bounded
+        if not table.num_rows:
+            continue
+        shared = context.broadcast((table.column(item).combine_chunks(), matrix(table.column(vector).combine_chunks())))
+
+        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            items, vectors = shared.value
+            for batch in batches:
+                if batch.num_rows:
+                    own = _positions(batch.column(exclude), items) if exclude else None
+                    rows, cols, distance, _ = nearest(matrix(batch.column(vector)), vectors, k, own)
+                    best = _merged(batch.column("_best"), rows, distance, items.take(pa.array(cols)), k)
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:-1], best], names=batch.schema.names)
+
+        state = store(state.mapInArrow(search, schema), "neighbours")
+        shared.destroy()
+    keys = [f.name for f in out.fields[:-3]]
+    return state.select(*keys, F.posexplode("_best").alias("_at", "_b")).select(
+        *keys, F.col("_b.i").alias("neighbour"), F.col("_b.d").alias("distance"), (F.col("_at") + 1).cast("int").alias("rank"))
+
+
+def _merged(best: pa.ListArray, rows: np.ndarray, distance: np.ndarray, items: pa.Array, k: int) -> pa.ListArray:
+    """The ``k`` best per row of the answers so far and the new ones, nearest first, equal distances in item order."""
+    old = best.flatten()
+    lengths = pc.list_value_length(best).to_numpy(zero_copy_only=False)
+    row = np.concatenate([np.repeat(np.arange(len(best)), lengths), rows])
+    every = pa.table({"row": row, "d": pa.chunked_array([old.field("d"), pa.array(distance, pa.float64())]),
+                      "i": pa.chunked_array([old.field("i"), items.cast(old.field("i").type)])})
+    every = every.sort_by([("row", "ascending"), ("d", "ascending"), ("i", "ascending")]).combine_chunks()
+    row = every.column("row").to_numpy()
+    start = np.searchsorted(row, np.arange(len(best) + 1))
+    keep = np.flatnonzero(np.arange(len(row)) - start[row] < k)
+    kept = every.take(pa.array(keep)).combine_chunks()
+    values = pa.StructArray.from_arrays([kept.column("d").combine_chunks(), kept.column("i").combine_chunks()], fields=list(old.type))
+    offsets = np.searchsorted(row[keep], np.arange(len(best) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values, type=best.type)
 
 
 def majority_label(neighbours: DataFrame, keys: list[str], label: str) -> DataFrame:

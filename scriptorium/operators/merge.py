@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.operators.dedupe import keep_first
+
 BOTH, LEFT_ONLY, RIGHT_ONLY = "both", "left_only", "right_only"
 
 
@@ -72,12 +74,7 @@ def append_new_keys(existing: DataFrame, incoming: DataFrame, key: str) -> DataF
     columns, so that the choice does not depend on the partitioning.
     """
     fresh = incoming.join(existing.select(key), key, "left_anti")
-    others = [c for c in fresh.columns if c != key]
-    if not others:
-        return fresh.distinct()
-    row = F.struct(*[F.col(c) for c in others])
-    picked = fresh.groupBy(key).agg(F.min(row).alias("_row"))
-    return picked.select(key, *[F.col("_row")[c].alias(c) for c in others])
+    return keep_first(fresh, [key], [c for c in fresh.columns if c != key] or [key])
 
 
 def keyed_update(target: DataFrame, updates: DataFrame, key: str, field: str, unique: bool = False) -> DataFrame:

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.functions.sets import union_all  # noqa: F401  (array form of set_union)
 from scriptorium.functions.text import word_count
 
 
 def corpus_stats(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One row: number of texts, words in all, mean (cut to an integer), longest text.
 
-    The longest text is null when no text has a word; among equals the smallest key wins.
+    Texts without a name are skipped. The longest text is null when no text has a word; among equals the smallest key wins.
     """
-    counted = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), word_count(F.col(text)).alias("wc"))
+    named = F.col(key).isNotNull() & (F.col(key).cast("string") != "")
+    counted = docs.where(named).select(F.col(key).alias("k"), word_count(F.col(text)).alias("wc"))
     longest = F.min(F.struct((-F.col("wc")).alias("neg"), F.col("k")))
     total = F.coalesce(F.sum("wc"), F.lit(0))
     return counted.agg(

@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Paths of stored tables by application.
+_stored: dict[str, list[str]] = {}
+
+
 def build_session(master: str | None = None, app_name: str = "scriptorium", **conf) -> SparkSession:
     """A session with the settings the operators count on.
 
@@ -50,6 +54,21 @@ def store(df: DataFrame, name: str) -> DataFrame:
     What is used several times is worked out once and outlives the executors that did it, and
     the planner knows the real size of what it reads back.
     """
-    path = work_dir(df.sparkSession, name)
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+def clear_stored(spark: SparkSession) -> int:
+    """Delete the tables that ``store`` wrote in this session so far, and say how many.
+
+    For when the results built on them have been written: DataFrames that still read them fail afterwards.
+    """
+    paths = _stored.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)

@@ -5,6 +5,9 @@ Between stages everything is Parquet; CSV, text and JSON appear where data enter
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -20,9 +23,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str
 
     Files whose texts have no line breaks can be read with ``multi_line=False``, which lets Spark
     cut large files into several tasks. An empty field is null, a quoted empty field is an empty text; the reader marks the latter
-    with a code point that no text contains.
+    with a random word, as no fixed one can be ruled out in a text.
     """
-    mark = "\ufdd0"
+    mark = uuid.uuid4().hex
     df = (
         spark.read.schema(schema)
         .option("header", True).option("sep", sep).option("encoding", "UTF-8")
@@ -89,15 +92,45 @@ def land_raw(spark: SparkSession, source: str, target: str, glob: str = "*") ->
 
 
 def map_rows(df: DataFrame, column: str, schema: str, *keep: str) -> DataFrame:
-    """One row ``(keep..., map_key, map_value)`` per entry of a JSON object held as text."""
-    rows = df.select(*keep, F.explode_outer(F.from_json(column, schema)).alias("map_key", "map_value"))
-    return rows.where(F.col("map_key").isNotNull())
+    """One row ``(keep..., map_key, map_value)`` per entry of a JSON object held as text.
+
+    Entries that can't be read as ``schema`` are not here; ``map_rejects`` has them.
+    """
+    entries, value = _entries(df, column, schema, keep)
+    return entries.where(F.col("map_key").isNotNull() & (F.col("_raw").isNull() | value.isNotNull())).select(*keep, "map_key", value.alias("map_value"))
+
+
+def map_rejects(df: DataFrame, column: str, schema: str, *keep: str) -> DataFrame:
+    """What ``map_rows`` leaves out: ``(keep..., map_key, value, reason)``.
+
+    ``object``: the text is no JSON object (key and value are null, the text is in ``value``). ``value``: an entry does not have the
+    type asked for.
+    """
+    entries, value = _entries(df, column, schema, keep)
+    broken = F.col("_text").isNotNull() & F.col("_map").isNull()
+    odd = F.col("_raw").isNotNull() & value.isNull()
+    return entries.where(broken | odd).select(
+        *keep, "map_key", F.when(broken, F.col("_text")).otherwise(F.col("_raw")).alias("value"), F.when(broken, "object").otherwise("value").alias("reason"))
+
+
+def _entries(df: DataFrame, column: str, schema: str, keep: Sequence[str]):
+    """Entries with their values as text, and the expression that reads a value."""
+    kind = schema[schema.index(",") + 1:schema.rindex(">")].strip()
+    rows = df.select(*keep, F.col(column).alias("_text"), F.from_json(column, "map<string,string>").alias("_map"))
+    rows = rows.select(*keep, "_text", "_map", F.explode_outer("_map").alias("map_key", "_raw"))
+    value = F.from_json("_raw", kind) if kind.startswith(("struct", "map", "array")) else F.col("_raw").try_cast(kind)
+    return rows, value
+
+
+def _tropes(rows: DataFrame) -> DataFrame:
+    """``(name, definition)`` of texts in ``value``; text that is not of this form fails, as a catalogue must not come in halves."""
+    parsed = F.explode(F.from_json("value", TROPE_MAP, {"mode": "FAILFAST"})).alias("name", "entry")
+    return rows.select(parsed).select("name", F.col("entry.definition").alias("definition"))
 
 
 def read_trope_map(spark: SparkSession, path: str) -> DataFrame:
-    """``(name, definition)`` from files that hold one object ``{name: {"definition": text}}``."""
-    rows = map_rows(spark.read.text(path, wholetext=True), "value", TROPE_MAP)
-    return rows.select(F.col("map_key").alias("name"), F.col("map_value")["definition"].alias("definition"))
+    """``(name, definition)`` from files that hold one object ``{name: {"definition": text}}``; a broken file fails."""
+    return _tropes(spark.read.text(path, wholetext=True))
 
 
 def write_trope_lines(tropes: DataFrame, path: str) -> None:
@@ -108,8 +141,7 @@ def write_trope_lines(tropes: DataFrame, path: str) -> None:
 
 
 def read_trope_lines(spark: SparkSession, path: str) -> DataFrame:
-    rows = map_rows(spark.read.text(path), "value", TROPE_MAP)
-    return rows.select(F.col("map_key").alias("name"), F.col("map_value")["definition"].alias("definition"))
+    return _tropes(spark.read.text(path))
 
 
 def write_scripts(df: DataFrame, key: str, text: str, path: str) -> None:

@@ -25,8 +25,8 @@ def outer_merge_indicator(spark, d):
 
 
 def outer_merge_orders(spark, d):
-    return M.outer_merge(load(spark, d, "customer", "c_custkey", "c_name"), load(spark, d, "orders", "o_custkey", "o_orderkey"),
-                         "c_custkey", "o_custkey")
+    return M.outer_merge(load(spark, d, "orders", "o_custkey", "o_orderkey"), load(spark, d, "customer", "c_custkey", "c_name"),
+                         "o_custkey", "c_custkey")
 
 
 def prioritized_merge(spark, d):
@@ -179,7 +179,7 @@ SELECT doc_id, page_id, CASE WHEN page_id IS NULL THEN 'left_only' WHEN doc_id I
 FROM labels FULL JOIN pages ON doc_id = page_id""",
     "outer_merge_orders": """
 SELECT c_custkey, c_name, o_custkey, o_orderkey,
-       CASE WHEN o_custkey IS NULL THEN 'left_only' WHEN c_custkey IS NULL THEN 'right_only' ELSE 'both' END AS indicator
+       CASE WHEN c_custkey IS NULL THEN 'left_only' WHEN o_custkey IS NULL THEN 'right_only' ELSE 'both' END AS indicator
 FROM customer FULL JOIN orders ON c_custkey = o_custkey""",
     "prioritized_merge": """
 SELECT coalesce(page_id, doc_id) AS key, CASE WHEN page_id IS NOT NULL THEN url ELSE 'label' || quality END AS value,

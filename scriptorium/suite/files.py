@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from scriptorium.operators import stats as S
-from scriptorium.session import work_dir
+from scriptorium.operators import writes as W
+from scriptorium.session import store, work_dir
 from scriptorium.sources import files as I
 from scriptorium.sources.tables import load
 
@@ -21,7 +24,7 @@ def src_delimited_roundtrip(spark, d):
     rows = load(spark, d, "part", "p_partkey", "p_name", "p_type", "p_retailprice")
     path = work_dir(spark, "delimited")
     I.write_csv(rows, path, sep=";")
-    return I.read_csv(spark, path, rows.schema, sep=";")
+    return I.read_csv(spark, path, rows.schema, sep=";", multi_line=False)
 
 
 def src_wholetext_key(spark, d):
@@ -34,16 +37,55 @@ def src_wholetext_key(spark, d):
         F.col("name").cast("bigint").alias("conv_id"), "text")
 
 
+def _written_pages(spark, d):
+    """Pages as files, one folder per page: name and bytes are known from the table."""
+    pages = load(spark, d, "pages").select("page_id", F.regexp_replace("html", r"[\r\n]+", " ").alias("value"))
+    path = work_dir(spark, "pages")
+    pages.repartition("page_id").write.partitionBy("page_id").text(path)
+    return path
+
+
 def src_binary_manifest(spark, d):
-    files = I.file_manifest(spark, d, "*.parquet")
-    return files.select("name", "kind", (F.col("length") > 0).alias("has_content"))
+    files = I.file_manifest(spark, _written_pages(spark, d), "*.txt")
+    return files.groupBy("kind").agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
 
 
 def src_raw_landing(spark, d):
-    path = work_dir(spark, "raw")
-    I.land_raw(spark, d, path, "*.parquet")
+    source, path = _written_pages(spark, d), work_dir(spark, "raw")
+    I.land_raw(spark, source, path, "*.txt")
     raw = spark.read.parquet(path)
-    return raw.select("name", "kind", (F.length("content") == F.col("length")).alias("complete"))
+    return raw.select(F.regexp_extract("path", r"page_id=(\d+)/", 1).cast("bigint").alias("page_id"), "kind",
+                      "length", F.md5("content").alias("md5"))
+
+
+def src_html_files(spark, d):
+    """Pages read back as HTML files."""
+    pages = I.read_html_files(spark, _written_pages(spark, d), glob="*.txt")
+    return pages.groupBy(F.regexp_extract("html", r"<title>([^<]*)", 1).alias("title")).agg(F.count("*").alias("n"), F.sum(F.length("html")).alias("n_chars"))
+
+
+def json_map_rejects(spark, d):
+    """Every third object is cut short, every fifth has values with a fraction."""
+    n = F.col("event_id")
+    text = F.when(n % 3 == 0, F.expr("substring(props, 1, length(props) - 1)")).when(n % 5 == 0, F.regexp_replace("props", r"(\d)([,}])", "$1.5$2")).otherwise(F.col("props"))
+    rows = load(spark, d, "events").select("event_id", text.alias("props"))
+    lost = I.map_rejects(rows, "props", "map<string,int>", "event_id").groupBy("event_id", "reason").agg(F.count("*").alias("n"))
+    kept = I.map_rows(rows, "props", "map<string,int>", "event_id").groupBy("event_id").agg(F.count("*").alias("n"))
+    return lost.unionByName(kept.select("event_id", F.lit("read").alias("reason"), "n"))
+
+
+def written_tags(spark, d):
+    """Created, filled and updated twice over, then read back; updates without a row are counted in a row of their own."""
+    table = f"tags_{uuid.uuid4().hex}"
+    docs = load(spark, d, "documents").where("lang <> 'de'").select("doc_id", "lang", F.lit(None).cast("int").alias("quality"))
+    labels = load(spark, d, "labels", "doc_id", "quality")
+    for _ in range(2):
+        W.append_keyed(spark, table, docs, "doc_id", 8)
+        missing = W.update_keyed(spark, table, labels, "doc_id", "quality", 8)
+    rows = store(spark.table(table).select("doc_id", "lang", "quality"), "read")
+    spark.sql(f"DROP TABLE {table}")
+    count = missing.agg(F.count("*").alias("n")).select(F.lit(-1).cast("bigint").alias("doc_id"), F.lit("unmatched").alias("lang"), F.col("n").cast("int").alias("quality"))
+    return rows.unionByName(count)
 
 
 def json_map_explode(spark, d):
@@ -61,10 +103,9 @@ def json_map_roundtrip(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     src_csv_roundtrip, src_delimited_roundtrip, src_wholetext_key, src_binary_manifest, src_raw_landing,
-    json_map_explode, json_map_roundtrip)}
+    src_html_files, json_map_explode, json_map_rejects, json_map_roundtrip, written_tags)}
 
-_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations").split()
-_FILES = ", ".join(f"('{t}', 'parquet', true)" for t in _TABLES)
+_PAGES = r"(SELECT page_id, regexp_replace(html, '[\r\n]+', ' ', 'g') || chr(10) AS value FROM pages)"
 
 SQL = {
     "src_csv_roundtrip": "SELECT doc_id, source, text FROM documents",
@@ -72,8 +113,15 @@ SQL = {
     "src_wholetext_key": r"""
 SELECT conv_id, regexp_replace(string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY turn), '^\s+|\s+$', '', 'g') || chr(10) AS text
 FROM conversations GROUP BY conv_id""",
-    "src_binary_manifest": f"SELECT * FROM (VALUES {_FILES}) t(name, kind, has_content)",
-    "src_raw_landing": f"SELECT * FROM (VALUES {_FILES}) t(name, kind, complete)",
+    "src_binary_manifest": f"SELECT 'txt' AS kind, count(*) AS n_files, sum(strlen(value))::bigint AS n_bytes FROM {_PAGES}",
+    "src_raw_landing": f"SELECT page_id, 'txt' AS kind, strlen(value)::bigint AS length, md5(value) AS md5 FROM {_PAGES}",
+    "src_html_files": f"SELECT regexp_extract(value, '<title>([^<]*)', 1) AS title, count(*) AS n, sum(length(value))::bigint AS n_chars FROM {_PAGES} GROUP BY 1",
+    "json_map_rejects": """
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'object' WHEN event_id % 5 = 0 THEN 'value' ELSE 'read' END AS reason,
+       CASE WHEN event_id % 3 = 0 THEN 1 ELSE len(json_keys(props)) END AS n FROM events""",
+    "written_tags": """
+SELECT d.doc_id, d.lang, l.quality::int AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE d.lang <> 'de'
+UNION ALL SELECT -1, 'unmatched', count(*)::int FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang <> 'de')""",
     "json_map_explode": """
 SELECT event_id, k AS map_key, json_extract(props, '$.' || k)::int AS map_value
 FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)""",

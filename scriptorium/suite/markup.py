@@ -28,10 +28,21 @@ def first_long_paragraph(spark, d):
 
 
 def link_catalog(spark, d):
-    return D.link_catalog(load(spark, d, "pages", "page_id", "html"), "page_id", "html", Q.LINK_BASE)
+    """Links point to pages of this site; a page is stored under the first word of its title, so some addresses have a page, others none."""
+    pages = load(spark, d, "pages", "page_id", "html")
+    word = F.regexp_extract("html", r"(?s)<title>([^\s<]+)", 1)
+    snapshot = pages.select(F.concat(F.lit(f"{Q.LINK_BASE}/"), word).alias("url"), "html")
+    return D.link_catalog(pages, snapshot, "page_id", "html", "url", Q.LINK_BASE)
 
 
-QUERIES = {f.__name__: f for f in (html_to_text, extract_links, links_per_page, first_long_paragraph, link_catalog)}
+def extract_links_within(spark, d):
+    """Only a list standing directly in the content element counts, not one in a box inside it."""
+    wrapped = F.concat(F.lit('<div id="other"><ul><li><a href="/no">no</a></li></ul></div><div id="content"><div class="toc"><ul><li><a href="#x">x</a></li></ul></div>'),
+                       F.regexp_replace("html", "(?is)</?(nav|div|article|main|section|footer|header|aside)\\b[^>]*>", ""), F.lit("</div><ul><li><a href='/late'>late</a></li></ul>"))
+    return D.link_rows(load(spark, d, "pages").select("page_id", wrapped.alias("html")), "page_id", "html", Q.LINK_BASE, "content")
+
+
+QUERIES = {f.__name__: f for f in (html_to_text, extract_links, links_per_page, first_long_paragraph, link_catalog, extract_links_within)}
 
 SQL = {
     "html_to_text": f"SELECT page_id, {Q.strip(Q.strip_markup('html'))} AS text FROM pages",
@@ -39,8 +50,11 @@ SQL = {
     "links_per_page": f"""
 WITH {Q.LINKS} SELECT p.page_id, count(l.page_id) AS n_links FROM pages p LEFT JOIN links l ON p.page_id = l.page_id GROUP BY 1""",
     "first_long_paragraph": f"SELECT page_id, {Q.first_long_paragraph('html')} AS paragraph FROM pages",
-    "link_catalog": f"""
+    "link_catalog": rf"""
 WITH {Q.LINKS},
-  firsts AS (SELECT * FROM links QUALIFY row_number() OVER (PARTITION BY name ORDER BY page_id, position) = 1)
-SELECT name, f.url AS url, {Q.first_long_paragraph('html')} AS definition FROM firsts f JOIN pages USING (page_id)""",
+  firsts AS (SELECT * FROM links QUALIFY row_number() OVER (PARTITION BY name ORDER BY page_id, position) = 1),
+  snapshot AS (SELECT '{Q.LINK_BASE}/' || regexp_extract(html, '(?s)<title>([^\s<]+)', 1) AS url, min({Q.first_long_paragraph('html')}) AS definition
+               FROM pages GROUP BY 1)
+SELECT name, f.url AS url, definition FROM firsts f LEFT JOIN snapshot s ON f.url = s.url""",
+    "extract_links_within": f"WITH {Q.LINKS} SELECT page_id, position, name, url FROM links",
 }

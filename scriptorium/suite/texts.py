@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scriptorium.functions import text as X
-from scriptorium.functions.html import first_long_paragraph, list_links
+from scriptorium.functions.html import list_links, strip_markup
 from scriptorium.functions.prompts import build_prompt, parse_response
 from scriptorium.operators import documents as D
 from scriptorium.operators import stats as S
+from scriptorium.plans import overview
 from scriptorium.sources.tables import load
 from scriptorium.suite import fragments as Q
 
@@ -93,11 +94,23 @@ def sort_items_ci(spark, d):
 
 def build_prompts(spark, d):
     names = F.transform(list_links(F.col("html"), Q.LINK_BASE), lambda x: x["name"])
-    read = load(spark, d, "pages").select("page_id", first_long_paragraph(F.col("html")).alias("text"), names.alias("names"))
+    read = load(spark, d, "pages").select("page_id", X.strip(strip_markup(F.col("html"))).alias("text"), names.alias("names"))
     prompt = build_prompt(F.col("text"), F.col("names"), task="Check the tags.", rules="Answer as JSON.")
     return read.select("page_id", prompt.alias("prompt"))
 
 
+def movie_card(spark, d):
+    """The card of one document, by name."""
+    docs = load(spark, d, "documents").select(F.concat(F.lit("doc "), "doc_id").alias("name"), F.col("text").alias("full_script"), F.array("lang", "source", F.lit(" ")).alias("tropes"))
+    return overview.movie_card(docs, "doc 3").select("name", "words", "preview", F.array_join("tropes", ",").alias("tropes"))
+
+
+def similar_movie(spark, d):
+    """The document with the most similar set of words."""
+    docs = load(spark, d, "documents").select(F.col("doc_id").alias("name"), F.array_distinct(X.words(F.col("text"))).alias("tropes"))
+    return overview.similar_movie(docs, 3).select("name", F.round("score", 9).alias("score"))
+
+
 def parse_responses(spark, d):
     """Answers as a checking model gives them, written from the documents' own words."""
     words = F.array_distinct(X.words(F.col("text")))
@@ -110,12 +123,19 @@ def parse_responses(spark, d):
 QUERIES = {f.__name__: f for f in (
     corpus_stats, word_count, normalize_names, make_filename, make_url_key, url_basename, doc_preview, parse_items,
     items_joined, marker_cut, mention_score, segment_scenes, segment_count, assemble_pages, sort_ci, sort_items_ci,
-    build_prompts, parse_responses)}
+    build_prompts, parse_responses, movie_card, similar_movie)}
 
 _TITLE = "p_type || ': 100% ' || p_name"
 _KEY = f"replace(replace({Q.strip(_TITLE)}, ' ', '_'), ':', '')"
 
 SQL = {
+    "movie_card": f"""
+SELECT 'doc ' || doc_id AS name, len({Q.words('text')})::bigint AS words, text[1:2000] AS preview, array_to_string(list_sort([lang, source]), ',') AS tropes
+FROM documents WHERE doc_id = 3""",
+    "similar_movie": f"""
+WITH m AS (SELECT DISTINCT doc_id AS k, unnest({Q.words('text')}) AS i FROM documents), r AS (SELECT i FROM m WHERE k = 3), c AS (SELECT count(*) AS n FROM r),
+  s AS (SELECT k, count(r.i) / (count(*) + any_value(c.n) - count(r.i)) AS score FROM m LEFT JOIN r ON m.i = r.i, c WHERE k <> 3 GROUP BY k)
+SELECT k AS name, round(score, 9) AS score FROM s ORDER BY s.score DESC, k LIMIT 1""",
     "corpus_stats": f"""
 WITH w AS (SELECT doc_id, len({Q.words('text')})::bigint AS wc FROM documents)
 SELECT count(*) AS scripts, sum(wc)::bigint AS total_words, floor(sum(wc) / count(*))::bigint AS avg_words,
@@ -154,7 +174,7 @@ SELECT doc_id, array_to_string(list_transform(list_sort(list_transform(ws, lambd
     "build_prompts": f"""
 WITH {Q.LINKS},
   names AS (SELECT page_id, string_agg(name, ', ' ORDER BY position) AS listed FROM links GROUP BY page_id)
-SELECT page_id, 'Check the tags.' || chr(10) || chr(10) || 'Passage:' || chr(10) || coalesce({Q.first_long_paragraph('html')}, '')
+SELECT page_id, 'Check the tags.' || chr(10) || chr(10) || 'Passage:' || chr(10) || coalesce({Q.strip(Q.strip_markup('html'))}, '')
        || chr(10) || chr(10) || 'Candidates: ' || coalesce(listed, 'None') || chr(10) || chr(10) || 'Answer as JSON.' || chr(10) AS prompt
 FROM pages LEFT JOIN names USING (page_id)""",
     "parse_responses": f"""

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import functions as F
 
-from scriptorium.operators.embed import embed
-from scriptorium.operators.knn import knn_join, majority_label
+from scriptorium.operators.embed import embed, hashing_encoder
+from scriptorium.operators.knn import common_dimension, knn_join, left_out, majority_label
+from scriptorium.plans import checking
 from scriptorium.plans.tagging import concept_vectors, scene_concepts, tag_documents as tag
 from scriptorium.operators.documents import segment_rows
 from scriptorium.session import store
@@ -15,10 +19,57 @@ from scriptorium.suite import fragments as Q
 K = 5
 
 
-def _neighbours(spark, d):
+def _neighbours(spark, d, **options):
     vectors = load(spark, d, "embeddings", "vec_id", "embedding")
     queries = vectors.select("vec_id", F.col("embedding").alias("vector"))
-    return knn_join(queries, queries.withColumnRenamed("vec_id", "item_id"), K, exclude="vec_id")
+    return knn_join(queries, queries.withColumnRenamed("vec_id", "item_id"), K, exclude="vec_id", **options)
+
+
+def knn_topk_large(spark, d):
+    """The plan for catalogues beyond the broadcast bound: shards, one after another."""
+    found = _neighbours(spark, d, max_broadcast_bytes=0, shard_bytes=400_000)
+    return found.select("vec_id", "rank", "neighbour", F.round("distance", 6).alias("distance"))
+
+
+def knn_bad_rows(spark, d):
+    """Every tenth vector is spoiled in one of four ways; a search skips it on both sides."""
+    kind = F.col("vec_id") % 40
+    bad = (F.when(kind == 0, F.lit(None).cast("array<double>")).when(kind == 10, F.slice("e", 1, 3))
+           .when(kind == 20, F.concat(F.slice("e", 1, 63), F.array(F.lit(float("inf"))))).when(kind == 30, F.concat("e", "e")).otherwise(F.col("e")))
+    vectors = load(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e")).select("vec_id", bad.alias("vector"))
+    found = knn_join(vectors, vectors.withColumnRenamed("vec_id", "item_id"), K, exclude="vec_id", max_broadcast_bytes=0, shard_bytes=400_000)
+    skipped = left_out(vectors, common_dimension(vectors)).select("vec_id", F.lit(0).alias("rank"), F.lit(None).cast("bigint").alias("neighbour"), "reason")
+    return found.select("vec_id", "rank", F.col("neighbour").cast("bigint").alias("neighbour"), F.lit("found").alias("reason")).unionByName(skipped)
+
+
+def embed_failures(spark, d):
+    """An encoder that can't read texts with a digit in front: how many rows failed, and how many did not."""
+    def make():
+        encode = hashing_encoder()()
+
+        def careful(texts):
+            if any(t[:1].isdigit() for t in texts.to_pylist()):
+                raise ValueError("digit")
+            return encode(texts)
+        return careful
+
+    front = F.when(F.col("doc_id") % 2 == 1, F.lit("1")).otherwise(F.lit("x"))
+    docs = load(spark, d, "documents").select("doc_id", F.concat(front, "text").alias("text"))
+    return embed(docs, "text", make, error="error").groupBy(F.coalesce("error", F.lit("none")).alias("error")).agg(F.count("*").alias("n"))
+
+
+def verify_scenes(spark, d):
+    """A model that names the words it was given which are longer than three letters, and fails on Spanish texts."""
+    def make():
+        def answer(prompts):
+            if any("qqq-es" in p for p in prompts):
+                raise ValueError("language")
+            return [json.dumps({"tropes": [w for w in re.search("Candidates: (.*)", p)[1].split(", ") if len(w) > 3 and w != "None"], "examples": []}) for p in prompts]
+        return answer
+
+    words = F.slice(F.filter(F.split("text", " "), lambda w: w.rlike("^[a-z]+$")), 1, 5)
+    docs = load(spark, d, "documents").select("doc_id", F.concat(F.lit("qqq-"), "lang", F.lit(" "), "text").alias("text"), words.alias("names"))
+    return checking.verify_scenes(docs, "text", "names", make).select("doc_id", F.array_join("confirmed", ",").alias("confirmed"), "score", "error")
 
 
 def knn_topk(spark, d):
@@ -60,7 +111,7 @@ def tag_documents(spark, d):
     return tagged.select("doc_id", F.array_join("tropes", ",").alias("tropes"))
 
 
-QUERIES = {f.__name__: f for f in (knn_topk, knn_topk_label, hash_embed, scene_topk, document_topk, tag_documents)}
+QUERIES = {f.__name__: f for f in (knn_topk_large, knn_bad_rows, embed_failures, verify_scenes, knn_topk, knn_topk_label, hash_embed, scene_topk, document_topk, tag_documents)}
 
 _KNN = f"""
   v AS (SELECT vec_id, label, embedding::double[] AS e FROM embeddings),
@@ -88,6 +139,19 @@ _SCENES = f"""
   {_nearest('scenes', 'doc_id, ordinal', 'segment')}"""
 
 SQL = {
+    "knn_topk_large": f"WITH {_KNN} SELECT vec_id, rank, neighbour, round(dist * dist, 6) AS distance FROM knn",
+    "knn_bad_rows": f"""
+WITH g AS (SELECT vec_id, embedding::double[] AS e FROM embeddings WHERE vec_id % 10 <> 0),
+  d AS (SELECT a.vec_id, b.vec_id AS neighbour, list_distance(a.e, b.e) AS dist FROM g a JOIN g b ON a.vec_id <> b.vec_id),
+  n AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, neighbour)::int AS rank FROM d QUALIFY rank <= {K})
+SELECT vec_id, rank, neighbour::bigint AS neighbour, 'found' AS reason FROM n
+UNION ALL SELECT vec_id, 0, NULL, CASE vec_id % 40 WHEN 0 THEN 'missing' WHEN 20 THEN 'values' ELSE 'length' END FROM embeddings WHERE vec_id % 10 = 0""",
+    "embed_failures": "SELECT CASE WHEN doc_id % 2 = 1 THEN 'ValueError: digit' ELSE 'none' END AS error, count(*) AS n FROM documents GROUP BY 1",
+    "verify_scenes": """
+WITH w AS (SELECT doc_id, lang, list_filter(string_split(text, ' '), lambda w: regexp_full_match(w, '[a-z]+'))[1:5] AS names FROM documents),
+  c AS (SELECT doc_id, lang, CASE WHEN lang = 'es' THEN [] ELSE list_filter(names, lambda w: length(w) > 3) END AS c FROM w)
+SELECT doc_id, array_to_string(c, ',') AS confirmed, len(c)::double AS score,
+       CASE WHEN lang = 'es' THEN 'ValueError: language' END AS error FROM c""",
     "knn_topk": f"WITH {_KNN} SELECT vec_id, rank, neighbour, round(dist * dist, 6) AS distance FROM knn",
     "knn_topk_label": f"""
 WITH {_KNN}, votes AS (SELECT vec_id, label, count(*) AS votes FROM knn GROUP BY ALL)

@@ -101,13 +101,20 @@ def test_page_existence_is_three_valued(spark):
     assert dict(rows(D.page_existence(asked, pages, "k", "html", "no text"))) == {"a": False, "b": True, "c": True, "d": None}
 
 
-def test_link_catalog_keeps_first(spark):
-    def page(links, p):
-        return "<ul>" + "".join(f"<li><a href='{u}'>{n}</a></li>" for n, u in links) + f"</ul><p>{p}</p>"
-
-    long = "a paragraph that is long enough to count as one"
-    pages = spark.createDataFrame([(1, page([("X", "/x1"), ("Y", "/y"), ("X", "/x1b")], "short")), (2, page([("X", "/x2"), ("Z", "/z")], long))], "id int, html string")
-    assert rows(D.link_catalog(pages, "id", "html", "")) == sorted([("X", "/x1", None), ("Y", "/y", None), ("Z", "/z", long)], key=repr)
+def test_link_catalog_takes_the_concepts_own_page(spark):
+    own, other = "a paragraph long enough to be a definition", "another paragraph, also long enough for one"
+    pages = spark.createDataFrame([(2, f'<p>{other}</p><ul><li><a href="/x2">X</a></li><li><a href="/z">Z</a></li></ul>'),
+                                   (1, '<ul><li><a href="/x1">X</a></li><li><a href="/y">Y</a></li></ul>')], "id int, html string")
+    stored = spark.createDataFrame([("/x1", f"<p>{own}</p>"), ("/x2", f"<p>{other}</p>"), ("/z", "<p>short</p>")], "address string, html string")
+    assert rows(D.link_catalog(pages, stored, "id", "html", "address", "")) == sorted([("X", "/x1", own), ("Y", "/y", None), ("Z", "/z", None)], key=repr)
+
+
+def test_no_sort_aggregate(spark):
+    """Keeping one row per key neither sorts for an aggregate nor sends all rows of a key."""
+    df = spark.createDataFrame([("a", 1, "x")], "k string, n int, t string")
+    for one in (P.keep_first(df, ["k"], ["n"]), P.by_priority(df, ["k"], "t", ["x"], ["n"]), M.append_new_keys(df, df, "k")):
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "WindowGroupLimit" in plan
 
 
 def test_routes_stage_and_reasons(spark):

@@ -3,10 +3,12 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from scriptorium.plans import catalogue, overview, staging, tagging
+from scriptorium.operators import writes as W
 from scriptorium.operators.merge import keyed_update
-from scriptorium.session import store, work_dir
+from scriptorium.session import clear_stored, store, work_dir
 from scriptorium.sources import files as I
 from scriptorium.sources import tables as T
 
@@ -114,3 +116,31 @@ def test_update_scenes_and_tropes(spark):
     movies = spark.createDataFrame([("m", None), ("n", ["old"])], "name string, tropes array<string>")
     new = spark.createDataFrame([("m", ["x"])], "name string, tropes array<string>")
     assert {r["name"]: r["tropes"] for r in keyed_update(movies, new, "name", "tropes").collect()} == {"m": ["x"], "n": ["old"]}
+
+
+def test_written_tables(spark):
+    first = spark.createDataFrame([("a", 1), ("b", None), ("b", 2)], "k string, v int")
+    assert [W.append_keyed(spark, "kept", first, "k", 4) for _ in range(2)] == [2, 0]
+    more = spark.table("kept").select("k", "v").unionByName(spark.createDataFrame([("c", 3)], "k string, v int"))
+    assert W.append_keyed(spark, "kept", more, "k", 4) == 1
+    for _ in range(2):
+        new = spark.table("kept").select("k", (F.length("k") * 10).alias("v")).where("k <> 'c'").unionByName(spark.createDataFrame([("z", 9)], "k string, v int"))
+        assert [tuple(r) for r in W.update_keyed(spark, "kept", new, "k", "v", 4).collect()] == [("z", 9)]
+    assert sorted(tuple(r) for r in spark.table("kept").select("k", "v").collect()) == [("a", 10), ("b", 10), ("c", 3)]
+    spark.sql("DROP TABLE kept")
+
+
+def test_json_rejects(spark, tmp_path):
+    texts = ['{"k": 3000000000}', '{"k": 1.5, "m": 2}', '{"k": 7}', '{"k": null}', "[1]", "{broken", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert sorted(tuple(r) for r in I.map_rows(df, "t", "map<string,int>", "i").collect()) == [(1, "m", 2), (2, "k", 7), (3, "k", None)]
+    assert {(r.i, r.map_key, r.reason) for r in I.map_rejects(df, "t", "map<string,int>", "i").collect()} == {
+        (0, "k", "value"), (1, "k", "value"), (4, None, "object"), (5, None, "object")}
+    (tmp_path / "broken.json").write_text('{"A": {"definition": "x"')
+    with pytest.raises(Exception):
+        I.read_trope_map(spark, str(tmp_path / "broken.json")).collect()
+
+
+def test_stored_tables_can_be_cleared(spark):
+    store(spark.range(3), "ids")
+    assert clear_stored(spark) >= 1 and clear_stored(spark) == 0

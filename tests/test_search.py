@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from scriptorium.operators import kernels as K
 from scriptorium.operators import similarity as J
-from scriptorium.operators.embed import embed, hashing_encoder, verify
-from scriptorium.operators.knn import knn_join, majority_label
+from scriptorium.operators.embed import embed, failure_report, hashing_encoder, verify
+from scriptorium.operators.knn import knn_join, left_out, majority_label
+from scriptorium.plans.checking import verify_scenes
 
 
 def vectors(n, dim, seed, copies=0):
@@ -43,7 +44,7 @@ def test_knn(spark, bound, k):
     """A third of the catalogue are copies of one vector."""
     c, q = vectors(300, 6, 1, copies=100), vectors(90, 6, 2)
     q[0], q[1] = c[0], c[200]
-    got = found(knn_join(frame(spark, q, "q"), frame(spark, c, "item_id"), k, max_broadcast_bytes=bound, block_rows=20))
+    got = found(knn_join(frame(spark, q, "q"), frame(spark, c, "item_id"), k, max_broadcast_bytes=bound, shard_bytes=3000))
     assert got == brute(q, c, k)
 
 
@@ -51,7 +52,7 @@ def test_knn(spark, bound, k):
 def test_knn_of_itself(spark, bound):
     c = vectors(150, 5, 3, copies=40)
     df = frame(spark, c, "q")
-    got = found(knn_join(df, df.withColumnRenamed("q", "item_id"), 3, exclude="q", max_broadcast_bytes=bound, block_rows=16))
+    got = found(knn_join(df, df.withColumnRenamed("q", "item_id"), 3, exclude="q", max_broadcast_bytes=bound, shard_bytes=1500))
     assert got == brute(c, c, 3, own=range(150))
 
 
@@ -65,6 +66,26 @@ def test_knn_edge_rows(spark, bound):
     assert knn_join(q, c.where("false"), 5, max_broadcast_bytes=bound).count() == 0
 
 
+@pytest.mark.parametrize("bound", [1 << 27, 0])
+def test_knn_odd_rows_cost_only_themselves(spark, bound):
+    """One overlong or infinite row of the catalogue takes nothing from the others."""
+    inf = float("inf")
+    c = spark.createDataFrame([("a", [0.0, 1.0]), ("b", [1.0, 1.0]), ("long", [0.0, 0.0, 0.0]), ("inf", [inf, 0.0])], "item_id string, vector array<double>")
+    q = spark.createDataFrame([(1, [0.0, 0.0]), (2, [-inf, 0.0])], "q int, vector array<double>")
+    got = [tuple(r) for r in knn_join(q, c, 5, max_broadcast_bytes=bound, shard_bytes=40).orderBy("rank").collect()]
+    assert got == [(1, "a", 1.0, 1), (1, "b", 2.0, 2)]
+    assert sorted(map(tuple, left_out(c, 2).collect())) == [("inf", "values"), ("long", "length")]
+    wide = knn_join(q.select("q", F.lit(None).cast("array<double>").alias("vector")), c, 2, dim=3, max_broadcast_bytes=bound)
+    assert wide.count() == 0
+
+
+@pytest.mark.parametrize("bound", [1 << 27, 0])
+def test_knn_wide_vectors(spark, bound):
+    c = vectors(80, 768, 9, copies=10)
+    q = vectors(20, 768, 10)
+    assert found(knn_join(frame(spark, q, "q"), frame(spark, c, "item_id"), 3, max_broadcast_bytes=bound, shard_bytes=100_000)) == brute(q, c, 3)
+
+
 def test_nearest_in_small_chunks(monkeypatch):
     monkeypatch.setattr(K, "_Q_CHUNK", 7)
     monkeypatch.setattr(K, "_C_CHUNK", 11)
@@ -168,10 +189,39 @@ def test_embed_survives_bad_rows(spark):
     assert got == {1: [3.0, 1.0], 2: None, 3: [0.0, 1.0]}
 
 
-def test_verify(spark):
+def test_failures_are_reported(spark):
+    def make():
+        def model(prompts):
+            if any(p.startswith("bad") for p in prompts):
+                raise ValueError("no")
+            return [p.upper() for p in prompts]
+        return model
+
+    df = spark.createDataFrame([(p,) for p in ["ok", "bad 1", "fine", "bad 2", "good"]], "p string").coalesce(1)
+    got = verify(df, "p", make, error="error").cache()
+    assert {r["p"]: r["response"] for r in got.collect()} == {"ok": "OK", "bad 1": None, "fine": "FINE", "bad 2": None, "good": "GOOD"}
+    assert [tuple(r) for r in failure_report(got).collect()] == [("ValueError: no", 2)]
+    many = spark.range(12).select(F.concat(F.lit("bad "), "id").alias("p")).coalesce(1)
+    with pytest.raises(Exception, match="failed on all"):
+        verify(many, "p", make).collect()
+    with pytest.raises(Exception, match="failed on all"):
+        embed(many, "p", lambda: lambda texts: 1 / 0).collect()
+
+
+def test_verify_scenes(spark):
+    answers = {"INT. A": '{"tropes": ["A", "Z"], "examples": []}', "EXT. B": "", "INT. C": "not json"}
+
     def make():
-        return lambda prompt: prompt.upper() if "ok" in prompt else 1 / 0
+        return lambda prompts: [next(answers[k] for k in answers if k in p) for p in prompts]
+
+    df = spark.createDataFrame([(k, ["A", "B"]) for k in answers] + [("INT. D", [])], "scene string, names array<string>").coalesce(1)
+    got = {r["scene"]: (r["confirmed"], r["score"], r["error"]) for r in verify_scenes(df, "scene", "names", make).collect()}
+    assert got == {"INT. A": (["A", "Z"], 1.0, None), "EXT. B": ([], 0.0, None), "INT. C": ([], 0.0, None), "INT. D": ([], 0.0, "StopIteration: ")}
+
 
-    df = spark.createDataFrame([("ok",), ("fails",)], "p string")
-    assert {r["p"]: r["response"] for r in verify(df, "p", make).collect()} == {"ok": "OK", "fails": None}
-    assert verify(df, "p", make).where(F.col("response").isNull()).count() == 1
+def test_unknown_reference(spark):
+    items = spark.createDataFrame([("a", 1), ("b", 1)], "k string, i int")
+    with pytest.raises(ValueError, match="no set named"):
+        J.similarity_to_one(items, "k", "i", "z")
+    keys = spark.createDataFrame([("a",), ("b",), ("z",)], "k string")
+    assert J.similarity_to_one(items, "k", "i", "z", keys).count() == 2

@@ -1,4 +1,3 @@
-import re
 
 from pyspark.sql import functions as F
 
@@ -66,29 +65,31 @@ def test_preview_and_mentions(spark):
     assert values(spark, ["abc", "", None], lambda c: X.mention_count(c, items)) == [2.0, 0.0, 0.0]
 
 
-HEADER = re.compile(r"\bINT\.\s.*?$|\bEXT\.\s.*?$|\bFADE IN:.*?$|\bFADE OUT\..*?$|\bCUT TO:.*?$|\bSCÈNE.*?$", re.I | re.M)
+SCRIPTS = {
+    "no header at all\nsecond line": ["no header at all\nsecond line"],
+    "CUT TO: INT. HOUSE - DAY\nbody": ["", "CUT TO: INT. HOUSE - DAY\nbody"],
+    "intro\r\nINT. A\r\nx\r\nEXT. B\r\ny": ["intro", "INT. A\r\nx", "EXT. B\r\ny"],
+    "EXT./INT. CAR\nz": ["EXT./", "INT. CAR\nz"],
+    "a\nINT.\nnext line\nrest": ["a", "INT.\nnext line\nrest"],
+    "scène 1\nx\nSCÈNE 2": ["", "scène 1\nx", "SCÈNE 2"],
+    "\x1c\u00a0 intro INT. X\n\u2028y\x85": ["intro", "INT. X\n\u2028y"],
+    "": [""],
+    "  \n ": [""],
+    "PRINT. no\nHINT. no\nINT. yes": ["PRINT. no\nHINT. no", "INT. yes"],
+    "FADE IN:\nINT. ROOM\nFADE OUT.\nend": ["", "FADE IN:", "INT. ROOM", "FADE OUT.\nend"],
+    "x FADE OUT. y CUT TO: z\nINT. q": ["x", "FADE OUT. y CUT TO: z", "INT. q"],
+    "int. lower\next. lower": ["", "int. lower", "ext. lower"],
+    "A$1 \\ INT. $0 back\\slash\n$2": ["A$1 \\", "INT. $0 back\\slash\n$2"],
+    "own \ufdd0\ufdd1 and \ufdd0 INT. x\ufdd0\ufdd2": ["own \ufdd0\ufdd1 and \ufdd0", "INT. x\ufdd0\ufdd2"],
+}
 
 
-def cut_in_python(text):
-    """What the segments must be, from the definition: cut where a header begins."""
-    starts = [m.start() for m in HEADER.finditer(text)]
-    return [text[a:b].strip() for a, b in zip([0, *starts], [*starts, len(text)])]
-
-
-SCRIPTS = [
-    "no header at all\nsecond line", "CUT TO: INT. HOUSE - DAY\nbody", "intro\r\nINT. A\r\nx\r\nEXT. B\r\ny",
-    "EXT./INT. CAR\nz", "a\nINT.\nnext line\nrest", "scène 1\nx\nSCÈNE 2", "\x1c\u00a0 intro INT. X\n\u2028y\x85",
-    "", "  \n ", "PRINT. no\nHINT. no\nINT. yes", "FADE IN:\nINT. ROOM\nFADE OUT.\nend", "x FADE OUT. y CUT TO: z\nINT. q",
-    "int. lower\next. lower", "A$1 \\ INT. $0 back\\slash\n$2",
-]
-
-
-def test_segments_agree_with_definition(spark):
-    assert values(spark, SCRIPTS, X.segments) == [cut_in_python(s) for s in SCRIPTS]
+def test_segments(spark):
+    assert values(spark, list(SCRIPTS), X.segments) == list(SCRIPTS.values())
 
 
 def test_segments_keep_all_text(spark):
-    for text, parts in zip(SCRIPTS, values(spark, SCRIPTS, X.segments)):
+    for text, parts in zip(SCRIPTS, values(spark, list(SCRIPTS), X.segments)):
         assert "".join("".join(parts).split()) == "".join(text.split())
 
 
@@ -151,3 +152,22 @@ def test_jaccard(spark):
     assert [g[0] for g in got] == [0.0, 1.0, 0.0, 0.0, 0.5, 0.0, 0.0]
     assert all(a == b and 0 <= a <= 1 for a, b in got)
     assert df.select(union_all(F.array(F.array(F.lit("b"), F.lit("a")), F.array(F.lit("b"))))).first()[0] == ["a", "b"]
+
+
+def test_tags_with_quoted_ends(spark):
+    assert values(spark, ['<p title="a > b">text</p> it\'s <b class=\'x>y\'>c</b>', '<p title="open>x'], H.strip_markup) == ["text it's c", "x"]
+    assert values(spark, ["&apos;&amp;apos;"], H.decode_entities) == ["'&apos;"]
+
+
+PAGE = """<div><ul><li><a href="/menu">menu</a></li></ul></div><div id="c" class="x"><div class="toc"><ul><li><a href="#1">toc</a></li></ul><p>A paragraph in the box, long enough for it.</p></div>
+<table><tr><td><table><tr><td><p>inner cell with a long enough text in it</p></td></tr></table><p>outer cell with a long enough text in it too</p></td></tr></table>
+<p>The first paragraph proper, of some length.</p><ul><li><a href="/one">one</a><ul><li><a href="/deep">deep</a></li></ul></li></ul></div>
+<footer><p>A footer paragraph that is long enough to be taken.</p><ul><li><a href="/foot">foot</a></li></ul></footer>"""
+
+
+def test_content_element(spark):
+    assert values(spark, [PAGE], lambda c: H.first_long_paragraph(c, within="c")) == ["The first paragraph proper, of some length."]
+    assert values(spark, [PAGE], lambda c: F.transform(H.list_links(c, "http://x", "c"), lambda x: x["name"])) == [["one"]]
+    only_footer = '<div id="c">nothing here</div><p>A footer paragraph that is long enough to be taken.</p>'
+    assert values(spark, [only_footer, "<p>no such element, but long enough to be taken</p>"], lambda c: H.first_long_paragraph(c, within="c")) == [None, None]
+    assert values(spark, ['<DIV id=c><div>a</div>b</DIV>c', '<div id="c">open <div>x'], lambda c: H.strip_markup(H.inside(c, "c"))) == ["ab", "open x"]
