@@ -226,6 +226,7 @@ def test_rule_spans():
 def test_disclosing_terms(spark):
     rows = [(i, f"{w} Kowalczyk wrote from jk@mail.org on {w}{i} about {i * 7} things {w[::-1]}") for i, w in enumerate("alpha bravo charlie delta echo".split())]
     rows += [(50 + i, f"plain words number {i} about other things") for i in range(40)] + [(90, "later Kowalczyk came"), (91, None), (None, "x@y.zz")]
+    rows += [(200 + i, f"mail to u{i}@x.org please") for i in range(30)]
     rows += [(92, rows[0][1])] * 2
     docs = spark.createDataFrame([(i, t, "z") for i, t in rows], "doc_id long, text string, terms string")
     got = {(r.doc_id, r.clean): r for r in privacy.sanitise(docs, bits=1.0).collect()}
