@@ -173,10 +173,10 @@ class RepeatSketch:
 
 
 def sketch_log2(docs: DataFrame, kind: Windows, most: int = 28) -> int:
-    """Four cells an anchor, within ``most``: a fuller sketch is still right, it only keeps more windows for the exact step."""
+    """At least three cells an anchor, within ``most``: a fuller sketch is still right, it only keeps more windows for the exact step."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     anchors = size / (6 if kind.words else 1) * 2 / (kind.length - kind.k + 2)
-    return min(most, max(PART_LOG2, math.ceil(math.log2(max(1, 4 * anchors)))))
+    return min(most, max(PART_LOG2, math.ceil(math.log2(max(1, 3 * anchors)))))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
