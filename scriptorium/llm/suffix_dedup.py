@@ -32,14 +32,14 @@ LEAD, BUCKET, TURN = 16, 300_000, 20_000
 #: Strings compared within a task before they are sent.
 AT_ONCE = 600_000
 
-_SUFFIX = pa.schema([("lead", pa.binary()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("start", pa.int32()), ("count", pa.int32()), ("back", pa.int32()), ("data", pa.binary())])
-_SUFFIX_SQL = "lead binary, doc_id long, digest long, start int, count int, back int, data binary"
+_SUFFIX = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("start", pa.int32()), ("count", pa.int32()), ("back", pa.int32()), ("data", pa.binary())])
+_SUFFIX_SQL = "doc_id long, digest long, start int, count int, back int, data binary"
 _FLAG = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("start", pa.int32()), ("count", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())])
 _FLAG_SQL = "doc_id long, digest long, start int, count int, h1 long, h2 long"
 
 
 def _collect(kind: Windows, shared):
-    """Suffixes that may repeat; strings a smaller id in the same batch also has are marked at once (``lead`` is null)."""
+    """Suffixes that may repeat; strings a smaller id in the same batch also has are marked at once (``data`` is null)."""
     def run(batches):
         hashes, sketch = Hashes(), shared.value
         for batch in batches:
@@ -81,12 +81,11 @@ def _send(kind: Windows, parts: list, ids: np.ndarray, digests: np.ndarray):
         if not len(begin):
             continue
         r, p = r[begin], p[begin]
-        lead = seg = [None] * len(r)
+        seg = [None] * len(r)
         if open_:
             seg = [data[i][a:a + m + kind.length - 1] for i, a, m in zip(r.tolist(), p.tolist(), n.tolist())]
-            lead = [data[i][b:b + LEAD] for i, b in zip(r.tolist(), back[r].tolist())]
         yield pa.RecordBatch.from_arrays([
-            pa.array(lead, pa.binary()), pa.array(ids[row[r]]), pa.array(digests[row[r]]), pa.array((start[r] + p).astype(np.int32)),
+            pa.array(ids[row[r]]), pa.array(digests[row[r]]), pa.array((start[r] + p).astype(np.int32)),
             pa.array(n.astype(np.int32)), pa.array((back[r] - p).astype(np.int32)), pa.array(seg, pa.binary())], schema=_SUFFIX)
 
 
@@ -124,15 +123,16 @@ def turned(data: np.ndarray, at: np.ndarray, back: np.ndarray, length: int) -> l
 
 def _bucket(kind: Windows):
     def run(batches):
-        columns = [[] for _ in range(7)]
+        columns = [[] for _ in range(6)]
         for b in batches:
             for c, column in zip(columns, b.columns):
                 c.append(column)
         if not columns[0]:
             return
         whole = pa.Table.from_arrays([pa.chunked_array(c) for c in columns], schema=_SUFFIX)
-        doc, digest, start, count, back = (whole.column(i).to_numpy() for i in range(1, 6))
-        lead, seg = whole.column("lead").to_pylist(), whole.column("data").to_pylist()
+        doc, digest, start, count, back = (whole.column(i).to_numpy() for i in range(5))
+        seg = whole.column("data").to_pylist()
+        lead = [x[b:b + LEAD] for x, b in zip(seg, back.tolist())]
         edges = (min(lead), max(lead))
         edge = np.fromiter((x == edges[0] or x == edges[1] for x in lead), bool, len(lead))
         begin = np.cumsum([0] + [len(x) for x in seg])[:-1]
@@ -189,15 +189,16 @@ def repeated_strings(docs: DataFrame, kind: Windows = KIND) -> DataFrame:
     sketch = spark.sparkContext.broadcast(RepeatSketch.of(texts, kind, sketch_log2(docs, kind)))
     found = store(texts.map(_collect(kind, sketch), _SUFFIX_SQL), "suffixes")
     sketch.unpersist()
-    suffixes = found.where("lead is not null")
+    suffixes = found.where("data is not null")
     strings = suffixes.agg(F.sum("count")).first()[0] or 0
-    sorted_ = suffixes.repartitionByRange(max(1, -(-strings // BUCKET)), "lead", "doc_id").mapInArrow(_bucket(kind), _FLAG_SQL)
+    lead = F.substring("data", F.col("back") + 1, F.lit(LEAD))
+    sorted_ = suffixes.repartitionByRange(max(1, -(-strings // BUCKET)), lead, "doc_id").mapInArrow(_bucket(kind), _FLAG_SQL)
     sorted_ = store(sorted_, "flags")
     ask = sorted_.where("h1 is not null")
     low = ask.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"))
     across = ask.join(low, ["h1", "h2"]).where("doc_id > low")
     plain = ("doc_id", "digest", "start", "count")
-    flags = sorted_.where("h1 is null").select(*plain).unionByName(across.select(*plain)).unionByName(found.where("lead is null").select(*plain))
+    flags = sorted_.where("h1 is null").select(*plain).unionByName(across.select(*plain)).unionByName(found.where("data is null").select(*plain))
     return marked(flags, same)
 
 
