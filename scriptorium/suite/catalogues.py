@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from scriptorium.operators import merge as M
 from scriptorium.plans import catalogue as C
 from scriptorium.plans import staging as G
 from scriptorium.session import store
-from scriptorium.sources.tables import load
+from scriptorium.sources.tables import MOVIES, create_if_absent, load
 from scriptorium.suite import fragments as Q
 
 PRIORITY = ("en", "fr", "de", "es")
@@ -61,6 +62,36 @@ def page_existence(spark, d):
     return D.page_existence(docs, load(spark, d, "pages", "page_id", "html"), "page_id", "html", PHRASE)
 
 
+def page_existence_within(spark, d):
+    """Paragraphs before, behind and in a box of the content element say nothing about the page."""
+    docs = load(spark, d, "documents").select(F.col("doc_id").alias("page_id"))
+    own = F.regexp_replace("html", r"(?i)</?(nav|div|article|main|section|aside)\b[^>]*>", "")
+    wrapped = F.concat(F.lit(f'<p>{PHRASE}</p><div id="content"><div><p>{PHRASE} box</p></div>'), own, F.lit(f"</div><p>{PHRASE} footer</p>"))
+    pages = load(spark, d, "pages").select("page_id", wrapped.alias("html"))
+    return D.page_existence(docs, pages, "page_id", "html", PHRASE, within="content")
+
+
+def untitled_rows(spark, d):
+    """Every tenth name is missing; the merge leaves those rows out and the report has them."""
+    spoiled = lambda table, key, name: load(spark, d, table).select(
+        F.when(F.col(key) % 10 != 0, F.col(name)).alias("name"), F.concat(F.lit("/"), F.col(key).cast("string")).alias("url"))
+    first, second = spoiled("supplier", "s_suppkey", "s_name"), spoiled("customer", "c_custkey", "c_name")
+    merged = C.merged_catalogue(first, second, WIKI).select("url", F.lit("merged").alias("source"))
+    return merged.unionByName(C.untitled(first=first, second=second).select("url", "source"))
+
+
+def stored_movies(spark, d):
+    """Movie rows in a table that is created once however often it is asked for."""
+    table = f"movies_{uuid.uuid4().hex}"
+    made = [create_if_absent(spark, table, MOVIES) for _ in range(2)]
+    scripts = load(spark, d, "documents").select(F.col("doc_id").cast("string").alias("name"), "text")
+    G.movies(scripts, Q.HEADERS).write.insertInto(table)
+    rows = store(spark.table(table).select("name", F.char_length("full_script").cast("bigint").alias("n_chars"), F.size("scenes").cast("bigint").alias("n_scenes"),
+                                           F.lit(made == [True, False]).alias("created_once")), "read")
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 def semi_labeled_docs(spark, d):
     return M.keep_matching(load(spark, d, "documents", "doc_id", "lang"), load(spark, d, "labels", "doc_id"), "doc_id")
 
@@ -158,7 +189,7 @@ def quarantine_report(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     outer_merge_indicator, outer_merge_orders, prioritized_merge, merged_catalogue, ingest_lists, page_existence,
-    semi_labeled_docs, anti_unlabeled_docs, keyed_upsert, upsert_unmatched, append_new_keys, dropna_subset,
+    page_existence_within, untitled_rows, stored_movies, semi_labeled_docs, anti_unlabeled_docs, keyed_upsert, upsert_unmatched, append_new_keys, dropna_subset,
     dedupe_first, dedupe_last, priority_dedupe, staged_scripts, movie_rows, route_by_kind, union_all_catalogs,
     rename_pattern, lookup_default, quarantine_rows, quarantine_report)}
 
@@ -193,6 +224,14 @@ WITH {_CATALOGUE},
 SELECT title, 'scripts' AS list, url AS target FROM kept UNION ALL SELECT title, 'wiki', url_wiki FROM kept""",
     "page_existence": f"""
 SELECT doc_id AS page_id, CASE WHEN html IS NOT NULL THEN {_EXISTS} END AS page_exists FROM documents LEFT JOIN pages ON doc_id = page_id""",
+    "page_existence_within": f"""
+SELECT doc_id AS page_id, CASE WHEN html IS NOT NULL THEN {_EXISTS} END AS page_exists FROM documents LEFT JOIN pages ON doc_id = page_id""",
+    "untitled_rows": """
+WITH c AS (SELECT '/' || s_suppkey AS url, s_suppkey % 10 = 0 AS bad, 'first' AS source FROM supplier
+           UNION ALL SELECT '/' || c_custkey, c_custkey % 10 = 0, 'second' FROM customer)
+SELECT url, CASE WHEN bad THEN source ELSE 'merged' END AS source FROM c""",
+    "stored_movies": f"""
+SELECT doc_id::varchar AS name, length(text)::bigint AS n_chars, len({Q.segments('text')})::bigint AS n_scenes, true AS created_once FROM documents""",
     "semi_labeled_docs": "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
     "anti_unlabeled_docs": "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "keyed_upsert": "SELECT d.doc_id, lang, quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
