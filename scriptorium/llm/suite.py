@@ -50,4 +50,44 @@ def op10_token_counts(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_fingerprints, op3_decontaminate, op4_privacy, op5_bpe_tokens, op6_suffix_dedup, op7_substring_dedup, op8_quality, op9_toxicity, op10_token_counts)}
-SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+#: What SQL can express; the others are tested against libraries, plain versions or held-out labels.
+SQL: dict[str, str] = {
+    "op1_ngram_join": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')")} AS words FROM documents),
+  s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 2], ' ') AS g
+        FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM w WHERE len(words) > 0)),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+  shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+  link AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+  edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+  reach(a, b) AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::bigint AS n_shingles, least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id""",
+    "op6_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+  g AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d)),
+  f AS (SELECT s, min(doc_id) AS low FROM g GROUP BY s),
+  hit AS (SELECT g.doc_id, i FROM g JOIN f ON g.s = f.s WHERE low < g.doc_id),
+  cut AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+          SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM hit)),
+  runs AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM cut GROUP BY doc_id, run),
+  gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs),
+  kept AS (SELECT doc_id, count(*) AS n, sum(b - a) AS removed, max(b) AS last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+           FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, (len(h) // 2)::bigint AS n_bytes, coalesce(removed, 0)::bigint AS n_removed, coalesce(n, 0)::bigint AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id""",
+    "op7_substring_dedup": f"""
+WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS words FROM documents),
+  g AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS s FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w)),
+  f AS (SELECT s, min(doc_id) AS low FROM g GROUP BY s),
+  gone AS (SELECT DISTINCT doc_id, i + o AS p FROM g JOIN f ON g.s = f.s, range(13) r(o) WHERE low < doc_id),
+  each AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM w),
+  kept AS (SELECT e.doc_id, count(gone.p) AS n, string_agg(word, ' ' ORDER BY e.p) FILTER (WHERE gone.p IS NULL) AS t
+           FROM each e LEFT JOIN gone ON gone.doc_id = e.doc_id AND gone.p = e.p GROUP BY e.doc_id)
+SELECT w.doc_id, len(words)::bigint AS n_words, coalesce(n, 0)::bigint AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+}
