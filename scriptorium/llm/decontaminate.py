@@ -2,7 +2,7 @@
 
 Test items are indexed by shards of a bounded number of words, built one after another and broadcast. A term's weight in an item is its BM25 score
 over the item's score against itself, so 1 is a full match and one threshold serves all items. Postings are cut into
-blocks of 32 items with their largest weight. For a batch of passages (overlapping windows of every text) the bounds are summed term by term:
+blocks of 8 items with their largest weight. For a batch of passages (overlapping windows of every text) the bounds are summed term by term:
 first over the whole index, then block by block; what cannot reach the threshold is skipped, as in block-max WAND, and the rest is
 scored exactly. Every item at or above the threshold is retrieved.
 
@@ -15,6 +15,7 @@ Result: one row per leaking document and item. Null or empty texts and items lea
 from __future__ import annotations
 
 import re
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,9 @@ from pyspark.sql import DataFrame, functions as F
 from scriptorium.llm.common import bounds, slices, two_columns
 
 K1, B = 1.2, 0.75
-BLOCK, SHARD_WORDS, LEAST_PASSAGE = 32, 1_000_000, 64
+BLOCK, SHARD_WORDS, LEAST_PASSAGE = 8, 1_000_000, 64
+#: Bounds of passages by blocks held at once.
+CELLS = 1 << 21
 _BLANK = bytes(32 if b < 33 or (b < 128 and not chr(b).isalnum()) else b for b in range(256))
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -91,11 +94,16 @@ class Index:
         if not len(term):
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
         blocks = int(self.block.max()) + 1
-        entry, own = self._spread(self.block_at, term)
-        key, which = np.unique(passage[own] * blocks + self.block[entry], return_inverse=True)
-        bound = np.bincount(which, self.block_most[entry])
-        keep = (bound >= threshold - 1e-4)[which]
-        entry, own = entry[keep], own[keep]
+        number = np.cumsum(np.concatenate([[0], passage[1:] != passage[:-1]]))
+        kept = []
+        some = max(1, CELLS // blocks)  # passages whose bounds are held at once
+        for a in range(0, int(number[-1]) + 1, some):
+            lo, hi = np.searchsorted(number, [a, a + some])
+            entry, own = self._spread(self.block_at, term[lo:hi])
+            cell = (number[lo:hi][own] - a) * blocks + self.block[entry]
+            keep = (np.bincount(cell, self.block_most[entry]) >= threshold - 1e-4)[cell]
+            kept.append((entry[keep], own[keep] + lo))
+        entry, own = (np.concatenate(x) for x in zip(*kept))
         post, of = self._spread(self.block_post, entry)
         key, which = np.unique(passage[own][of] * len(self.ids) + self.item[post], return_inverse=True)
         score = np.bincount(which, self.weight[post])
@@ -107,8 +115,7 @@ class Index:
         words = [words_of(t) for t in texts]
         n = np.array([len(w) for w in words])
         at = bounds(n)
-        get = self.terms.get
-        term = np.fromiter((get(w, -1) for t in words for w in t), np.int64, int(at[-1]))
+        term = np.fromiter(map(self.terms.get, chain.from_iterable(words), repeat(-1)), np.int64, int(at[-1]))
         step = self.passage // 2
         many = np.maximum(1, -(-n // step) - 1)
         base = bounds(many)
@@ -120,7 +127,12 @@ class Index:
         first, second = np.minimum(half, many[own] - 1), half - 1
         passage = np.concatenate([base[own] + first, (base[own] + second)[(second >= 0) & (second != first)]])
         terms = np.concatenate([term[here], term[here][(second >= 0) & (second != first)]])
-        key = np.unique(passage * len(self.terms) + terms)
+        # A first bound counts repeated terms every time: what stays below the threshold need not be sorted.
+        live = (np.bincount(passage, self.most[terms]) >= threshold - 1e-4)[passage]
+        key = np.sort(passage[live] * len(self.terms) + terms[live])
+        if not len(key):
+            return []
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
         passage, item, score = self.search(key // len(self.terms), key % len(self.terms), threshold)
         best: dict[tuple[int, int], tuple] = {}
         for p, k, s in zip(passage.tolist(), item.tolist(), score.tolist()):
