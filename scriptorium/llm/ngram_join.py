@@ -8,7 +8,7 @@
 3. Pairs are tried in three steps: in each n-gram's list the nodes against one of them, once by smallest node, once by a changing one, and
    last all pairs that are still in different components. So a large group of near copies takes work in proportion to its size,
    and no pair that could join two components is left out.
-4. A pair has to pass the length filter and the positional filter at its first common n-gram; then the sets themselves are
+4. A pair has to pass the length filter and the positional filter, at each common n-gram with what may have been shared before it, then at the first; then the sets themselves are
    fetched, the suffix filter splits what follows the prefix and bounds the overlap, and the intersection is counted, once per pair.
 
 A text without words has an empty set and no links; one with fewer words than ``n`` has its whole sequence as only
@@ -22,14 +22,15 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import zstandard
+from pyspark.sql import DataFrame, Window, functions as F
 
 from scriptorium.llm.anchors import keyed
 from scriptorium.llm.common import ODD, Hashes, IdFilter, bounds, grams, holding, may_be_in, mix, slices, store, to_batch
 from scriptorium.llm.components import roots
 
 #: Slots of the sketch that ranks n-grams (a power of two), and the pieces it travels in.
-SLOTS_LOG2, PIECES = 21, 16
+SLOTS_LOG2, PIECES = 24, 64
 
 
 def shingle_sets(texts: list[bytes], k: int, hashes: Hashes) -> list[np.ndarray]:
@@ -63,19 +64,20 @@ _FIRST = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("n", pa.int
 
 def _first_pass(k: int):
     def run(batches):
-        hashes, counts = Hashes(), np.zeros(1 << SLOTS_LOG2, np.uint32)
+        hashes, counts = Hashes(), np.zeros(1 << SLOTS_LOG2, np.uint16)
         for batch in batches:
             digests, base = batch.column("digest"), 0
             for ids, texts in slices(batch, 2 << 20):
                 sets = shingle_sets(texts, k, hashes)
-                counts += np.bincount(_slot(np.concatenate(sets)), minlength=1 << SLOTS_LOG2).astype(np.uint32)
+                slots, n = np.unique(_slot(np.concatenate(sets)), return_counts=True)
+                counts[slots] = np.minimum(counts[slots] + n, 65535)
                 yield to_batch(_FIRST, doc_id=ids, digest=digests[base:base + len(ids)], n=[len(s) for s in sets], node=[node_of(s) if len(s) else None for s in sets],
                                piece=[None] * len(ids), counts=[None] * len(ids))
                 base += len(ids)
-        small = np.minimum(counts, 65535).astype(np.uint16).reshape(PIECES, -1)
-        for p in range(PIECES):
-            if small[p].any():
-                yield to_batch(_FIRST, doc_id=[None], digest=[None], n=[None], node=[None], piece=[p], counts=[small[p].tobytes()])
+        pack = zstandard.ZstdCompressor(level=1)
+        for p, piece in enumerate(counts.reshape(PIECES, -1)):
+            if piece.any():
+                yield to_batch(_FIRST, doc_id=[None], digest=[None], n=[None], node=[None], piece=[p], counts=[pack.compress(piece.tobytes())])
     return run
 
 
@@ -87,7 +89,8 @@ def _ranks(first: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for p, raw in zip(b.column("piece").to_pylist(), b.column("counts").to_pylist()):
-                total[p] = total.get(p, 0) + np.frombuffer(raw, np.uint16).astype(np.uint64)
+                own = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint16)
+                total[p] = total.get(p, np.zeros(size, np.uint32)) + own
         for p, c in total.items():
             ranks = np.minimum(255, 8 * np.log2(1.0 + c)).astype(np.uint8)
             yield pa.RecordBatch.from_pydict({"piece": pa.array([p], pa.int32()), "ranks": pa.array([ranks.tobytes()])})
@@ -173,17 +176,19 @@ def _candidates(index: DataFrame, step: str, num: int, den: int) -> DataFrame:
     else:
         key = F.col("node") if step == "first" else F.xxhash64("node", "token")
         best = mine.groupBy("token").agg(F.min(key).alias("best"))
-        other = mine.join(best, "token").where(key == F.col("best")).select("token", "node", "n", "pos", "comp")
-    other = other.select("token", *[F.col(c).alias(c + "2") for c in ("node", "n", "pos", "comp")])
-    fits = (F.least("n", "n2") * den >= F.greatest("n", "n2") * num) & (F.col("comp") != F.col("comp2"))
+        other = mine.join(best, "token").where(key == F.col("best")).select("token", "node", "n", "pos", "live", "comp")
+    other = other.select("token", *[F.col(c).alias(c + "2") for c in ("node", "n", "pos", "live", "comp")])
+    need = lambda a, b: F.ceil(F.lit(num) * (a + b) / F.lit(den + num) - F.lit(1e-9))
+    # Shared are at most: the live n-grams before this one, this one, and all behind it.
+    most = F.least("live", "live2") + F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
+    fits = (F.least("n", "n2") * den >= F.greatest("n", "n2") * num) & (most >= need(F.col("n"), F.col("n2"))) & (F.col("comp") != F.col("comp2"))
     if step == "all":
         fits = fits & (F.col("node") < F.col("node2"))
     pairs = mine.join(other, (mine.token == other.token) & fits).select(
         *[F.when(F.col("node") < F.col("node2"), F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (
             ("node", "node2", "a"), ("node2", "node", "b"), ("n", "n2", "na"), ("n2", "n", "nb"), ("pos", "pos2", "i"), ("pos2", "pos", "j"))])
     pairs = pairs.groupBy("a", "b", "na", "nb").agg(F.min("i").alias("i"), F.min("j").alias("j"))
-    need = F.ceil(F.lit(num) * (F.col("na") + F.col("nb")) / F.lit(den + num) - F.lit(1e-9))
-    return pairs.where(1 + F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j")) - 1 >= need).select("a", "b")
+    return pairs.where(F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j")) >= need(F.col("na"), F.col("nb"))).select("a", "b")
 
 
 def similar_components(docs: DataFrame, k: int, num: int, den: int = 100) -> DataFrame:
@@ -197,7 +202,9 @@ def similar_components(docs: DataFrame, k: int, num: int, den: int = 100) -> Dat
     lists = lists.join(reps, (lists.node == reps.node) & lists.doc_id.eqNullSafe(reps.doc_id), "left_semi")
     index = lists.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
     shared = index.groupBy("token").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 < n1").select("token")
-    index = store(index.join(shared, "token", "left_semi").select("token", "node", "n", "pos"), "index")
+    # ``live`` is the number of n-grams before it in the prefix that another node has as well: only those can be shared.
+    before = F.row_number().over(Window.partitionBy("node").orderBy("pos")) - 1
+    index = store(index.join(shared, "token", "left_semi").select("token", "node", "n", "pos", before.alias("live")), "index")
     comps, tried = None, None
     for step in ("first", "spread", "all"):
         named = index.withColumn("comp", F.col("node")) if comps is None else index.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
