@@ -5,8 +5,8 @@
    never too low). The sketch only ranks n-grams: any total order gives the same links.
 2. A set's n-grams are ordered rare first. Sets that reach the threshold share one of the first ``n - ceil(t n) + 1``, so only these
    are joined. N-grams in a single node's prefix are dropped.
-3. Pairs are tried in three steps: in each n-gram's list the nodes against one of them, once by smallest node, once by a changing one, and
-   last all pairs that are still in different components. So a large group of near copies takes work in proportion to its size,
+3. Pairs are tried in three steps: in each n-gram's list the nodes against one of them, first the one with the fewest n-grams of its own, then a changing
+   one, and last all pairs that are still in different components. So a large group of near copies takes work in proportion to its size,
    and no pair that could join two components is left out.
 4. A pair has to pass the length filter and the positional filter, at each common n-gram with what may have been shared before it, then at the first; then the sets themselves are
    fetched, the suffix filter splits what follows the prefix and bounds the overlap, and the intersection is counted, once per pair.
@@ -174,7 +174,9 @@ def _candidates(index: DataFrame, step: str, num: int, den: int) -> DataFrame:
     if step == "all":
         other = mine
     else:
-        key = F.col("node") if step == "first" else F.xxhash64("node", "token")
+        # A node with few n-grams of its own is near all others of its group; else a different node for each n-gram.
+        own = F.shiftleft(F.col("pos").cast("long") - F.col("live"), 44).bitwiseOR(F.shiftrightunsigned(F.xxhash64("node"), 20))
+        key = own if step == "central" else F.xxhash64("node", "token")
         best = mine.groupBy("token").agg(F.min(key).alias("best"))
         other = mine.join(best, "token").where(key == F.col("best")).select("token", "node", "n", "pos", "live", "comp")
     other = other.select("token", *[F.col(c).alias(c + "2") for c in ("node", "n", "pos", "live", "comp")])
@@ -203,10 +205,10 @@ def similar_components(docs: DataFrame, k: int, num: int, den: int = 100) -> Dat
     index = lists.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
     shared = index.groupBy("token").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 < n1").select("token")
     # ``live`` is the number of n-grams before it in the prefix that another node has as well: only those can be shared.
-    before = F.row_number().over(Window.partitionBy("node").orderBy("pos")) - 1
+    before = (F.row_number().over(Window.partitionBy("node").orderBy("pos")) - 1).cast("long")
     index = store(index.join(shared, "token", "left_semi").select("token", "node", "n", "pos", before.alias("live")), "index")
     comps, tried = None, None
-    for step in ("first", "spread", "all"):
+    for step in ("central", "spread", "all"):
         named = index.withColumn("comp", F.col("node")) if comps is None else index.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         pairs = _candidates(named, step, num, den)
         if tried is not None:
