@@ -16,7 +16,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from scriptorium.llm.common import ODD, Hashes, IdFilter, bounds, grams, may_be_in, mix, skipping, slices, store, two_columns
+from scriptorium.llm.common import ODD, Hashes, IdFilter, bounds, grams, may_be_in, mix, skipping, slices, small_batches, store, two_columns
 
 #: Most elements hashed at once; longer texts are cut with an overlap.
 BLOCK = 1 << 18
@@ -167,8 +167,9 @@ class RepeatSketch:
         rows = docs.map(count, schema).repartition(2 * parts, "line", "part").mapInArrow(merge, schema)
         bits = np.zeros((2, 1 << (log2 - 3)), np.uint8)
         size = 1 << (PART_LOG2 - 3)
-        for r in rows.toLocalIterator():
-            bits[r.line, r.part * size:(r.part + 1) * size] = np.frombuffer(r.seen, np.uint8)
+        with small_batches(rows.sparkSession):
+            for r in rows.toLocalIterator():
+                bits[r.line, r.part * size:(r.part + 1) * size] = np.frombuffer(r.seen, np.uint8)
         return cls(bits, log2)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -9,7 +11,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from scriptorium.session import store, work_dir  # noqa: F401  (used by the operators)
+from scriptorium import session
 from scriptorium.sources.tables import load
 
 #: Multipliers of the polynomial and finalising hashes.
@@ -18,6 +20,28 @@ ODD, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9),
 DICT_ENTRIES = 150_000
 
 
+#: Rows of an Arrow batch in the passes below: whole texts are large, and each batch is held by the JVM and by Python.
+ARROW_ROWS = 2_000
+
+
+@contextmanager
+def small_batches(spark, rows: int = ARROW_ROWS):
+    """Arrow batches of at most ``rows`` rows for what is run inside; the session's own setting is put back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """``session.store`` with small batches."""
+    with small_batches(df.sparkSession):
+        return session.store(df, name)
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "documents", "doc_id", "text")
 

@@ -199,7 +199,8 @@ def similar_components(docs: DataFrame, k: int, num: int, den: int = 100) -> Dat
     first = store(docs.mapInArrow(_first_pass(k), "doc_id long, digest long, n long, node long, piece int, counts binary"), "sets")
     rows = first.where("piece is null").select("doc_id", "digest", "n", "node")
     ranks = spark.sparkContext.broadcast(_ranks(first))
-    reps = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    reps = rows.where("node is not null").groupBy("node", "doc_id").agg(F.count("*").alias("n"))
+    reps = store(reps.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "nodes")
     lists = docs.mapInArrow(_prefixes(k, num, den, ranks), "doc_id long, node long, n long, tokens array<long>")
     lists = lists.join(reps, (lists.node == reps.node) & lists.doc_id.eqNullSafe(reps.doc_id), "left_semi")
     index = lists.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
@@ -230,7 +231,8 @@ def similar_components(docs: DataFrame, k: int, num: int, den: int = 100) -> Dat
             fresh = found.join(comps, "node", "left_anti").select("node", F.col("root").alias("comp"))
             comps = moved.unionByName(fresh)
         comps = store(comps, "components")
-    named = reps.withColumn("comp", F.col("node")) if comps is None else reps.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = reps.drop("n")
+    named = named.withColumn("comp", F.col("node")) if comps is None else named.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     low = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     members = named.select("node", "comp").join(low, "comp").select("node", "component_id")
     alone = rows.where("node is null").withColumn("component_id", F.col("doc_id"))
@@ -243,11 +245,13 @@ def _linked(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, num: int
     """The pairs that reach the threshold. Only the texts of their nodes are cut into n-grams again."""
     spark = docs.sparkSession
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = store(reps.join(nodes, "node"), "wanted")
+    wanted = store(reps.select("node", "doc_id").join(nodes, "node"), "wanted")
     ids = spark.sparkContext.broadcast(IdFilter.of(wanted.select("doc_id").where("doc_id is not null")))
     sets = docs.mapInArrow(holding(ids, _sets(k)), "doc_id long, node long, members binary")
     sets = sets.join(wanted, (sets.node == wanted.node) & sets.doc_id.eqNullSafe(wanted.doc_id), "left_semi").select("node", "members")
-    sets = store(sets.dropDuplicates(["node"]), "members")
+    if not reps.where("n > 1").isEmpty():  # a row that is there twice has its set twice
+        sets = sets.dropDuplicates(["node"])
+    sets = store(sets, "members")
     left, right = (sets.select(F.col("node").alias(n), F.col("members").alias(m)) for n, m in (("a", "ma"), ("b", "mb")))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb").mapInArrow(_verify(num, den), "u long, v long")
 
