@@ -2,12 +2,12 @@
 
 E-mail and IP addresses, card and phone numbers are found by fixed patterns. Each distinct value is a protected entity. Over the whole
 corpus, terms within six words of a mention are counted with it, and all occurrences of such terms; a term discloses
-an entity if it stands by it in at least three different contexts, mostly occurs there, and tells at least ``bits`` about
+an entity if it stands by it in at least two different texts, mostly occurs there, and tells at least ``bits`` about
 it: ``log2(p(entity | term) / p(entity))``. Disclosing terms are spans wherever they occur: above ``remove_bits`` they are removed, below
 generalised. Spans of the rules stay as they are; terms inside them add nothing.
 
 A null or empty text has no spans. Rows are independent: repeated rows and ids give repeated rows, and copies of a text
-are no further contexts.
+are no further support. What a single text shows is chance as well as not, so it discloses nothing.
 """
 
 from __future__ import annotations
@@ -80,16 +80,16 @@ def _hash(data: bytes) -> int:
 
 
 def _contexts(batches):
-    """Each mention: entity, and the terms by it; a context is known by the words around."""
-    schema = pa.schema([("entity", pa.int64()), ("context", pa.int64()), ("terms", pa.list_(pa.string()))])
+    """Each mention: entity, the digest of its text, and the terms by it."""
+    schema = pa.schema([("entity", pa.int64()), ("digest", pa.int64()), ("terms", pa.list_(pa.string()))])
     for b in batches:
         rows = []
-        for t in b.column("text").to_pylist():
+        for t, digest in zip(b.column("text").to_pylist(), b.column("digest").to_pylist()):
             for start, kind, end in rule_spans(t) if t else ():
                 before = [m.encode().lower() for m in _TERM.findall(text_before(t, start))[-NEAR:]]
                 after = [m.encode().lower() for m in _TERM.findall(t[end:end + 400])[:NEAR]]
                 entity = _hash(f"{KINDS[kind]}:{t[start:end].lower()}".encode())
-                rows.append((entity, _hash(b" ".join([*before, b"|", *after])), sorted({w.decode() for w in before + after if len(w) > 2})))
+                rows.append((entity, digest, sorted({w.decode() for w in before + after if len(w) > 2})))
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
@@ -153,14 +153,15 @@ def _term_ids(terms: DataFrame) -> DataFrame:
     return terms.select("term").mapInArrow(run, "id long")
 
 
-def disclosing_terms(docs: DataFrame, contexts: int = 3, share: float = 0.5, bits: float = 5.0) -> DataFrame:
+def disclosing_terms(docs: DataFrame, support: int = 2, share: float = 0.5, bits: float = 5.0) -> DataFrame:
     """``term``, ``bits`` of all terms that give an entity away, from counts over the whole corpus."""
     spark = docs.sparkSession
-    near = store(docs.mapInArrow(_contexts, "entity long, context long, terms array<string>"), "contexts")
+    keys = docs.select("text", F.xxhash64("text").alias("digest"))
+    near = store(keys.mapInArrow(_contexts, "entity long, digest long, terms array<string>"), "contexts")
     entities = near.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = near.select("entity", "context", F.explode("terms").alias("term"))
-    pairs = pairs.groupBy("term", "entity", "context").agg(F.count("*").alias("n")).groupBy("term", "entity").agg(F.sum("n").alias("joint"), F.count("*").alias("contexts"))
-    pairs = store(pairs.where(F.col("contexts") >= contexts), "pairs")
+    pairs = near.select("entity", "digest", F.explode("terms").alias("term"))
+    pairs = pairs.groupBy("term", "entity", "digest").agg(F.count("*").alias("n")).groupBy("term", "entity").agg(F.sum("n").alias("joint"), F.count("*").alias("texts"))
+    pairs = store(pairs.where(F.col("texts") >= support), "pairs")
     ids = spark.sparkContext.broadcast(IdFilter.of(_term_ids(pairs.select("term").distinct()), 22))
     total = docs.select("text").mapInArrow(_term_counts(ids), "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
     told, mentions = pairs.join(total, "term").join(entities, "entity"), near.count()

@@ -240,6 +240,23 @@ def test_disclosing_terms(spark):
     assert sorted(r.text or "" for r in kept.collect() if r.doc_id in (90, 91)) == ["", "later [term] came"]
 
 
+def test_footers_and_names_disclose(spark):
+    """With the limits of production: the same footer under different texts, and a name by an address in two texts."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("aeioulmnrst") for _ in range(6)) for _ in range(300)]
+    line = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(i, f"{line(60)} Regards from Zdenka Quillfeather at zq@mail.org or by post to Saint Mary Lane") for i in range(5)]
+    rows += [(100 + i, f"{line(20)} Brzezinski ({line(1)}) bb@mail.org {line(20)}") for i in range(2)]
+    rows += [(200 + i, f"{line(30)} u{i}@x.org {line(30)}") for i in range(200)]
+    rows += [(500 + i, "once Hapaxovsky h@mail.org wrote") for i in range(5)]
+    rows += [(900, "then Quillfeather left"), (901, "then Brzezinski left"), (902, "then Hapaxovsky left")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in privacy.sanitise(docs).collect()}
+    assert len(got) == len(rows)
+    assert [got[i].spans for i in (900, 901, 902)] == ["term:5:17", "term:5:15", ""]
+    assert all("Quillfeather" not in got[i].clean and "zq@mail.org" not in got[i].clean for i in range(5))
+
+
 def test_privacy_on_awkward_rows(docs, nothing):
     got = rows_of(privacy.sanitise(docs, texts=False))
     assert len(got) == len(ROWS) and all(r[1:5] == (0, 0, 0, 0) for r in got)
