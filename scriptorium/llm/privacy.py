@@ -6,7 +6,7 @@ an entity if it stands by it in at least two different texts, mostly occurs ther
 it: ``log2(p(entity | term) / p(entity))``. Disclosing terms are spans wherever they occur: above ``remove_bits`` they are removed, below
 generalised. Spans of the rules stay as they are; terms inside them add nothing.
 
-A null or empty text has no spans. Rows are independent: repeated rows and ids give repeated rows, and copies of a text
+A null or empty text has no spans. A row without an id is treated as any other. Rows are independent: repeated rows and ids give repeated rows, and copies of a text
 are no further support. What a single text shows is chance as well as not, so it discloses nothing.
 """
 
@@ -232,14 +232,15 @@ def _term_marks(docs: DataFrame, remove_bits: float, **limits) -> DataFrame:
 def sanitise(docs: DataFrame, texts: bool = True, remove_bits: float = 12.0, **limits) -> DataFrame:
     """``doc_id``, numbers of rule spans, ``base_sha256``, ``spans`` and, with ``texts``, the ``clean`` text.
 
-    Only texts that may hold a disclosing term are joined with its occurrences; the others are not shuffled.
+    Only texts that may hold a disclosing term, and rows without an id, are joined with its occurrences; the others are not shuffled.
     """
     docs, spark = keyed(docs), docs.sparkSession
     marks = _term_marks(docs, remove_bits, **limits)
     ids = spark.sparkContext.broadcast(IdFilter.of(marks.select("doc_id")))
     plain = docs.select("doc_id", "text", F.lit(None).cast(marks.schema["terms"].dataType).alias("terms"))
-    rest = docs.where(may_be_in(ids, "doc_id")).join(marks, ["doc_id", "digest"], "left").select("doc_id", "text", "terms")
-    rest = rest.unionByName(plain.where("doc_id is null"))
+    marked = marks.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "terms")
+    key = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest"))
+    rest = docs.where(may_be_in(ids, "doc_id") | F.col("doc_id").isNull()).join(marked, key, "left").select("doc_id", "text", "terms")
     out = plain.mapInArrow(skipping(ids, _final(texts)), _RESULT_SQL).unionByName(rest.mapInArrow(_final(texts), _RESULT_SQL))
     return out if texts else out.drop("clean")
 
@@ -265,7 +266,6 @@ def sanitised_rows(docs: DataFrame, remove_bits: float = 12.0, **limits) -> Data
 
     plain = docs.select("*", F.lit(None).cast(kind).alias("__terms"))
     marked = marks.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("terms").alias("__terms"))
-    key = (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__digest"))
-    rest = docs.where(may_be_in(ids, "doc_id")).join(marked, key, "left").drop("__id", "__digest")
-    rest = rest.unionByName(plain.where("doc_id is null"))
+    key = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__digest"))
+    rest = docs.where(may_be_in(ids, "doc_id") | F.col("doc_id").isNull()).join(marked, key, "left").drop("__id", "__digest")
     return plain.mapInArrow(skipping(ids, run), schema).unionByName(rest.mapInArrow(run, schema))

@@ -257,6 +257,17 @@ def test_footers_and_names_disclose(spark):
     assert all("Quillfeather" not in got[i].clean and "zq@mail.org" not in got[i].clean for i in range(5))
 
 
+def test_terms_in_rows_without_an_id(spark):
+    rows = [(i, f"w{i} Brzezinski wrote from bb@mail.org on day {i}") for i in range(4)] + [(10 + i, f"mail to u{i}@x.org please") for i in range(300)]
+    rows += [(None, "then Brzezinski left"), (None, "then Brzezinski left"), (None, "none of that"), (None, None), (0, "then Brzezinski left")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = [("none of that", ""), ("then [term] left", "term:5:15"), ("then [term] left", "term:5:15"), (None, "")]
+    got = [(r.doc_id, r.clean, r.spans) for r in privacy.sanitise(docs).collect()]
+    assert len(got) == len(rows) and sorted((x[1:] for x in got if x[0] is None), key=repr) == sorted(want, key=repr)
+    kept = [(r.doc_id, r.text) for r in privacy.sanitised_rows(docs).collect()]
+    assert len(kept) == len(rows) and sorted((t for i, t in kept if i is None), key=repr) == sorted((t for t, _ in want), key=repr)
+
+
 def test_privacy_on_awkward_rows(docs, nothing):
     got = rows_of(privacy.sanitise(docs, texts=False))
     assert len(got) == len(ROWS) and all(r[1:5] == (0, 0, 0, 0) for r in got)
