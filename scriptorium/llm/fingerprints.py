@@ -1,10 +1,13 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut into paragraphs: at line ends, after sentences, and within long sentences where the bytes before a blank hash to
-a chosen value, so that a change only moves the cuts next to it. Each distinct paragraph's 64-bit digest is added to three cells, which hold a
+A text is cut into paragraphs: at line ends, after sentences, and where the bytes before white space, or more rarely before any code point,
+hash to a chosen value, so that a change only moves the cuts next to it. What is still longer is cut every 8 words, and then every 64 bytes. The
+beginning is cut finer, into pieces of 1, 2, 4, 8 and 16 bytes (to the next code point), so short texts have several. These rules look only at
+what stands before, hence a text that is kept up to some place keeps its paragraphs up to there. Each paragraph's 64-bit digest, which includes how many
+equal ones stand before it, is added to three cells, which hold a
 number, a sum of digests and a sum of checks. Of two versions the sketches are subtracted, what they share cancels out, and
 peeling cells with a single digest recovers what only one of them has. If that gets stuck, both are sketched again four times larger, until
-it succeeds. The likeness is the number of shared over all distinct paragraphs, 1 for two empty texts.
+it succeeds. The likeness is the number of shared over all paragraphs, 1 for two empty texts.
 
 ``fingerprint`` is the sketch of the first size as text, so equal texts have equal ones. Documents are put in order of their ids by ranges; the first
 document of a range is also sent to the range before, so every document meets its successor in one task.
@@ -25,37 +28,64 @@ from pyspark.sql import DataFrame, functions as F
 from scriptorium.llm.anchors import BYTE_HASH
 from scriptorium.llm.common import ODD, bounds, grams, mix, two_columns
 
-#: Cells of one of the three parts at first, growth on failure, one cut in so many blanks, bytes handled at once.
-CELLS, GROWTH, CUT, TOGETHER = 8, 4, 16, 1 << 20
+#: Cells of one of the three parts at first, growth on failure, one cut in so many blanks and in so many code points, bytes handled at once.
+CELLS, GROWTH, CUT, RARE_CUT, TOGETHER = 8, 4, 16, 64, 1 << 20
+#: Longest paragraph in words and in bytes, and where the pieces at the beginning of a text start.
+MOST_WORDS, MOST_BYTES, HEAD = 8, 64, (1, 3, 7, 15, 31)
 #: Bytes of text a range should hold, and most ranges.
 RANGE_BYTES, MOST_RANGES = 16 << 20, 100_000
 _SALT = [np.uint64(x) for x in (0x51, 0x9D2C, 0x3F84D5B5)]
 
 
+def _starts(data: np.ndarray, h: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Where paragraphs start, by ``first`` and ``size`` of the texts, none of them empty."""
+    n = len(data)
+    white = (data == 32) | ((data >= 9) & (data <= 13))
+    inner = (data & 0xC0) == 0x80  # not the beginning of a code point
+    stop = (data == 46) | (data == 33) | (data == 63)
+    cut = np.zeros(n + 1, bool)  # before this byte
+    after = np.zeros(n, bool)
+    after[1:] = white[1:] & stop[:-1]
+    after[first] = False
+    cut[1:] = after | (data == 10)
+    if n > 8:
+        g = grams(h, 8)[:-1]  # the 8 bytes before
+        seen = np.arange(8, n) - np.repeat(first, size)[8:] >= 8  # what stands before a text does not count
+        cut[9:] |= white[8:] & seen & (g % np.uint64(CUT) == 0)
+        cut[8:-1] |= ~inner[8:] & seen & (g % np.uint64(RARE_CUT) == 1)
+
+    def snapped(at: np.ndarray) -> np.ndarray:
+        for _ in range(3):
+            at = np.where(inner[np.minimum(at, n - 1)], np.minimum(at + 1, n), at)
+        return at
+
+    for k in HEAD:
+        cut[snapped(first[size > k] + k)] = True
+    cut[first] = True
+    start = np.flatnonzero(cut[:n])
+    end = np.zeros(n, np.int64)  # words that end up to here
+    end[1:] = white[1:] & ~white[:-1]
+    end[first] = 0
+    words = np.cumsum(end)
+    before = np.repeat(words[start] - end[start], np.diff(np.append(start, n)))
+    cut[1:] |= (end == 1) & (words > before) & ((words - before) % MOST_WORDS == 0)
+    start = np.flatnonzero(cut[:n])
+    more = (np.diff(np.append(start, n)) - 1) // MOST_BYTES
+    step = np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more) + 1
+    cut[snapped(np.repeat(start, more) + step * MOST_BYTES)] = True
+    return np.flatnonzero(cut[:n])
+
+
 def paragraphs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct paragraph digests of each text: text numbers and digests, sorted."""
+    """Paragraph digests of each text: text numbers and digests, by text; equal paragraphs of a text are told apart by their number."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     if not len(data):
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     size = np.array([len(t) for t in texts])
     at = bounds(size)
     h = BYTE_HASH[data]
-    cut = data == 10
-    blank = data == 32
-    stop = (data == 46) | (data == 33) | (data == 63)
-    more = np.zeros(len(data), bool)
-    first = at[:-1][size > 0]
-    if len(data) > 8:
-        more[8:] = blank[8:] & (grams(h, 8)[:-1] % np.uint64(CUT) == 0)
-        for i in range(8):  # what stands before a text does not count
-            more[np.minimum(first + i, len(data) - 1)] = False
-    more[1:] |= blank[1:] & stop[:-1]
-    more[first] = False
-    cut |= more
-    cut[at[1:][size > 0] - 1] = True
-    end = np.flatnonzero(cut) + 1
-    start = np.concatenate([[0], end[:-1]])
-    length = end - start
+    start = _starts(data, h, at[:-1][size > 0], size[size > 0])
+    length = np.diff(np.append(start, len(data)))
     power = np.ones(int(length.max()), np.uint64)
     power[1:] = ODD
     power = np.cumprod(power, dtype=np.uint64)
@@ -66,7 +96,9 @@ def paragraphs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     doc, digest = doc[order], digest[order]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (digest[1:] != digest[:-1])
-    return doc[new], digest[new]
+    at_new = np.flatnonzero(new)
+    number = np.arange(len(doc)) - np.repeat(at_new, np.diff(np.append(at_new, len(doc))))
+    return doc, mix(digest + number.astype(np.uint64) * ODD)
 
 
 def _check(digest: np.ndarray) -> np.ndarray:

@@ -194,6 +194,39 @@ def test_ranges_hand_over(docs, monkeypatch):
     assert rows_of(fingerprints.fingerprints(docs)) == whole
 
 
+def test_every_edited_text_stays_near():
+    """Three quarters of any text are left: repetitive, short, without blanks, of many bytes a letter."""
+    rng = random.Random(7)
+    words = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    line = lambda n, by=" ": by.join(rng.choice(words) for _ in range(n))
+    texts = [line(n, by) for by in (" ", "\t", "") for n in (3, 6, 10, 20, 50, 300)] + ["ha " * 900, "x" * 5000, "one two three\n" * 200]
+    texts += ["".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(n)) for n in (4, 9, 40, 700)] + ["é" * 61, "abcd", "a"]
+    other = line(4000)
+    for t in texts:
+        q = len(t) // 4
+        at, digest = fingerprints._members(*fingerprints.paragraphs([x.encode() for x in (t, t[:len(t) - q] + other[:q], other)]), 3)
+        zero = np.array([0])
+        near, far = (fingerprints.likeness(at, digest, zero, at, digest, zero + k)[0] for k in (1, 2))
+        assert near >= 0.3 and near > far, (t[:40], near, far)
+
+
+def test_paragraphs_do_not_hang_on_their_neighbours():
+    """Bounded, ending between code points, the same in any company, and found again behind an insertion."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab é中\t.\n😀") for _ in range(rng.choice((0, 1, 2, 5, 30, 400)))).encode() for _ in range(200)]
+    doc, digest = fingerprints.paragraphs(texts)
+    for i, t in enumerate(texts):
+        assert sorted(digest[doc == i].tolist()) == sorted(fingerprints.paragraphs([t])[1].tolist())
+        if t:
+            data = np.frombuffer(t, np.uint8)
+            start = fingerprints._starts(data, anchors.BYTE_HASH[data], np.array([0]), np.array([len(t)]))
+            pieces = [t[a:b] for a, b in zip(start, [*start[1:], len(t)])]
+            assert start[0] == 0 and b"".join(pieces) == t and all(p.decode() and len(p) <= fingerprints.MOST_BYTES + 3 for p in pieces)
+    long = "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(2000))
+    at, digest = fingerprints._members(*fingerprints.paragraphs([x.encode() for x in (long, long[:900] + "中国" + long[900:])]), 2)
+    assert fingerprints.likeness(at, digest, np.array([0]), at, digest, np.array([1]))[0] > 0.8
+
+
 def test_peeling_recovers_the_difference():
     rng = np.random.default_rng(2)
     for n_same, n_a, n_b in ((0, 0, 0), (50, 0, 0), (5, 1, 0), (100, 3, 4), (10, 500, 700)):
