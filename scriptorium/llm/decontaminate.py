@@ -7,7 +7,8 @@ first over the whole index, then block by block; what cannot reach the threshold
 scored exactly. Every item at or above the threshold is retrieved.
 
 A hit is verified on the words around its passage: at least half of the question's and of the answer's word trigrams
-have to be there. The answer is an item's last sentence, or its last quarter if it has only one.
+have to be there. The answer is an item's last sentence, or its last quarter if it has only one. Where that is a few words, a passage that lacks them
+is a hit too if it has half of the trigrams of the item's last 8 words; these are then its answer overlap.
 
 Result: one row per leaking document and item. Null or empty texts and items leak nothing; repeated rows are judged each by themselves.
 """
@@ -25,6 +26,8 @@ from scriptorium.llm.common import bounds, slices, two_columns
 
 K1, B = 1.2, 0.75
 BLOCK, SHARD_WORDS, LEAST_PASSAGE = 8, 1_000_000, 64
+#: Shorter answers may also be shown by so many last words of the item.
+LEAST_ANSWER = 8
 #: Bounds of passages by blocks held at once.
 CELLS = 1 << 21
 _BLANK = bytes(32 if b < 33 or (b < 128 and not chr(b).isalnum()) else b for b in range(256))
@@ -54,8 +57,8 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], df: dict[str, int], n_items: int, mean: float):
         self.ids = np.array([i for i, _ in items], np.int64)
         self.parts = [question_answer(t) for _, t in items]
-        self.parts = [(trigrams(q), trigrams(a)) for q, a in self.parts]
         words = [words_of(t.encode()) for _, t in items]
+        self.parts = [(trigrams(q), trigrams(a), trigrams(w[-LEAST_ANSWER:]) if len(a) < LEAST_ANSWER else set()) for (q, a), w in zip(self.parts, words)]
         self.passage = max(LEAST_PASSAGE, max((3 * len(w) // 2 for w in words), default=0))
         self.terms: dict[bytes, int] = {}
         postings: list[tuple[int, int, float]] = []
@@ -139,7 +142,8 @@ class Index:
             d = int(np.searchsorted(base, p, side="right")) - 1
             a = (p - int(base[d])) * step
             around = trigrams_of_size(words[d][max(0, a - step):a + self.passage + step], self.parts[k])
-            q, r = (len(x & around) / len(x) if x else 0.0 for x in self.parts[k])
+            q, r, end = (len(x & around) / len(x) if x else 0.0 for x in self.parts[k])
+            r = r if r >= overlap else max(r, end)
             if q >= overlap and r >= overlap and s > best.get((d, k), (0,))[0]:
                 best[d, k] = (s, q, r)
         return [(d, int(self.ids[k]), *v) for (d, k), v in best.items()]

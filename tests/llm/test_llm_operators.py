@@ -384,6 +384,19 @@ def test_search_finds_all_above_the_threshold():
 FOLDER = "/root/testdata/sf0.01"
 
 
+def test_leak_without_a_short_answer(spark):
+    """A last sentence of a few words does not decide alone; a longer one that is missing still does."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("aeioulmnrst") for _ in range(6)) for _ in range(900)]
+    line = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rest = [line(n) for n in (40, 12, 25, 40)]
+    ends = ["ñ", "ano", "uno dos tres", line(12)]
+    items = spark.createDataFrame([(i, f"{r}. {e}") for i, (r, e) in enumerate(zip(rest, ends))], "item_id long, text string")
+    texts = spark.createDataFrame([(i, f"{line(30)} {r} {line(30)}") for i, r in enumerate(rest)] + [(9, line(90))], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(texts, items).collect()} == {(i, i) for i in range(3)}
+    assert {r.doc_id for r in decontaminate.drop_leaking(texts, items).collect()} == {3, 9}
+
+
 @pytest.mark.parametrize("score, label, threshold", [(quality.score_quality, "quality", 0.7), (toxicity.score_toxicity, "toxic", 0.3)])
 def test_held_out_accuracy(spark, score, label, threshold):
     docs, labels = spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/labels.parquet")
