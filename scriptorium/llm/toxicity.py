@@ -6,7 +6,8 @@ directions; attention weighs its states, and a linear unit scores the window. A
 the scale of probabilities by a logistic fit.
 
 Labels belong to documents, so training takes from each document the window with the strongest inputs and two others. Inputs of a
-training document come from tables counted on the other half of the sample. All of it is numpy, on a bounded sample.
+training document come from tables counted on the other half of the sample. Words of more than 64 bytes, as in scripts without blanks, are several
+inputs. All of it is numpy, on a bounded sample.
 
 A null or empty text is one window without words. Rows are independent. Without labelled rows of both kinds every score is 0.
 """
@@ -24,16 +25,30 @@ from scriptorium.llm.labelled import MOST, scored, training_rows
 SIZE, STEP, HIDDEN, INPUTS = 32, 16, 8, 6
 SLOTS_LOG2 = 18
 SLOTS = 1 << SLOTS_LOG2
-#: Bytes of a word's beginnings, length of its inner runs.
-BEGINNINGS, RUN = range(3, 8), 4
+#: Bytes of a word's beginnings, length of its inner runs, most bytes of a word.
+BEGINNINGS, RUN, LONGEST = range(3, 8), 4, 64
 _BLANK = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
 #: Words a worker remembers, windows scored at once.
 KNOWN, TOGETHER = 300_000, 4096
 
 
 def words_of(text: bytes) -> list[bytes]:
-    """Lower-cased runs of letters and digits (and anything outside ASCII)."""
-    return text.lower().translate(_BLANK).split()
+    """Lower-cased runs of letters and digits (and anything outside ASCII), cut between code points if they are very long."""
+    words = text.lower().translate(_BLANK).split()
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    return [p for w in words for p in ([w] if len(w) <= LONGEST else _pieces(w))]
+
+
+def _pieces(word: bytes) -> list[bytes]:
+    out, a = [], 0
+    while len(word) - a > LONGEST:
+        b = a + LONGEST
+        while b > a + LONGEST - 3 and word[b] & 0xC0 == 0x80:
+            b -= 1
+        out.append(word[a:b])
+        a = b
+    return [*out, word[a:]]
 
 
 def _slot(h: np.ndarray) -> np.ndarray:
@@ -47,7 +62,7 @@ def parts_of(words: list[bytes]):
     h = BYTE_HASH[np.frombuffer(b"".join(words), np.uint8)]
     word = np.zeros(len(words), np.uint64)
     begin = []
-    for i in range(int(min(size.max(), 40))):
+    for i in range(int(size.max())):
         on = np.flatnonzero(size > i)
         word[on] = word[on] * ODD + h[at[on] + i]
         if i + 1 in BEGINNINGS:

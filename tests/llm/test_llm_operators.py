@@ -397,6 +397,17 @@ def test_leak_without_a_short_answer(spark):
     assert {r.doc_id for r in decontaminate.drop_leaking(texts, items).collect()} == {3, 9}
 
 
+def test_all_bytes_of_a_word_count():
+    a, b = b"a" * 50 + b"b", b"a" * 50 + b"c"
+    whole, *_ = toxicity.parts_of([a, b, a])
+    assert whole[0] == whole[2] != whole[1]
+    rng = random.Random(3)
+    text = "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(500)).encode()
+    words = toxicity.words_of(b"one " + text + b" two" + b"x" * 130)
+    assert words[0] == b"one" and b"".join(words[1:]) == text + b"two" + b"x" * 130
+    assert len(words) > 25 and all(w.decode() and len(w) <= toxicity.LONGEST for w in words)
+
+
 @pytest.mark.parametrize("score, label, threshold", [(quality.score_quality, "quality", 0.7), (toxicity.score_toxicity, "toxic", 0.3)])
 def test_held_out_accuracy(spark, score, label, threshold):
     docs, labels = spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/labels.parquet")
