@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from scriptorium.llm import bpe_tokens, decontaminate, fingerprints, ngram_join, privacy, quality, substring_dedup, suffix_dedup, token_counts, toxicity
+from scriptorium.llm import bpe_tokens, decontaminate, fingerprints, hard_negatives, ngram_join, privacy, quality, substring_dedup, suffix_dedup, token_counts, toxicity
 from scriptorium.llm.common import documents
 from scriptorium.sources.tables import load
 
@@ -49,7 +50,16 @@ def op10_token_counts(spark, d):
     return token_counts.count_tokens(documents(spark, d), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_fingerprints, op3_decontaminate, op4_privacy, op5_bpe_tokens, op6_suffix_dedup, op7_substring_dedup, op8_quality, op9_toxicity, op10_token_counts)}
+def op13_hard_negatives(spark, d):
+    x = F.col("embedding")
+    rows = load(spark, d, "embeddings", "vec_id", "label", "embedding").where(F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), F.transform(x, lambda c: F.floor(256 * c.cast("double"))).alias("vector"))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_fingerprints, op3_decontaminate, op4_privacy, op5_bpe_tokens, op6_suffix_dedup, op7_substring_dedup, op8_quality, op9_toxicity, op10_token_counts,
+                                   op13_hard_negatives)}
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -90,4 +100,14 @@ WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS words FROM do
            FROM each e LEFT JOIN gone ON gone.doc_id = e.doc_id AND gone.p = e.p GROUP BY e.doc_id)
 SELECT w.doc_id, len(words)::bigint AS n_words, coalesce(n, 0)::bigint AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+    "op13_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS q
+           FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::bigint AS score
+        FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+  p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+  n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id)::int AS rank
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""",
 }
