@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from scriptorium.llm import bpe_tokens, decontaminate, fingerprints, hard_negatives, ngram_join, privacy, quality, substring_dedup, suffix_dedup, token_counts, toxicity
-from scriptorium.llm.common import documents
+from scriptorium.llm import bpe_tokens, conversation_trie, decontaminate, fingerprints, hard_negatives, ngram_join, privacy, quality, substring_dedup, suffix_dedup, token_counts, toxicity
+from scriptorium.llm.common import documents, store
 from scriptorium.sources.tables import load
 
 
@@ -50,6 +50,13 @@ def op10_token_counts(spark, d):
     return token_counts.count_tokens(documents(spark, d), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_conversation_trie(spark, d):
+    convs = store(conversation_trie.conversations(load(spark, d, "conversations", "conv_id", "turn", "role", "text")), "turns")
+    c = F.col("conv_id")
+    head = convs.select("conv_id", (c - c % 100).alias("head_id"), (F.crc32(c.cast("string")) % 6).alias("h"))
+    return conversation_trie.prefix_trie(conversation_trie.with_heads(convs, head, 5))
+
+
 def op13_hard_negatives(spark, d):
     x = F.col("embedding")
     rows = load(spark, d, "embeddings", "vec_id", "label", "embedding").where(F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))))
@@ -59,7 +66,7 @@ def op13_hard_negatives(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_fingerprints, op3_decontaminate, op4_privacy, op5_bpe_tokens, op6_suffix_dedup, op7_substring_dedup, op8_quality, op9_toxicity, op10_token_counts,
-                                   op13_hard_negatives)}
+                                   op12_conversation_trie, op13_hard_negatives)}
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -100,6 +107,23 @@ WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS words FROM do
            FROM each e LEFT JOIN gone ON gone.doc_id = e.doc_id AND gone.p = e.p GROUP BY e.doc_id)
 SELECT w.doc_id, len(words)::bigint AS n_words, coalesce(n, 0)::bigint AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+    "op12_conversation_trie": """
+WITH t AS (SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+  b AS (SELECT conv_id, flatten(list_transform(string_split(conv_id::varchar, ''), lambda x: [ascii(x)::bigint, 0, 0, 0, 0, 0, 0, 0])) AS bits FROM t),
+  h AS (SELECT conv_id, xor(list_reduce(list_prepend(4294967295::bigint, bits), lambda x, y: xor(xor(x, y) >> 1, CASE WHEN xor(x, y) & 1 = 1 THEN 3988292384::bigint ELSE 0 END)),
+                            4294967295::bigint) % 6 AS h FROM b),
+  r AS (SELECT t.conv_id, list_concat(coalesce(list_slice(o.turns, 1, h), []), list_slice(t.turns, h + 1, len(t.turns))) AS turns
+        FROM t JOIN h USING (conv_id) LEFT JOIN t o ON o.conv_id = t.conv_id - t.conv_id % 100),
+  p AS (SELECT conv_id, turns, len(turns) AS size, unnest(range(0, len(turns) + 1)) AS depth FROM r),
+  m AS (SELECT list_slice(turns, 1, depth) AS node, depth, conv_id, size FROM p),
+  n AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+               sha256(coalesce(string_agg(conv_id::varchar, ',' ORDER BY conv_id) FILTER (WHERE size = depth), '')) AS ends_sha256 FROM m GROUP BY node, depth),
+  k AS (SELECT list_slice(node, 1, depth - 1) AS node, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1, 2),
+  a AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children, CASE WHEN n.depth > 0 THEN (n_convs - 1) * length(n.node[n.depth].t) ELSE 0 END AS saved FROM n LEFT JOIN k ON n.node = k.node AND n.depth = k.depth),
+  s AS (SELECT list_slice(node, 1, d) AS node, d AS depth, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+        FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM a) GROUP BY 1, 2)
+SELECT a.conv_id, a.depth, u.conv_id AS parent_conv_id, a.n_convs, a.n_children, s.n_leaves::bigint AS n_leaves, s.saved_tokens::bigint AS saved_tokens, a.ends_sha256
+FROM a JOIN s ON a.node = s.node AND a.depth = s.depth LEFT JOIN n u ON u.depth = a.depth - 1 AND u.node = list_slice(a.node, 1, a.depth - 1)""",
     "op13_hard_negatives": """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS q
            FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
