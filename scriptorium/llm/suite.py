@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from scriptorium.llm import bpe_tokens, conversation_trie, decontaminate, fingerprints, hard_negatives, ngram_join, privacy, quality, substring_dedup, suffix_dedup, token_counts, toxicity
+from scriptorium.llm import bpe_tokens, conversation_trie, decontaminate, fingerprints, hard_negatives, licenses, ngram_join, privacy, quality, substring_dedup, suffix_dedup, token_counts, toxicity
 from scriptorium.llm.common import documents, store
 from scriptorium.sources.tables import load
 
@@ -50,6 +50,10 @@ def op10_token_counts(spark, d):
     return token_counts.count_tokens(documents(spark, d), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_licenses(spark, d):
+    return licenses.scan(documents(spark, d))
+
+
 def op12_conversation_trie(spark, d):
     convs = store(conversation_trie.conversations(load(spark, d, "conversations", "conv_id", "turn", "role", "text")), "turns")
     c = F.col("conv_id")
@@ -66,7 +70,7 @@ def op13_hard_negatives(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_fingerprints, op3_decontaminate, op4_privacy, op5_bpe_tokens, op6_suffix_dedup, op7_substring_dedup, op8_quality, op9_toxicity, op10_token_counts,
-                                   op12_conversation_trie, op13_hard_negatives)}
+                                   op11_licenses, op12_conversation_trie, op13_hard_negatives)}
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
