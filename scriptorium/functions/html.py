@@ -12,26 +12,63 @@ from scriptorium.functions.text import absolute_url, strip
 # Elements whose content is no text of the page.
 DROPPED_ELEMENTS = ("script", "style", "applet", "button", "frameset", "noframes", "select", "textarea")
 
-# The rest of a tag up to its end; a quoted value may hold the end sign.
-_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
-_DROPPED = rf"!--.*?--|({'|'.join(DROPPED_ELEMENTS)})\b.*?</\1\s*"
-_HIDDEN = rf"(?is)<(?:{_DROPPED})>"
-# Unbalanced quotes are no reason to lose a tag: then it ends at the first end sign.
-_MARKUP = rf"(?is)<(?:{_DROPPED})>|<[a-z/!?](?:{_REST}|[^>]*>)"
-# An anchor, or any other element as a whole, so that anchors inside of it are passed over.
-_CHILD = r"(?is)<a\b[^>]*>.*?</a\s*>|<(?!(?:a|li|br|img|hr|wbr|input)\b)([a-z][a-z0-9]*)\b[^>]*>.*?</\1\s*>"
+#: Of these the content is no markup either; never closed, they go on to the end of the page.
+_RAW = ("script", "style", "textarea")
+# Elements without content, and boxes beside a page's content.
+VOID_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
+BOXES = ("div", "section", "aside", "nav", "table")
+
+# The grammar of a page. A value is quoted or bare: a quote opens a value only right behind an equals sign, and one that never closes is a letter like others.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+_ATTRIBUTES = rf"(?:[^>=]++|=\s*+{_VALUE})*+"
+_END = r"(?:>|\z)"
+_COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\z))"
+_RAW_ELEMENT = rf"<({'|'.join(_RAW)})(?=[\s/>]){_ATTRIBUTES}{_END}(?:.*?</\1(?=[\s/>])[^>]*+{_END}|.*+)"
+_OTHER_DROPPED = rf"<({'|'.join(x for x in DROPPED_ELEMENTS if x not in _RAW)})(?=[\s/>]){_ATTRIBUTES}>.*?</\2\s*+>"
+_TAG = rf"</?+[a-z][^\s/>]*+{_ATTRIBUTES}{_END}"
+_DECLARATION = rf"<[!?/][^>]*+{_END}"
+_MARKUP = rf"(?is){_COMMENT}|{_RAW_ELEMENT}|{_OTHER_DROPPED}|{_TAG}|{_DECLARATION}"
+_TOKEN = rf"{_MARKUP}|[^<]++|<"
+
+
+def tokens(html: Column) -> Column:
+    """The page as ``array<struct<name, token>>``, in order and without a gap.
+
+    ``name`` is that of a tag in lower case, with a slash in front for an end tag; ``!`` for comments, declarations and dropped elements, with all their content;
+    empty for text.
+    """
+    def named(t: Column) -> Column:
+        name = F.lower(F.regexp_extract(t, r"^<(/?[a-zA-Z][^\s/>]*)", 1))
+        markup = t.startswith("<") & (t != "<")
+        return F.struct(F.when(~markup, "").when((name == "") | name.isin(*DROPPED_ELEMENTS), "!").otherwise(name).alias("name"), t.alias("token"))
+
+    return F.transform(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0)), named)
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of a tag, character references decoded; the first one counts. Empty when there is none."""
+    other = rf"(?:[\s/]*+(?!{name}\s*+=)[^\s/=>]++(?:\s*+=\s*+{_VALUE})?+)*+"
+    value = F.regexp_extract(tag, rf"(?is)^<[a-z][^\s/>]*+{other}[\s/]*+{name}\s*+=\s*+({_VALUE})", 1)
+    return decode_entities(F.regexp_replace(value, r"""(?s)^"(.*)"$|^'(.*)'$""", "$1$2"), in_attribute=True)
 
 
 def _entity_map() -> Column:
     names = {**name2codepoint, "apos": ord("'")}
+    names |= {n.upper(): names[n] for n in ("amp", "lt", "gt", "quot", "copy", "reg")}
     pairs = [F.lit(x) for name, code in names.items() for x in (name, chr(code))]
     return F.create_map(*pairs)
 
 
-def decode_entities(c: Column) -> Column:
+#: All names, and those that are read without a semicolon as well: those of the first 256 characters. The longest one that fits counts.
+_LONG = "|".join(sorted(name2codepoint, key=lambda n: (-len(n), n)) + ["apos", "AMP", "LT", "GT", "QUOT", "COPY", "REG"])
+_SHORT = "|".join(sorted([n for n, code in name2codepoint.items() if code < 256] + ["AMP", "LT", "GT", "QUOT", "COPY", "REG"], key=lambda n: (-len(n), n)))
+
+
+def decode_entities(c: Column, in_attribute: bool = False) -> Column:
     """Replace named and numeric character references, each exactly once.
 
-    The text is split at its ampersands, and each piece looks for one reference at its start.
+    The text is split at its ampersands, and each piece looks for one reference at its start. Some may lack the semicolon, but not
+    in an attribute before a letter, a digit or an equals sign, where it is likely a parameter of an address.
     """
 
     def character(ref: Column) -> Column:
@@ -42,10 +79,12 @@ def decode_entities(c: Column) -> Column:
         return F.coalesce(F.try_element_at(_entity_map(), ref), F.get(chars, F.lit(0)))
 
     def decode_piece(s: Column) -> Column:
-        rest = F.substring(s["piece"], F.length(s["ref"]) + 2, F.length(s["piece"]))
-        return F.coalesce(F.concat(s["char"], rest), F.concat(F.lit("&"), s["piece"]))
+        behind = F.length(s["ref"]) + 1
+        behind = behind + F.substring(s["piece"], behind, F.lit(1)).eqNullSafe(";").cast("int")
+        return F.coalesce(F.concat(s["char"], F.substring(s["piece"], behind, F.length(s["piece"]))), F.concat(F.lit("&"), s["piece"]))
 
-    reference = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z0-9]+);"
+    until = "(?![=A-Za-z0-9])" if in_attribute else ""
+    reference = rf"^((?:#[0-9]{{1,7}}+|#[xX][0-9a-fA-F]{{1,6}}+)(?:(?=;)|(?![0-9a-fA-F]){until})|(?:{_LONG})(?=;)|(?:{_SHORT}){until})"
     pieces = F.split(c, "&", -1)
     parts = F.transform(pieces, lambda p, i: F.struct(
         p.alias("piece"), i.alias("i"), F.regexp_extract(p, reference, 1).alias("ref")))
@@ -60,82 +99,70 @@ def strip_markup(html: Column) -> Column:
     return decode_entities(F.regexp_replace(html, _MARKUP, ""))
 
 
-def inside(html: Column, element_id: str | None) -> Column:
-    """The content of the element with this id; null when there is none. An element never closed goes on to the end."""
-    if element_id is None:
-        return html
-    tag = rf"""(?is)(?=<[a-z][^>]*?\bid\s*=\s*["']?\Q{element_id}\E["'\s>])"""
-    found = F.get(F.split(F.concat(F.lit(" "), html), tag, 2), F.lit(1))
-    name = F.lower(F.regexp_extract(found, r"^<([a-zA-Z][a-zA-Z0-9]*)", 1))
-    # Cut before every tag of that name, and take pieces until as many have closed as opened.
-    pieces = F.split(found, F.concat(F.lit("(?i)(?=</?"), name, F.lit(r"\b)")), -1)
-    return _until_closed(pieces, name)
-
-
-def _until_closed(pieces: Column, name: Column) -> Column:
-    """What stands between the first piece's tag and the one that closes it."""
-
-    def step(acc: Column, piece: Column) -> Column:
-        closes = piece.startswith("</")
-        opens = F.lower(F.substring(piece, 2, 1)) == F.substring(name, 1, 1)
-        depth = acc["depth"] + opens.cast("int") - closes.cast("int")
-        own = ~acc["done"] & (depth > 0)
-        return F.struct(depth.alias("depth"), (acc["done"] | (depth <= 0)).alias("done"), F.concat(acc["text"], F.when(own, piece).otherwise("")).alias("text"))
-
-    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("text"))
-    pieces = F.filter(pieces, lambda p: p != "")
-    return F.aggregate(pieces, start, step, lambda acc: F.regexp_replace(acc["text"], rf"(?is)^<[a-z]{_REST}", ""))
+def _between(parts: Column, element_id: str) -> Column:
+    """Tokens in the element with this id; null when there is none. An element never closed goes on to the end."""
 
+    def step(acc: Column, t: Column) -> Column:
+        opens = acc["start"].isNull() & ~t["name"].startswith("/") & t["token"].contains(element_id) & (t["name"] != "") & (t["name"] != "!")
+        here = F.when(opens, attribute(t["token"], "id") == element_id).otherwise(False)
+        depth = F.when(here, F.when(t["name"].isin(*VOID_ELEMENTS), 0).otherwise(1)).when(acc["start"].isNull() | acc["end"].isNotNull(), acc["depth"]).otherwise(
+            acc["depth"] + (t["name"] == acc["name"]).cast("int") - (t["name"] == F.concat(F.lit("/"), acc["name"])).cast("int"))
+        start = F.when(here, acc["i"] + 1).otherwise(acc["start"])
+        return F.struct((acc["i"] + 1).alias("i"), F.when(here, t["name"]).otherwise(acc["name"]).alias("name"), depth.alias("depth"), start.alias("start"),
+                        F.when(acc["end"].isNull() & start.isNotNull() & (depth == 0), F.when(here, acc["i"] + 1).otherwise(acc["i"])).otherwise(acc["end"]).alias("end"))
 
-def _without_tables(html: Column) -> Column:
-    """Drop tables as a whole, those within tables included."""
-    pieces = F.split(html, r"(?i)(?=</?table\b)", -1)
+    nothing = F.lit(None).cast("int")
+    begin = F.struct(F.lit(0).alias("i"), F.lit(None).cast("string").alias("name"), F.lit(0).alias("depth"), nothing.alias("start"), nothing.alias("end"))
+    found = F.aggregate(parts, begin, step)
+    # Through an array of one, so that what is found is worked out once.
+    cut = F.transform(F.array(found), lambda f: F.when(f["start"].isNotNull(), F.slice(parts, f["start"] + 1, F.coalesce(f["end"], F.size(parts)) - f["start"])))
+    return F.get(cut, F.lit(0))
 
-    def step(acc: Column, piece: Column) -> Column:
-        opens, closes = piece.rlike(r"(?i)^<table\b"), piece.rlike(r"(?i)^</table\b")
-        depth = F.greatest(F.lit(0), acc["depth"] + opens.cast("int") - closes.cast("int"))
-        own = F.when(closes, F.regexp_replace(piece, r"(?is)^</table[^>]*>", "")).otherwise(piece)
-        return F.struct(depth.alias("depth"), F.concat(acc["text"], F.when(depth == 0, own).otherwise("")).alias("text"))
 
-    return F.aggregate(pieces, F.struct(F.lit(0).alias("depth"), F.lit("").alias("text")), step, lambda acc: acc["text"])
+def inside(html: Column, element_id: str | None) -> Column:
+    """The markup in the element with this id; null when there is none."""
+    if element_id is None:
+        return html
+    return F.array_join(F.transform(_between(tokens(html), element_id), lambda t: t["token"]), "")
 
 
-def _own_content(html: Column) -> Column:
-    """A content block without the boxes in it, so that its paragraphs and lists are its own."""
-    pieces = F.split(html, r"(?i)(?=</?(?:div|section|aside|nav|table)\b)", -1)
+def _boxed(depth: Column, name: Column, boxes: tuple[str, ...]) -> Column:
+    """How many boxes are open behind this token."""
+    opens, closes = name.isin(*boxes), name.isin(*[f"/{b}" for b in boxes])
+    return F.greatest(F.lit(0), depth + opens.cast("int") - closes.cast("int"))
 
-    def step(acc: Column, piece: Column) -> Column:
-        closes = piece.startswith("</")
-        opens = piece.rlike(r"(?i)^<(?:div|section|aside|nav|table)\b")
-        depth = F.greatest(F.lit(0), acc["depth"] + opens.cast("int") - closes.cast("int"))
-        own = F.when(closes, F.regexp_replace(piece, r"(?s)^<[^>]*>", "")).otherwise(piece)
-        return F.struct(depth.alias("depth"), F.concat(acc["text"], F.when(depth == 0, own).otherwise("")).alias("text"))
 
-    return F.aggregate(pieces, F.struct(F.lit(0).alias("depth"), F.lit("").alias("text")), step, lambda acc: acc["text"])
+def _raw_paragraphs(html: Column, within: str | None = None) -> Column:
+    """Text of each paragraph outside tables as it stands. A new paragraph ends an open one."""
+    parts, boxes = (tokens(html), ("table",)) if within is None else (_between(tokens(html), within), BOXES)
 
+    def step(acc: Column, t: Column) -> Column:
+        depth, name = _boxed(acc["depth"], t["name"], boxes), t["name"]
+        own = depth == 0
+        starts = own & (name == "p")
+        ends = own & name.isin("p", "/p")
+        done = F.when(ends & acc["text"].isNotNull(), F.concat(acc["done"], F.array(acc["text"]))).otherwise(acc["done"])
+        text = F.when(starts, "").when(ends, F.lit(None)).when(own & (name == ""), F.concat(acc["text"], t["token"])).otherwise(acc["text"])
+        return F.struct(depth.alias("depth"), text.alias("text"), done.alias("done"))
 
-def _paragraph_blocks(html: Column, within: str | None = None) -> Column:
-    """Raw markup behind each paragraph tag outside tables."""
-    body = _without_tables(F.regexp_replace(inside(html, within), _HIDDEN, ""))
-    if within is not None:
-        body = _own_content(body)
-    return F.slice(F.split(body, r"(?i)<p\b[^>]*>", -1), 2, 1 << 30)
+    begin = F.struct(F.lit(0).alias("depth"), F.lit(None).cast("string").alias("text"), F.array().cast("array<string>").alias("done"))
+    return F.aggregate(parts, begin, step, lambda acc: F.when(acc["text"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["text"]))))
 
 
-def _paragraph_text(block: Column) -> Column:
-    return strip(strip_markup(F.regexp_replace(block, r"(?is)</p\s*>.*$", "")))
+def _paragraph_text(raw: Column) -> Column:
+    return strip(decode_entities(raw))
 
 
 def paragraphs(html: Column, within: str | None = None) -> Column:
-    """Texts of all paragraphs outside tables. A new paragraph ends an unclosed one.
+    """Texts of all paragraphs outside tables.
 
     ``within`` is the id of the element that holds the content proper; paragraphs of boxes in it don't count.
     """
-    return F.transform(_paragraph_blocks(html, within), _paragraph_text)
+    return F.transform(_raw_paragraphs(html, within), _paragraph_text)
 
 
 def first_paragraph(html: Column, within: str | None = None) -> Column:
-    return _paragraph_text(F.get(_paragraph_blocks(html, within), F.lit(0)))
+    return _paragraph_text(F.get(_raw_paragraphs(html, within), F.lit(0)))
 
 
 def first_long_paragraph(html: Column, longer_than: int = 30, within: str | None = None) -> Column:
@@ -144,49 +171,43 @@ def first_long_paragraph(html: Column, longer_than: int = 30, within: str | None
     Paragraphs behind the one found are not cleaned.
     """
 
-    def if_long(block: Column) -> Column:
-        return F.get(F.filter(F.array(_paragraph_text(block)), lambda t: F.char_length(t) > longer_than), F.lit(0))
-
-    blocks = _paragraph_blocks(html, within)
-    return F.aggregate(blocks, F.lit(None).cast("string"), lambda found, b: F.coalesce(found, if_long(b)))
-
-
-def _first_list(html: Column) -> Column:
-    """Markup of the first list's own entries, without the lists nested in them."""
-    pieces = F.split(html, r"(?i)(?=</?[uo]l\b)", -1)
-
-    def step(acc: Column, piece: Column) -> Column:
-        opens = piece.rlike(r"(?i)^<ul\b") | ((acc["depth"] > 0) & piece.rlike(r"(?i)^<ol\b"))
-        closes = (acc["depth"] > 0) & piece.startswith("</")
-        depth = acc["depth"] + opens.cast("int") - closes.cast("int")
-        own = ~acc["done"] & (depth == 1)
-        return F.struct(
-            depth.alias("depth"), (acc["done"] | ((acc["depth"] > 0) & (depth == 0))).alias("done"),
-            F.concat(acc["text"], F.when(own, F.regexp_replace(piece, r"^<[^>]*>", "")).otherwise("")).alias("text"))
+    def if_long(raw: Column) -> Column:
+        return F.get(F.filter(F.array(_paragraph_text(raw)), lambda t: F.char_length(t) > longer_than), F.lit(0))
 
-    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("text"))
-    return F.aggregate(pieces, start, step, lambda acc: acc["text"])
+    return F.aggregate(_raw_paragraphs(html, within), F.lit(None).cast("string"), lambda found, p: F.coalesce(found, if_long(p)))
 
 
 def list_links(html: Column, base: str, within: str | None = None) -> Column:
     """Anchors of the first list on the page as ``array<struct<name, url>>``, in page order.
 
     Only anchors that stand directly in an entry of that list count, not those of nested lists
-    or inside other elements. With ``within``, the id of the element that holds the content, the list has to stand
+    or inside other elements; an entry that ends closes what is open in it. With ``within``, the id of the element that holds the content, the list has to stand
     directly in it, not in a box such as a table of contents.
     """
-    visible = F.regexp_replace(inside(html, within), _HIDDEN, "")
-    if within is not None:
-        visible = _own_content(visible)
-    children = F.regexp_extract_all(_first_list(visible), F.lit(_CHILD), F.lit(0))
-    anchors = F.filter(children, lambda a: a.rlike(r"(?i)^<a\b"))
-    href = r"""(?is)^<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
-    links = F.transform(
-        anchors,
-        lambda a: F.struct(
-            strip(strip_markup(a)).alias("name"),
-            decode_entities(F.regexp_extract(a, href, 1)).alias("href"),
-        ),
-    )
-    linked = F.filter(links, lambda x: x["href"] != "")
-    return F.transform(linked, lambda x: F.struct(x["name"].alias("name"), absolute_url(x["href"], base).alias("url")))
+    parts, boxes = (tokens(html), ()) if within is None else (_between(tokens(html), within), BOXES)
+    # What the fold needs: text and tags, without elements that hold nothing.
+    parts = F.filter(parts, lambda t: ~t["name"].isin("!", *VOID_ELEMENTS))
+
+    def step(acc: Column, t: Column) -> Column:
+        name, before = t["name"], acc["depth"]
+        box = _boxed(acc["box"], name, boxes) if boxes else F.lit(0)
+        own = (box == 0) & ~acc["done"]
+        opens = own & ((name == "ul") | ((before > 0) & (name == "ol")))
+        closes = own & (before > 0) & name.isin("/ul", "/ol")
+        depth = before + opens.cast("int") - closes.cast("int")
+        entry = own & (before == 1) & (depth == 1)
+        edge, anchor, leaves = name.isin("li", "/li"), name == "a", name == "/a"
+        other = entry & ~edge & ~anchor & ~leaves & (name != "") & acc["href"].isNull()
+        inner = F.when(entry & edge, 0).when(opens | closes, 0).when(other & name.startswith("/"), F.greatest(acc["inner"] - 1, F.lit(0))).when(other, acc["inner"] + 1).otherwise(acc["inner"])
+        stops = acc["href"].isNotNull() & ((entry & (edge | anchor | leaves)) | opens | closes)
+        links = F.when(stops & (acc["href"] != ""), F.concat(acc["links"], F.array(F.struct(acc["text"].alias("text"), acc["href"].alias("href"))))).otherwise(acc["links"])
+        starts = entry & anchor & (acc["inner"] == 0)
+        href = F.when(starts, attribute(t["token"], "href")).when(stops, F.lit(None)).otherwise(acc["href"])
+        text = F.when(starts, "").when(entry & (name == "") & acc["href"].isNotNull(), F.concat(acc["text"], t["token"])).otherwise(acc["text"])
+        return F.struct(box.alias("box"), depth.alias("depth"), (acc["done"] | (closes & (depth == 0))).alias("done"), inner.alias("inner"), href.alias("href"), text.alias("text"),
+                        links.alias("links"))
+
+    begin = F.struct(F.lit(0).alias("box"), F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit(0).alias("inner"), F.lit(None).cast("string").alias("href"),
+                     F.lit("").alias("text"), F.array().cast("array<struct<text:string,href:string>>").alias("links"))
+    links = F.aggregate(parts, begin, step, lambda acc: acc["links"])
+    return F.transform(links, lambda x: F.struct(strip(decode_entities(x["text"])).alias("name"), absolute_url(x["href"], base).alias("url")))

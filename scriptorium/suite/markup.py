@@ -42,7 +42,28 @@ def extract_links_within(spark, d):
     return D.link_rows(load(spark, d, "pages").select("page_id", wrapped.alias("html")), "page_id", "html", Q.LINK_BASE, "content")
 
 
-QUERIES = {f.__name__: f for f in (html_to_text, extract_links, links_per_page, first_long_paragraph, link_catalog, extract_links_within)}
+def _bare(html):
+    """The same page as careless hands write it: bare values, end signs and apostrophes in attributes, references and elements left open."""
+    html = F.regexp_replace(html, """href="([^"\\s>]*)\"""", "title='x > y' data-href=/no href=$1")
+    html = F.regexp_replace(html, "<p>", "<p title=don't lang = \"a > b\">")
+    return F.concat(html, F.lit("<p>tail &copy &nbspend</p><script>var open = '<ul><li><a href=/no>no</a>"))
+
+
+def html_to_text_bare(spark, d):
+    return D.html_to_text(load(spark, d, "pages", "page_id", "html").withColumn("html", _bare(F.col("html"))), "html")
+
+
+def extract_links_bare(spark, d):
+    return D.link_rows(load(spark, d, "pages", "page_id", "html").withColumn("html", _bare(F.col("html"))), "page_id", "html", Q.LINK_BASE)
+
+
+def paragraphs_bare(spark, d):
+    """All paragraphs of a page, joined."""
+    return load(spark, d, "pages").select("page_id", F.array_join(H.paragraphs(_bare(F.col("html"))), "|").alias("paragraphs"))
+
+
+QUERIES = {f.__name__: f for f in (html_to_text, extract_links, links_per_page, first_long_paragraph, link_catalog, extract_links_within, html_to_text_bare, extract_links_bare,
+                                   paragraphs_bare)}
 
 SQL = {
     "html_to_text": f"SELECT page_id, {Q.strip(Q.strip_markup('html'))} AS text FROM pages",
@@ -56,5 +77,8 @@ WITH {Q.LINKS},
   snapshot AS (SELECT '{Q.LINK_BASE}/' || regexp_extract(html, '(?s)<title>([^\s<]+)', 1) AS url, min({Q.first_long_paragraph('html')}) AS definition
                FROM pages GROUP BY 1)
 SELECT name, f.url AS url, definition FROM firsts f LEFT JOIN snapshot s ON f.url = s.url""",
+    "html_to_text_bare": f"SELECT page_id, {Q.strip(Q.strip_markup('html') + " || 'tail © ' || chr(160) || 'end'")} AS text FROM pages",
+    "extract_links_bare": f"WITH {Q.LINKS} SELECT page_id, position, name, url FROM links",
+    "paragraphs_bare": f"SELECT page_id, array_to_string(list_append({Q.paragraphs('html')}, 'tail © ' || chr(160) || 'end'), '|') AS paragraphs FROM pages",
     "extract_links_within": f"WITH {Q.LINKS} SELECT page_id, position, name, url FROM links",
 }

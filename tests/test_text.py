@@ -171,3 +171,42 @@ def test_content_element(spark):
     only_footer = '<div id="c">nothing here</div><p>A footer paragraph that is long enough to be taken.</p>'
     assert values(spark, [only_footer, "<p>no such element, but long enough to be taken</p>"], lambda c: H.first_long_paragraph(c, within="c")) == [None, None]
     assert values(spark, ['<DIV id=c><div>a</div>b</DIV>c', '<div id="c">open <div>x'], lambda c: H.strip_markup(H.inside(c, "c"))) == ["ab", "open x"]
+
+
+def test_bare_attributes(spark):
+    assert values(spark, ["<p title=don't>Hello, this isn't lost</p><p>second</p>"], H.strip_markup) == ["Hello, this isn't lostsecond"]
+    assert values(spark, ["<p title=don't>Hello, this isn't lost</p><p>second</p>"], H.paragraphs) == [["Hello, this isn't lost", "second"]]
+    assert values(spark, ['<a href=/x?a="b>c">d</a>', "a <b class = 'x>y' id=z>c</b>", "<p a=>x</p><p =b>y", 'x<br/>y<br />z'], H.strip_markup) == ['c">d', "a c", "xy", "xyz"]
+
+
+def test_open_ends(spark):
+    pages = ["a<script>code <b>", "a<style>p{}", "a<!-- b <p>", "a<b", "a<p title='x", "a<script>1</script x>b", "a<!-->b<!--->c<!-- d --!>e", "a<button>b", "a < b <3 c", "<", "",
+             "x<script src=a>1</SCRIPT>y", "<scripted>z</scripted>"]
+    assert values(spark, pages, H.strip_markup) == ["a", "a", "a", "a", "a", "ab", "abce", "ab", "a < b <3 c", "<", "", "xy", "z"]
+
+
+def test_tokens_are_the_page(spark):
+    pages = [PAGE, "a<script>x</script><!-- c --><p a='>'>b < c</P>", "<b", ""]
+    assert values(spark, pages, lambda c: F.array_join(F.transform(H.tokens(c), lambda t: t["token"]), "")) == pages
+    assert values(spark, pages[1:2], lambda c: F.transform(H.tokens(c), lambda t: t["name"])) == [["", "!", "!", "p", "", "", "", "/p"]]
+
+
+def test_references_without_semicolon(spark):
+    cases = {"a&nbspb&nbsp;c": "a\xa0b\xa0c", "&copyright &notit; &notin;": "©right ¬it; ∉", "&AMP &LT;&ltx": "& <<x", "&#65 &#x41g": "A Ag", "&amper": "&er", "x&y=1": "x&y=1"}
+    assert values(spark, list(cases), H.decode_entities) == list(cases.values())
+    links = "<ul><li><a href='/x?a=1&copy=2&amp;b=3&copy'>l</a></li></ul>"
+    assert [[x["url"] for x in v] for v in values(spark, [links], lambda c: H.list_links(c, ""))] == [["/x?a=1&copy=2&b=3©"]]
+
+
+def test_links_by_any_attribute(spark):
+    page = ("<ul><li><a href=/bare>1</a><li><a title='x > y' href='/k'>2</a><li><a data-href=/no>no</a><li><a href>none</a><li><a x=1 HREF = \"/u\" href=/second>3<li><a\nhref='/n'title=t>4</a>"
+            "<li><b><a href=/deep>d</a><li><a href=/open>5 <img alt='</a>'> &amp; <i>6</i></a> <span>s</span> <a href=/two>7</a></ul><ul><li><a href=/later>8</a></ul>")
+    got = [[tuple(x) for x in v] for v in values(spark, [page], lambda c: H.list_links(c, ""))][0]
+    assert got == [("1", "/bare"), ("2", "/k"), ("3", "/u"), ("4", "/n"), ("5  & 6", "/open"), ("7", "/two")]
+
+
+def test_attributes(spark):
+    tags = ["<a b=1 id=x>", "<a id='it''s'>", '<a data-id=1 id = "a &amp; b">', "<a id>", "<a/id=x/>", "<p class=\"id='no'\" id=yes>", "<a id=''>"]
+    assert values(spark, tags, lambda c: H.attribute(c, "id")) == ["x", "it", "a & b", "", "x/", "yes", ""]
+    page = "<p id=other>a</p><div class='id=c' id=c>b<div>c</div>d</div>e"
+    assert values(spark, [page, "<br id=c>x", "<p>c</p>"], lambda c: H.inside(c, "c")) == ["b<div>c</div>d", "", None]
