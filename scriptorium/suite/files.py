@@ -88,6 +88,23 @@ def written_tags(spark, d):
     return rows.unionByName(count)
 
 
+def grown_table(spark, d):
+    """A table that starts with one share and is filled in ten appends, then updated: its shares split on the way. Row counts and updates by language, and
+    whether shares kept to their bound."""
+    table = f"grown_{uuid.uuid4().hex}"
+    docs = load(spark, d, "documents", "doc_id", "text", "lang").withColumn("quality", F.lit(None).cast("int"))
+    labels = load(spark, d, "labels", "doc_id", "quality")
+    for part in range(10):
+        W.append_keyed(spark, table, docs.where(F.pmod("doc_id", F.lit(10)) <= part), "doc_id", share_bytes=100_000)
+    W.update_keyed(spark, table, labels, "doc_id", "quality", 3)
+    held = [(r.key, r.value) for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if r.key == W.SHARES]
+    bounded = W.size_of(spark, table) <= 1.5 * 100_000 * int(held[0][1])
+    rows = store(W.keyed_rows(spark, table).groupBy("lang").agg(F.count("*").alias("n"), F.count("quality").alias("updated"), F.sum(F.length("text")).alias("n_chars"))
+                 .withColumn("bounded", F.lit(bounded)), "read")
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 def json_map_explode(spark, d):
     rows = I.map_rows(load(spark, d, "events", "event_id", "props"), "props", "map<string,int>", "event_id")
     return rows.select("event_id", "map_key", "map_value")
@@ -103,7 +120,7 @@ def json_map_roundtrip(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     src_csv_roundtrip, src_delimited_roundtrip, src_wholetext_key, src_binary_manifest, src_raw_landing,
-    src_html_files, json_map_explode, json_map_rejects, json_map_roundtrip, written_tags)}
+    src_html_files, json_map_explode, json_map_rejects, json_map_roundtrip, written_tags, grown_table)}
 
 _PAGES = r"(SELECT page_id, regexp_replace(html, '[\r\n]+', ' ', 'g') || chr(10) AS value FROM pages)"
 
@@ -122,6 +139,8 @@ SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'object' WHEN event_id % 5 = 0
     "written_tags": """
 SELECT d.doc_id, d.lang, l.quality::int AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE d.lang <> 'de'
 UNION ALL SELECT -1, 'unmatched', count(*)::int FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang <> 'de')""",
+    "grown_table": """
+SELECT d.lang, count(*) AS n, count(l.quality) AS updated, sum(length(d.text))::bigint AS n_chars, true AS bounded FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1""",
     "json_map_explode": """
 SELECT event_id, k AS map_key, json_extract(props, '$.' || k)::int AS map_value
 FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)""",
