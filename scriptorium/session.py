@@ -58,7 +58,22 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(spark, name)
     _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.stored_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def forget(stored: DataFrame) -> None:
+    """Delete one table that ``store`` returned; what is built on it must have been written."""
+    paths = _stored.get(stored.sparkSession.sparkContext.applicationId, [])
+    if getattr(stored, "stored_at", None) in paths:
+        paths.remove(stored.stored_at)
+        _delete(stored.sparkSession, stored.stored_at)
 
 
 def clear_stored(spark: SparkSession) -> int:
@@ -67,8 +82,6 @@ def clear_stored(spark: SparkSession) -> int:
     For when the results built on them have been written: DataFrames that still read them fail afterwards.
     """
     paths = _stored.pop(spark.sparkContext.applicationId, [])
-    jvm = spark.sparkContext._jvm
     for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(spark, path)
     return len(paths)
