@@ -20,20 +20,23 @@ ODD, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9),
 DICT_ENTRIES = 150_000
 
 
-#: Rows of an Arrow batch in the passes below: whole texts are large, and each batch is held by the JVM and by Python.
-ARROW_ROWS = 2_000
+#: Rows and bytes of an Arrow batch in the passes below: whole texts are large, and each batch is held by the JVM and by Python.
+ARROW_ROWS, ARROW_BYTES = 2_000, 8 << 20
 
 
 @contextmanager
 def small_batches(spark, rows: int = ARROW_ROWS):
     """Arrow batches of at most ``rows`` rows for what is run inside; the session's own setting is put back."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": ARROW_BYTES}
+    before = {name: spark.conf.get(name) for name in limits}
+    for name, most in limits.items():
+        own = int(before[name].rstrip("b"))  # bytes are given with their unit
+        spark.conf.set(name, str(min(most, own) if own > 0 else most))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -42,6 +45,12 @@ def store(df: DataFrame, name: str) -> DataFrame:
         return session.store(df, name)
 
 
+def forget(*stored: DataFrame) -> None:
+    """Delete tables of :func:`store` that nothing reads any more."""
+    for df in stored:
+        session.forget(df)
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "documents", "doc_id", "text")
 

@@ -19,6 +19,7 @@ n-gram. A null or repeated ``doc_id`` does no harm: each row is judged by its ow
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -26,18 +27,36 @@ import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from scriptorium.llm.anchors import keyed
-from scriptorium.llm.common import ODD, Hashes, IdFilter, bounds, grams, holding, may_be_in, mix, slices, store, to_batch
+from scriptorium.llm.common import ODD, Hashes, IdFilter, bounds, forget, grams, holding, may_be_in, mix, slices, store, to_batch
 from scriptorium.llm.components import roots
 
 #: Slots of the sketch that ranks n-grams (a power of two), and the pieces it travels in.
 SLOTS_LOG2, PIECES = 24, 64
+#: Bytes of a text that are cut into words at once.
+PIECE = 1 << 19
+_BLANK = re.compile(rb"[\x09-\x0d\x20]")
+
+
+def word_hashes(text: bytes, hashes: Hashes) -> np.ndarray:
+    """Hashes of a text's words in lower case, ``PIECE`` bytes at a time, so that a very long text is never a list of all its words.
+
+    ``bytes.split`` cuts at the six ASCII blanks, as the words are defined.
+    """
+    if len(text) <= PIECE:
+        return hashes.of(text.lower().split())
+    parts, at = [], 0
+    while at < len(text):
+        blank = _BLANK.search(text, at + PIECE)
+        end = blank.start() if blank else len(text)
+        parts.append(hashes.of(text[at:end].lower().split()))
+        at = end
+    return np.concatenate(parts)
 
 
 def shingle_sets(texts: list[bytes], k: int, hashes: Hashes) -> list[np.ndarray]:
-    """Sorted distinct hashes of each text's word ``k``-grams (``bytes.split`` cuts at the six ASCII blanks, as the words are defined)."""
-    words = [t.lower().split() for t in texts]
-    at = bounds([len(w) for w in words])
-    h = hashes.of([x for w in words for x in w])
+    """Sorted distinct hashes of each text's word ``k``-grams."""
+    each = [word_hashes(t, hashes) for t in texts]
+    at, h = bounds([len(x) for x in each]), np.concatenate(each)
     g = grams(h, k)
     out = []
     for i in range(len(texts)):
@@ -169,17 +188,19 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
 
 def _candidates(index: DataFrame, step: str, num: int, den: int) -> DataFrame:
     """Pairs of nodes in different components that pass the length and positional filters."""
-    live = index.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("token")
-    mine = index.join(live, "token", "left_semi")
+    entry = ("node", "n", "pos", "live", "comp")
+    ends = F.min("comp").alias("c0"), F.max("comp").alias("c1")
     if step == "all":
-        other = mine
+        live = index.groupBy("token").agg(*ends).where("c0 < c1").select("token")
+        mine = index.join(live, "token", "left_semi")
+        other = mine.select("token", *[F.col(c).alias(c + "2") for c in entry])
     else:
         # A node with few n-grams of its own is near all others of its group; else a different node for each n-gram.
         own = F.shiftleft(F.col("pos").cast("long") - F.col("live"), 44).bitwiseOR(F.shiftrightunsigned(F.xxhash64("node"), 20))
         key = own if step == "central" else F.xxhash64("node", "token")
-        best = mine.groupBy("token").agg(F.min(key).alias("best"))
-        other = mine.join(best, "token").where(key == F.col("best")).select("token", "node", "n", "pos", "live", "comp")
-    other = other.select("token", *[F.col(c).alias(c + "2") for c in ("node", "n", "pos", "live", "comp")])
+        mine = index
+        other = index.groupBy("token").agg(F.min(F.struct(key.alias("key"), *entry)).alias("best"), *ends).where("c0 < c1").select(
+            "token", *[F.col(f"best.{c}").alias(c + "2") for c in entry])
     need = lambda a, b: F.ceil(F.lit(num) * (a + b) / F.lit(den + num) - F.lit(1e-9))
     # Shared are at most: the live n-grams before this one, this one, and all behind it.
     most = F.least("live", "live2") + F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
@@ -202,12 +223,14 @@ def similar_components(docs: DataFrame, k: int, num: int, den: int = 100) -> Dat
     reps = rows.where("node is not null").groupBy("node", "doc_id").agg(F.count("*").alias("n"))
     reps = store(reps.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "nodes")
     lists = docs.mapInArrow(_prefixes(k, num, den, ranks), "doc_id long, node long, n long, tokens array<long>")
-    lists = lists.join(reps, (lists.node == reps.node) & lists.doc_id.eqNullSafe(reps.doc_id), "left_semi")
+    # Stored, as the n-grams of several nodes are found first and picked out then.
+    lists = store(lists.join(reps, (lists.node == reps.node) & lists.doc_id.eqNullSafe(reps.doc_id), "left_semi").select("node", "n", "tokens"), "prefixes")
     index = lists.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
     shared = index.groupBy("token").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 < n1").select("token")
     # ``live`` is the number of n-grams before it in the prefix that another node has as well: only those can be shared.
     before = (F.row_number().over(Window.partitionBy("node").orderBy("pos")) - 1).cast("long")
     index = store(index.join(shared, "token", "left_semi").select("token", "node", "n", "pos", before.alias("live")), "index")
+    forget(lists)
     comps, tried = None, None
     for step in ("central", "spread", "all"):
         named = index.withColumn("comp", F.col("node")) if comps is None else index.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -218,7 +241,7 @@ def similar_components(docs: DataFrame, k: int, num: int, den: int = 100) -> Dat
         if pairs.isEmpty():
             continue
         tried = pairs if tried is None else tried.unionByName(pairs)
-        links = store(_linked(docs, reps, pairs, k, num, den), "links")
+        links = _linked(docs, reps, pairs, k, num, den)
         if comps is not None:
             side = lambda n, c: comps.select(F.col("node").alias(n), F.col("comp").alias(c))
             links = links.join(side("u", "cu"), "u", "left").join(side("v", "cv"), "v", "left").select(
@@ -247,13 +270,17 @@ def _linked(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, num: int
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = store(reps.select("node", "doc_id").join(nodes, "node"), "wanted")
     ids = spark.sparkContext.broadcast(IdFilter.of(wanted.select("doc_id").where("doc_id is not null")))
-    sets = docs.mapInArrow(holding(ids, _sets(k)), "doc_id long, node long, members binary")
-    sets = sets.join(wanted, (sets.node == wanted.node) & sets.doc_id.eqNullSafe(wanted.doc_id), "left_semi").select("node", "members")
-    if not reps.where("n > 1").isEmpty():  # a row that is there twice has its set twice
-        sets = sets.dropDuplicates(["node"])
-    sets = store(sets, "members")
+    # Sets of other nodes that the filter lets through meet no pair. A set may be there twice: its row is, or a copy of it passed the filter.
+    sets = store(docs.mapInArrow(holding(ids, _sets(k)), "doc_id long, node long, members binary").select("node", "members"), "members")
+    if not sets.groupBy("node").count().where("count > 1").isEmpty():
+        every = sets
+        sets = store(every.dropDuplicates(["node"]), "members")
+        forget(every)
     left, right = (sets.select(F.col("node").alias(n), F.col("members").alias(m)) for n, m in (("a", "ma"), ("b", "mb")))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb").mapInArrow(_verify(num, den), "u long, v long")
+    links = store(pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb").mapInArrow(_verify(num, den), "u long, v long"), "links")
+    forget(sets, wanted)
+    ids.destroy()
+    return links
 
 
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
