@@ -20,8 +20,10 @@ def frequent_tropes(movies: DataFrame, k: int = 10) -> DataFrame:
 
 
 def movie_card(movies: DataFrame, name: str) -> DataFrame:
-    """One movie: words, script preview, sorted concepts."""
+    """One movie: words, script preview, sorted concepts; raises if ``name`` is not there."""
     found = movies.where(F.col("name") == F.lit(name)).limit(1)
+    if found.isEmpty():
+        raise ValueError(f"no movie named {name!r}")
     return found.select("name", word_count(F.col("full_script")).alias("words"),
                         preview(F.col("full_script")).alias("preview"),
                         sort_items_ci(clean_items(F.col("tropes"))).alias("tropes"))

@@ -8,11 +8,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from scriptorium.functions.text import base_name, strip
+from scriptorium.session import work_dir
+from scriptorium.sources.records import Entries, Quoted, records
 
 TROPE_MAP = "map<string,struct<definition:string>>"
 
@@ -22,22 +25,36 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str
     """CSV with a declared schema. Line breaks, quotes and empty texts are read back exactly.
 
     Files whose texts have no line breaks can be read with ``multi_line=False``, which lets Spark
-    cut large files into several tasks. An empty field is null, a quoted empty field is an empty text; the reader marks the latter
+    cut large files into several tasks; ``read_csv_ranges`` does so for any. An empty field is null, a quoted empty field is an empty text; the reader marks the latter
     with a random word, as no fixed one can be ruled out in a text.
     """
     mark = uuid.uuid4().hex
-    df = (
-        spark.read.schema(schema)
-        .option("header", True).option("sep", sep).option("encoding", "UTF-8")
-        .option("multiLine", multi_line).option("quote", '"').option("escape", '"').option("emptyValue", mark)
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    df = spark.read.schema(schema).options(header=True, encoding="UTF-8", multiLine=multi_line, **_csv_options(sep, mark)).csv(path)
+    return _unmarked(df, mark)
+
+
+def _csv_options(sep: str, mark: str) -> dict:
+    return {"sep": sep, "quote": '"', "escape": '"', "emptyValue": mark, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _unmarked(df: DataFrame, mark: str) -> DataFrame:
     texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
     return df.select(*[F.when(F.col(c) != mark, F.col(c)).when(F.col(c).isNotNull(), F.lit("")).alias(c) if c in texts else F.col(c)
                        for c in df.columns])
 
 
+def read_csv_ranges(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",") -> DataFrame:
+    """What ``read_csv`` reads, with every large file read by several tasks, line breaks in quotes or not.
+
+    Line breaks in quotes are kept as they are; blank lines between records are passed over.
+    """
+    mark = uuid.uuid4().hex
+    found = records(spark, path, Quoted(sep)).where(~F.col("first") & (F.col("text") != ""))
+    ddl = schema if isinstance(schema, str) else schema.toDDL()
+    row = F.from_csv("text", F.lit(ddl), {**_csv_options(sep, mark), "maxCharsPerColumn": "-1"})
+    return _unmarked(found.select(row.alias("row")).select("row.*"), mark)
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = False) -> None:
     """CSV with a header. ``single_file`` gives up all parallelism; it is for small exports."""
     out = df.coalesce(1) if single_file else df
@@ -133,6 +150,55 @@ def read_trope_map(spark: SparkSession, path: str) -> DataFrame:
     return _tropes(spark.read.text(path, wholetext=True))
 
 
+def read_large_map(spark: SparkSession, path: str) -> DataFrame:
+    """The same from objects of any size: a file is cut into its entries by all cores, and an entry is a row."""
+    entry = records(spark, path, Entries()).where(F.trim(F.translate("text", "\n\r\t", "   ")) != "")
+    return _tropes(entry.select(F.concat(F.lit("{"), "text", F.lit("}")).alias("value")))
+
+
+def write_trope_map(tropes: DataFrame, path: str) -> None:
+    """One file that holds one object ``{name: {"definition": text}}``, in the order of the names.
+
+    Names are sorted by all tasks; the file itself is written by one, row by row. A repeated name keeps its smallest definition, a null name is left out.
+    """
+    spark = tropes.sparkSession
+    rows = tropes.where("name is not null").groupBy("name").agg(F.min("definition").alias("definition"))
+    entry = F.to_json(F.create_map("name", F.struct("definition")), {"ignoreNullFields": "false"})
+    entries = rows.orderBy("name").select(entry.alias("e")).select(F.expr("substring(e, 2, length(e) - 2)").alias("value"))
+
+    def framed(batches):
+        """The entries between braces, each with a comma but the last, which is known once there is no other."""
+        held = "{"
+        for b in batches:
+            texts = b.column(0).to_pylist()
+            if texts:
+                lines = [held, *(t + "," for t in texts[:-1])]
+                held = texts[-1]
+                if lines[0] != "{":
+                    lines[0] += ","
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array([held, "}"], pa.string())], names=["value"])
+
+    folder = work_dir(spark, "object")
+    lines = entries.coalesce(1).mapInArrow(framed, "value string")
+    if rows.isEmpty():  # no rows, no task to frame them
+        lines = spark.createDataFrame([("{}",)], "value string").coalesce(1)
+    lines.write.text(folder)
+    _move_only_part(spark, folder, path)
+
+
+def _move_only_part(spark: SparkSession, folder: str, path: str) -> None:
+    """Put the one file of a written folder at ``path``, in place of what is there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = at(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in fs.listStatus(at(folder)) if f.getPath().getName().startswith("part-"))
+    fs.mkdirs(at(path).getParent())
+    fs.delete(at(path), True)
+    if not fs.rename(part, at(path)):
+        raise OSError(f"can't write {path}")
+    fs.delete(at(folder), True)
+
+
 def write_trope_lines(tropes: DataFrame, path: str) -> None:
     """One object ``{name: {"definition": text}}`` per line; missing definitions stay as null."""
     entry = F.create_map(F.col("name"), F.struct(F.col("definition")))

@@ -20,6 +20,14 @@ def src_csv_roundtrip(spark, d):
     return I.read_csv(spark, path, docs.schema)
 
 
+def src_csv_ranges(spark, d):
+    """One file with line breaks in its fields, read by several tasks."""
+    docs = load(spark, d, "documents", "doc_id", "source", "text")
+    path = work_dir(spark, "csv")
+    I.write_csv(docs, path, single_file=True)
+    return I.read_csv_ranges(spark, path, docs.schema)
+
+
 def src_delimited_roundtrip(spark, d):
     rows = load(spark, d, "part", "p_partkey", "p_name", "p_type", "p_retailprice")
     path = work_dir(spark, "delimited")
@@ -118,14 +126,25 @@ def json_map_roundtrip(spark, d):
     return I.read_trope_lines(spark, path)
 
 
+def json_object_roundtrip(spark, d):
+    """The whole catalogue as one object in one file, cut into entries again by ranges."""
+    tropes = load(spark, d, "documents").select(
+        F.concat(F.lit("doc "), "doc_id").alias("name"), F.when(F.col("lang") != "de", F.col("text")).alias("definition"))
+    path = work_dir(spark, "object")
+    I.write_trope_map(tropes, f"{path}/movie_tropes.json")
+    return I.read_large_map(spark, path)
+
+
 QUERIES = {f.__name__: f for f in (
-    src_csv_roundtrip, src_delimited_roundtrip, src_wholetext_key, src_binary_manifest, src_raw_landing,
+    src_csv_roundtrip, src_csv_ranges, json_object_roundtrip, src_delimited_roundtrip, src_wholetext_key, src_binary_manifest, src_raw_landing,
     src_html_files, json_map_explode, json_map_rejects, json_map_roundtrip, written_tags, grown_table)}
 
 _PAGES = r"(SELECT page_id, regexp_replace(html, '[\r\n]+', ' ', 'g') || chr(10) AS value FROM pages)"
 
 SQL = {
     "src_csv_roundtrip": "SELECT doc_id, source, text FROM documents",
+    "src_csv_ranges": "SELECT doc_id, source, text FROM documents",
+    "json_object_roundtrip": "SELECT 'doc ' || doc_id AS name, CASE WHEN lang <> 'de' THEN text END AS definition FROM documents",
     "src_delimited_roundtrip": "SELECT p_partkey, p_name, p_type, p_retailprice FROM part",
     "src_wholetext_key": r"""
 SELECT conv_id, regexp_replace(string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY turn), '^\s+|\s+$', '', 'g') || chr(10) AS text

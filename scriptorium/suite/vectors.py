@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,7 +12,8 @@ from scriptorium.operators import ivf
 from scriptorium.operators.embed import embed, hashing_encoder
 from scriptorium.operators.knn import common_dimension, knn_join, left_out, majority_label
 from scriptorium.plans import checking
-from scriptorium.plans.tagging import concept_vectors, scene_concepts, tag_documents as tag
+from scriptorium.operators.writes import keyed_rows
+from scriptorium.plans.tagging import concept_vectors, retag_documents, scene_concepts, tag_documents as tag
 from scriptorium.operators.documents import segment_rows
 from scriptorium.session import store
 from scriptorium.sources.tables import load
@@ -129,7 +131,22 @@ def tag_documents(spark, d):
     return tagged.select("doc_id", F.array_join("tropes", ",").alias("tropes"))
 
 
-QUERIES = {f.__name__: f for f in (knn_topk_large, knn_cells, knn_approximate, knn_bad_rows, embed_failures, verify_scenes, knn_topk, knn_topk_label, hash_embed, scene_topk, document_topk, tag_documents)}
+def retagged(spark, d):
+    """Tagged, then tagged again with every tenth text changed: what each run looked at and encoded, and the tags that changed."""
+    docs = load(spark, d, "documents", "doc_id", "text")
+    later = docs.withColumn("text", F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit("\nThe end "), F.col("doc_id").cast("string"))).otherwise(F.col("text")))
+    concepts, name = _concepts(spark, d), uuid.uuid4().hex
+    out = []
+    for run, now in enumerate((docs, later, later), 1):
+        did = retag_documents(spark, now, concepts, "doc_id", "text", vectors=f"vectors_{name}", tags=f"tags_{name}", k=K, headers=Q.HEADERS)
+        out.append((run, did["documents"], did["encoded"]))
+    tagged = store(keyed_rows(spark, f"tags_{name}").select(F.lit(0).alias("run"), "doc_id", F.size("tropes").cast("bigint").alias("n")), "tags")
+    for table in ("vectors", "tags"):
+        spark.sql(f"DROP TABLE {table}_{name}")
+    return tagged.unionByName(spark.createDataFrame(out, "run int, doc_id long, n long"))
+
+
+QUERIES = {f.__name__: f for f in (retagged, knn_topk_large, knn_cells, knn_approximate, knn_bad_rows, embed_failures, verify_scenes, knn_topk, knn_topk_label, hash_embed, scene_topk, document_topk, tag_documents)}
 
 _KNN = f"""
   v AS (SELECT vec_id, label, embedding::double[] AS e FROM embeddings),
@@ -157,7 +174,21 @@ _SCENES = f"""
   {_nearest('scenes', 'doc_id, ordinal', 'segment')}"""
 
 #: ``knn_approximate`` has none: what an index misses is no matter of SQL. Its recall is tested.
+_LATER = "CASE WHEN doc_id % 10 = 0 THEN text || chr(10) || 'The end ' || doc_id ELSE text END"
+
 SQL = {
+    "retagged": f"""
+WITH later AS (SELECT doc_id, {_LATER} AS text FROM documents),
+  a AS (SELECT DISTINCT unnest({Q.segments('text')}) AS s FROM documents),
+  b AS (SELECT DISTINCT unnest({Q.segments('text')}) AS s FROM later),
+  cut AS (SELECT doc_id, {Q.segments('text')} AS s FROM later),
+  scenes AS (SELECT doc_id, (generate_subscripts(s, 1) - 1)::int AS ordinal, unnest(s) AS segment FROM cut),
+  {_nearest('scenes', 'doc_id, ordinal', 'segment')},
+  sets AS (SELECT doc_id, count(DISTINCT neighbour) AS n FROM best GROUP BY doc_id)
+SELECT 0::int AS run, d.doc_id, coalesce(n, 0) AS n FROM documents d LEFT JOIN sets s ON d.doc_id = s.doc_id
+UNION ALL SELECT 1, (SELECT count(*) FROM documents), (SELECT count(*) FROM a)
+UNION ALL SELECT 2, (SELECT count(*) FROM documents WHERE doc_id % 10 = 0), (SELECT count(*) FROM b WHERE s NOT IN (SELECT s FROM a))
+UNION ALL SELECT 3, 0, 0""",
     "knn_cells": f"WITH {_KNN} SELECT vec_id, rank, neighbour, round(dist * dist, 6) AS distance FROM knn",
     "knn_topk_large": f"WITH {_KNN} SELECT vec_id, rank, neighbour, round(dist * dist, 6) AS distance FROM knn",
     "knn_bad_rows": f"""

@@ -1,6 +1,7 @@
 """Files, and the workflows end to end on small literal data."""
 
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -144,3 +145,29 @@ def test_json_rejects(spark, tmp_path):
 def test_stored_tables_can_be_cleared(spark):
     store(spark.range(3), "ids")
     assert clear_stored(spark) >= 1 and clear_stored(spark) == 0
+
+
+def test_unknown_movie(spark):
+    movies = spark.createDataFrame([("m", "one two", ["b"])], "name string, full_script string, tropes array<string>")
+    with pytest.raises(ValueError):
+        overview.movie_card(movies, "none such")
+
+
+def test_retagging_gives_what_tagging_gives(spark):
+    concepts = store(tagging.concept_vectors(spark.createDataFrame([("c1", "a storm at sea"), ("c2", "the cat sleeps"), ("c3", "storm and cat")], "n string, d string"), "n", "d"), "concepts")
+    texts = {"m": "a cat\nINT. HOUSE\nthe cat sleeps", "n": "a storm\nINT. HOUSE\nthe cat sleeps", "e": "", "z": None}
+    tables = {"vectors": f"v_{uuid.uuid4().hex}", "tags": f"t_{uuid.uuid4().hex}"}
+
+    def run(rows):
+        docs = spark.createDataFrame([*rows.items(), (None, "lost")], "name string, full_script string")
+        did = tagging.retag_documents(spark, docs, concepts, "name", "full_script", k=1, **tables)
+        got = {r.name: r.tropes for r in W.keyed_rows(spark, tables["tags"]).collect()}
+        want = {r.name: r.tropes or [] for r in tagging.tag_documents(docs, concepts, "name", "full_script", k=1).collect() if r.name}
+        assert got == want
+        return did
+
+    first = run(texts)
+    assert first["documents"] == 4 and run(texts) == {"documents": 0, "encoded": 0}
+    assert run(texts | {"n": "a cat\nINT. HOUSE\na new scene", "q": "a cat"}) == {"documents": 2, "encoded": 1}
+    for t in tables.values():
+        spark.sql(f"DROP TABLE {t}")

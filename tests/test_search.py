@@ -124,12 +124,12 @@ def random_sets(n, seed):
 
 
 @pytest.mark.parametrize("rare", [0, 3, 1000])
-@pytest.mark.parametrize("bound", [1 << 26, 0])
-def test_best_matches(spark, rare, bound):
+@pytest.mark.parametrize("bound, masks", [(1 << 26, 0), (0, 0), (0, 8)])
+def test_best_matches(spark, rare, bound, masks):
     sets = random_sets(160, rare)
     items = spark.createDataFrame([(k, i) for k, s in sets.items() for i in s] * 2, "k long, i string")
     keys = spark.createDataFrame([(k,) for k in sets], "k long")
-    got = J.best_matches(items, "k", "i", keys, rare=rare, max_broadcast_bytes=bound, block_rows=16)
+    got = J.best_matches(items, "k", "i", keys, rare=rare, max_broadcast_bytes=bound, block_rows=16, masks=masks)
     assert {r["k"]: (r["match"], r["score"]) for r in got.collect()} == best_by_hand(sets)
 
 
