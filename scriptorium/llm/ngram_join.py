@@ -226,7 +226,7 @@ def similar_components(docs: DataFrame, k: int, num: int, den: int = 100) -> Dat
     # Stored, as the n-grams of several nodes are found first and picked out then.
     lists = store(lists.join(reps, (lists.node == reps.node) & lists.doc_id.eqNullSafe(reps.doc_id), "left_semi").select("node", "n", "tokens"), "prefixes")
     index = lists.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
-    shared = index.groupBy("token").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 < n1").select("token")
+    shared = index.groupBy("token").count().where("count > 1").select("token")  # a node has an n-gram once
     # ``live`` is the number of n-grams before it in the prefix that another node has as well: only those can be shared.
     before = (F.row_number().over(Window.partitionBy("node").orderBy("pos")) - 1).cast("long")
     index = store(index.join(shared, "token", "left_semi").select("token", "node", "n", "pos", before.alias("live")), "index")
