@@ -128,16 +128,21 @@ def grow(spark: SparkSession, table: str, more: int = 0) -> int:
     return wanted
 
 
+def rows_of_keys(spark: SparkSession, table: str, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of the shares that hold any of ``keys``, with the share; other partitions are not read."""
+    now, _, _ = _layout(spark, table, key)
+    touched = [r[0] for r in keys.where(F.col(key).isNotNull()).select(share_of(key, now)).distinct().collect()]  # at most as many as there are shares
+    return _placed(spark, table).where(F.col(SHARE).isin(touched))
+
+
 def update_keyed(spark: SparkSession, table: str, updates: DataFrame, key: str, field: str, shares: int | None = None) -> DataFrame:
     """Set ``field`` where there is an update; only the partitions concerned are read and written anew.
 
     Returns the updates without a row in the table. The new partitions are stored first, then put in place of the old ones. ``shares`` has no
     effect: the table knows how many it has.
     """
-    now, _, _ = _layout(spark, table, key)
     updates = store(updates.select(key, field), "updates")
-    touched = [r[0] for r in updates.where(F.col(key).isNotNull()).select(share_of(key, now)).distinct().collect()]  # at most as many as there are shares
-    rows = _placed(spark, table).where(F.col(SHARE).isin(touched))
+    rows = rows_of_keys(spark, table, updates, key)
     missing = store(unmatched_updates(rows, updates, key), "unmatched")
     _overwrite(spark, table, store(keyed_update(rows, updates, key, field), "updated"))
     return missing

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from scriptorium.functions.sets import jaccard
 from scriptorium.functions.text import strip, words
+from scriptorium.operators import item_index as X
 from scriptorium.operators import similarity as J
 from scriptorium.operators import stats as S
+from scriptorium.operators import writes as W
 from scriptorium.operators.frequent import heavy_items
+from scriptorium.session import store
 from scriptorium.sources.tables import load
 
 WANTED = '{"k": 7}'
@@ -55,6 +60,21 @@ def find_by_item(spark, d):
     return found.select("user_id", F.size("items").cast("bigint").alias("n_items"))
 
 
+def find_by_item_indexed(spark, d):
+    """Through the index, after every tenth set lost the item and every tenth other one got it."""
+    name = uuid.uuid4().hex
+    table, index, wanted = f"sets_{name}", f"index_{name}", F.array(F.lit(WANTED))
+    W.append_keyed(spark, table, _user_sets(spark, d), "user_id", 4)
+    X.build_index(spark, table, index, "user_id", "items")
+    changed = F.when(F.col("user_id") % 10 == 0, F.array_except("items", wanted)).otherwise(F.array_union("items", wanted))
+    X.update_sets(spark, table, index, _user_sets(spark, d).where("user_id % 10 < 2").select("user_id", changed.alias("items")), "user_id", "items")
+    found = X.rows_with_item(spark, table, index, "user_id", "items", WANTED).select("user_id", F.size("items").cast("bigint").alias("n_items"))
+    out = store(found, "found")
+    for t in (table, index):
+        spark.sql(f"DROP TABLE {t}")
+    return out
+
+
 def jaccard_pair(spark, d):
     """Each user with the next one."""
     sets = _user_sets(spark, d)
@@ -79,7 +99,7 @@ def jaccard_best_match_docs(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    group_set_union, top_items, top_lines, distinct_items, distinct_words, find_by_item, jaccard_pair, jaccard_scores,
+    group_set_union, top_items, top_lines, distinct_items, distinct_words, find_by_item, find_by_item_indexed, jaccard_pair, jaccard_scores,
     jaccard_one_vs_all, jaccard_best_match, jaccard_best_match_docs)}
 
 _LINES = r"""SELECT DISTINCT doc_id AS k, line AS i FROM (
@@ -109,6 +129,10 @@ SELECT i AS line, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, i)::
     "distinct_words": r"SELECT DISTINCT w AS item FROM (SELECT unnest(string_split_regex(text, '\s+')) AS w FROM documents) WHERE w <> ''",
     "find_by_item": f"""
 SELECT user_id, count(DISTINCT props) AS n_items FROM events GROUP BY user_id HAVING bool_or(props = '{WANTED}')""",
+    "find_by_item_indexed": f"""
+WITH s AS (SELECT user_id, list_distinct(list(props)) AS items FROM events GROUP BY user_id)
+SELECT user_id, (len(items) + CASE WHEN list_contains(items, '{WANTED}') THEN 0 ELSE 1 END)::bigint AS n_items FROM s
+WHERE user_id % 10 = 1 OR (user_id % 10 > 1 AND list_contains(items, '{WANTED}'))""",
     "jaccard_pair": """
 WITH s AS (SELECT user_id, list_distinct(list(props)) AS items FROM events GROUP BY user_id)
 SELECT a.user_id, len(list_intersect(a.items, b.items)) / (len(a.items) + len(b.items) - len(list_intersect(a.items, b.items))) AS score

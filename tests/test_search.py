@@ -124,15 +124,29 @@ def random_sets(n, seed):
 
 
 @pytest.mark.parametrize("rare", [0, 3, 1000])
-@pytest.mark.parametrize("bound, masks", [(1 << 26, 0), (0, 0), (0, 8)])
-def test_best_matches(spark, rare, bound, masks):
+@pytest.mark.parametrize("bound, masks, rising", [(1 << 26, 0, False), (0, 0, False), (0, 0, True), (0, 8, True)])
+def test_best_matches(spark, rare, bound, masks, rising):
     sets = random_sets(160, rare)
     items = spark.createDataFrame([(k, i) for k, s in sets.items() for i in s] * 2, "k long, i string")
     keys = spark.createDataFrame([(k,) for k in sets], "k long")
-    got = J.best_matches(items, "k", "i", keys, rare=rare, max_broadcast_bytes=bound, block_rows=16, masks=masks)
+    got = J.best_matches(items, "k", "i", keys, rare=rare, max_broadcast_bytes=bound, block_rows=16, masks=masks, rising=rising)
     assert {r["k"]: (r["match"], r["score"]) for r in got.collect()} == best_by_hand(sets)
 
 
+def test_rising_bound_saves_work(spark):
+    """Sets of a shared template and a few of their own: four times the keys take far less than sixteen times the comparisons."""
+    def run(n):
+        rng = np.random.default_rng(n)
+        sets = {k: {f"t{k % (n // 5)}.{x}" for x in rng.choice(12, 9, replace=False)} | {f"all{x}" for x in rng.choice(30, rng.integers(0, 4), replace=False)} for k in range(n)}
+        items, work = spark.createDataFrame([(k, i) for k, s in sets.items() for i in s], "k long, i string"), []
+        got = {r["k"]: (r["match"], r["score"]) for r in J.best_matches(items, "k", "i", rare=2, masks=0, work=work).collect()}
+        assert got == best_by_hand(sets)
+        return sum(work)
+
+    small, large = run(200), run(800)
+    assert 0 < large < 10 * small and large < 0.5 * 800 * 800
+
+
 def test_best_matches_of_few(spark):
     def run(rows):
         return [tuple(r) for r in J.best_matches(spark.createDataFrame(rows, "k string, i string"), "k", "i").collect()]

@@ -6,6 +6,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from scriptorium.operators import item_index as X
 from scriptorium.operators import writes as W
 
 
@@ -86,3 +87,32 @@ def test_rows_without_key_and_nothing(spark, table):
     assert W.append_keyed(spark, table, rows.limit(0), "k") == 0
     assert W.update_keyed(spark, table, rows.limit(0), "k", "v").count() == 0
     assert [tuple(r) for r in W.update_keyed(spark, table, rows.where("k is null"), "k", "v").collect()] == [(None, "a")]
+
+
+def test_item_index(spark, table):
+    index = f"{table}_index"
+    sets = {k: [f"i{k % 7}", "all", f"i{k}"] for k in range(200)} | {500: [], 501: None}
+    W.append_keyed(spark, table, spark.createDataFrame(list(sets.items()), "k long, items array<string>"), "k", 4)
+    X.build_index(spark, table, index, "k", "items")
+
+    def check(*wanted):
+        for w in wanted:
+            want = {k for k, v in sets.items() if v and w in v}
+            assert {r.k for r in X.keys_with_item(spark, index, "k", w).collect()} == want
+            assert {r.k for r in X.rows_with_item(spark, table, index, "k", "items", w).collect()} == want
+
+    def update(rows):
+        sets.update({k: v for k, v in rows.items() if k in sets and v is not None})
+        return [r.k for r in X.update_sets(spark, table, index, spark.createDataFrame(list(rows.items()), "k long, items array<string>"), "k", "items").collect()]
+
+    check("all", "i3", "i77", "none")
+    assert update({3: ["new", "all"], 10: [], 501: ["new"], 900: ["new"], 11: None}) == [900]
+    check("new", "i3", "all", "i10", "i4")
+    assert update({3: ["i3"], 10: ["all"]}) == [] and update({3: ["i3"], 10: ["all"]}) == []
+    check("new", "i3", "all")
+    X.compact(spark, index, "k")
+    check("new", "i3", "all", "i5")
+    assert spark.table(index).count() == sum(len(set(v or ())) for v in sets.values())
+    plan = X.keys_with_item(spark, index, "k", "i3")._jdf.queryExecution().toString()
+    assert "EqualTo(item,i3)" in plan
+    spark.sql(f"DROP TABLE {index}")
