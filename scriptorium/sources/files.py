@@ -9,12 +9,12 @@ import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from scriptorium.functions.text import base_name, strip
-from scriptorium.session import work_dir
+from scriptorium.session import store, work_dir
 from scriptorium.sources.records import Entries, Quoted, records
 
 TROPE_MAP = "map<string,struct<definition:string>>"
@@ -108,6 +108,66 @@ def land_raw(spark: SparkSession, source: str, target: str, glob: str = "*") ->
     ).write.mode("overwrite").parquet(target)
 
 
+def land_chunks(spark: SparkSession, source: str, target: str, glob: str = "*", chunk_bytes: int = 8 << 20) -> None:
+    """Copy files of any size into a Parquet table ``(path, name, kind, length, chunk, content)``, at most ``chunk_bytes`` a row.
+
+    Files are read in byte ranges by all cores, as text cut at line feeds, whose bytes are not looked at; the cuts are put back, and the last one of a file by
+    its length. Chunks are numbered from 0 in order. Files without bytes are passed over by Spark's readers and have no row. Spark would unpack files with the ending of a codec,
+    so those are landed as a whole and cut then. ``file_digests`` checks what has landed.
+    """
+    packed = F.lower("path").rlike(r"\.(gz|gzip|bz2|zst|lz4|snappy|deflate|xz)$")
+    found = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    where = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    files = store(found.format("binaryFile").load(source).select("path", "length", packed.alias("packed")), "files")
+    lines = found.option("lineSep", "\n").text(source).select(where.alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("content"))
+    schema = pa.schema([("path", pa.string()), ("block", pa.int64()), ("n", pa.int64()), ("content", pa.binary())])
+
+    def chunks(batches):
+        at, n, held = None, 0, bytearray()
+
+        def cut(least: int):
+            nonlocal n
+            while len(held) >= max(least, 1):
+                yield pa.RecordBatch.from_arrays([pa.array([at[0]]), pa.array([at[1]], pa.int64()), pa.array([n], pa.int64()), pa.array([bytes(held[:chunk_bytes])], pa.binary())], schema=schema)
+                del held[:chunk_bytes]
+                n += 1
+
+        for b in batches:
+            for path, block, content in zip(*(b.column(i) for i in range(3))):
+                if (path.as_py(), block.as_py()) != at:
+                    yield from cut(1)
+                    at, n = (path.as_py(), block.as_py()), 0
+                held += content.as_py()
+                held += b"\n"
+                yield from cut(chunk_bytes)
+        yield from cut(1)
+
+    made = store(lines.where(~packed).mapInArrow(chunks, "path string, block long, n long, content binary"), "chunks")
+    sizes = made.groupBy("path", "block").agg(F.count("*").alias("count"), F.sum(F.octet_length("content")).alias("bytes"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("path")  # a row a range
+    bases = sizes.select("path", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"), F.sum("count").over(whole).alias("chunks"), F.sum("bytes").over(whole).alias("bytes"))
+    numbered = made.join(bases, ["path", "block"]).join(files.where("not packed").select("path", "length"), "path").withColumn("chunk", F.col("base") + F.col("n"))
+    # A last line without an end has got one: the file is a byte shorter.
+    short = (F.col("chunk") == F.col("chunks") - 1) & (F.col("bytes") > F.col("length"))
+    trimmed = F.when(short, F.substring("content", F.lit(1), F.octet_length("content") - 1)).otherwise(F.col("content"))
+    kept = numbered.select("path", "length", "chunk", trimmed.alias("content")).where("octet_length(content) > 0")
+    rest = found.format("binaryFile").load(source).where(packed & (F.col("length") > 0))
+    parts = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("length") - 1) / chunk_bytes))
+    rest = rest.select("path", "length", "content", F.explode(parts).alias("chunk")).select(
+        "path", "length", "chunk", F.substring("content", (F.col("chunk") * chunk_bytes + 1).cast("int"), F.lit(chunk_bytes)).alias("content"))
+    kept.unionByName(rest).select("path", base_name(F.col("path")).alias("name"), F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).alias("kind"), "length", "chunk", "content").write.mode(
+        "overwrite").parquet(target)
+
+
+def file_digests(chunks: DataFrame) -> DataFrame:
+    """``(path, length, n_chunks, complete, digest)`` of landed files: the digest is the SHA-256 of the chunks' SHA-256 digests in order, so no file is put together."""
+    each = chunks.select("path", "length", F.struct("chunk", F.sha2("content", 256).alias("sha"), F.octet_length("content").cast("bigint").alias("n")).alias("c"))
+    files = each.groupBy("path", "length").agg(F.sort_array(F.collect_list("c")).alias("cs"))
+    size = F.aggregate("cs", F.lit(0).cast("bigint"), lambda a, c: a + c["n"])
+    return files.select("path", "length", F.size("cs").cast("bigint").alias("n_chunks"), (size == F.col("length")).alias("complete"), F.sha2(F.array_join("cs.sha", ""), 256).alias("digest"))
+
+
 def map_rows(df: DataFrame, column: str, schema: str, *keep: str) -> DataFrame:
     """One row ``(keep..., map_key, map_value)`` per entry of a JSON object held as text.
 

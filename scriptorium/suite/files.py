@@ -66,6 +66,17 @@ def src_raw_landing(spark, d):
                       "length", F.md5("content").alias("md5"))
 
 
+def src_chunked_landing(spark, d):
+    """Files in chunks of a thousand bytes, put together again."""
+    target = work_dir(spark, "chunks")
+    I.land_chunks(spark, _written_pages(spark, d), target, glob="*.txt", chunk_bytes=1000)
+    chunks = spark.read.parquet(target)
+    page = F.regexp_extract("path", r"page_id=(\d+)/", 1).cast("bigint")
+    whole = F.aggregate("c.content", F.lit(b""), lambda a, b: F.concat(a, b))
+    landed = chunks.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("chunk", "content"))).alias("c"), F.max(F.octet_length("content")).alias("most"))
+    return landed.join(I.file_digests(chunks), "path").select(page.alias("page_id"), "length", "n_chunks", (F.col("complete") & (F.col("most") <= 1000)).alias("complete"), F.md5(whole).alias("md5"))
+
+
 def src_html_files(spark, d):
     """Pages read back as HTML files."""
     pages = I.read_html_files(spark, _written_pages(spark, d), glob="*.txt")
@@ -136,7 +147,7 @@ def json_object_roundtrip(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    src_csv_roundtrip, src_csv_ranges, json_object_roundtrip, src_delimited_roundtrip, src_wholetext_key, src_binary_manifest, src_raw_landing,
+    src_csv_roundtrip, src_csv_ranges, json_object_roundtrip, src_chunked_landing, src_delimited_roundtrip, src_wholetext_key, src_binary_manifest, src_raw_landing,
     src_html_files, json_map_explode, json_map_rejects, json_map_roundtrip, written_tags, grown_table)}
 
 _PAGES = r"(SELECT page_id, regexp_replace(html, '[\r\n]+', ' ', 'g') || chr(10) AS value FROM pages)"
@@ -151,6 +162,7 @@ SELECT conv_id, regexp_replace(string_agg(coalesce(text, ''), chr(10) || chr(10)
 FROM conversations GROUP BY conv_id""",
     "src_binary_manifest": f"SELECT 'txt' AS kind, count(*) AS n_files, sum(strlen(value))::bigint AS n_bytes FROM {_PAGES}",
     "src_raw_landing": f"SELECT page_id, 'txt' AS kind, strlen(value)::bigint AS length, md5(value) AS md5 FROM {_PAGES}",
+    "src_chunked_landing": f"SELECT page_id, strlen(value)::bigint AS length, ceil(strlen(value) / 1000)::bigint AS n_chunks, true AS complete, md5(value) AS md5 FROM {_PAGES}",
     "src_html_files": f"SELECT regexp_extract(value, '<title>([^<]*)', 1) AS title, count(*) AS n, sum(length(value))::bigint AS n_chars FROM {_PAGES} GROUP BY 1",
     "json_map_rejects": """
 SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'object' WHEN event_id % 5 = 0 THEN 'value' ELSE 'read' END AS reason,

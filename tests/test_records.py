@@ -98,3 +98,22 @@ def test_broken_entries_fail(spark, tmp_path):
     with pytest.raises(Exception):
         I.read_large_map(spark, str(tmp_path)).collect()
     assert I.read_large_map(spark, str(tmp_path)).select(F.lit(1)).schema is not None
+
+
+def test_chunks_are_the_files(spark, ranges, tmp_path):
+    rng = random.Random(4)
+    source = tmp_path / "in"
+    source.mkdir()
+    contents = {"a.bin": rng.randbytes(700), "b b+c.txt": "é\nx\r\n".encode() * 30, "empty": b"", "n": b"\n", "nn": b"\n\n", "no end": b"x" * 150, "z.gz": rng.randbytes(200), "one.txt": b"1\n2"}
+    for name, data in contents.items():
+        (source / name).write_bytes(data)
+    I.land_chunks(spark, str(source), str(tmp_path / "out"), chunk_bytes=64)
+    chunks = spark.read.parquet(str(tmp_path / "out"))
+    got = {}
+    for r in chunks.orderBy("path", "chunk").collect():
+        assert len(r.content) <= 64
+        got.setdefault(r.path.rsplit("/", 1)[1].replace("%20", " "), []).append((r.chunk, bytes(r.content)))
+    assert {n: b"".join(c for _, c in v) for n, v in got.items()} == {n: c for n, c in contents.items() if c}
+    assert all([i for i, _ in v] == list(range(len(v))) for v in got.values())
+    digests = I.file_digests(chunks).collect()
+    assert len(digests) == len(contents) - 1 and all(r.complete for r in digests)
