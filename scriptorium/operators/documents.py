@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions import html as H
 from scriptorium.functions.text import SCENE_HEADERS, after_marker, segments, strip
 from scriptorium.operators.dedupe import keep_first
+from scriptorium.session import work_dir
 
 
 def segment_rows(docs: DataFrame, key: str, text: str, headers: Sequence[str] = SCENE_HEADERS) -> DataFrame:
@@ -77,6 +78,19 @@ def route(df: DataFrame, kind: str, columns: dict[str, Sequence[str]]) -> dict[s
     return {value: df.where(F.col(kind) == value).select(*names) for value, names in columns.items()}
 
 
+def route_stored(df: DataFrame, kind: str, columns: dict[str, Sequence[str]]) -> dict[str, DataFrame]:
+    """The same outputs from one pass over ``df``, for rows that are costly to work out: they are written once, by kind, and each output reads its own part.
+
+    Rows of other kinds are not written.
+    """
+    spark, path = df.sparkSession, work_dir(df.sparkSession, "routed")
+    wanted = list(dict.fromkeys([kind, *(c for names in columns.values() for c in names)]))
+    rows = df.where(F.col(kind).isin(list(columns))).select(F.col(kind).cast("string").alias("_kind"), *wanted)
+    rows.write.partitionBy("_kind").parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)  # the kind stays a text, whatever it looks like
+    return {value: stored.where(F.col("_kind") == F.lit(value).cast("string")).select(*names) for value, names in columns.items()}
+
+
 def stage_by_kind(sources: dict[str, DataFrame], key: str, text: str) -> DataFrame:
     """One text per key out of several extractions; earlier kinds win.
 

@@ -157,6 +157,13 @@ def route_by_kind(spark, d):
     return reduce(lambda a, b: a.unionByName(b), [df.withColumn("route", F.lit(r)) for r, df in routes.items()])
 
 
+def route_by_kind_once(spark, d):
+    """The same from one pass over the table."""
+    docs = load(spark, d, "documents")
+    routes = D.route_stored(docs, "lang", {lang: ["doc_id", "source"] for lang in PRIORITY})
+    return reduce(lambda a, b: a.unionByName(b), [df.withColumn("route", F.lit(r)) for r, df in routes.items()])
+
+
 def union_all_catalogs(spark, d):
     c = load(spark, d, "customer").select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"), F.lit("customer").alias("origin"))
     s = load(spark, d, "supplier").select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"), F.lit("supplier").alias("origin"))
@@ -190,7 +197,7 @@ def quarantine_report(spark, d):
 QUERIES = {f.__name__: f for f in (
     outer_merge_indicator, outer_merge_orders, prioritized_merge, merged_catalogue, ingest_lists, page_existence,
     page_existence_within, untitled_rows, stored_movies, semi_labeled_docs, anti_unlabeled_docs, keyed_upsert, upsert_unmatched, append_new_keys, dropna_subset,
-    dedupe_first, dedupe_last, priority_dedupe, staged_scripts, movie_rows, route_by_kind, union_all_catalogs,
+    dedupe_first, dedupe_last, priority_dedupe, staged_scripts, movie_rows, route_by_kind, route_by_kind_once, union_all_catalogs,
     rename_pattern, lookup_default, quarantine_rows, quarantine_report)}
 
 _CATALOGUE = f"""
@@ -256,6 +263,7 @@ SELECT * FROM pdf UNION ALL SELECT name, {Q.strip('t')}, 'html' FROM html WHERE
 SELECT doc_id AS name, length(text)::bigint AS n_chars, len(s)::bigint AS n_scenes, array_to_string(s, '|') AS scenes, NULL::varchar AS tropes
 FROM (SELECT doc_id, text, {Q.segments('text')} AS s FROM documents)""",
     "route_by_kind": "SELECT doc_id, source, lang AS route FROM documents WHERE lang IN ('en', 'fr', 'de', 'es')",
+    "route_by_kind_once": "SELECT doc_id, source, lang AS route FROM documents WHERE lang IN ('en', 'fr', 'de', 'es')",
     "union_all_catalogs": """
 SELECT nation, origin, count(*) AS n FROM (SELECT c_nationkey AS nation, 'customer' AS origin FROM customer
   UNION ALL SELECT s_nationkey, 'supplier' FROM supplier) GROUP BY ALL""",

@@ -157,3 +157,10 @@ def test_hot_key_is_split(spark, how):
     finally:
         for c, v in before.items():
             spark.conf.set(c, v)
+
+
+def test_routes_from_one_pass(spark):
+    df = spark.createDataFrame([("01", 1, "a"), ("1", 2, "b"), (None, 3, "c"), ("x", 4, "d")], "kind string, n int, v string")
+    out = D.route_stored(df, "kind", {"01": ["n"], "1": ["n", "v"], "none": ["v"]})
+    assert [rows(out[k]) for k in ("01", "1", "none")] == [[(1,)], [(2, "b")], []] and out["1"].columns == ["n", "v"]
+    assert [rows(D.route_stored(df.withColumn("n", F.col("n") % 2), "n", {1: ["v"]})[1])] == [[("a",), ("c",)]]
