@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from contextlib import contextmanager
 
 import numpy as np
@@ -51,6 +53,23 @@ def forget(*stored: DataFrame) -> None:
         session.forget(df)
 
 
+def freeing(run):
+    """``run`` over the batches of a task; afterwards the worker, which lives on, gives back the memory that the task took.
+
+    Freed memory would otherwise stay with Arrow's pool and the C library, beside an executor's heap.
+    """
+    def go(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+            if trim:
+                trim(0)
+    return go
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "documents", "doc_id", "text")
 
@@ -60,6 +79,16 @@ def two_columns(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has, whatever the case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def slices(batch: pa.RecordBatch, max_bytes: int = 8 << 20):
     """Runs of rows of about ``max_bytes`` of text (a longer text stands alone): ids and texts as bytes."""
     ids = batch.column("doc_id").to_pylist()

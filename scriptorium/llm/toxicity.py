@@ -10,6 +10,7 @@ training document come from tables counted on the other half of the sample. Word
 inputs. All of it is numpy, on a bounded sample.
 
 A null or empty text is one window without words. Rows are independent. Without labelled rows of both kinds every score is 0.
+Very long texts have all their windows scored; null ids are kept. Of labels of one id the larger counts. Equal texts have equal scores. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from scriptorium.llm.anchors import BYTE_HASH
-from scriptorium.llm.common import ODD, bounds, grams, mix, slices, store
+from scriptorium.llm.common import ODD, bounds, freeing, grams, mix, slices, store
 from scriptorium.llm.labelled import MOST, scored, training_rows
 
 SIZE, STEP, HIDDEN, INPUTS = 32, 16, 8, 6
@@ -313,4 +314,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, most:
             logit = np.concatenate([v for _, v in _highest([b], lambda _: reader, network)] or [np.empty(0)])
             yield b.filter(pa.array(1 / (1 + np.exp(-np.clip(network.scale * logit + network.shift, -30, 30))) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(freeing(run), docs.schema)
