@@ -2,7 +2,8 @@
 
 Test items are indexed by shards of a bounded number of words, built one after another and broadcast. A term's weight in an item is its BM25 score
 over the item's score against itself, so 1 is a full match and one threshold serves all items. Postings are cut into
-blocks of 8 items with their largest weight. For a batch of passages (overlapping windows of every text) the bounds are summed term by term:
+blocks of 8 items with their largest weight. Passages are overlapping windows of every text, of a length that fits the item: items are indexed by classes of
+length, so a hit depends on no other item. For a batch of passages the bounds are summed term by term:
 first over the whole index, then block by block; what cannot reach the threshold is skipped, as in block-max WAND, and the rest is
 scored exactly. Every item at or above the threshold is retrieved.
 
@@ -11,6 +12,7 @@ have to be there. The answer is an item's last sentence, or its last quarter if
 is a hit too if it has half of the trigrams of the item's last 8 words; these are then its answer overlap.
 
 Result: one row per leaking document and item. Null or empty texts and items leak nothing; repeated rows are judged each by themselves.
+Very long texts are read in overlapping passages; null ids are kept, items without an id are not. Equal items are one. An empty table of texts or items gives no hits.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from scriptorium.llm.common import bounds, slices, two_columns
+from scriptorium.llm.common import bounds, freeing, slices, two_columns
 
 K1, B = 1.2, 0.75
 BLOCK, SHARD_WORDS, LEAST_PASSAGE = 8, 1_000_000, 64
@@ -52,14 +54,14 @@ def question_answer(text: str) -> tuple[list[bytes], list[bytes]]:
 
 
 class Index:
-    """One shard: terms, postings by term with weights, block bounds, and what verification needs."""
+    """Items of one class of length: terms, postings by term with weights, block bounds, and what verification needs."""
 
-    def __init__(self, items: list[tuple[int, str]], df: dict[str, int], n_items: int, mean: float):
+    def __init__(self, items: list[tuple[int, str]], df: dict[str, int], n_items: int, mean: float, passage: int = LEAST_PASSAGE):
         self.ids = np.array([i for i, _ in items], np.int64)
         self.parts = [question_answer(t) for _, t in items]
         words = [words_of(t.encode()) for _, t in items]
         self.parts = [(trigrams(q), trigrams(a), trigrams(w[-LEAST_ANSWER:]) if len(a) < LEAST_ANSWER else set()) for (q, a), w in zip(self.parts, words)]
-        self.passage = max(LEAST_PASSAGE, max((3 * len(w) // 2 for w in words), default=0))
+        self.passage = passage
         self.terms: dict[bytes, int] = {}
         postings: list[tuple[int, int, float]] = []
         for k, own in enumerate(words):
@@ -113,9 +115,8 @@ class Index:
         good = score >= threshold - 1e-6
         return key[good] // len(self.ids), key[good] % len(self.ids), score[good]
 
-    def hits(self, texts: list[bytes], threshold: float, overlap: float):
-        """``(text, item, score, question overlap, answer overlap)`` of verified hits, the best passage of each."""
-        words = [words_of(t) for t in texts]
+    def hits(self, words: list[list[bytes]], threshold: float, overlap: float):
+        """``(text, item, score, question overlap, answer overlap)`` of verified hits in the words of some texts, the best passage of each."""
         n = np.array([len(w) for w in words])
         at = bounds(n)
         term = np.fromiter(map(self.terms.get, chain.from_iterable(words), repeat(-1)), np.int64, int(at[-1]))
@@ -149,6 +150,22 @@ class Index:
         return [(d, int(self.ids[k]), *v) for (d, k), v in best.items()]
 
 
+def passage_of(n_words: int) -> int:
+    """Words of the passages that an item of so many words is looked for in: half as many again, rounded up to a class.
+
+    It depends on no other item, nor on the shard.
+    """
+    size = LEAST_PASSAGE
+    while 2 * size < 3 * n_words:
+        size *= 2
+    return size
+
+
+def hits_of(indexes: list[Index], texts: list[bytes], threshold: float, overlap: float):
+    words = [words_of(t) for t in texts]
+    return [hit for index in indexes for hit in index.hits(words, threshold, overlap)]
+
+
 def trigrams_of_size(words: list[bytes], parts) -> set[tuple[bytes, ...]]:
     """The word runs of a passage, of the lengths that an item's parts are made of."""
     sizes = {len(g) for part in parts for g in part}
@@ -162,10 +179,9 @@ _HITS_SQL = "doc_id long, item_id long, score double, question_overlap double, a
 
 def _scan(shared, threshold: float, overlap: float):
     def run(batches):
-        index = shared.value
         for b in batches:
             for ids, texts in slices(b, 2 << 20):
-                found = [(ids[d], *rest) for d, *rest in index.hits(texts, threshold, overlap)]
+                found = [(ids[d], *rest) for d, *rest in hits_of(shared.value, texts, threshold, overlap)]
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], c.type) for i, c in enumerate(_HITS)], schema=_HITS)
     return run
@@ -179,7 +195,7 @@ def _words(texts):
 
 
 def shard_indexes(spark, benchmark: DataFrame):
-    """The broadcast index of each shard; statistics are those of all items."""
+    """The broadcast indexes of each shard, one for each class of lengths; statistics are those of all items."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null").distinct()
     terms = items.mapInArrow(_words, "item_id long, terms array<string>, n long").where("n > 0")
     n_items, n_words = terms.agg(F.count("*"), F.sum("n")).first()
@@ -187,11 +203,14 @@ def shard_indexes(spark, benchmark: DataFrame):
     shards = max(1, -(-(n_words or 0) // SHARD_WORDS))
     shard = F.pmod(F.xxhash64("item_id"), F.lit(shards))
     for s in range(shards if n_items else 0):
-        own = [(r.item_id, r.text) for r in items.where(shard == s).orderBy("item_id", "text").collect() if words_of(r.text.encode())]
+        own: dict[int, list[tuple[int, str]]] = {}
+        for r in items.where(shard == s).orderBy("item_id", "text").collect():
+            if n := len(words_of(r.text.encode())):
+                own.setdefault(passage_of(n), []).append((r.item_id, r.text))
         if own:
             asked = terms.where(shard == s).select(F.explode("terms").alias("term")).distinct()
             known = {r.term: r.df for r in df.join(asked, "term").collect()}
-            yield spark.sparkContext.broadcast(Index(own, known, n_items, n_words / n_items))
+            yield spark.sparkContext.broadcast([Index(rows, known, n_items, n_words / n_items, passage) for passage, rows in sorted(own.items())])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, overlap: float = 0.5) -> DataFrame:
@@ -199,7 +218,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, overlap
     docs, spark = two_columns(docs), docs.sparkSession
     found = spark.createDataFrame([], _HITS_SQL)
     for index in shard_indexes(spark, benchmark):
-        found = found.unionByName(docs.mapInArrow(_scan(index, threshold, overlap), _HITS_SQL))
+        found = found.unionByName(docs.mapInArrow(freeing(_scan(index, threshold, overlap)), _HITS_SQL))
     return found
 
 
@@ -207,7 +226,7 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5,
     """The rows of ``docs``, with all columns, that leak no item. Nothing is shuffled."""
     schema = docs.schema
     for index in shard_indexes(docs.sparkSession, benchmark):
-        docs = docs.mapInArrow(_keep(index, threshold, overlap), schema)
+        docs = docs.mapInArrow(freeing(_keep(index, threshold, overlap)), schema)
     return docs
 
 
@@ -216,7 +235,7 @@ def _keep(shared, threshold: float, overlap: float):
         for b in batches:
             good, base = np.ones(b.num_rows, bool), 0
             for ids, texts in slices(b, 2 << 20):
-                good[[base + d for d, *_ in shared.value.hits(texts, threshold, overlap)]] = False
+                good[[base + d for d, *_ in hits_of(shared.value, texts, threshold, overlap)]] = False
                 base += len(ids)
             yield b.filter(pa.array(good))
     return run
