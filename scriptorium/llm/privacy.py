@@ -8,12 +8,14 @@ generalised. Spans of the rules stay as they are; terms inside them add nothing.
 
 A null or empty text has no spans. A row without an id is treated as any other. Rows are independent: repeated rows and ids give repeated rows, and copies of a text
 are no further support. What a single text shows is chance as well as not, so it discloses nothing.
+Very long texts are read in linear time. An empty table gives no rows. Further columns are kept by ``sanitised_rows``, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from scriptorium.llm.anchors import keyed
-from scriptorium.llm.common import IdFilter, may_be_in, skipping, store
+from scriptorium.llm.common import IdFilter, freeing, may_be_in, skipping, store, unused
 
 KINDS = ("email", "ip", "card", "phone")
 NEAR = 6
@@ -86,17 +88,28 @@ def _contexts(batches):
         rows = []
         for t, digest in zip(b.column("text").to_pylist(), b.column("digest").to_pylist()):
             for start, kind, end in rule_spans(t) if t else ():
-                before = [m.encode().lower() for m in _TERM.findall(text_before(t, start))[-NEAR:]]
-                after = [m.encode().lower() for m in _TERM.findall(t[end:end + 400])[:NEAR]]
+                words = [m.encode().lower() for m in terms_before(t, start) + terms_after(t, end)]
                 entity = _hash(f"{KINDS[kind]}:{t[start:end].lower()}".encode())
-                rows.append((entity, digest, sorted({w.decode() for w in before + after if len(w) > 2})))
+                rows.append((entity, digest, sorted({w.decode() for w in words if len(w) > 2})))
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-def text_before(text: str, start: int) -> str:
-    """What stands before a mention, as far as its terms may reach; a word cut off at the far end is left out."""
-    a = max(0, start - 400)
-    return text[a:start] if not a else text[a:start].partition(" ")[2]
+def terms_before(text: str, start: int) -> list[str]:
+    """The last ``NEAR`` terms before a place, however long they are."""
+    size = 400
+    while True:
+        a = max(0, start - size)
+        found = list(_TERM.finditer(text, a, start))
+        if a and found and found[0].start() == a:  # perhaps the end of a longer one
+            found = found[1:]
+        if not a or len(found) >= NEAR:
+            return [m[0] for m in found[-NEAR:]]
+        size *= 4
+
+
+def terms_after(text: str, end: int) -> list[str]:
+    """The first ``NEAR`` terms behind a place, however long they are."""
+    return [m[0] for m in islice(_TERM.finditer(text, end), NEAR)]
 
 
 def _term_counts(shared):
@@ -124,7 +137,7 @@ class _Flags(dict):
         self.ids = ids
 
     def __missing__(self, word: bytes) -> bool:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         got = self[word] = bool(self.ids.has(np.array([_hash(word)]))[0])
         return got
@@ -157,13 +170,13 @@ def disclosing_terms(docs: DataFrame, support: int = 2, share: float = 0.5, bits
     """``term``, ``bits`` of all terms that give an entity away, from counts over the whole corpus."""
     spark = docs.sparkSession
     keys = docs.select("text", F.xxhash64("text").alias("digest"))
-    near = store(keys.mapInArrow(_contexts, "entity long, digest long, terms array<string>"), "contexts")
+    near = store(keys.mapInArrow(freeing(_contexts), "entity long, digest long, terms array<string>"), "contexts")
     entities = near.groupBy("entity").agg(F.count("*").alias("n_entity"))
     pairs = near.select("entity", "digest", F.explode("terms").alias("term"))
     pairs = pairs.groupBy("term", "entity", "digest").agg(F.count("*").alias("n")).groupBy("term", "entity").agg(F.sum("n").alias("joint"), F.count("*").alias("texts"))
     pairs = store(pairs.where(F.col("texts") >= support), "pairs")
     ids = spark.sparkContext.broadcast(IdFilter.of(_term_ids(pairs.select("term").distinct()), 22))
-    total = docs.select("text").mapInArrow(_term_counts(ids), "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
+    total = docs.select("text").mapInArrow(freeing(_term_counts(ids)), "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
     told, mentions = pairs.join(total, "term").join(entities, "entity"), near.count()
     told = told.where(F.col("joint") >= share * F.col("n_term")).withColumn(
         "bits", F.log2(F.col("joint") / F.col("n_term") * mentions / F.col("n_entity")))
@@ -224,7 +237,7 @@ def _term_marks(docs: DataFrame, remove_bits: float, **limits) -> DataFrame:
     """Where disclosing terms occur, gathered by text (``doc_id``, ``digest``)."""
     terms = disclosing_terms(docs, **limits)
     known = docs.sparkSession.sparkContext.broadcast(IdFilter.of(_term_ids(terms), 22))
-    there = docs.mapInArrow(_occurrences(known), "doc_id long, digest long, term string, start int, end int")
+    there = docs.mapInArrow(freeing(_occurrences(known)), "doc_id long, digest long, term string, start int, end int")
     marks = there.join(terms, "term").select("doc_id", "digest", "start", "end", (F.col("bits") >= remove_bits).alias("remove")).distinct()
     return store(marks.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "end", "remove")).alias("terms")), "terms")
 
@@ -264,8 +277,10 @@ def sanitised_rows(docs: DataFrame, remove_bits: float = 12.0, **limits) -> Data
                     out[i] = pa.array([None if t is None else len(t) for t in clean], b.schema.field(i).type)
             yield pa.RecordBatch.from_arrays(out, names=b.schema.names[:-1])
 
-    plain = docs.select("*", F.lit(None).cast(kind).alias("__terms"))
-    marked = marks.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("terms").alias("__terms"))
-    key = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__digest"))
-    rest = docs.where(may_be_in(ids, "doc_id") | F.col("doc_id").isNull()).join(marked, key, "left").drop("__id", "__digest")
-    return plain.mapInArrow(skipping(ids, run), schema).unionByName(rest.mapInArrow(run, schema))
+    own, same, terms = unused(docs, "__id", "__digest", "__terms")
+    plain = docs.select("*", F.lit(None).cast(kind).alias(terms))
+    marked = marks.select(F.col("doc_id").alias(own), F.col("digest").alias(same), F.col("terms").alias(terms))
+    key = F.col("doc_id").cast("long").eqNullSafe(F.col(own)) & (F.xxhash64(F.col("text").cast("string")) == F.col(same))
+    # Stored, so that no task needs a second Python worker, for the filter and for the texts.
+    rest = store(docs.where(may_be_in(ids, "doc_id") | F.col("doc_id").isNull()).join(marked, key, "left").drop(own, same), "marked")
+    return plain.mapInArrow(freeing(skipping(ids, run)), schema).unionByName(rest.mapInArrow(freeing(run), schema))
