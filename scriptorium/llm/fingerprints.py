@@ -13,6 +13,7 @@ it succeeds. The likeness is the number of shared over all paragraphs, 1 for two
 document of a range is also sent to the range before, so every document meets its successor in one task.
 
 Null texts are empty. A null id comes before all others; rows with equal ids follow each other in the order of their texts.
+Very long texts are cut into paragraphs whole. An empty table gives no rows. Further columns are ignored.
 """
 
 from __future__ import annotations

@@ -8,6 +8,7 @@
 
 Windows never cross documents, and are judged on the input. Null ids and texts of fewer words than a window have nothing
 removed and remove nothing; rows of one id never remove from each other. A null text has no words.
+Very long texts are read in blocks with an overlap. Equal windows keep the smallest id. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -13,6 +13,7 @@ texts equal to that of a smaller id, and suffixes whose anchor the sketch knows
 
 Matches never cross documents, and are judged on the input. Null ids and texts of fewer than 50 bytes have nothing
 removed and remove nothing; rows of one id never remove from each other. A null text is empty.
+Very long texts are read in blocks with an overlap. Equal strings keep the smallest id. An empty table gives no rows.
 """
 
 from __future__ import annotations
