@@ -1,33 +1,36 @@
-"""Token counts by a transducer compiled from a sentence-piece BPE model.
+"""Token counts by a finite-state transducer compiled from a sentence-piece BPE model.
 
-A merge never crosses from a visible letter to a following word mark, nor touches a letter that occurs in no longer
-piece. Between such borders lie *units*, and the tokenizer is a deterministic transducer whose border state reads a whole
-unit and emits its number of tokens. Its arcs are compiled when first met, by the model's merges, and kept in bounded memory.
+The transducer reads letters. Behind every prefix of a run of letters stands one last token (a token may follow another if merging the letters of both
+keeps them apart, and exactly one token that ends at the prefix follows the last token of what is before it), so a letter changes the number of tokens by a fixed
+amount: what its transition emits. A state is what the future can depend on: the longest end of the prefix that begins some piece, the last token at each of its
+letters and the tokens between them; prefixes that agree in these share a state. A visible letter followed by a word mark, and letters that occur in no longer
+piece, lead back to the first state. States and transitions are determinised when first met and kept in bounded memory.
 
 A chunk of text that starts anywhere maps the state it is entered with to a count and a new state. Such a map is a head (what
-completes the unit that came in), a count for the middle, and a tail (the unit left open), or only an open stretch. Two maps compose to one,
-associatively, so chunks of a long text are counted in parallel and composed pairwise, by levels, like a prefix scan.
+stands before the first return to the first state), a count for the middle, and a tail (what is behind the last one), or only an open stretch. Two maps compose to one,
+associatively: every text is read as chunks whose maps are composed, within its task, or for long ones over many tasks, pairwise and by levels, like a prefix scan.
 
 Null and empty texts have no tokens. Rows are independent: repeated rows and ids give repeated rows.
+Very long texts are counted in chunks; null ids are kept. An empty table gives no rows. Further columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
+import struct
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from scriptorium.llm.common import slices, to_batch, two_columns
 
-#: Arcs a worker keeps; the table is emptied when full.
-ARCS = 1_500_000
-#: Letters in a chunk.
-CHUNK = 1 << 15
+#: States a worker keeps; they are built anew when there are more.
+STATES = 250_000
+#: Letters of a chunk; of a text that is cut into rows.
+CHUNK, LONG = 1 << 12, 1 << 15
 MARK = "▁"
-NONE = float("-inf")
+NEVER = float("inf")
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
 
@@ -58,11 +61,9 @@ def _fields(data: bytes):
 
 
 class Transducer:
-    """The model's merges and the arcs compiled so far."""
+    """The model's pieces, and the states and transitions compiled so far. State 0 is the first one."""
 
     def __init__(self, path: str):
-        import struct
-
         with open(path, "rb") as f:
             model = list(_fields(f.read()))
         self.score: dict[str, float] = {}
@@ -83,90 +84,107 @@ class Transducer:
         if any(MARK in p.lstrip(MARK) for p in self.score):
             raise ValueError("no piece may hold a word mark after a letter")
         self.fallback = fallback
-        joined = {c for p in self.score if len(p) > 1 for c in p}
-        self.joins = joined
-        self.arcs: dict[str, int] = {}
-
-    def symbols(self, run: str) -> int:
-        """Tokens of a run of letters that may merge: the best-scored pair first, of equals the leftmost."""
-        n = len(run)
-        score = self.score
-        if n == 1:
-            return self.single(run)
-        if n <= 24:
-            parts = list(run)
-            found = [score.get(a + b, NONE) for a, b in zip(parts, parts[1:])]
-            while found and (best := max(found)) > NONE:
-                i = found.index(best)
+        self.joins = {c for p in self.score if len(p) > 1 for c in p}
+        self.beginnings = {p[:n] for p in self.score for n in range(len(p))}
+        best = max(self.score.values())
+        #: When a piece is merged: the best score first.
+        self.when = {p: best - x for p, x in self.score.items() if len(p) > 1}
+        self.splits: dict[str, tuple[str, str] | None] = {}
+        self.restart()
+
+    def restart(self) -> None:
+        self.arcs: list[dict[str, tuple[int, int]]] = [{}]
+        self.parent, self.letter, self.last, self.tokens, self.begun = [-1], [""], [""], [0], [""]
+        self.known: dict[tuple, int] = {}
+
+    def halves(self, piece: str) -> tuple[str, str] | None:
+        """The two tokens that are merged last into a piece; None if merging its letters does not lead to it."""
+        if piece not in self.splits:
+            parts, last = list(piece), None
+            while len(parts) > 1:
+                found = [self.when.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+                i = found.index(min(found))
+                if found[i] == NEVER:
+                    last = None
+                    break
+                last = parts[i], parts[i + 1]
                 parts[i:i + 2] = [parts[i] + parts[i + 1]]
-                del found[i]
-                if i:
-                    found[i - 1] = score.get(parts[i - 1] + parts[i], NONE)
-                if i < len(found):
-                    found[i] = score.get(parts[i] + parts[i + 1], NONE)
-            return sum(1 if len(p) > 1 else self.single(p) for p in parts)
-        parts: list[str | None] = list(run)
-        left, right = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue: list[tuple[float, int, int, str]] = []
-
-        def offer(i: int, j: int):
-            if i >= 0 and j >= 0 and (s := score.get(parts[i] + parts[j])) is not None:
-                heapq.heappush(queue, (-s, i, j, parts[i] + parts[j]))
-
-        for i in range(n - 1):
-            offer(i, i + 1)
-        while queue:
-            _, i, j, whole = heapq.heappop(queue)
-            if parts[i] is None or parts[j] is None or right[i] != j or parts[i] + parts[j] != whole:
-                continue
-            parts[i], parts[j] = whole, None
-            right[i] = right[j]
-            if right[j] >= 0:
-                left[right[j]] = i
-            offer(left[i], i)
-            offer(i, right[i])
-        return sum(1 if len(p) > 1 else self.single(p) for p in parts if p is not None)
+            self.splits[piece] = last
+        return self.splits[piece]
+
+    def fits(self, a: str, b: str) -> bool:
+        """Whether token ``b`` may follow token ``a`` (or begin, where ``a`` is empty): at no time do merging what stands on both sides come first.
+
+        From the end back in time: of the two tokens the one merged later is taken apart, up to its letters. A merge across at the same time as one
+        to its right comes first, being further left.
+        """
+        if len(b) > 1 and not self.halves(b):
+            return False
+        if not a:
+            return True
+        when, until, across_first = self.when, NEVER, False
+        while True:
+            across = when.get(a + b)
+            if across is not None and (across < until or (across_first and across == until)):
+                return False
+            left, right = when.get(a, -1.0) if len(a) > 1 else -1.0, when.get(b, -1.0) if len(b) > 1 else -1.0
+            if left < 0 and right < 0:
+                return True
+            if left > right:
+                until, across_first, a = left, False, self.halves(a)[1]
+            else:
+                until, across_first, b = right, True, self.halves(b)[0]
 
     def single(self, letter: str) -> int:
         return 1 if letter in self.score or not self.fallback else len(letter.encode())
 
-    def compile(self, unit: str) -> int:
-        """Tokens of a unit given with its word marks, cut at letters that never merge."""
-        if self.joins.issuperset(unit):
-            return self.symbols(unit)
-        count, run = 0, []
-        for c in unit:
-            if c in self.joins:
-                run.append(c)
-            else:
-                if run:
-                    count += self.symbols("".join(run))
-                    run = []
-                count += self.single(c)
-        return count + (self.symbols("".join(run)) if run else 0)
-
-    def emit(self, word: str) -> int:
-        """The count on the arc of a word mark followed by ``word``."""
-        got = self.arcs.get(word)
+    def extend(self, state: int, letter: str) -> tuple[int, int]:
+        """Compile the transition of a state by a letter: the next state, and the tokens it emits."""
+        if letter not in self.joins:
+            arc = 0, self.single(letter)
+        elif letter == MARK and state and self.letter[state] != MARK:
+            arc = self.arcs[0].get(MARK) or self.extend(0, MARK)
+        else:
+            token, before = letter, state
+            while not ((len(token) == 1 or token in self.score) and self.fits(self.last[before], token)):
+                token, before = self.letter[before] + token, self.parent[before]
+            count = self.tokens[before] + (1 if len(token) > 1 else self.single(token))
+            arc = self.state(state, letter, token, count), count - self.tokens[state]
+        self.arcs[state][letter] = arc
+        return arc
+
+    def state(self, parent: int, letter: str, token: str, count: int) -> int:
+        """The state behind a prefix. A later token can begin only where the letters since begin some piece: back to there the last tokens count, and the tokens since."""
+        begun = self.begun[parent] + letter
+        while begun not in self.beginnings:
+            begun = begun[1:]
+        window, at = [begun, token], parent
+        for _ in begun:
+            window += (count - self.tokens[at], self.last[at])
+            at = self.parent[at]
+        key = tuple(window)
+        got = self.known.get(key)
         if got is None:
-            got = self.compile(MARK + word)
-            if len(word) <= 64:
-                self.arcs[word] = got
+            got = self.known[key] = len(self.arcs)
+            self.arcs.append({})
+            self.parent.append(parent)
+            self.letter.append(letter)
+            self.last.append(token)
+            self.tokens.append(count)
+            self.begun.append(begun)
         return got
 
     def middle(self, text: str) -> int:
-        """Tokens of whole units: ``text`` is empty or begins with a word mark (as a blank)."""
-        if not text:
-            return 0
-        if len(self.arcs) > ARCS:
-            self.arcs.clear()
-        if "  " in text or text[-1] == " ":
-            return sum(self.emit(u[1:]) if u[1:2] != " " else self.compile(u.replace(" ", MARK)) for u in _UNITS.findall(text))
-        words = text.split(" ")
-        get, count = self.arcs.get, 0
-        for w in words[1:]:
-            n = get(w)
-            count += self.emit(w) if n is None else n
+        """Tokens emitted from the first state: ``text`` is empty or begins with a word mark (as a blank)."""
+        if len(self.arcs) > STATES:
+            self.restart()
+        arcs, extend, state, count = self.arcs, self.extend, 0, 0
+        for c in text.replace(" ", MARK):
+            arc = arcs[state].get(c)
+            if arc is None:
+                arc = extend(state, c)
+            state, n = arc
+            count += n
         return count
 
     def state_map(self, chunk: str) -> tuple[str, int, str, bool]:
@@ -193,12 +211,20 @@ class Transducer:
         """Tokens of a whole text that began with the first word mark."""
         return self.middle(m[0]) + m[1] + self.middle(m[2])
 
+    def scan(self, maps: list[tuple[str, int, str, bool]]) -> tuple[str, int, str, bool]:
+        """Maps of chunks in a row composed pairwise, level by level."""
+        while len(maps) > 1:
+            maps = [self.compose(*maps[i:i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+        return maps[0]
+
     def count(self, text: str) -> int:
-        """All tokens: the map of the text, entered at the border state."""
-        return self.middle(" " + text.replace(MARK, " ")) if text else 0
+        """All tokens: the maps of the text's chunks, composed and entered at the first state."""
+        if not text:
+            return 0
+        whole = " " + text.replace(MARK, " ")
+        return self.total(self.scan([self.state_map(whole[a:a + CHUNK]) for a in range(0, len(whole), CHUNK)]))
 
 
-_UNITS = re.compile(r" +[^ ]*")
 _BORDER = re.compile(r"[^ ] ")
 _LAST = re.compile(r"(?s)(.*[^ ]) ")
 _ready: dict[str, Transducer] = {}
@@ -231,12 +257,12 @@ def _cut(batches):
         for ids, texts in slices(batch):
             for i, raw in zip(ids, texts):
                 t = " " + raw.decode("utf-8", "replace").replace(MARK, " ")
-                n = -(-len(t) // CHUNK)
+                n = -(-len(t) // LONG)
                 digest = hashlib.md5(raw).hexdigest()
                 for a in range(0, n, 64):
                     own = range(a, min(n, a + 64))
                     yield to_batch(schema, doc_id=[i] * len(own), digest=[digest] * len(own), n_bytes=[len(raw)] * len(own), chunk=list(own),
-                                   text=[t[k * CHUNK:(k + 1) * CHUNK] for k in own])
+                                   text=[t[k * LONG:(k + 1) * LONG] for k in own])
 
 
 def _map_chunks(path: str):
@@ -258,10 +284,7 @@ def _fold(path: str, level: int):
     def run(pdf):
         tr = transducer(path)
         pdf = pdf.sort_values("chunk")
-        rows = list(zip(pdf["head"], pdf["n"], pdf["tail"], pdf["border"]))
-        while len(rows) > 1:
-            rows = [tr.compose(*rows[i:i + 2]) if i + 1 < len(rows) else rows[i] for i in range(0, len(rows), 2)]
-        head, n, tail, border = rows[0]
+        head, n, tail, border = tr.scan(list(zip(pdf["head"], pdf["n"], pdf["tail"], pdf["border"])))
         if level == 2:
             n, head, tail = tr.total((head, n, tail, border)), "", ""
         out = pdf.iloc[:1].copy()
@@ -277,10 +300,10 @@ FAN = 256
 def count_tokens(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_tokens``, ``over_limit`` (more than ``limit`` tokens).
 
-    Texts of more than ``CHUNK`` letters are cut into chunks, mapped wherever there is room, and composed in two levels.
+    The chunks of texts of more than ``LONG`` letters are rows, mapped wherever there is room, and composed in two levels; those of others are composed in their task.
     """
     docs = two_columns(docs)
-    long = F.length("text") > CHUNK
+    long = F.length("text") > LONG
     short = docs.where(F.col("text").isNull() | ~long).mapInArrow(_counts(path, limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
     keys = ["doc_id", "digest", "n_bytes"]
     chunks = docs.where(long).mapInArrow(_cut, _CHUNKS).groupBy(*keys, "chunk").agg(F.count("*").alias("copies"), F.min("text").alias("text"))
