@@ -8,12 +8,13 @@
 3. Pairs are tried in three steps: in each n-gram's list the nodes against one of them, first the one with the fewest n-grams of its own, then a changing
    one, and last all pairs that are still in different components. So a large group of near copies takes work in proportion to its size,
    and no pair that could join two components is left out.
-4. A pair has to pass the length filter and the positional filter, at each common n-gram with what may have been shared before it, then at the first; then the sets themselves are
+4. A pair has to pass the length filter and the positional filter at its first common n-gram; then the sets themselves are
    fetched, the suffix filter splits what follows the prefix and bounds the overlap, and the intersection is counted, once per pair.
 
 A text without words has an empty set and no links; one with fewer words than ``n`` has its whole sequence as only
 n-gram. A null or repeated ``doc_id`` does no harm: each row is judged by its own text, and a null is never the smallest id
 (a component without any other id has a null one).
+Very long texts are cut into words by pieces. Equal sets are one node. An empty table gives no rows. Further columns are ignored, or kept whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from scriptorium.llm.anchors import keyed
-from scriptorium.llm.common import ODD, Hashes, IdFilter, bounds, forget, grams, holding, may_be_in, mix, slices, store, to_batch
+from scriptorium.llm.common import Hashes, IdFilter, bounds, forget, freeing, grams, holding, may_be_in, mix, skipping, slices, store, to_batch, unused
 from scriptorium.llm.components import roots
 
 #: Slots of the sketch that ranks n-grams (a power of two), and the pieces it travels in.
@@ -202,29 +203,33 @@ def _candidates(index: DataFrame, step: str, num: int, den: int) -> DataFrame:
         other = index.groupBy("token").agg(F.min(F.struct(key.alias("key"), *entry)).alias("best"), *ends).where("c0 < c1").select(
             "token", *[F.col(f"best.{c}").alias(c + "2") for c in entry])
     need = lambda a, b: F.ceil(F.lit(num) * (a + b) / F.lit(den + num) - F.lit(1e-9))
-    # Shared are at most: the live n-grams before this one, this one, and all behind it.
-    most = F.least("live", "live2") + F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
-    fits = (F.least("n", "n2") * den >= F.greatest("n", "n2") * num) & (most >= need(F.col("n"), F.col("n2"))) & (F.col("comp") != F.col("comp2"))
+    # At a pair's first common n-gram, what is left of both sets has to reach the overlap; at later ones less is left.
+    left = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
+    fits = (F.least("n", "n2") * den >= F.greatest("n", "n2") * num) & (left >= need(F.col("n"), F.col("n2"))) & (F.col("comp") != F.col("comp2"))
     if step == "all":
         fits = fits & (F.col("node") < F.col("node2"))
-    pairs = mine.join(other, (mine.token == other.token) & fits).select(
-        *[F.when(F.col("node") < F.col("node2"), F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (
-            ("node", "node2", "a"), ("node2", "node", "b"), ("n", "n2", "na"), ("n2", "n", "nb"), ("pos", "pos2", "i"), ("pos2", "pos", "j"))])
-    pairs = pairs.groupBy("a", "b", "na", "nb").agg(F.min("i").alias("i"), F.min("j").alias("j"))
-    return pairs.where(F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j")) >= need(F.col("na"), F.col("nb"))).select("a", "b")
+    smaller = F.col("node") < F.col("node2")
+    return mine.join(other, (mine.token == other.token) & fits).select(
+        F.when(smaller, F.col("node")).otherwise(F.col("node2")).alias("a"), F.when(smaller, F.col("node2")).otherwise(F.col("node")).alias("b")).distinct()
 
 
 def similar_components(docs: DataFrame, k: int, num: int, den: int = 100) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and the text's ``digest`` for every row; sets link when ``den * intersection >= num * union``."""
     docs, spark = keyed(docs), docs.sparkSession
-    first = store(docs.mapInArrow(_first_pass(k), "doc_id long, digest long, n long, node long, piece int, counts binary"), "sets")
+    first = store(docs.mapInArrow(freeing(_first_pass(k)), "doc_id long, digest long, n long, node long, piece int, counts binary"), "sets")
     rows = first.where("piece is null").select("doc_id", "digest", "n", "node")
     ranks = spark.sparkContext.broadcast(_ranks(first))
     reps = rows.where("node is not null").groupBy("node", "doc_id").agg(F.count("*").alias("n"))
     reps = store(reps.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "nodes")
-    lists = docs.mapInArrow(_prefixes(k, num, den, ranks), "doc_id long, node long, n long, tokens array<long>")
-    # Stored, as the n-grams of several nodes are found first and picked out then.
-    lists = store(lists.join(reps, (lists.node == reps.node) & lists.doc_id.eqNullSafe(reps.doc_id), "left_semi").select("node", "n", "tokens"), "prefixes")
+    # One row of each node is read; only rows that may be others are joined to find out. Stored, as the n-grams of several nodes are found first and picked out then.
+    spare = rows.where("node is not null").join(reps, (rows.node == reps.node) & rows.doc_id.eqNullSafe(reps.doc_id), "left_anti").select(rows.doc_id)
+    spare = spare.unionByName(reps.where("n > 1").select("doc_id")).where("doc_id is not null")
+    others = spark.sparkContext.broadcast(IdFilter.of(store(spare, "spare")))
+    prefixes, kind = _prefixes(k, num, den, ranks), "doc_id long, node long, n long, tokens array<long>"
+    perhaps = docs.mapInArrow(freeing(holding(others, prefixes)), kind)
+    perhaps = perhaps.join(reps, (perhaps.node == reps.node) & perhaps.doc_id.eqNullSafe(reps.doc_id), "left_semi")
+    lists = docs.mapInArrow(freeing(skipping(others, prefixes)), kind).unionByName(perhaps)
+    lists = store(lists.select("node", "n", "tokens"), "prefixes")
     index = lists.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
     shared = index.groupBy("token").count().where("count > 1").select("token")  # a node has an n-gram once
     # ``live`` is the number of n-grams before it in the prefix that another node has as well: only those can be shared.
@@ -271,13 +276,13 @@ def _linked(docs: DataFrame, reps: DataFrame, pairs: DataFrame, k: int, num: int
     wanted = store(reps.select("node", "doc_id").join(nodes, "node"), "wanted")
     ids = spark.sparkContext.broadcast(IdFilter.of(wanted.select("doc_id").where("doc_id is not null")))
     # Sets of other nodes that the filter lets through meet no pair. A set may be there twice: its row is, or a copy of it passed the filter.
-    sets = store(docs.mapInArrow(holding(ids, _sets(k)), "doc_id long, node long, members binary").select("node", "members"), "members")
+    sets = store(docs.mapInArrow(freeing(holding(ids, _sets(k))), "doc_id long, node long, members binary").select("node", "members"), "members")
     if not sets.groupBy("node").count().where("count > 1").isEmpty():
         every = sets
         sets = store(every.dropDuplicates(["node"]), "members")
         forget(every)
     left, right = (sets.select(F.col("node").alias(n), F.col("members").alias(m)) for n, m in (("a", "ma"), ("b", "mb")))
-    links = store(pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb").mapInArrow(_verify(num, den), "u long, v long"), "links")
+    links = store(pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb").mapInArrow(freeing(_verify(num, den)), "u long, v long"), "links")
     forget(sets, wanted)
     ids.destroy()
     return links
@@ -290,10 +295,11 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> D
     """
     spark = docs.sparkSession
     found = store(similar_components(docs, k, num, den).where("doc_id is not null").select("doc_id", "digest", "component_id"), "found")
-    touched = found.groupBy("doc_id", "digest").agg(F.max(F.col("doc_id") != F.col("component_id")).alias("gone"), F.count("*").alias("n"))
-    touched = store(touched.where("gone or n > 1").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "gone"), "touched")
-    ids = spark.sparkContext.broadcast(IdFilter.of(touched.select("__id")))
-    key = (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__digest"))
-    rest = docs.where(may_be_in(ids, "doc_id")).join(touched.withColumnRenamed("gone", "__gone"), key, "left").where("__gone is null or not __gone")
-    once = rest.where("__id is null").unionByName(rest.where("__id is not null").dropDuplicates(["doc_id", "text"]))
-    return docs.where(~may_be_in(ids, "doc_id")).unionByName(once.drop("__id", "__digest", "__gone"))
+    own, same, gone = unused(docs, "__id", "__digest", "__gone")
+    touched = found.groupBy("doc_id", "digest").agg(F.max(F.col("doc_id") != F.col("component_id")).alias(gone), F.count("*").alias("n"))
+    touched = store(touched.where(F.col(gone) | (F.col("n") > 1)).select(F.col("doc_id").alias(own), F.col("digest").alias(same), gone), "touched")
+    ids = spark.sparkContext.broadcast(IdFilter.of(touched.select(own)))
+    key = (F.col("doc_id").cast("long") == F.col(own)) & (F.xxhash64(F.col("text").cast("string")) == F.col(same))
+    rest = docs.where(may_be_in(ids, "doc_id")).join(touched, key, "left").where(F.col(gone).isNull() | ~F.col(gone))
+    once = rest.where(F.col(own).isNull()).unionByName(rest.where(F.col(own).isNotNull()).dropDuplicates(["doc_id", "text"]))
+    return docs.where(~may_be_in(ids, "doc_id")).unionByName(once.drop(own, same, gone))
