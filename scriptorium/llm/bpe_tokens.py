@@ -7,6 +7,7 @@ Back-pointers from the end of the piece give the ids. Pieces are those of the us
 memory, since words repeat; a text's ids are then put together, and decoding joins the ids' bytes.
 
 Null and empty texts have no tokens. Rows are independent: repeated rows and ids give repeated rows.
+Very long texts are encoded whole; null ids are kept. An empty table gives no rows. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from scriptorium.llm.common import slices, to_batch, two_columns
+from scriptorium.llm.common import freeing, slices, to_batch, two_columns
 
 # The pattern that byte-level BPE cuts texts with.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -187,9 +188,9 @@ def _rows(path: str, digest: bool):
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids`` (decimals joined by commas) and ``decoded`` (the text they stand for)."""
-    return two_columns(docs).mapInArrow(_rows(path, False), "doc_id long, n_tokens long, ids string, decoded string")
+    return two_columns(docs).mapInArrow(freeing(_rows(path, False)), "doc_id long, n_tokens long, ids string, decoded string")
 
 
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``n_tokens`` and the digests of ids and decoded text."""
-    return two_columns(docs).mapInArrow(_rows(path, True), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return two_columns(docs).mapInArrow(freeing(_rows(path, True)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
