@@ -7,7 +7,6 @@ import gc
 from contextlib import contextmanager
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -237,11 +236,9 @@ def may_be_in(shared, column: str):
 
     Meant for rows that are shuffled or stored next: right before a function on batches it would take a second Python worker a task.
     """
-    @F.pandas_udf("boolean")
-    def test(ids: pd.Series) -> pd.Series:
-        there = ids.notna().to_numpy()
-        out = np.zeros(len(ids), bool)
-        out[there] = shared.value.has(ids[there].to_numpy(np.int64))
-        return pd.Series(out)
+    @F.arrow_udf("boolean")
+    def test(ids: pa.Array) -> pa.Array:
+        there = shared.value.has(pc.fill_null(ids, 0).cast(pa.int64()).to_numpy(zero_copy_only=False))
+        return pa.array(there & np.asarray(pc.is_valid(ids)), pa.bool_())
 
     return test(F.col(column))
