@@ -2,6 +2,10 @@
 
 A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the last keep the columns of ``documents``. ``run`` writes what a
 stage returns as Parquet in the shared folder and reads it again for the next one.
+
+Null texts and rows without an id are kept by every stage, and judged by their text; of equal rows one stays; a row of an id that is used twice is judged by
+its own text. Very long texts are read whole. Further columns, whatever their names, come through unchanged. Without usable labels nothing is toxic. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from scriptorium.llm import bpe_tokens, decontaminate, ngram_join, privacy, toxicity
-from scriptorium.session import store
+from scriptorium.llm.common import store
 from scriptorium.sources.tables import load
 
 
