@@ -139,7 +139,7 @@ def test_rising_bound_saves_work(spark):
         rng = np.random.default_rng(n)
         sets = {k: {f"t{k % (n // 5)}.{x}" for x in rng.choice(12, 9, replace=False)} | {f"all{x}" for x in rng.choice(30, rng.integers(0, 4), replace=False)} for k in range(n)}
         items, work = spark.createDataFrame([(k, i) for k, s in sets.items() for i in s], "k long, i string"), []
-        got = {r["k"]: (r["match"], r["score"]) for r in J.best_matches(items, "k", "i", rare=2, masks=0, work=work).collect()}
+        got = {r["k"]: (r["match"], r["score"]) for r in J.best_matches(items, "k", "i", rare=2, max_broadcast_bytes=0, work=work).collect()}
         assert got == best_by_hand(sets)
         return sum(work)
 
