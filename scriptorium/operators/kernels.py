@@ -29,36 +29,46 @@ def best_per_query(rows: np.ndarray, cols: np.ndarray, cost: np.ndarray, k: int)
     return rows[keep], cols[keep], cost[keep], rank[keep]
 
 
-def nearest(queries: np.ndarray, catalogue: np.ndarray, k: int, excluded: np.ndarray | None = None):
+def nearest(queries: np.ndarray, catalogue: np.ndarray, k: int, excluded: np.ndarray | None = None, block: int = _C_CHUNK):
     """Exact ``k`` nearest catalogue rows by squared L2: ``(row, col, distance, rank)`` arrays.
 
     A matrix product gives approximate distances with a known error; whatever lies within that
-    error of the k-th best is worked out again term by term. So equal vectors get equal distances
+    error of the k-th best so far is worked out again term by term. So equal vectors get equal distances
     and ties fall to the lower catalogue position. ``excluded[i]`` is a catalogue position that
-    query ``i`` must not return (-1 for none).
+    query ``i`` must not return (-1 for none). ``block`` is how many catalogue rows are compared at once.
     """
+    block = max(1, min(block, _C_CHUNK))
     c_norm = np.einsum("ij,ij->i", catalogue, catalogue)
     parts = []
     for q0 in range(0, len(queries), _Q_CHUNK):
         q = queries[q0:q0 + _Q_CHUNK]
         q_norm = np.einsum("ij,ij->i", q, q)
-        for c0 in range(0, len(catalogue), _C_CHUNK):
-            c = catalogue[c0:c0 + _C_CHUNK]
-            n = c_norm[c0:c0 + _C_CHUNK]
-            approx = q_norm[:, None] + n[None, :] - 2.0 * (q @ c.T)
+        bound = np.full(len(q), np.inf)  # distance of the k-th best so far
+        best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for c0 in range(0, len(catalogue), block):
+            c = catalogue[c0:c0 + block]
+            n = c_norm[c0:c0 + block]
+            approx = (-2.0 * q) @ c.T  # and the query's norm, which is no matter within a row
+            approx += n
             if excluded is not None:
                 at = excluded[q0:q0 + _Q_CHUNK] - c0
                 hit = np.flatnonzero((at >= 0) & (at < len(c)))
                 approx[hit, at[hit]] = np.inf
-            if k < len(c):
-                kth = np.partition(approx, k - 1, axis=1)[:, k - 1]
-                slack = 1e-11 * (q_norm + n.max()) + 1e-300
-                r, s = np.nonzero((approx <= (kth + slack)[:, None]) & (approx < np.inf))
-            else:
-                r, s = np.nonzero(approx < np.inf)
+            limit = bound - q_norm
+            if k < len(c) and not np.isfinite(bound).all():
+                limit = np.minimum(limit, np.partition(approx, k - 1, axis=1)[:, k - 1])
+            slack = 1e-11 * (q_norm + n.max()) + 1e-300
+            near = approx <= (limit + slack)[:, None]
+            if not np.isfinite(limit).all():
+                near &= approx < np.inf
+            r, s = np.divmod(np.flatnonzero(near), len(c))
+            if not len(r):
+                continue
             diff = q[r] - c[s]
-            found = best_per_query(r, s, np.einsum("ij,ij->i", diff, diff), k)
-            parts.append((found[0] + q0, found[1] + c0, found[2]))
+            found = r, s + c0, np.einsum("ij,ij->i", diff, diff)
+            *best, rank = best_per_query(*(np.concatenate(x) for x in zip(best, found)), k)
+            bound[best[0][rank == k]] = best[2][rank == k]
+        parts.append((best[0] + q0, best[1], best[2]))
     if not parts:
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty, np.zeros(0), empty

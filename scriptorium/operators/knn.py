@@ -14,8 +14,8 @@ from scriptorium.operators.kernels import matrix, nearest
 from scriptorium.session import store
 
 MAX_BROADCAST_BYTES = 128 << 20
-#: Bytes of a catalogue shard where the whole does not fit the bound.
-SHARD_BYTES = 64 << 20
+#: Bytes of a catalogue that are compared at once where the whole does not fit the bound, and that go to all tasks at once.
+SHARD_BYTES = PASS_BYTES = 64 << 20
 
 
 def usable(vector: str, dim: int) -> Column:
@@ -27,7 +27,8 @@ def usable(vector: str, dim: int) -> Column:
 
 def knn_join(queries: DataFrame, catalogue: DataFrame, k: int = 5, *, vector: str = "vector",
              item: str = "item_id", exclude: str | None = None,
-             dim: int | None = None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+             dim: int | None = None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES, shard_bytes: int = SHARD_BYTES,
+             pass_bytes: int = PASS_BYTES) -> DataFrame:
     """The ``k`` catalogue rows nearest to each query by squared L2.
 
     ``queries`` has ``vector`` and any key columns, which must identify a row; ``catalogue`` has
@@ -36,8 +37,8 @@ def knn_join(queries: DataFrame, catalogue: DataFrame, k: int = 5, *, vector: st
     item the query must not return, such as itself. Vectors have ``dim`` numbers, or else as many as most
     of the catalogue's; rows without such a vector are left out, row by row, and ``left_out`` gives them.
 
-    A catalogue whose size is known to fit the bound goes to all tasks. A larger one goes there in
-    shards, one after another. Either way the queries are not shuffled at all.
+    A catalogue whose size is known to fit the bound goes to all tasks. A larger one goes there in passes of about
+    ``pass_bytes`` (at least a shard), one after another, each compared shard by shard. Either way the queries are not shuffled at all.
     """
     dim = dim or common_dimension(catalogue, vector)
     item_type = catalogue.schema[item].dataType
@@ -51,7 +52,8 @@ def knn_join(queries: DataFrame, catalogue: DataFrame, k: int = 5, *, vector: st
     size = n * (8 * dim + 16) + (length or 0)
     if size <= max_broadcast_bytes:
         return _by_broadcast(queries, catalogue, k, vector, item, exclude, out)
-    return _by_shards(queries, catalogue, k, vector, item, exclude, out, -(-size // shard_bytes))
+    shard_rows = max(1, n * shard_bytes // size)
+    return _by_shards(queries, catalogue, k, vector, item, exclude, out, -(-size // max(pass_bytes, shard_bytes)), shard_rows)
 
 
 def common_dimension(catalogue: DataFrame, vector: str = "vector") -> int:
@@ -100,22 +102,21 @@ def _by_broadcast(queries, catalogue, k, vector, item, exclude, out) -> DataFram
     return queries.mapInArrow(search, out)
 
 
-def _by_shards(queries, catalogue, k, vector, item, exclude, out, shards) -> DataFrame:
-    """The same for a catalogue of any size: shard by shard, with a running top ``k``.
+def _by_shards(queries, catalogue, k, vector, item, exclude, out, passes, shard_rows) -> DataFrame:
+    """The same for a catalogue of any size: pass by pass, with a running top ``k``.
 
-    A shard is a share of the items by hash, small enough to go to all tasks. Queries are never shuffled or copied: each pass
-    reads them with the best answers so far, adds the shard's and stores the ``k`` best of both. The shard is released
-    before the next one is sent, so memory is bounded however large the catalogue is.
+    A pass has a share of the items by hash, small enough to go to all tasks, which compare ``shard_rows`` of it at once. Queries are never shuffled
+    or copied: each pass reads them with the best answers so far and adds its own. All passes but the last store the ``k`` best of both, and release
+    what they sent before the next is sent, so memory is bounded however large the catalogue is; a catalogue of one pass stores no queries.
     """
     spark, context = queries.sparkSession, queries.sparkSession.sparkContext
     item_type = out["neighbour"].dataType
-    best_type = T.ArrayType(T.StructType([T.StructField("d", T.DoubleType()), T.StructField("i", item_type)]))
-    state = queries.withColumn("_best", F.array().cast(best_type))
+    state = queries.withColumn("_best", F.array().cast(best_type(item_type)))
     schema = state.schema
-    catalogue = store(catalogue, "catalogue")
-    for number in range(shards):
-        part = catalogue.where(F.pmod(F.xxhash64(item), F.lit(shards)) == number)
-        table = part.orderBy(item).toArrow().combine_chunks()  # a shard's size is bounded
+    catalogue = store(catalogue, "catalogue") if passes > 1 else catalogue
+    for number in range(passes):
+        part = catalogue.where(F.pmod(F.xxhash64(item), F.lit(passes)) == number)
+        table = part.orderBy(item).toArrow().combine_chunks()  # a pass's size is bounded
         if not table.num_rows:
             continue
         shared = context.broadcast((table.column(item).combine_chunks(), matrix(table.column(vector).combine_chunks())))
@@ -125,17 +126,24 @@ def _by_shards(queries, catalogue, k, vector, item, exclude, out, shards) -> Dat
             for batch in batches:
                 if batch.num_rows:
                     own = _positions(batch.column(exclude), items) if exclude else None
-                    rows, cols, distance, _ = nearest(matrix(batch.column(vector)), vectors, k, own)
+                    rows, cols, distance, _ = nearest(matrix(batch.column(vector)), vectors, k, own, shard_rows)
                     best = _merged(batch.column("_best"), rows, distance, items.take(pa.array(cols)), k)
                     yield pa.RecordBatch.from_arrays([*batch.columns[:-1], best], names=batch.schema.names)
 
-        state = store(state.mapInArrow(search, schema), "neighbours")
-        shared.destroy()
+        state = state.mapInArrow(search, schema)
+        if number < passes - 1:
+            state = store(state, "neighbours")
+            shared.destroy()
     keys = [f.name for f in out.fields[:-3]]
     return state.select(*keys, F.posexplode("_best").alias("_at", "_b")).select(
         *keys, F.col("_b.i").alias("neighbour"), F.col("_b.d").alias("distance"), (F.col("_at") + 1).cast("int").alias("rank"))
 
 
+def best_type(item_type: T.DataType) -> T.ArrayType:
+    """Type of a query's best answers so far, nearest first: distance and item."""
+    return T.ArrayType(T.StructType([T.StructField("d", T.DoubleType()), T.StructField("i", item_type)]))
+
+
 def _merged(best: pa.ListArray, rows: np.ndarray, distance: np.ndarray, items: pa.Array, k: int) -> pa.ListArray:
     """The ``k`` best per row of the answers so far and the new ones, nearest first, equal distances in item order."""
     old = best.flatten()
