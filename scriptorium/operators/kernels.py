@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_Q_CHUNK, _C_CHUNK = 512, 8192
+_Q_CHUNK, _C_CHUNK, _P_CHUNK = 512, 8192, 2048
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -142,3 +142,40 @@ def _shared(q, n_q: int, c, n_c: int, width: int) -> np.ndarray:
         met = by_code[np.repeat(starts[codes], times) + within]
         np.add.at(out, np.repeat(rows, times) * n_c + met, 1.0)
     return out.reshape(n_q, n_c)
+
+
+def packed_sets(sets: pa.Array, vocabulary: np.ndarray) -> np.ndarray:
+    """Lists of numbers that are all in the sorted ``vocabulary`` as bits, a row of bytes each."""
+    lengths = pc.list_value_length(sets).to_numpy(zero_copy_only=False).astype(np.int64)
+    bits = np.zeros((len(sets), len(vocabulary)), bool)
+    bits[np.repeat(np.arange(len(sets)), lengths), np.searchsorted(vocabulary, sets.flatten().to_numpy(zero_copy_only=False))] = True
+    return np.packbits(bits, axis=1)
+
+
+def best_packed_overlap(q_bits: np.ndarray, q_sizes: np.ndarray, c_bits: np.ndarray, c_sizes: np.ndarray, width: int, own: np.ndarray):
+    """``best_overlap`` for sets that hold much of a small vocabulary of ``width`` items: a matrix product of blocks that are unpacked as they are needed.
+
+    Scores are taken in single precision first; what lies within their error of the best is divided again in double precision.
+    """
+    best, col = np.zeros(len(q_bits)), np.full(len(q_bits), -1, dtype=np.int64)
+    unpacked = lambda bits: np.unpackbits(bits, axis=1, count=width).astype(np.float32)
+    for q0 in range(0, len(q_bits), _Q_CHUNK):
+        q, q_n, at = unpacked(q_bits[q0:q0 + _Q_CHUNK]), q_sizes[q0:q0 + _Q_CHUNK], own[q0:q0 + _Q_CHUNK]
+        for c0 in range(0, len(c_bits), _P_CHUNK):
+            shared = q @ unpacked(c_bits[c0:c0 + _P_CHUNK]).T
+            c_n = c_sizes[c0:c0 + _P_CHUNK]
+            rough = np.add.outer(q_n.astype(np.float32), c_n.astype(np.float32))
+            rough -= shared
+            np.divide(shared, rough, out=rough)
+            hit = np.flatnonzero((at >= c0) & (at < c0 + len(c_n)))
+            rough[hit, at[hit] - c0] = -1.0
+            most = rough.max(axis=1)
+            least = np.maximum(most, best[q0:q0 + len(q)]) * (1 - 1e-5)
+            rows = np.flatnonzero((most > 0) & (most >= least))
+            r, s = np.nonzero(rough[rows] >= least[rows, None])
+            r = rows[r]
+            both = shared[r, s].astype(np.float64)
+            row, place, cost, rank = best_per_query(r, s, -(both / (q_n[r] + c_n[s] - both)), 1)
+            better = -cost > best[q0 + row]
+            best[q0 + row[better]], col[q0 + row[better]] = -cost[better], place[better] + c0
+    return col, best
