@@ -55,9 +55,15 @@ def read_csv_ranges(spark: SparkSession, path: str, schema: StructType | str, se
     return _unmarked(found.select(row.alias("row")).select("row.*"), mark)
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = False) -> None:
-    """CSV with a header. ``single_file`` gives up all parallelism; it is for small exports."""
-    out = df.coalesce(1) if single_file else df
+def write_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = False, file_bytes: int | None = None) -> None:
+    """CSV with a header. ``single_file`` gives up all parallelism; it is for small exports. With ``file_bytes`` there are as many files as hold about so
+    much text each, one for a table of less; its text is measured first.
+    """
+    files = 1 if single_file else None
+    if file_bytes:
+        length = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 1 for c in df.columns), F.lit(0).cast("bigint"))
+        files = max(1, -(-(df.agg(F.sum(length)).first()[0] or 0) // file_bytes))
+    out = df.coalesce(files) if files else df
     (
         out.write.mode("overwrite")
         .option("header", True).option("sep", sep).option("encoding", "UTF-8")

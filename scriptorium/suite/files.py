@@ -21,10 +21,10 @@ def src_csv_roundtrip(spark, d):
 
 
 def src_csv_ranges(spark, d):
-    """One file with line breaks in its fields, read by several tasks."""
+    """Large files with line breaks in their fields, each read by several tasks; one file up to 256 MB of text, so that no task has to write all."""
     docs = load(spark, d, "documents", "doc_id", "source", "text")
     path = work_dir(spark, "csv")
-    I.write_csv(docs, path, single_file=True)
+    I.write_csv(docs, path, file_bytes=256 << 20)
     return I.read_csv_ranges(spark, path, docs.schema)
 
 
