@@ -5,8 +5,11 @@ Between stages everything is Parquet; CSV, text and JSON appear where data enter
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,6 +21,9 @@ from scriptorium.session import store, work_dir
 from scriptorium.sources.records import Entries, Quoted, records
 
 TROPE_MAP = "map<string,struct<definition:string>>"
+#: Folder of rows without a partition value, and the letters that such a folder's name can't have.
+NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+_ODD = re.compile(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""")
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",",
@@ -73,30 +79,49 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = Fals
     )
 
 
-def read_whole_text(spark: SparkSession, path: str, name: Column | None = None, glob: str | None = None) -> DataFrame:
-    """One row ``(name, text)`` per file; the name is the file name without its last extension."""
-    reader = spark.read
+@contextmanager
+def _few_listings(spark: SparkSession):
+    """Folders that are listed for what is read inside are shared out to few tasks: Spark's own way is a task a folder, up to 10,000 tasks."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    own = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(own), max(64, 4 * spark.sparkContext.defaultParallelism))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
+def read_whole_text(spark: SparkSession, path: str, name: Column | None = None, glob: str | None = None, nested: bool = False) -> DataFrame:
+    """One row ``(name, text)`` per file; the name is the file name without its last extension. ``nested`` reads the files of all folders below as well."""
+    reader = spark.read.option("recursiveFileLookup", nested)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     # The metadata column holds names percent-encoded, with plus signs left as they are.
     source = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    return reader.text(path, wholetext=True).select((base_name(source) if name is None else name).alias("name"), F.col("value").alias("text"))
+    with _few_listings(spark):
+        files = reader.text(path, wholetext=True)
+    return files.select((base_name(source) if name is None else name).alias("name"), F.col("value").alias("text"))
+
 
+def read_html_files(spark: SparkSession, path: str, charset: str = "UTF-8", glob: str = "*.htm*", nested: bool = False) -> DataFrame:
+    """One row ``(name, html)`` per file. Bytes that are not valid in ``charset`` are replaced.
 
-def read_html_files(spark: SparkSession, path: str, charset: str = "UTF-8", glob: str = "*.htm*") -> DataFrame:
-    """One row ``(name, html)`` per file. Bytes that are not valid in ``charset`` are replaced."""
+    ``nested`` reads the files of all folders below without taking those for partitions, which Spark's planner would hold and look through one by one.
+    """
     content = F.col("content")
     decoded = content.cast("string") if charset.upper() == "UTF-8" else F.decode(content, charset)
     if charset.upper() == "UTF-8":
         decoded = F.make_valid_utf8(decoded)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    with _few_listings(spark):
+        files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", nested).load(path)
     return files.select(base_name(F.col("path")).alias("name"), decoded.alias("html"))
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Inventory of files; the contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    return files.load(path).select(
+    with _few_listings(spark):
+        files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+    return files.select(
         F.regexp_replace("path", r"^.*/", "").alias("file_name"),
         base_name(F.col("path")).alias("name"),
         F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).alias("kind"),
@@ -107,8 +132,9 @@ def file_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 def land_raw(spark: SparkSession, source: str, target: str, glob: str = "*") -> None:
     """Copy files into a Parquet table ``raw(path, name, kind, content, length)``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    files.load(source).select(
+    with _few_listings(spark):
+        files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(source)
+    files.select(
         "path", base_name(F.col("path")).alias("name"),
         F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).alias("kind"), "content", "length",
     ).write.mode("overwrite").parquet(target)
@@ -124,8 +150,11 @@ def land_chunks(spark: SparkSession, source: str, target: str, glob: str = "*",
     packed = F.lower("path").rlike(r"\.(gz|gzip|bz2|zst|lz4|snappy|deflate|xz)$")
     found = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     where = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    files = store(found.format("binaryFile").load(source).select("path", "length", packed.alias("packed")), "files")
-    lines = found.option("lineSep", "\n").text(source).select(where.alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("content"))
+    with _few_listings(spark):
+        text = found.option("lineSep", "\n").text(source)
+        binary = found.format("binaryFile").load(source)  # listed once for both uses
+    files = store(binary.select("path", "length", packed.alias("packed")), "files")
+    lines = text.select(where.alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("content"))
     schema = pa.schema([("path", pa.string()), ("block", pa.int64()), ("n", pa.int64()), ("content", pa.binary())])
 
     def chunks(batches):
@@ -158,7 +187,7 @@ def land_chunks(spark: SparkSession, source: str, target: str, glob: str = "*",
     short = (F.col("chunk") == F.col("chunks") - 1) & (F.col("bytes") > F.col("length"))
     trimmed = F.when(short, F.substring("content", F.lit(1), F.octet_length("content") - 1)).otherwise(F.col("content"))
     kept = numbered.select("path", "length", "chunk", trimmed.alias("content")).where("octet_length(content) > 0")
-    rest = found.format("binaryFile").load(source).where(packed & (F.col("length") > 0))
+    rest = binary.where(packed & (F.col("length") > 0))
     parts = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("length") - 1) / chunk_bytes))
     rest = rest.select("path", "length", "content", F.explode(parts).alias("chunk")).select(
         "path", "length", "chunk", F.substring("content", (F.col("chunk") * chunk_bytes + 1).cast("int"), F.lit(chunk_bytes)).alias("content"))
@@ -281,5 +310,53 @@ def write_scripts(df: DataFrame, key: str, text: str, path: str) -> None:
 
     For handing scripts to other programs; within the library they stay rows of a table.
     """
-    rows = df.select(key, strip(F.col(text)).alias("value")).repartition(key)
-    rows.write.mode("overwrite").partitionBy(key).text(path)
+    write_keyed_texts(df.select(key, strip(F.col(text)).alias("value")), key, "value", path)
+
+
+def write_keyed_texts(df: DataFrame, key: str, text: str, path: str) -> None:
+    """One text file per key, in a folder ``key=value``: its rows as lines. What is at ``path`` is replaced.
+
+    Folders, names and bytes are those of Spark's partitioned text writer, which does the work in other stores. On a local or mounted file system
+    Hadoop starts processes to set the permissions of every folder and file, so tasks write there themselves: under a hidden name first, so a repeated task
+    puts the same file in place of its own. ``_SUCCESS`` comes last.
+    """
+    spark = df.sparkSession
+    rows = df.select(key, text).repartition(F.col(key))
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target = at(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getUri().getScheme() != "file":
+        rows.write.mode("overwrite").partitionBy(key).text(path)
+        return
+    root, name = fs.makeQualified(target).toUri().getPath(), f"part-00000-{uuid.uuid4()}.c000.txt"
+    fs.delete(target, True)
+    fs.mkdirs(target)
+
+    def write(batches):
+        n, own, out, folder = 0, f".{name}-{uuid.uuid4().hex}", None, None
+
+        def close():
+            if out:
+                out.close()
+                os.replace(os.path.join(folder, own), os.path.join(folder, name))
+
+        for b in batches:
+            for value, line in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+                now = os.path.join(root, _partition_folder(key, value))
+                if now != folder:
+                    close()
+                    os.makedirs(now, exist_ok=True)
+                    out, folder, n = open(os.path.join(now, own), "wb"), now, n + 1
+                out.write((line or b"") + b"\n")
+        close()
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    value = F.coalesce(F.nullif(F.col(key).cast("string"), F.lit("")), F.lit(NO_PARTITION))
+    placed = df.select(value.alias("key"), F.col(text).alias("value")).repartition("key").sortWithinPartitions("key")
+    placed.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+    fs.create(at(path, "_SUCCESS"), True).close()
+
+
+def _partition_folder(name: str, value: str) -> str:
+    """``name=value`` with the letters escaped that Spark escapes in folders of partitions."""
+    return "=".join(_ODD.sub(lambda c: f"%{ord(c[0]):02X}", part) for part in (name, value))

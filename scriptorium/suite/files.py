@@ -41,7 +41,7 @@ def src_wholetext_key(spark, d):
     path = work_dir(spark, "texts")
     I.write_scripts(talks, "conv_id", "text", path)
     name = F.regexp_extract("_metadata.file_path", r"conv_id=(\d+)/", 1)
-    return I.read_whole_text(spark, f"{path}/*", name).select(
+    return I.read_whole_text(spark, path, name, nested=True).select(
         F.col("name").cast("bigint").alias("conv_id"), "text")
 
 
@@ -49,7 +49,7 @@ def _written_pages(spark, d):
     """Pages as files, one folder per page: name and bytes are known from the table."""
     pages = load(spark, d, "pages").select("page_id", F.regexp_replace("html", r"[\r\n]+", " ").alias("value"))
     path = work_dir(spark, "pages")
-    pages.repartition("page_id").write.partitionBy("page_id").text(path)
+    I.write_keyed_texts(pages, "page_id", "value", path)
     return path
 
 
@@ -79,7 +79,7 @@ def src_chunked_landing(spark, d):
 
 def src_html_files(spark, d):
     """Pages read back as HTML files."""
-    pages = I.read_html_files(spark, _written_pages(spark, d), glob="*.txt")
+    pages = I.read_html_files(spark, _written_pages(spark, d), glob="*.txt", nested=True)
     return pages.groupBy(F.regexp_extract("html", r"<title>([^<]*)", 1).alias("title")).agg(F.count("*").alias("n"), F.sum(F.length("html")).alias("n_chars"))
 
 
