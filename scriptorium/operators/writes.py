@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.operators.merge import append_new_keys, keyed_update, unmatched_updates
-from scriptorium.session import store
+from scriptorium.session import few_listings, store
 
 #: Column that a keyed table is partitioned by: a share of the keys by hash.
 SHARE = "key_share"
@@ -100,39 +100,69 @@ def append_keyed(spark: SparkSession, table: str, incoming: DataFrame, key: str,
     """
     create_keyed(spark, table, incoming, key, shares, share_bytes)
     _layout(spark, table, key)
-    fresh = store(append_new_keys(keyed_rows(spark, table), incoming.where(F.col(key).isNotNull()), key), "fresh")
-    added = fresh.count()
-    if added:
-        now = grow(spark, table, _bytes(spark, fresh.stored_at))
-        fresh.withColumn(SHARE, share_of(key, now)).select(*spark.table(table).columns).repartition(SHARE).write.insertInto(table)
+    with few_listings(spark):
+        fresh = store(append_new_keys(keyed_rows(spark, table), incoming.where(F.col(key).isNotNull()), key), "fresh")
+        added = fresh.count()
+        if added:
+            now, done = _grow(spark, table, _bytes(spark, fresh.stored_at), fresh)
+            if len(done) < now:
+                rest = fresh.withColumn(SHARE, share_of(key, now)).where(~_among(SHARE, done))
+                rest.select(*spark.table(table).columns).repartition(SHARE).write.insertInto(table)
     return added
 
 
+def _among(column: str, values: list[int]) -> Column:
+    """Whether a number is one of the sorted ``values``, by runs of them: a table may have many thousands of shares, which mostly lie together."""
+    found, runs = F.lit(False), []
+    for v in values:
+        if runs and v == runs[-1][1] + 1:
+            runs[-1][1] = v
+        else:
+            runs.append([v, v])
+    if len(runs) > 64:
+        return F.col(column).isin(values)
+    for low, high in runs:
+        found = found | F.col(column).between(low, high)
+    return found
+
+
 def grow(spark: SparkSession, table: str, more: int = 0) -> int:
     """Split shares until they hold ``share_bytes`` on average at most, with ``more`` bytes to come; the new number of shares.
 
     New shares are written first, then the table's property changes, then the shares that were split are written without the rows that left.
     """
+    with few_listings(spark):
+        return _grow(spark, table, more)[0]
+
+
+def _grow(spark: SparkSession, table: str, more: int, fresh: DataFrame | None = None) -> tuple[int, list[int]]:
+    """The number of shares after :func:`grow`, and those that were written anew. The rows of ``fresh`` that belong there are written with them, so they get one
+    file and not two; rows in new shares do not count before the property changes, as all others there.
+    """
     shares, key, most = _layout(spark, table)
     wanted = max(shares, -(-(size_of(spark, table) + more) // most))
     if wanted == shares:
-        return shares
+        return shares, []
     split = sorted({parent(s, shares) for s in range(shares, wanted)})
-    moved = store(_placed(spark, table).where(F.col(SHARE).isin(split)).withColumn(SHARE, share_of(key, wanted)), "split")
+    done, columns = [*split, *range(shares, wanted)], spark.table(table).columns
+    moved = _placed(spark, table).where(_among(SHARE, split)).withColumn(SHARE, share_of(key, wanted)).select(*columns)
+    if fresh is not None:
+        moved = moved.unionByName(fresh.withColumn(SHARE, share_of(key, wanted)).where(_among(SHARE, done)).select(*columns))
+    moved = store(moved, "split")
     there = {r[0] for r in moved.select(SHARE).distinct().collect()}  # no more than shares
     _overwrite(spark, table, moved.where(F.col(SHARE) >= shares))
     _set(spark, table, {SHARES: wanted})
     _overwrite(spark, table, moved.where(F.col(SHARE) < shares))
     for s in sorted(set(split) - there):  # all of its keys have left
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({SHARE} = {s})")
-    return wanted
+    return wanted, done
 
 
 def rows_of_keys(spark: SparkSession, table: str, keys: DataFrame, key: str) -> DataFrame:
     """The rows of the shares that hold any of ``keys``, with the share; other partitions are not read."""
     now, _, _ = _layout(spark, table, key)
-    touched = [r[0] for r in keys.where(F.col(key).isNotNull()).select(share_of(key, now)).distinct().collect()]  # at most as many as there are shares
-    return _placed(spark, table).where(F.col(SHARE).isin(touched))
+    touched = sorted(r[0] for r in keys.where(F.col(key).isNotNull()).select(share_of(key, now)).distinct().collect())  # at most as many as there are shares
+    return _placed(spark, table).where(_among(SHARE, touched))
 
 
 def update_keyed(spark: SparkSession, table: str, updates: DataFrame, key: str, field: str, shares: int | None = None) -> DataFrame:
@@ -141,8 +171,9 @@ def update_keyed(spark: SparkSession, table: str, updates: DataFrame, key: str,
     Returns the updates without a row in the table. The new partitions are stored first, then put in place of the old ones. ``shares`` has no
     effect: the table knows how many it has.
     """
-    updates = store(updates.select(key, field), "updates")
-    rows = rows_of_keys(spark, table, updates, key)
-    missing = store(unmatched_updates(rows, updates, key), "unmatched")
-    _overwrite(spark, table, store(keyed_update(rows, updates, key, field), "updated"))
+    with few_listings(spark):
+        updates = store(updates.select(key, field), "updates")
+        rows = rows_of_keys(spark, table, updates, key)
+        missing = store(unmatched_updates(rows, updates, key), "unmatched")
+        _overwrite(spark, table, store(keyed_update(rows, updates, key, field), "updated"))
     return missing

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +49,18 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+@contextmanager
+def few_listings(spark: SparkSession):
+    """Folders that are listed for what is read inside are shared out to few tasks: Spark's own way is a task a folder, up to 10,000 tasks."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    own = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(own), max(64, 4 * spark.sparkContext.defaultParallelism))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and go on from there.
 

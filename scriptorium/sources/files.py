@@ -9,7 +9,6 @@ import os
 import re
 import uuid
 from collections.abc import Sequence
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from scriptorium.functions.text import base_name, strip
-from scriptorium.session import store, work_dir
+from scriptorium.session import few_listings, store, work_dir
 from scriptorium.sources.records import Entries, Quoted, records
 
 TROPE_MAP = "map<string,struct<definition:string>>"
@@ -79,18 +78,6 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = Fals
     )
 
 
-@contextmanager
-def _few_listings(spark: SparkSession):
-    """Folders that are listed for what is read inside are shared out to few tasks: Spark's own way is a task a folder, up to 10,000 tasks."""
-    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-    own = spark.conf.get(name)
-    spark.conf.set(name, str(min(int(own), max(64, 4 * spark.sparkContext.defaultParallelism))))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, own)
-
-
 def read_whole_text(spark: SparkSession, path: str, name: Column | None = None, glob: str | None = None, nested: bool = False) -> DataFrame:
     """One row ``(name, text)`` per file; the name is the file name without its last extension. ``nested`` reads the files of all folders below as well."""
     reader = spark.read.option("recursiveFileLookup", nested)
@@ -98,7 +85,7 @@ def read_whole_text(spark: SparkSession, path: str, name: Column | None = None,
         reader = reader.option("pathGlobFilter", glob)
     # The metadata column holds names percent-encoded, with plus signs left as they are.
     source = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    with _few_listings(spark):
+    with few_listings(spark):
         files = reader.text(path, wholetext=True)
     return files.select((base_name(source) if name is None else name).alias("name"), F.col("value").alias("text"))
 
@@ -112,14 +99,14 @@ def read_html_files(spark: SparkSession, path: str, charset: str = "UTF-8", glob
     decoded = content.cast("string") if charset.upper() == "UTF-8" else F.decode(content, charset)
     if charset.upper() == "UTF-8":
         decoded = F.make_valid_utf8(decoded)
-    with _few_listings(spark):
+    with few_listings(spark):
         files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", nested).load(path)
     return files.select(base_name(F.col("path")).alias("name"), decoded.alias("html"))
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Inventory of files; the contents are not read."""
-    with _few_listings(spark):
+    with few_listings(spark):
         files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
     return files.select(
         F.regexp_replace("path", r"^.*/", "").alias("file_name"),
@@ -132,7 +119,7 @@ def file_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 def land_raw(spark: SparkSession, source: str, target: str, glob: str = "*") -> None:
     """Copy files into a Parquet table ``raw(path, name, kind, content, length)``."""
-    with _few_listings(spark):
+    with few_listings(spark):
         files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(source)
     files.select(
         "path", base_name(F.col("path")).alias("name"),
@@ -150,7 +137,7 @@ def land_chunks(spark: SparkSession, source: str, target: str, glob: str = "*",
     packed = F.lower("path").rlike(r"\.(gz|gzip|bz2|zst|lz4|snappy|deflate|xz)$")
     found = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     where = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    with _few_listings(spark):
+    with few_listings(spark):
         text = found.option("lineSep", "\n").text(source)
         binary = found.format("binaryFile").load(source)  # listed once for both uses
     files = store(binary.select("path", "length", packed.alias("packed")), "files")

@@ -116,3 +116,20 @@ def test_item_index(spark, table):
     plan = X.keys_with_item(spark, index, "k", "i3")._jdf.queryExecution().toString()
     assert "EqualTo(item,i3)" in plan
     spark.sql(f"DROP TABLE {index}")
+
+
+def test_rows_of_a_split_share_come_with_the_split(spark, table):
+    """An append that doubles the shares writes one file a share, and a repeat adds nothing."""
+    W.append_keyed(spark, table, keyed(spark, 400), "k", share_bytes=15_000)
+    before = shares(spark, table)
+    assert W.append_keyed(spark, table, keyed(spark, 1600), "k") == 1200
+    assert shares(spark, table) >= 2 * before
+    assert len(files(spark, table)) == len({d for d, _ in files(spark, table)}) == shares(spark, table)
+    assert W.append_keyed(spark, table, keyed(spark, 1600), "k") == 0 and W.keyed_rows(spark, table).count() == 1600
+    assert {tuple(r) for r in W.keyed_rows(spark, table).select("k", "v").collect()} == {tuple(r) for r in keyed(spark, 1600).collect()}
+
+
+def test_runs_of_shares(spark):
+    ids = spark.range(200).select(F.col("id").cast("int").alias("id"))
+    for some in ([], [0], [3, 4, 5], [0, 1, 7, 9, 10], list(range(0, 200, 2))):
+        assert [r.id for r in ids.where(W._among("id", some)).orderBy("id").collect()] == some
