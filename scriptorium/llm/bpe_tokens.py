@@ -25,10 +25,10 @@ from scriptorium.llm.common import freeing, slices, to_batch, two_columns
 
 # The pattern that byte-level BPE cuts texts with.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: Entries of a worker's table of words; it is emptied when full.
-WORDS = 1_200_000
+#: Words that a worker remembers: half of them since the last change, half from before.
+WORDS = 300_000
 #: Remembered pairs of tokens.
-PAIRS = 1_000_000
+PAIRS = 500_000
 NEVER = 1 << 60
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
@@ -71,6 +71,7 @@ class Encoder:
         self.automaton.make_automaton()
         self.text_of = {str(i): b for i, b in self.bytes.items()}
         self.words: dict[str, str] = {}
+        self.older: dict[str, str] = {}
 
     def compatible(self, left: int, right: int, before: int = NEVER) -> bool:
         """Whether merging leaves the border between two tokens alone (until merge ``before``).
@@ -128,15 +129,16 @@ class Encoder:
         """
         parts = _BORDER.split(text) if _DOUBLE.search(text) else text.replace(" ", "\0 ").split("\0") if "\0" not in text else _BORDER.split(text)
         table = self.words
-        if len(table) > WORDS:
-            table.clear()
         out = []
         for p in parts:
             if p:
                 got = table.get(p)
                 if got is None:
-                    got = self.word(p)
+                    got = self.older.pop(p, None) or self.word(p)
                     if len(p) <= 64:
+                        if len(table) >= WORDS // 2:  # frequent words come back from the older half
+                            self.older, self.words = table, {}
+                            table = self.words
                         table[p] = got
                 out.append(got)
         return out
@@ -163,7 +165,7 @@ _ready: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One per worker process and file."""
+    """One per task and file."""
     if path not in _ready:
         _ready[path] = Encoder(path)
     return _ready[path]
@@ -171,6 +173,12 @@ def encoder(path: str) -> Encoder:
 
 def _rows(path: str, digest: bool):
     def run(batches):
+        try:
+            yield from encoded(batches)
+        finally:
+            _ready.clear()  # before the memory is given back
+
+    def encoded(batches):
         enc = encoder(path)
         for batch in batches:
             for ids, texts in slices(batch, 2 << 20):
