@@ -241,7 +241,8 @@ def read_large_map(spark: SparkSession, path: str) -> DataFrame:
 def write_trope_map(tropes: DataFrame, path: str) -> None:
     """One file that holds one object ``{name: {"definition": text}}``, in the order of the names.
 
-    Names are sorted by all tasks; the file itself is written by one, row by row. A repeated name keeps its smallest definition, a null name is left out.
+    Names are sorted by all tasks, which write a file each. On a local or mounted file system tasks then copy ranges of these to their places in the one file;
+    in other stores one task writes it, row by row. A repeated name keeps its smallest definition, a null name is left out.
     """
     spark = tropes.sparkSession
     rows = tropes.where("name is not null").groupBy("name").agg(F.min("definition").alias("definition"))
@@ -262,6 +263,13 @@ def write_trope_map(tropes: DataFrame, path: str) -> None:
         yield pa.RecordBatch.from_arrays([pa.array([held, "}"], pa.string())], names=["value"])
 
     folder = work_dir(spark, "object")
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    if all(at(p).getFileSystem(conf).getUri().getScheme() == "file" for p in (folder, path)):
+        entries.select(F.concat("value", F.lit(","))).write.text(folder)
+        if _join_parts(spark, folder, path):
+            return
+        folder = work_dir(spark, "object")
     lines = entries.coalesce(1).mapInArrow(framed, "value string")
     if rows.isEmpty():  # no rows, no task to frame them
         lines = spark.createDataFrame([("{}",)], "value string").coalesce(1)
@@ -269,6 +277,52 @@ def write_trope_map(tropes: DataFrame, path: str) -> None:
     _move_only_part(spark, folder, path)
 
 
+def _join_parts(spark: SparkSession, folder: str, path: str, piece_bytes: int = 64 << 20) -> bool:
+    """Put the lines of a written folder, each ending with a comma, between braces at ``path``, in place of what is there; False if there are none.
+
+    A task copies ``piece_bytes`` at most. The file gets its name when it is whole. The folder is deleted.
+    """
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [(f.getPath().getName(), f.getLen()) for f in fs.listStatus(jvm.Path(folder)) if f.getPath().getName().startswith("part-")]
+    found.sort(key=lambda f: (int(f[0].split("-")[1]), len(f[0]), f[0]))
+    local = lambda p: fs.makeQualified(p).toUri().getPath()
+    source, target = local(jvm.Path(folder)), jvm.Path(path)
+    whole = jvm.Path(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
+    own, end = local(whole), sum(n for _, n in found)  # two bytes in front; the last comma and line end are not copied
+    if not end:
+        fs.delete(jvm.Path(folder), True)
+        return False
+    pieces, place = [], 2
+    for name, n in found:
+        pieces += [(f"{source}/{name}", a, min(piece_bytes, n - a, end - place - a), place + a) for a in range(0, n, piece_bytes)]
+        place += n
+
+    def copy(piece):
+        name, start, left, to = piece
+        with open(name, "rb") as f, open(os.open(own, os.O_WRONLY | os.O_CREAT, 0o666), "wb") as out:
+            f.seek(start)
+            out.seek(to)
+            while left > 0:
+                got = f.read(min(left, 1 << 20))
+                if not got:
+                    raise OSError(f"{name} has become shorter")
+                out.write(got)
+                left -= len(got)
+
+    fs.mkdirs(target.getParent())
+    spark.sparkContext.parallelize(pieces, len(pieces)).foreach(copy)
+    with open(os.open(own, os.O_WRONLY | os.O_CREAT, 0o666), "wb") as out:
+        out.write(b"{\n")
+        out.seek(end)
+        out.write(b"\n}\n")
+    fs.delete(target, True)
+    if not fs.rename(whole, target):
+        raise OSError(f"can't write {path}")
+    fs.delete(jvm.Path(folder), True)
+    return True
+
+
 def _move_only_part(spark: SparkSession, folder: str, path: str) -> None:
     """Put the one file of a written folder at ``path``, in place of what is there."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path

@@ -117,3 +117,32 @@ def test_chunks_are_the_files(spark, ranges, tmp_path):
     assert all([i for i, _ in v] == list(range(len(v))) for v in got.values())
     digests = I.file_digests(chunks).collect()
     assert len(digests) == len(contents) - 1 and all(r.complete for r in digests)
+
+
+def test_one_object_is_written_by_all(spark, tmp_path, monkeypatch):
+    """No step of the writing goes through one partition, and the bytes are those of one writer."""
+    df = spark.createDataFrame([(f"n{i:03}", None if i % 7 == 0 else f"é {i}") for i in range(90, -1, -1)] + [("n001", "a"), (None, "x")], "name string, definition string").repartition(5)
+    whole = {f"n{i:03}": {"definition": None if i % 7 == 0 else f"é {i}"} for i in range(91)}
+    whole["n001"] = {"definition": "a"}
+    lines = ",\n".join(json.dumps({k: v}, ensure_ascii=False, separators=(",", ":"))[1:-1] for k, v in whole.items())
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    monkeypatch.setattr(type(df), "coalesce", lambda *_: pytest.fail("one partition"))
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        path = str(tmp_path / "in" / "map.json")
+        for _ in range(2):  # the second in place of the first
+            I.write_trope_map(df, path)
+            assert (tmp_path / "in" / "map.json").read_bytes() == f"{{\n{lines}\n}}\n".encode()
+        assert sorted(p.name for p in (tmp_path / "in").iterdir()) == ["map.json"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    assert {r.name: r.definition for r in I.read_large_map(spark, path).collect()} == {k: v["definition"] for k, v in whole.items()}
+
+
+@pytest.mark.parametrize("piece", [1, 2, 5, 1000])
+def test_pieces_are_put_where_they_belong(spark, tmp_path, piece):
+    (tmp_path / "parts").mkdir()
+    for i, text in enumerate(['"a":1,\n"bé":2,\n', "", '"c":3,\n']):
+        (tmp_path / "parts" / f"part-{i:05}-x-c000.txt").write_text(text)
+    assert I._join_parts(spark, str(tmp_path / "parts"), str(tmp_path / "out.json"), piece)
+    assert (tmp_path / "out.json").read_text() == '{\n"a":1,\n"bé":2,\n"c":3\n}\n' and not (tmp_path / "parts").exists()
