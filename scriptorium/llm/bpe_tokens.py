@@ -26,7 +26,7 @@ from scriptorium.llm.common import freeing, slices, to_batch, two_columns
 # The pattern that byte-level BPE cuts texts with.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Words that a worker remembers: half of them since the last change, half from before.
-WORDS = 300_000
+WORDS = 600_000
 #: Remembered pairs of tokens.
 PAIRS = 500_000
 NEVER = 1 << 60
