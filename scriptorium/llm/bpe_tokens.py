@@ -25,10 +25,10 @@ from scriptorium.llm.common import freeing, slices, to_batch, two_columns
 
 # The pattern that byte-level BPE cuts texts with.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: Words that a worker remembers: half of them since the last change, half from before.
-WORDS = 600_000
+#: Entries of a worker's table of words; it is emptied when full.
+WORDS = 1_200_000
 #: Remembered pairs of tokens.
-PAIRS = 500_000
+PAIRS = 1_000_000
 NEVER = 1 << 60
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
@@ -71,7 +71,6 @@ class Encoder:
         self.automaton.make_automaton()
         self.text_of = {str(i): b for i, b in self.bytes.items()}
         self.words: dict[str, str] = {}
-        self.older: dict[str, str] = {}
 
     def compatible(self, left: int, right: int, before: int = NEVER) -> bool:
         """Whether merging leaves the border between two tokens alone (until merge ``before``).
@@ -134,11 +133,10 @@ class Encoder:
             if p:
                 got = table.get(p)
                 if got is None:
-                    got = self.older.pop(p, None) or self.word(p)
+                    got = self.word(p)
                     if len(p) <= 64:
-                        if len(table) >= WORDS // 2:  # frequent words come back from the older half
-                            self.older, self.words = table, {}
-                            table = self.words
+                        if len(table) >= WORDS:
+                            table.clear()
                         table[p] = got
                 out.append(got)
         return out
