@@ -18,6 +18,9 @@ from scriptorium.llm import bpe_tokens, decontaminate, ngram_join, privacy, toxi
 from scriptorium.llm.common import store
 from scriptorium.sources.tables import load
 
+#: Rows of a batch of whole texts with all columns, which the JVM holds on its way to Python and back.
+ROWS = 500
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, load(spark, sf_dir, "labels", "doc_id", "toxic"))
@@ -29,15 +32,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return store(decontaminate.drop_leaking(docs, load(spark, sf_dir, "benchmark", "item_id", "text")), "decontaminate")
+    return store(decontaminate.drop_leaking(docs, load(spark, sf_dir, "benchmark", "item_id", "text")), "decontaminate", ROWS)
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return store(privacy.sanitised_rows(docs), "privacy")
+    return store(privacy.sanitised_rows(docs), "privacy", ROWS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return store(bpe_tokens.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).select("doc_id", "n_tokens", "ids"), "bpe_tokens")
+    return store(bpe_tokens.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).select("doc_id", "n_tokens", "ids"), "bpe_tokens", ROWS)
 
 
 STAGES = [

@@ -97,33 +97,32 @@ class Encoder:
         letters = byte_letters()
         vocab = spec["model"]["vocab"]
         raw = {t: bytes(map(letters.__getitem__, t)) for t in vocab}
-        self.bytes = {i: raw[t] for t, i in vocab.items()}
         self.size = max([*vocab.values(), *(t["id"] for t in spec.get("added_tokens", []))], default=0) + 1
-        self.rank, self.halves, self.born = {}, {}, {}
+        rank, halves, born = {}, {}, {}
         for r, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             x, y, whole = vocab[a], vocab[b], vocab[a + b]
-            self.rank.setdefault(x * self.size + y, r)
-            if whole not in self.halves:
-                self.halves[whole], self.born[whole] = (x, y), r
+            rank.setdefault(x * self.size + y, r)
+            if whole not in halves:
+                halves[whole], born[whole] = (x, y), r
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.bytes |= {i: s.encode() for s, i in self.special.items()}
+        of = {i: raw[t] for t, i in vocab.items()} | {i: s.encode() for s, i in self.special.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pattern, self.latin_pattern = regex.compile(PIECES), re.compile(LATIN_PIECES)
-        self.raw = pa.array([self.bytes.get(i, b"") for i in range(self.size + 1)], pa.binary())
+        self.raw = pa.array([of.get(i, b"") for i in range(self.size + 1)], pa.binary())
         self.marks = {s: str(i) for s, i in self.special.items()}
         self.words: dict[str, str] = {}
         self.older: dict[str, str] = {}
-        self._arrays(vocab, raw)
         self._automaton, self.pairs = None, 0
+        self._arrays(vocab, raw, rank, halves, born)
 
-    def _arrays(self, vocab: dict[str, int], raw: dict[str, bytes]) -> None:
+    def _arrays(self, vocab: dict[str, int], raw: dict[str, bytes], rank: dict[int, int], halves: dict[int, tuple[int, int]], born: dict[int, int]) -> None:
         """What :meth:`pieces` looks up: merges, halves, the trie of the tokens that stay whole, known pairs."""
-        self.ranks = Lookup(np.fromiter(self.rank, np.int64, len(self.rank)), np.fromiter(self.rank.values(), np.int32, len(self.rank)))
-        made = np.fromiter(self.halves, np.int64, len(self.halves))
+        self.ranks = Lookup(np.fromiter(rank, np.int64, len(rank)), np.fromiter(rank.values(), np.int32, len(rank)))
+        made = np.fromiter(halves, np.int64, len(halves))
         self.made_at, self.halved = np.full(self.size, -1, np.int64), np.zeros((2, self.size), np.int64)
-        self.made_at[made] = np.fromiter(self.born.values(), np.int64, len(made))
-        self.halved[:, made] = np.array(list(self.halves.values()), np.int64).reshape(-1, 2).T
+        self.made_at[made] = np.fromiter(born.values(), np.int64, len(made))
+        self.halved[:, made] = np.array(list(halves.values()), np.int64).reshape(-1, 2).T
         whole = np.ones(self.size, bool)
         whole[made] = self.all_compatible(*self.halved[:, made], self.made_at[made])
         self.lengths = np.zeros(self.size, np.int64)
@@ -153,22 +152,26 @@ class Encoder:
         if self._automaton is None:
             self._automaton = ahocorasick.Automaton()
             for i in self.whole:
-                self._automaton.add_word(self.bytes[i].decode("latin-1"), (len(self.bytes[i]), i, {}))
+                token = self.raw[i].as_py()
+                self._automaton.add_word(token.decode("latin-1"), (len(token), i, {}))
             self._automaton.make_automaton()
+            there = self.ranks.keys >= 0
+            self.rank = dict(zip(self.ranks.keys[there].tolist(), self.ranks.values[there].tolist()))
+            self.born, self.halves = self.made_at.tolist(), self.halved.T.tolist()
         return self._automaton
 
-    def compatible(self, left: int, right: int, before: int = NEVER) -> bool:
-        """Whether merging leaves the border between two tokens alone (until merge ``before``).
+    def compatible(self, left: int, right: int) -> bool:
+        """Whether merging leaves the border between two tokens alone; for long pieces, by what :attr:`automaton` has made ready.
 
         Run backwards: of the two tokens at the border the one made last is opened again, and at each moment
         the two that then touch must not have a merge earlier than what came next.
         """
-        limit, right_next = before, False  # the event that comes next, and whether it is right of the border: the left goes first
+        limit, right_next = NEVER, False  # the event that comes next, and whether it is right of the border: the left goes first
         while True:
             r = self.rank.get(left * self.size + right, NEVER)
             if r < limit or (r == limit and right_next):
                 return False
-            a, b = self.born.get(left, -1), self.born.get(right, -1)
+            a, b = self.born[left], self.born[right]
             if a < 0 and b < 0:
                 return True
             if a > b:
@@ -177,7 +180,7 @@ class Encoder:
                 limit, right_next, right = b, True, self.halves[right][0]
 
     def all_compatible(self, left: np.ndarray, right: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """:meth:`compatible` for arrays of borders."""
+        """:meth:`compatible` for arrays of borders, until the merges ``before``."""
         out, row = np.zeros(len(left), bool), np.arange(len(left))
         limit, right_next = before, np.zeros(len(left), bool)
         while len(row):

@@ -40,9 +40,9 @@ def small_batches(spark, rows: int = ARROW_ROWS):
             spark.conf.set(name, value)
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, rows: int = ARROW_ROWS) -> DataFrame:
     """``session.store`` with small batches."""
-    with small_batches(df.sparkSession):
+    with small_batches(df.sparkSession, rows):
         return session.store(df, name)
 
 

@@ -28,6 +28,8 @@ SLOTS_LOG2 = 18
 SLOTS = 1 << SLOTS_LOG2
 #: Bytes of a word's beginnings, length of its inner runs, most bytes of a word.
 BEGINNINGS, RUN, LONGEST = range(3, 8), 4, 64
+#: Rows of a batch that goes back with all columns.
+PART = 500
 _BLANK = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
 #: Words a worker remembers, windows scored at once.
 KNOWN, TOGETHER = 300_000, 4096
@@ -300,6 +302,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, m
     return scored(docs, run, threshold)
 
 
+def _parts(batch: pa.RecordBatch, keep: pa.Array):
+    """The rows to keep in small batches: the caller sets how large batches come in, but what goes back the JVM has to hold once more."""
+    for i in range(0, batch.num_rows, PART):
+        yield batch.slice(i, PART).filter(keep.slice(i, PART))
+
+
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, most: int = MOST) -> DataFrame:
     """The rows of ``docs``, with all columns, that score below ``threshold``. Nothing is shuffled."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most))
@@ -312,6 +320,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, most:
                 continue
             network = model.value[1]
             logit = np.concatenate([v for _, v in _highest([b], lambda _: reader, network)] or [np.empty(0)])
-            yield b.filter(pa.array(1 / (1 + np.exp(-np.clip(network.scale * logit + network.shift, -30, 30))) < threshold))
+            keep = pa.array(1 / (1 + np.exp(-np.clip(network.scale * logit + network.shift, -30, 30))) < threshold)
+            yield from _parts(b, keep)
 
     return docs.mapInArrow(freeing(run), docs.schema)
