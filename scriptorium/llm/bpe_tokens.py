@@ -33,13 +33,13 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 LATIN_PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LATIN}]+| ?[0-9]+| ?[^\t-\r 0-9{LATIN}]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 #: Pieces that a worker remembers: half of them since the last change, half from before.
-WORDS = 300_000
+WORDS = 100_000
 #: Remembered pairs of tokens: places for the arrays, entries for long pieces.
 PAIR_BITS, PAIRS = 19, 300_000
 #: Longer pieces, in bytes, go through the automaton by themselves.
 LONG = 64
 #: Pieces that are taken together, and bytes of text.
-TOGETHER, SLICE = 1 << 14, 2 << 20
+TOGETHER, SLICE = 1 << 13, 1 << 20
 NEVER = 1 << 60
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
