@@ -10,6 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _Q_CHUNK, _C_CHUNK, _P_CHUNK = 512, 8192, 2048
+#: Squared lengths, of a longest vector, that products in single precision are right for; numbers of pairs that are worked out again at once.
+_SINGLE, _REFINED = (1e-25, 1e30), 1 << 21
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -75,6 +77,68 @@ def nearest(queries: np.ndarray, catalogue: np.ndarray, k: int, excluded: np.nda
     return best_per_query(*(np.concatenate(x) for x in zip(*parts)), k)
 
 
+class Piece:
+    """Some rows of a catalogue, made ready to meet many queries; ``place`` orders rows of equal distance."""
+
+    def __init__(self, vectors: np.ndarray, place: np.ndarray):
+        self.vectors, self.place = vectors, place
+        self.norm = np.einsum("ij,ij->i", vectors, vectors)
+        self.most = self.norm.max()
+        # Single precision does where no square can pass its range; a product with a column more adds the norm.
+        self.single = np.c_[vectors, self.norm].astype(np.float32).T if self.most == 0 or _SINGLE[0] < self.most < _SINGLE[1] else None
+
+
+class Running:
+    """The ``k`` nearest rows so far of some queries, for a catalogue that comes in pieces: ``distance`` and ``place`` by query and rank (-1: none yet).
+
+    As in ``nearest`` a matrix product gives distances with a known error, in single precision here, and what lies within that error of the ``k``-th best
+    so far, over all pieces, is worked out term by term. Rows farther than ``bound`` are of no use to a query.
+    """
+
+    def __init__(self, queries: np.ndarray, k: int, bound: np.ndarray):
+        self.queries, self.k, self.bound = queries, k, bound
+        self.norm = np.einsum("ij,ij->i", queries, queries)
+        self.single = np.c_[-2.0 * queries, np.ones(len(queries))].astype(np.float32) if self.norm.max(initial=0) < _SINGLE[1] else None
+        self.distance, self.place = np.full((len(queries), k), np.inf), np.full((len(queries), k), -1, np.int64)
+
+    def meet(self, rows: np.ndarray, piece: Piece, hit: tuple[np.ndarray, np.ndarray]) -> None:
+        """Compare the queries ``rows`` with a piece. ``hit`` has pairs, of a place in ``rows`` and a row of the piece, that don't count."""
+        norm, dim = self.norm[rows], self.queries.shape[1]
+        if self.single is not None and piece.single is not None:
+            approx = self.single[rows] @ piece.single  # and the query's norm, which is no matter within a row
+            slack = 2 * (dim + 8) * 2.0 ** -24 * (norm + 2 * piece.most)
+        else:
+            approx = (-2.0 * self.queries[rows]) @ piece.vectors.T
+            approx += piece.norm
+            slack = 1e-11 * (norm + piece.most) + 1e-300
+        approx[hit] = np.inf
+        limit = self.bound[rows] - norm
+        unbound = np.flatnonzero(np.isinf(limit))
+        if len(unbound) and self.k < approx.shape[1]:
+            limit[unbound] = np.partition(approx[unbound], self.k - 1, axis=1)[:, self.k - 1]
+        limit = np.nextafter((limit + slack).astype(approx.dtype), approx.dtype.type(np.inf))
+        some = np.flatnonzero(approx.min(axis=1) <= limit)
+        if not len(some):
+            return
+        approx = approx[some]
+        r, s = np.divmod(np.flatnonzero((approx <= limit[some, None]) & (approx < np.inf)), approx.shape[1])
+        r, step = rows[some[r]], max(1, _REFINED // dim)
+        distance = np.empty(len(r))
+        for at in range(0, len(r), step):
+            diff = self.queries[r[at:at + step]] - piece.vectors[s[at:at + step]]
+            distance[at:at + step] = np.einsum("ij,ij->i", diff, diff)
+        keep = distance <= self.bound[r]
+        r, place, distance = r[keep], piece.place[s[keep]], distance[keep]
+        changed = np.unique(r)
+        old, rank = np.nonzero(self.place[changed] >= 0)
+        old = changed[old]
+        best = (old, self.place[old, rank], self.distance[old, rank]), (r, place, distance)
+        r, place, distance, rank = best_per_query(*(np.concatenate(x) for x in zip(*best)), self.k)
+        self.place[r, rank - 1], self.distance[r, rank - 1] = place, distance
+        last = rank == self.k
+        self.bound[r[last]] = distance[last]
+
+
 def best_overlap(q_sets: pa.Array, q_sizes: np.ndarray, c_sets: pa.Array, c_sizes: np.ndarray,
                  own: np.ndarray | None = None):
     """Best catalogue row per query by shared / (size + size - shared): ``(col, score)`` arrays.
