@@ -9,6 +9,7 @@ import os
 import re
 import uuid
 from collections.abc import Sequence
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -130,9 +131,87 @@ def land_raw(spark: SparkSession, source: str, target: str, glob: str = "*") ->
 def land_chunks(spark: SparkSession, source: str, target: str, glob: str = "*", chunk_bytes: int = 8 << 20) -> None:
     """Copy files of any size into a Parquet table ``(path, name, kind, length, chunk, content)``, at most ``chunk_bytes`` a row.
 
+    Chunks are numbered from 0 in order. Files without bytes have no row. A folder on a local or mounted file system is listed and read by tasks, in byte ranges
+    of whole chunks, so the driver holds no file's name and millions of files are no more to it than one; other stores and paths with wildcards go through Spark's
+    readers (``_read_chunks``), whose driver holds every file. Both pass over names that begin with a dot or an underscore, as those readers do.
+    ``file_digests`` checks what has landed.
+    """
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = at(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    direct = fs.getUri().getScheme() == "file" and not set(source) & set("{}[]*?\\") and fs.exists(at(source)) and fs.getFileStatus(at(source)).isDirectory()
+    chunks = _file_chunks(spark, fs.makeQualified(at(source)), glob, chunk_bytes) if direct else _read_chunks(spark, source, glob, chunk_bytes)
+    chunks.select("path", base_name(F.col("path")).alias("name"), F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).alias("kind"), "length", "chunk", "content").write.mode(
+        "overwrite").parquet(target)
+
+
+def _file_chunks(spark: SparkSession, folder, glob: str, chunk_bytes: int, range_bytes: int = 64 << 20, open_bytes: int = 16 << 10) -> DataFrame:
+    """``(path, length, chunk, content)`` of the files below a qualified path of a local or mounted file system.
+
+    One task lists the folder's own names, all tasks what is below them, and the list is stored. A range has about ``range_bytes``; a task has as many bytes,
+    of small files fewer, as ``open_bytes`` are added for each.
+    """
+    context = spark.sparkContext
+    root, shown = folder.toUri().getPath().rstrip("/"), folder.toString().rstrip("/")
+    wanted = re.compile(context._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().toString(), re.DOTALL)
+    range_bytes = max(1, range_bytes // chunk_bytes) * chunk_bytes
+
+    def names(batches):
+        for _ in batches:
+            with os.scandir(root or "/") as found:
+                while some := [e.name for e in islice(found, 10_000)]:
+                    yield pa.RecordBatch.from_pydict({"name": pa.array(some, pa.string())})
+
+    def below(path):
+        name, folder = os.path.basename(path), os.path.isdir(path)
+        if name.endswith("._COPYING_") or name.startswith(".") or name.startswith("_") and "=" not in name and not (folder and name.startswith(("_metadata", "_common_metadata"))):
+            return
+        if folder:
+            with os.scandir(path) as found:
+                for e in found:
+                    yield from below(e.path)
+        elif wanted.fullmatch(name) and os.path.exists(path):
+            yield path, os.path.getsize(path)
+
+    def listed(batches):
+        for b in batches:
+            found = (x for name in b.column(0).to_pylist() for x in below(f"{root}/{name}"))
+            while some := [*islice(found, 10_000)]:
+                yield pa.RecordBatch.from_pydict({"file": pa.array([x for x, _ in some], pa.string()), "length": pa.array([n for _, n in some], pa.int64())})
+
+    def read(batches):
+        rows, held = [], 0
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64(), pa.binary()))], names=["path", "length", "chunk", "content"])
+
+        for b in batches:
+            for file, length, start in zip(*(c.to_pylist() for c in b.columns)):
+                with open(file, "rb") as f:
+                    f.seek(start)
+                    for at in range(start, min(start + range_bytes, length), chunk_bytes):
+                        if content := f.read(min(chunk_bytes, length - at)):
+                            rows.append((shown + file[len(root):], length, at // chunk_bytes, content))
+                            held += len(content)
+                        if held >= 8 << 20 or len(rows) >= 10_000:
+                            yield batch()
+                            rows, held = [], 0
+        if rows:
+            yield batch()
+
+    tasks = 4 * context.defaultParallelism
+    found = spark.range(0, 1, 1, 1).mapInArrow(names, "name string").repartition(tasks)
+    files = store(found.mapInArrow(listed, "file string, length long").where("length > 0"), "files")
+    n, length = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(range_bytes).cast("bigint")))
+    tasks = max(1, min(n + length // range_bytes, max(tasks, -(-(length + n * open_bytes) // range_bytes))))
+    return files.select("file", "length", starts.alias("start")).repartition(tasks).mapInArrow(read, "path string, length long, chunk long, content binary")
+
+
+def _read_chunks(spark: SparkSession, source: str, glob: str, chunk_bytes: int) -> DataFrame:
+    """The same rows by Spark's readers, for any store.
+
     Files are read in byte ranges by all cores, as text cut at line feeds, whose bytes are not looked at; the cuts are put back, and the last one of a file by
-    its length. Chunks are numbered from 0 in order. Files without bytes are passed over by Spark's readers and have no row. Spark would unpack files with the ending of a codec,
-    so those are landed as a whole and cut then. ``file_digests`` checks what has landed.
+    its length. Files without bytes are passed over by Spark's readers. Spark would unpack files with the ending of a codec, so those are landed as a whole and cut then.
     """
     packed = F.lower("path").rlike(r"\.(gz|gzip|bz2|zst|lz4|snappy|deflate|xz)$")
     found = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
@@ -178,8 +257,7 @@ def land_chunks(spark: SparkSession, source: str, target: str, glob: str = "*",
     parts = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("length") - 1) / chunk_bytes))
     rest = rest.select("path", "length", "content", F.explode(parts).alias("chunk")).select(
         "path", "length", "chunk", F.substring("content", (F.col("chunk") * chunk_bytes + 1).cast("int"), F.lit(chunk_bytes)).alias("content"))
-    kept.unionByName(rest).select("path", base_name(F.col("path")).alias("name"), F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).alias("kind"), "length", "chunk", "content").write.mode(
-        "overwrite").parquet(target)
+    return kept.unionByName(rest)
 
 
 def file_digests(chunks: DataFrame) -> DataFrame:
